@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pagequarry.llm._common import table
+from pagequarry.llm.labelled import held_out
+from pagequarry.llm.quality import quality
 from pagequarry.llm.token_counts import token_counts
 
 
@@ -20,8 +22,17 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = quality(docs, table(spark, sf_dir, "labels"))
+    return out.select("doc_id", held_out().alias("held_out"), "expected_grade", "tail", "keep")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_token_counts": op1_token_counts}
+    return {
+        "op1_token_counts": op1_token_counts,
+        "op10_quality": op10_quality,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
