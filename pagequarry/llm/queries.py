@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pagequarry.llm._common import table
 from pagequarry.llm.labelled import held_out
 from pagequarry.llm.quality import quality
+from pagequarry.llm.secret_scan import secret_scan
 from pagequarry.llm.token_counts import token_counts
+from pagequarry.llm.toxicity import toxicity
 
 
 def vocabulary_path(name: str) -> str:
@@ -22,6 +24,14 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(table(spark, sf_dir, "documents")).drop("found")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = quality(docs, table(spark, sf_dir, "labels"))
@@ -31,6 +41,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
+        "op3_toxicity": op3_toxicity,
+        "op5_secret_scan": op5_secret_scan,
         "op10_quality": op10_quality,
     }
 

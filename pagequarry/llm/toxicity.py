@@ -1,7 +1,8 @@
 """Toxicity of whole texts: a factorization machine over hashed terms.
 
 A text is the set of its hashed terms: words in lower case and word beginnings of four and five
-letters (which catch inflected forms). The score is the logistic of a bias, a weight per term and
+letters (which catch inflected forms), of which those count whose share of toxic training texts
+departs from the mean by a chi-square test. The score is the logistic of a bias, a weight per term and
 the inner products of the factor vectors of all pairs of terms, which is where an insult next to a
 mention of a group can count for more than both alone. Terms met in fewer than MIN_DOCS training
 texts weigh nothing.
@@ -33,15 +34,19 @@ REMEMBERED = 500_000
 
 @dataclass
 class FactorizationMachine:
-    """Binary features; squared-gradient scaled steps with shrinkage of the linear weights."""
+    """Binary features; a follow-the-regularised-leader step with an absolute penalty for the linear
+    weights, so that terms without steady evidence weigh nothing, and squared-gradient scaled steps,
+    drawn back to 0, for the factors."""
 
     bits: int = 18
-    factors: int = 8
-    epochs: int = 6
-    batch: int = 128
-    step: float = 0.15
-    shrink: float = 2e-4
-    decay: float = 1e-4
+    factors: int = 4
+    epochs: int = 4
+    batch: int = 64
+    step: float = 0.5
+    penalty: float = 2.0
+    least_chi: float = 15.0
+    factor_step: float = 0.01
+    factor_penalty: float = 2e-3
     seed: int = 7
     bias: float = 0.0
     linear: np.ndarray = field(default=None, repr=False)  # type: ignore[assignment]
@@ -93,40 +98,49 @@ class FactorizationMachine:
         y = np.array([min(1, max(0, label)) for _, label in rows], dtype=float)
         self.bias = float(np.log((y.sum() + 1) / (len(y) - y.sum() + 19)))
         ids, counts = self.features((text for text, _ in rows), {})
-        keep = np.bincount(ids, minlength=size) >= MIN_DOCS
         _, row = ragged(counts)
+        keep = self.telling(np.bincount(ids, minlength=size), np.bincount(ids, weights=y[row], minlength=size), y)
         ids, row = ids[keep[ids]], row[keep[ids]]
         counts = np.bincount(row, minlength=len(rows))
         starts, _ = ragged(counts)
         rng = np.random.default_rng(self.seed)
         self.linear = np.zeros(size)
         self.latent = rng.normal(0, 0.01, (size, self.factors)) * keep[:, None]
-        seen_w, seen_v, seen_b = np.full(size, 1e-2), np.full((size, self.factors), 1e-2), 1.0
+        lead, seen_w, seen_v, seen_b = np.zeros(size), np.zeros(size), np.full((size, self.factors), 1.0), 1.0
         for _ in range(self.epochs):
             order = rng.permutation(len(rows))
             for k in range(0, len(order), self.batch):
                 part = np.sort(order[k : k + self.batch])
                 own = np.concatenate([ids[starts[i] : starts[i + 1]] for i in part])
                 z, sums = self.raw(own, counts[part])
-                error = 1 / (1 + np.exp(-z)) - y[part]
+                error = 1 / (1 + np.exp(-np.clip(z, -40, 40))) - y[part]
                 _, at = ragged(counts[part])
                 terms, inverse = np.unique(own, return_inverse=True)
-                each = error[at] / len(part) ** 0.5
-                gw = np.bincount(inverse, weights=each, minlength=len(terms))
+                each = error[at]
+                g = np.bincount(inverse, weights=each, minlength=len(terms))
+                grown = seen_w[terms] + g * g
+                lead[terms] += g - (np.sqrt(grown) - np.sqrt(seen_w[terms])) / self.step * self.linear[terms]
+                seen_w[terms] = grown
+                beyond = np.maximum(np.abs(lead[terms]) - self.penalty, 0)
+                self.linear[terms] = -np.sign(lead[terms]) * beyond / ((1 + np.sqrt(grown)) / self.step)
                 gv = np.stack([np.bincount(inverse, weights=each * (sums[at, f] - self.latent[own, f]), minlength=len(terms)) for f in range(self.factors)], axis=1)
-                gv += self.decay * self.latent[terms]
-                seen_w[terms] += gw * gw
                 seen_v[terms] += gv * gv
-                w = self.linear[terms] - self.step * gw / np.sqrt(seen_w[terms])
-                self.linear[terms] = np.sign(w) * np.maximum(np.abs(w) - self.shrink, 0)
-                self.latent[terms] -= 0.2 * self.step * gv / np.sqrt(seen_v[terms])
-                gb = error.sum() / len(part) ** 0.5
-                seen_b += gb * gb
-                self.bias -= 0.1 * self.step * gb / seen_b**0.5
+                v = self.latent[terms] - self.factor_step * gv / np.sqrt(seen_v[terms])
+                self.latent[terms] = np.sign(v) * np.maximum(np.abs(v) - self.factor_step * self.factor_penalty, 0)
+                seen_b += error.sum() ** 2
+                self.bias -= self.step * error.sum() / seen_b**0.5
         self.linear, self.latent = self.linear.astype(np.float32), self.latent.astype(np.float32)
-        self._used = keep
+        self.latent[np.abs(self.latent) < 1e-3] = 0
+        self._used = keep & ((self.linear != 0) | (self.latent != 0).any(axis=1))
         return self
 
+    def telling(self, found: np.ndarray, toxic: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Terms in enough texts whose share of toxic ones departs from the mean (chi-square)."""
+        share = min(max(y.mean(), 1e-6), 1 - 1e-6) if len(y) else 0.5
+        expected = found * share
+        chi = (toxic - expected) ** 2 / np.maximum(expected * (1 - share), 1e-9)
+        return (found >= MIN_DOCS) & (chi >= self.least_chi)
+
     def score(self, texts: list[str], known: dict[str, tuple[int, ...]]) -> np.ndarray:
         z, _ = self.raw(*self.features(texts, known))
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
