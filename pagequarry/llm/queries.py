@@ -10,6 +10,7 @@ from pagequarry.llm._common import table
 from pagequarry.llm.labelled import held_out
 from pagequarry.llm.quality import quality
 from pagequarry.llm.secret_scan import secret_scan
+from pagequarry.llm.sharding import shards
 from pagequarry.llm.token_counts import token_counts
 from pagequarry.llm.toxicity import toxicity
 
@@ -28,6 +29,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards(table(spark, sf_dir, "documents"), count=40)
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents")).drop("found")
 
@@ -42,6 +47,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
         "op3_toxicity": op3_toxicity,
+        "op4_sharding": op4_sharding,
         "op5_secret_scan": op5_secret_scan,
         "op10_quality": op10_quality,
     }
