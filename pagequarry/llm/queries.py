@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pagequarry.llm._common import table
 from pagequarry.llm.labelled import held_out
+from pagequarry.llm.mixing import DEFAULT_WEIGHTS, default_levels, mix
 from pagequarry.llm.quality import quality
 from pagequarry.llm.secret_scan import secret_scan
 from pagequarry.llm.sharding import shards
@@ -37,6 +38,12 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents")).drop("found")
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    out = mix(docs, levels=default_levels(), weights=DEFAULT_WEIGHTS, budget_share=0.8, max_epochs=2, seed=42)
+    return out.select("doc_id", "mix__.domain", "mix__.lang", "mix__.source", "mix__.tokens", "mix__.epoch")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = quality(docs, table(spark, sf_dir, "labels"))
@@ -49,6 +56,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_toxicity": op3_toxicity,
         "op4_sharding": op4_sharding,
         "op5_secret_scan": op5_secret_scan,
+        "op6_mixing": op6_mixing,
         "op10_quality": op10_quality,
     }
 
