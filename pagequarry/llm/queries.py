@@ -14,6 +14,7 @@ from pagequarry.llm.secret_scan import secret_scan
 from pagequarry.llm.sharding import shards
 from pagequarry.llm.token_counts import token_counts
 from pagequarry.llm.toxicity import toxicity
+from pagequarry.llm.vector_search import top_k
 
 
 def vocabulary_path(name: str) -> str:
@@ -44,6 +45,23 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "mix__.domain", "mix__.lang", "mix__.source", "mix__.tokens", "mix__.epoch")
 
 
+def op8_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return top_k(vectors.where("vec_id % 50 = 0"), vectors, k=5, scale=256.0)
+
+
+OP8_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS c FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+e AS (SELECT vec_id, generate_subscripts(c, 1) AS i, unnest(c) AS x, len(c) AS n FROM v),
+s AS (SELECT q.vec_id AS query_id, d.vec_id AS vec_id, CAST(sum(q.x * d.x) AS BIGINT) AS score
+      FROM e q JOIN e d ON q.i = d.i AND q.n = d.n AND q.vec_id <> d.vec_id WHERE q.vec_id % 50 = 0 GROUP BY 1, 2),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 5
+"""
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = quality(docs, table(spark, sf_dir, "labels"))
@@ -57,9 +75,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_sharding": op4_sharding,
         "op5_secret_scan": op5_secret_scan,
         "op6_mixing": op6_mixing,
+        "op8_vector_search": op8_vector_search,
         "op10_quality": op10_quality,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_vector_search": OP8_SQL}
