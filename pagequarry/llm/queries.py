@@ -51,9 +51,9 @@ def op8_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP8_SQL = """
-WITH v AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS c FROM embeddings
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS c FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-             AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 e AS (SELECT vec_id, generate_subscripts(c, 1) AS i, unnest(c) AS x, len(c) AS n FROM v),
 s AS (SELECT q.vec_id AS query_id, d.vec_id AS vec_id, CAST(sum(q.x * d.x) AS BIGINT) AS score
       FROM e q JOIN e d ON q.i = d.i AND q.n = d.n AND q.vec_id <> d.vec_id WHERE q.vec_id % 50 = 0 GROUP BY 1, 2),
