@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pagequarry.llm._common import table
+from pagequarry.llm.decontamination import leaks
 from pagequarry.llm.labelled import held_out
 from pagequarry.llm.mixing import DEFAULT_WEIGHTS, default_levels, mix
 from pagequarry.llm.quality import quality
@@ -27,6 +28,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_key")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -71,6 +76,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
+        "op2_decontamination": op2_decontamination,
         "op3_toxicity": op3_toxicity,
         "op4_sharding": op4_sharding,
         "op5_secret_scan": op5_secret_scan,
