@@ -10,6 +10,7 @@ from pagequarry.llm._common import table
 from pagequarry.llm.decontamination import leaks
 from pagequarry.llm.labelled import held_out
 from pagequarry.llm.mixing import DEFAULT_WEIGHTS, default_levels, mix
+from pagequarry.llm.near_duplicates import classes
 from pagequarry.llm.quality import quality
 from pagequarry.llm.secret_scan import secret_scan
 from pagequarry.llm.sharding import shards
@@ -67,6 +68,10 @@ SELECT * FROM r WHERE rank <= 5
 """
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classes(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "class_id")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = quality(docs, table(spark, sf_dir, "labels"))
@@ -82,6 +87,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_secret_scan": op5_secret_scan,
         "op6_mixing": op6_mixing,
         "op8_vector_search": op8_vector_search,
+        "op9_near_duplicates": op9_near_duplicates,
         "op10_quality": op10_quality,
     }
 
