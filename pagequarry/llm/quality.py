@@ -151,17 +151,16 @@ class OrdinalRegression:
 
 
 def quality(docs: DataFrame, labels: DataFrame, *, grade: int | None = None, cut: float = 0.5, fit_rows: int = FIT_ROWS, **settings) -> DataFrame:
-    """All columns of docs and expected_grade, tail (P(grade >= `grade`), by default the best grade) and keep (tail >= cut).
+    """All columns of docs and a column quality__ (expected_grade; tail: P(grade >= `grade`), by default of the best grade; keep: tail >= cut).
 
-    labels: doc_id, quality. A clashing column of docs gives way to the new one.
+    labels: doc_id, quality.
     """
     spark = docs.sparkSession
     small_batches(spark)
     fitted = OrdinalRegression(**settings).fit(training_rows(docs, labels, "quality", fit_rows))
     model = spark.sparkContext.broadcast(fitted)
     best = len(fitted.grades) - 1 if grade is None else int(np.searchsorted(fitted.grades, grade))
-    added = ["expected_grade", "tail"]
-    kept = [c for c in docs.columns if c not in (*added, "keep")]
+    kept = [c for c in docs.columns if c != "quality__"]
 
     def graded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, pairs, m = {}, {}, model.value
@@ -169,9 +168,14 @@ def quality(docs: DataFrame, labels: DataFrame, *, grade: int | None = None, cut
             tails = m.tails(batch.column(0).to_pylist(), known, pairs)
             expected = m.grades[0] + tails @ np.diff(m.grades).astype(float)
             tail = np.ones(len(batch)) if best == 0 else tails[:, best - 1] if best <= tails.shape[1] else np.zeros(len(batch))
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(expected), pa.array(tail)], [*kept, *added])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(expected), pa.array(tail)], [*kept, "__expected", "__tail"])
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
-    out = docs.select(text_col().alias("__text"), *kept).mapInArrow(graded, f"{fields}, expected_grade double, tail double")
-    return out.withColumn("keep", F.col("tail") >= cut)
+    out = docs.select(text_col().alias("__text"), *kept).mapInArrow(graded, f"{fields}, __expected double, __tail double")
+    verdict = F.struct(F.col("__expected").alias("expected_grade"), F.col("__tail").alias("tail"), (F.col("__tail") >= cut).alias("keep"))
+    return out.select(*kept, verdict.alias("quality__"))
 
+
+def accepted(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
+    """The rows of docs that are kept."""
+    return quality(docs, labels, **settings).where("quality__.keep").select(*docs.columns)

@@ -75,7 +75,7 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = quality(docs, table(spark, sf_dir, "labels"))
-    return out.select("doc_id", held_out().alias("held_out"), "expected_grade", "tail", "keep")
+    return out.select("doc_id", held_out().alias("held_out"), "quality__.expected_grade", "quality__.tail", "quality__.keep")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
