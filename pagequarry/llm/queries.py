@@ -14,6 +14,7 @@ from pagequarry.llm.near_duplicates import classes
 from pagequarry.llm.quality import quality
 from pagequarry.llm.secret_scan import secret_scan
 from pagequarry.llm.sharding import shards
+from pagequarry.llm.suffix_dedup import without_repeats
 from pagequarry.llm.token_counts import token_counts
 from pagequarry.llm.toxicity import toxicity
 from pagequarry.llm.vector_search import top_k
@@ -51,6 +52,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "mix__.domain", "mix__.lang", "mix__.source", "mix__.tokens", "mix__.epoch")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op8_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return top_k(vectors.where("vec_id % 50 = 0"), vectors, k=5, scale=256.0)
@@ -86,6 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_sharding": op4_sharding,
         "op5_secret_scan": op5_secret_scan,
         "op6_mixing": op6_mixing,
+        "op7_suffix_dedup": op7_suffix_dedup,
         "op8_vector_search": op8_vector_search,
         "op9_near_duplicates": op9_near_duplicates,
         "op10_quality": op10_quality,
