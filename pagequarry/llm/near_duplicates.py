@@ -9,10 +9,13 @@ few of its regions hit at all (the signature costs k log k darts, not k times it
 a coordinate still empty run on for twice as long.
 
 Texts that agree on a whole band are candidates. Equal texts are one node. In a band's bucket every
-node is compared with a leader of the bucket (drawn by a hash of band and node, so that bands differ)
-by the exact similarity of the shingles; if the verified links leave a bucket in several classes, the
-members outside its largest class are compared with all its other classes too. Classes are the
-connected components of the verified links. Neither a bucket nor a class is ever collected.
+node is compared with three leaders of the bucket (the one that most texts agree with, and two drawn
+by a hash of bucket and node, so that bands differ) by the exact similarity of the shingles. Buckets
+that the verified links leave in several classes are looked at again: small ones by all pairs across
+their classes, large ones by leaders of those who agree on a second band too. Classes are the
+connected components of the verified links. Neither a bucket nor a class is ever collected, and no
+step makes all pairs of a large group; a link between two texts of a large mixed bucket is found
+through its leaders and bands, of which two texts of similarity 0.8 share eight on average.
 
 Defined results: a null text counts as empty; texts without words are near only to equal ones (null
 and '' are equal); texts of one to four words have one shingle, all of their words; a class is named
@@ -34,8 +37,13 @@ from pagequarry.llm.components import components
 
 WIDTH = 5
 SIMILARITY = 0.8
-#: Bands and rows of a band: two texts of similarity 0.8 miss all bands with a probability of 7e-6.
-BANDS, ROWS = 30, 5
+#: Bands and rows of a band: two texts of similarity 0.8 miss all bands with a probability of 3e-5.
+BANDS, ROWS = 20, 4
+#: Members of a bucket that falls into several classes up to which all its pairs across classes are
+#: compared; larger ones are split by agreement on a second band and compared with leaders again.
+SMALL = 8
+#: Second bands that each band is paired with.
+PAIRED = 3
 #: Rows of a leader's shingles that meet its pairs, so that a leader of many isn't one task's.
 PAIRS_PER_COPY = 256
 REMEMBERED = 500_000
@@ -104,9 +112,10 @@ def signatures(regions: list[np.ndarray], k: int) -> np.ndarray:
             dart = mix64(chain)
             darts.append(dart | np.uint64(1))
             cells.append((dart >> np.uint64(32)) % np.uint64(k))
-        t, at = np.concatenate(times), np.concatenate(rows) * k + np.concatenate(cells).astype(np.int64)
-        dart = np.concatenate(darts)
-        order = np.lexsort((dart, t, at))
+        t, dart = np.concatenate(times), np.concatenate(darts)
+        at = np.concatenate(rows) * k + np.concatenate(cells).astype(np.int64)
+        # Positive doubles order like their bits: the coordinate and the leading bits of the time in one key.
+        order = np.argsort((at.astype(np.uint64) << np.uint64(44)) | (t.view(np.uint64) >> np.uint64(20)))
         at = at[order]
         first = np.ones(len(at), dtype=bool)
         first[1:] = at[1:] != at[:-1]
@@ -147,32 +156,46 @@ def classes(docs: DataFrame, *, similarity: float = SIMILARITY, bands: int = BAN
     signed = texts.select("text_key", "text").mapInArrow(banded, "node binary, keys array<bigint>")
     # Rows of one text give equal keys, so buckets count and hold distinct texts.
     buckets = written(signed.select(F.explode("keys").alias("bucket"), "node").distinct(), "bands")
-    draw = F.struct(F.xxhash64("bucket", "node").alias("draw"), F.col("node").alias("node"))
-    leaders = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min(draw).alias("leader")).where("n > 1").select("bucket", F.col("leader.node").alias("leader"))
-    members = written(buckets.join(leaders, "bucket"), "members")
-    # A pair is a member and the leader, which many members share.
-    pairs = written(members.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), "pairs")
+    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = written(buckets.join(sizes, "bucket"), "members")
+    # The more texts agree with one, the better it leads: the original of many copies comes first.
+    central = members.groupBy("node").agg(F.sum("n").alias("central"))
+    members = written(members.join(central, "node"), "members")
+    pairs = written(led(members), "pairs")
     links = written(similar(pairs, texts, similarity), "links")
     roots = components(links)
-    # Buckets that fall into several classes: the members outside the largest one meet the rest.
-    labelled = members.select("bucket", "node").join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
-    sizes = labelled.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
-    mixed = sizes.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "root")).alias("top")).where("parts > 1").select("bucket", F.col("top.root").alias("largest"))
-    split = written(labelled.join(mixed, "bucket"), "mixed")
-    minor = split.where("root <> largest").select("bucket", F.col("node").alias("b"), F.col("root").alias("own"))
-    across = minor.join(split.select("bucket", F.col("node").alias("a"), "root"), "bucket").where("own <> root").select("a", "b").distinct()
+
+    labelled = members.join(roots, "node", "left").select("bucket", "node", "n", "central", F.coalesce("root", "node").alias("root"))
+    parts = labelled.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+    parts = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "root")).alias("top")).where("parts > 1")
+    mixed = written(labelled.join(parts.select("bucket", F.col("top.root").alias("largest")), "bucket"), "mixed")
+    few = mixed.where(F.col("n") <= SMALL)
+    minor = few.where("root <> largest").select("bucket", F.col("node").alias("b"), F.col("root").alias("own"))
+    across = minor.join(few.select("bucket", F.col("node").alias("a"), "root"), "bucket").where("own <> root").select("a", "b")
+    own = mixed.where(F.col("n") > SMALL).groupBy("node", "central").agg(F.array_sort(F.collect_set("bucket")).alias("own"))
+    both = F.transform(F.col("own"), lambda x, i: F.transform(F.slice("own", i + 2, PAIRED), lambda y: F.xxhash64(x, y)))
+    split = led(own.select(F.explode(F.flatten(both)).alias("bucket"), "node", "central"))
     tested = pairs.union(pairs.select("b", "a"))
-    across = written(across.join(tested, ["a", "b"], "left_anti"), "across")
-    if not across.isEmpty():
-        more = written(similar(across, texts, similarity), "links")
-        if not more.isEmpty():
-            roots = components(links.union(more))
+    more = written(across.union(split).distinct().join(tested, ["a", "b"], "left_anti"), "more")
+    if not more.isEmpty():
+        found = written(similar(more, texts, similarity), "links")
+        if not found.isEmpty():
+            roots = components(links.union(found))
     named = texts.select("doc_id", "row_key", "text_key").join(roots.withColumnRenamed("node", "text_key"), "text_key", "left")
     named = named.select("row_key", "doc_id", F.coalesce("root", "text_key").alias("root"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     return named.join(least, "root").select("row_key", "doc_id", "root", "class_id")
 
 
+def led(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each bucket's members with its leaders: the most central one and two drawn by hash."""
+    draw = F.struct(F.xxhash64("bucket", "node").alias("draw"), F.col("node").alias("node"))
+    leaders = members.groupBy("bucket").agg(F.max(F.struct("central", "node")).alias("central"), F.min(draw).alias("first"), F.max(draw).alias("last"))
+    leaders = leaders.select("bucket", F.array_distinct(F.array("central.node", "first.node", "last.node")).alias("leaders"))
+    met = members.select("bucket", F.col("node").alias("a")).join(leaders, "bucket")
+    return met.select("a", F.explode("leaders").alias("b")).where("a <> b").distinct()
+
+
 def similar(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """Pairs (a, b) of text keys, b the more shared, whose weighted Jaccard similarity of shingles is at least `least`."""
     nodes = pairs.select(F.col("a").alias("text_key")).union(pairs.select(F.col("b").alias("text_key"))).distinct()
