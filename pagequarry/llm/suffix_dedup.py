@@ -12,8 +12,10 @@ compared lies in regions around anchors whose hash occurs more than once:
    of equal prefixes, doubled in length until all are single) and derives the common prefixes of
    neighbours by Kasai's rule in its vector form (the common prefix of a suffix is at least its
    predecessor's less one; only where the bytes before differ is it measured).
-4. An anchor with very many distinct regions is dealt to several shards. Their windows' digests are
-   merged across shards by binary search in sorted runs.
+4. An anchor with more distinct regions than a shard takes is decided across shards. Its windows are
+   taken in blocks of STEP, aligned at the anchor: a block whose bytes occur twice is repeated as a
+   whole; one whose core, the bytes that all its windows hold, occurs once holds no repeated window.
+   What is left open is merged by the digests of its windows, by binary search in sorted runs.
 5. Each text loses the union of its repeated windows.
 
 Defined results: a null text counts as empty; texts shorter than WINDOW lose nothing; a passage that
@@ -35,8 +37,10 @@ from pagequarry.llm._common import mix64, row_key, small_batches, text_col, writ
 
 WINDOW = 400
 GRAM = 96
-#: Distinct regions of one anchor in a shard, on average, at most.
+#: Distinct regions of one anchor in a shard at most.
 REGIONS = 1024
+#: Windows of a block.
+STEP = 32
 #: Bytes whose suffixes are sorted at once (whole groups of one anchor: a block may exceed it by one group).
 BLOCK = 1 << 20
 
@@ -72,13 +76,13 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(backward[:n], forward[width - 1 : width - 1 + n])
 
 
-def anchors(b: np.ndarray, starts: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, first window, last window, hash) of each anchor in texts that lie one after another in b from `starts`."""
+def anchors(b: np.ndarray, starts: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first window, last window, place, hash) of each anchor in texts that lie one after another in b from `starts`."""
     lengths = np.diff(starts)
     hashes = rolling(b, gram)
     width = window - gram + 1
     if len(hashes) < width:
-        return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),)
+        return (np.empty(0, np.int64),) * 4 + (np.empty(0, np.uint64),)
     least = sliding_min((hashes & HIGH) | np.arange(len(hashes), dtype=np.uint64), width)
     at = (least & ~HIGH).astype(np.int64)
     windows = np.maximum(lengths - window + 1, 0)
@@ -91,7 +95,7 @@ def anchors(b: np.ndarray, starts: np.ndarray, window: int = WINDOW, gram: int =
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(p)) - 1
     offset = starts[:-1][text[first]]
-    return text[first], p[first] - offset, p[last] - offset, hashes[at[first]]
+    return text[first], p[first] - offset, p[last] - offset, at[first] - offset, hashes[at[first]]
 
 
 def eights(b: np.ndarray) -> np.ndarray:
@@ -196,61 +200,65 @@ def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = texts[k : k + 128]
             starts = np.concatenate([[0], np.cumsum([len(t) for t in part])]).astype(np.int64)
             data = b"".join(part)
-            text, first, last, hashed = anchors(np.frombuffer(data, dtype=np.uint8), starts)
+            text, first, last, place, hashed = anchors(np.frombuffer(data, dtype=np.uint8), starts)
             a, e = (starts[text] + first).tolist(), (starts[text] + last + WINDOW).tolist()
             digest = [blake2b(data[i:j], digest_size=16).digest() for i, j in zip(a, e, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(text + k)), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)), pa.array(hashed.view(np.int64)), pa.array(digest, pa.binary())],
-                ["row_key", "first", "last", "anchor", "region"],
+                [batch.column(0).take(pa.array(text + k)), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)), pa.array(place.astype(np.int32)), pa.array(hashed.view(np.int64)), pa.array(digest, pa.binary())],
+                ["row_key", "first", "last", "place", "anchor", "region"],
             )
 
 
 def _sorted_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come in the order of (anchor, share): blocks of whole groups, each with its suffix array."""
+    """Rows come in the order of their anchor: blocks of whole groups, each with its suffix array."""
 
     def block(rows: list[dict]) -> pa.RecordBatch:
         windows = np.array([r["last"] - r["first"] + 1 for r in rows], dtype=np.int64)
-        snippet, offset, group, count = repeated([r["bytes"] for r in rows], windows)
+        snippet, offset, _, count = repeated([r["bytes"] for r in rows], windows)
         wanted = np.array([r["wanted"] for r in rows], dtype=bool)
-        spread = np.array([r["shares"] > 1 for r in rows], dtype=bool)
         who, a, z = runs(*(x[(count > 1) & wanted[snippet]] for x in (snippet, offset)))
-        keys, begin, end = [rows[i]["row_key"] for i in who], [], []
-        for i, s, e in zip(who.tolist(), a.tolist(), z.tolist(), strict=True):
-            begin.append(rows[i]["first"] + s)
-            end.append(rows[i]["first"] + e + WINDOW)
-        digest: list[bytes | None] = [None] * len(keys)
-        open_ = [False] * len(keys)
-        # Of groups that other shards hold too: one row for each class of windows.
-        hot = np.flatnonzero(spread[snippet])
-        if len(hot):
-            _, one = np.unique(group[hot], return_index=True)
-            for k in hot[one].tolist():
-                i, o = int(snippet[k]), int(offset[k])
-                keys.append(rows[i]["row_key"])
-                begin.append(rows[i]["first"] + o)
-                end.append(rows[i]["first"] + o + WINDOW)
-                digest.append(blake2b(rows[i]["bytes"][o : o + WINDOW], digest_size=16).digest())
-                open_.append(bool(count[k] == 1 and wanted[i]))
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(begin, pa.int32()), pa.array(end, pa.int32()), pa.array(digest, pa.binary()), pa.array(open_)], ["row_key", "begin", "end", "digest", "open"])
+        begin = np.array([r["first"] for r in rows], dtype=np.int64)[who]
+        return pa.RecordBatch.from_arrays([pa.array([rows[i]["row_key"] for i in who], pa.binary()), pa.array((begin + a).astype(np.int32)), pa.array((begin + z + WINDOW).astype(np.int32))], ["row_key", "begin", "end"])
 
     held: list[dict] = []
     size = 0
-    last = None
     for batch in batches:
         for r in batch.to_pylist():
-            key = (r["anchor"], r["share"])
-            if size >= BLOCK and key != last:
+            if size >= BLOCK and r["anchor"] != held[-1]["anchor"]:
                 yield block(held)
                 held, size = [], 0
             held.append(r)
             size += len(r["bytes"])
-            last = key
     if held:
         yield block(held)
 
 
+def crowded(snippets: DataFrame) -> DataFrame:
+    """Repeated windows among regions (row_key, first, last, place, wanted, bytes) of anchors that one shard can't take."""
+    span = lambda begin, length: F.substring("bytes", begin - F.col("first") + 1, length)
+    step = F.lit(STEP)
+    block = F.explode(F.sequence(F.floor((F.col("place") - F.col("last")) / step), F.floor((F.col("place") - F.col("first")) / step)))
+    cut = snippets.withColumn("block", block).withColumn("core_at", (F.col("place") - F.col("block") * step).cast("int"))
+    cut = cut.withColumn("low", F.greatest(F.col("first"), F.col("core_at") - (STEP - 1))).withColumn("high", F.least("last", "core_at"))
+    digest = lambda begin, length, note: F.unhex(F.md5(F.concat(span(begin, length), note.cast("string").cast("binary"))))
+    cut = cut.select(
+        "row_key", "low", "high", "wanted", span(F.col("low"), F.col("high") - F.col("low") + WINDOW).alias("bytes"),
+        digest(F.col("low"), F.col("high") - F.col("low") + WINDOW, F.col("place") - F.col("low")).alias("hull"), digest(F.col("core_at"), F.lit(WINDOW - STEP + 1), F.col("block")).alias("core"),
+    )
+    cut = written(cut, "blocks")
+    hulls = cut.groupBy("hull").agg(F.count(F.lit(1)).alias("n"), F.first("core").alias("core"), F.min(F.struct("row_key", "low")).alias("one"))
+    hulls = written(hulls, "hulls")
+    several = hulls.groupBy("core").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    whole = cut.where("wanted").join(hulls.where("n > 1").select("hull"), "hull", "left_semi").select("row_key", F.col("low").alias("begin"), (F.col("high") + WINDOW).alias("end"))
+    # One block of each kind whose core occurs in other kinds too, window by window; of those that occur once it is asked.
+    open_ = hulls.join(several.select("core"), "core", "left_semi").select("one.row_key", "one.low", (F.col("n") == 1).alias("single"))
+    asked = cut.join(open_, ["row_key", "low"]).withColumn("begin", F.explode(F.sequence("low", "high")))
+    asked = asked.select("row_key", "begin", (F.col("begin") + WINDOW).cast("int").alias("end"), F.unhex(F.md5(F.substring("bytes", F.col("begin") - F.col("low") + 1, F.lit(WINDOW)))).alias("digest"), (F.col("single") & F.col("wanted")).alias("open"))
+    return whole.union(asked.repartition("digest").sortWithinPartitions("digest").mapInArrow(_merged, "row_key binary, begin int, end int"))
+
+
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come in the order of the digest: an open window with a partner in another shard is repeated."""
+    """Rows come in the order of the digest: an open window with a partner is repeated."""
     rest: pa.Table | None = None
 
     def found(t: pa.Table) -> pa.RecordBatch:
@@ -295,22 +303,20 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     texts = docs.select(row_key().alias("row_key"), text_col().cast("binary").alias("text"))
-    found = written(texts.where(F.length("text") >= WINDOW).mapInArrow(_anchored, "row_key binary, first int, last int, anchor long, region binary"), "anchors")
-    regions = written(found.groupBy("anchor", "region").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row_key", "first", "last")).alias("one")), "regions")
+    found = written(texts.where(F.length("text") >= WINDOW).mapInArrow(_anchored, "row_key binary, first int, last int, place int, anchor long, region binary"), "anchors")
+    regions = written(found.groupBy("anchor", "region").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row_key", "first", "last", "place")).alias("one")), "regions")
     copied = regions.where("n > 1").select("region")
     whole = found.join(copied, "region").select("row_key", F.col("first").alias("begin"), (F.col("last") + WINDOW).alias("end"))
     # Anchors with several regions, some of which occur once: those are wanted, one of each of the others is a partner.
     several = regions.groupBy("anchor").agg(F.count(F.lit(1)).alias("regions"), F.min("n").alias("least")).where("regions > 1 and least = 1")
-    shares = F.ceil(F.col("regions") / REGIONS).cast("int")
-    partly = regions.join(several.select("anchor", shares.alias("shares")), "anchor").select("one.*", "anchor", "shares", (F.col("n") == 1).alias("wanted"))
+    partly = regions.join(several.select("anchor", "regions"), "anchor").select("one.*", "anchor", (F.col("regions") > REGIONS).alias("crowd"), (F.col("n") == 1).alias("wanted"))
     partly = written(partly, "partly")
-    share = F.pmod(F.xxhash64("row_key", "first"), F.col("shares")).cast("int")
     piece = F.substring("text", F.col("first") + 1, F.col("last") - F.col("first") + WINDOW)
-    snippets = partly.join(texts, "row_key").select("row_key", "first", "last", "anchor", share.alias("share"), "shares", "wanted", piece.alias("bytes")).dropDuplicates(["row_key", "first"])
-    dealt = snippets.repartition("anchor", "share").sortWithinPartitions("anchor", "share", "row_key", "first")
-    sorted_ = written(dealt.mapInArrow(_sorted_shards, "row_key binary, begin int, end int, digest binary, open boolean"), "sorted")
-    across = sorted_.where("digest is not null").repartition("digest").sortWithinPartitions("digest").mapInArrow(_merged, "row_key binary, begin int, end int")
-    return whole.union(sorted_.where("digest is null").select("row_key", "begin", "end")).union(across)
+    snippets = partly.join(texts, "row_key").select("row_key", "first", "last", "place", "anchor", "crowd", "wanted", piece.alias("bytes")).dropDuplicates(["row_key", "first"])
+    snippets = written(snippets, "snippets")
+    dealt = snippets.where("not crowd").repartition("anchor").sortWithinPartitions("anchor", "row_key", "first")
+    sorted_ = dealt.mapInArrow(_sorted_shards, "row_key binary, begin int, end int")
+    return whole.union(sorted_).union(crowded(snippets.where("crowd")))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
