@@ -9,8 +9,8 @@ few of its regions hit at all (the signature costs k log k darts, not k times it
 a coordinate still empty run on for twice as long.
 
 Texts that agree on a whole band are candidates. Equal texts are one node. In a band's bucket every
-node is compared with three leaders of the bucket (the one that most texts agree with, and two drawn
-by a hash of bucket and node, so that bands differ) by the exact similarity of the shingles. Buckets
+node is compared with two leaders of the bucket (the one that most texts agree with, and one drawn by
+a hash of bucket and node, so that bands differ) by the exact similarity of the shingles. Buckets
 that the verified links leave in several classes are looked at again: small ones by all pairs across
 their classes, large ones by leaders of those who agree on a second band too. Classes are the
 connected components of the verified links. Neither a bucket nor a class is ever collected, and no
@@ -161,7 +161,7 @@ def classes(docs: DataFrame, *, similarity: float = SIMILARITY, bands: int = BAN
     # The more texts agree with one, the better it leads: the original of many copies comes first.
     central = members.groupBy("node").agg(F.sum("n").alias("central"))
     members = written(members.join(central, "node"), "members")
-    pairs = written(led(members), "pairs")
+    pairs = written(led(members.withColumn("root", F.col("node"))), "pairs")
     links = written(similar(pairs, texts, similarity), "links")
     roots = components(links)
 
@@ -172,9 +172,9 @@ def classes(docs: DataFrame, *, similarity: float = SIMILARITY, bands: int = BAN
     few = mixed.where(F.col("n") <= SMALL)
     minor = few.where("root <> largest").select("bucket", F.col("node").alias("b"), F.col("root").alias("own"))
     across = minor.join(few.select("bucket", F.col("node").alias("a"), "root"), "bucket").where("own <> root").select("a", "b")
-    own = mixed.where(F.col("n") > SMALL).groupBy("node", "central").agg(F.array_sort(F.collect_set("bucket")).alias("own"))
+    own = mixed.where(F.col("n") > SMALL).groupBy("node", "central", "root").agg(F.array_sort(F.collect_set("bucket")).alias("own"))
     both = F.transform(F.col("own"), lambda x, i: F.transform(F.slice("own", i + 2, PAIRED), lambda y: F.xxhash64(x, y)))
-    split = led(own.select(F.explode(F.flatten(both)).alias("bucket"), "node", "central"))
+    split = led(own.select(F.explode(F.flatten(both)).alias("bucket"), "node", "central", "root"))
     tested = pairs.union(pairs.select("b", "a"))
     more = written(across.union(split).distinct().join(tested, ["a", "b"], "left_anti"), "more")
     if not more.isEmpty():
@@ -188,12 +188,13 @@ def classes(docs: DataFrame, *, similarity: float = SIMILARITY, bands: int = BAN
 
 
 def led(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of each bucket's members with its leaders: the most central one and two drawn by hash."""
-    draw = F.struct(F.xxhash64("bucket", "node").alias("draw"), F.col("node").alias("node"))
-    leaders = members.groupBy("bucket").agg(F.max(F.struct("central", "node")).alias("central"), F.min(draw).alias("first"), F.max(draw).alias("last"))
-    leaders = leaders.select("bucket", F.array_distinct(F.array("central.node", "first.node", "last.node")).alias("leaders"))
-    met = members.select("bucket", F.col("node").alias("a")).join(leaders, "bucket")
-    return met.select("a", F.explode("leaders").alias("b")).where("a <> b").distinct()
+    """Pairs (a, b) of each bucket's members (bucket, node, central, root) with its leaders of another class: the most central one and one drawn by hash."""
+    draw = F.struct(F.xxhash64("bucket", "node").alias("draw"), F.col("node").alias("node"), F.col("root").alias("root"))
+    leaders = members.groupBy("bucket").agg(F.max(F.struct("central", "node", "root")).alias("most"), F.min(draw).alias("drawn"))
+    both = F.array_distinct(F.array(F.struct("most.node", "most.root"), F.struct("drawn.node", "drawn.root")))
+    met = members.select("bucket", F.col("node").alias("a"), F.col("root").alias("own")).join(leaders.select("bucket", both.alias("leaders")), "bucket")
+    other = F.filter("leaders", lambda x: x["root"] != F.col("own"))
+    return met.select("a", F.explode(other).alias("b")).select("a", F.col("b.node").alias("b")).distinct()
 
 
 def similar(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
