@@ -105,10 +105,13 @@ def unit_table(spark: SparkSession) -> DataFrame:
 
 def convert_units(df: DataFrame, value: str, unit: str, units: DataFrame) -> DataFrame:
     """df with dimension, unit_name and standard_value: by the label as written, else in lower case; null without a conversion."""
-    exact = F.broadcast(units.dropDuplicates(["label"]))
-    found = df.join(exact, df[unit] == exact["label"], "left")
-    std = (F.col(value) + F.col("offset")) * F.col("factor")
-    return found.withColumn("standard_value", std).withColumnRenamed("unit", "unit_name").drop("label", "factor", "offset")
+    known = units.dropDuplicates(["label"]).select(*[F.col(c).alias(f"unit__{c}") for c in ("dimension", "unit", "label", "factor", "offset")])
+    plain = known.select(*[F.col(c).alias(c.replace("unit__", "lower__")) for c in known.columns])
+    found = df.join(F.broadcast(known), F.col(unit) == F.col("unit__label"), "left")
+    found = found.join(F.broadcast(plain), F.col("unit__label").isNull() & (F.lower(unit) == F.col("lower__label")), "left")
+    either = lambda c: F.coalesce(f"unit__{c}", f"lower__{c}")
+    out = found.withColumn("dimension", either("dimension")).withColumn("unit_name", either("unit")).withColumn("standard_value", (F.col(value) + either("offset")) * either("factor"))
+    return out.drop(*known.columns, *plain.columns)
 
 
 def number_text(x: Column, lang: str = "en") -> Column:
@@ -301,29 +304,36 @@ def parse_date_interval(x: Column, lang: str = "en") -> Column:
     return let(F.struct(dates.alias("dates"), open_.alias("open")), read)
 
 
+def _day_number(y: Column, m: Column, d: Column, gregorian_rule: bool) -> Column:
+    def number(t: Column) -> Column:
+        yy, mm = t["y"], t["m"]
+        leap = F.floor(yy / 4) - F.floor(yy / 100) + F.floor(yy / 400) - 32045 if gregorian_rule else F.floor(yy / 4) - 32083
+        return t["d"] + F.floor((153 * mm + 2) / 5) + 365 * yy + leap
+
+    a = F.floor((14 - m) / 12)
+    return let(F.struct((y + 4800 - a).alias("y"), (m + 12 * a - 3).alias("m"), d.alias("d")), number)
+
+
 def julian_day(y: Column, m: Column, d: Column) -> Column:
     """Day number of a Gregorian date."""
-    a = F.floor((14 - m) / 12)
-    yy, mm = y + 4800 - a, m + 12 * a - 3
-    return d + F.floor((153 * mm + 2) / 5) + 365 * yy + F.floor(yy / 4) - F.floor(yy / 100) + F.floor(yy / 400) - 32045
+    return _day_number(y, m, d, True)
 
 
 def julian_calendar_day(y: Column, m: Column, d: Column) -> Column:
     """Day number of a date in the Julian calendar."""
-    a = F.floor((14 - m) / 12)
-    yy, mm = y + 4800 - a, m + 12 * a - 3
-    return d + F.floor((153 * mm + 2) / 5) + 365 * yy + F.floor(yy / 4) - 32083
+    return _day_number(y, m, d, False)
 
 
 def gregorian(day: Column) -> Column:
     """y, m, d of a day number."""
-    a = day + 32044
-    b = F.floor((4 * a + 3) / 146097)
-    c = a - F.floor(146097 * b / 4)
-    e = F.floor((4 * c + 3) / 1461)
-    f = c - F.floor(1461 * e / 4)
-    g = F.floor((5 * f + 2) / 153)
-    return F.struct((100 * b + e - 4800 + F.floor(g / 10)).cast("int").alias("y"), (g + 3 - 12 * F.floor(g / 10)).cast("int").alias("m"), (f - F.floor((153 * g + 2) / 5) + 1).cast("int").alias("d"))
+    cycle = lambda a: let(F.floor((4 * a + 3) / 146097), lambda b: F.struct(b.alias("b"), (a - F.floor(146097 * b / 4)).alias("c")))
+
+    def in_cycle(t: Column) -> Column:
+        e = F.floor((4 * t["c"] + 3) / 1461)
+        return let(e, lambda e: let(t["c"] - F.floor(1461 * e / 4), lambda f: let(F.floor((5 * f + 2) / 153), lambda g: F.struct(
+            (100 * t["b"] + e - 4800 + F.floor(g / 10)).cast("int").alias("y"), (g + 3 - 12 * F.floor(g / 10)).cast("int").alias("m"), (f - F.floor((153 * g + 2) / 5) + 1).cast("int").alias("d")))))
+
+    return let(day + 32044, lambda a: let(cycle(a), in_cycle))
 
 
 def julian_to_gregorian(y: Column, m: Column, d: Column) -> Column:

@@ -14,16 +14,16 @@ from pagequarry.model import LANG_STRING, STATEMENT_COLUMNS, XSD
 LINE = r'^\s*<([^>]*)>\s+<([^>]*)>\s+(?:<([^>]*)>|"((?:[^"\\]|\\.)*)"(?:@([a-z][a-z0-9-]*)|\^\^<([^>]*)>)?)\s*(?:<([^>]*)>)?\s*\.\s*$'
 
 
-def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Statements of lines and ok: false for a line that is none. Comments and blank lines are skipped."""
+def parse_lines(lines: DataFrame, column: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Statements of lines, ok (false for a line that is none) and the columns to keep. Comments and blank lines are skipped."""
     x = F.col(column)
-    rows = lines.select(x.alias("line")).where(~F.col("line").rlike(r"^\s*(?:#.*)?$"))
+    rows = lines.select(x.alias("line"), *keep).where(~F.col("line").rlike(r"^\s*(?:#.*)?$"))
     g = lambda k: F.regexp_extract("line", LINE, k)
     ok = F.col("line").rlike(LINE)
     resource = F.col("line").rlike(r"^\s*<[^>]*>\s+<[^>]*>\s+<")
     blank = lambda c: F.nullif(c, F.lit(""))
     return rows.select(
-        "line", ok.alias("ok"), F.when(ok, g(1)).alias("subject"), F.when(ok, g(2)).alias("predicate"),
+        *keep, "line", ok.alias("ok"), F.when(ok, g(1)).alias("subject"), F.when(ok, g(2)).alias("predicate"),
         F.when(ok, F.when(resource, g(3)).otherwise(turtle_unescape(g(4)))).alias("value"), blank(g(5)).alias("language"),
         F.when(ok & ~resource, F.coalesce(blank(g(6)), F.when(g(5) != "", LANG_STRING).otherwise(XSD + "string"))).alias("datatype"), blank(g(7)).alias("context"),
     )

@@ -6,6 +6,7 @@ A page becomes an array of flat nodes in document order. Each node has an id, th
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass, field
 
@@ -211,8 +212,13 @@ def expand_spans(rows: list[list[dict]]) -> list[list[str]]:
 
 
 @F.pandas_udf(ArrayType(ArrayType(StringType())))
-def table_grid(rows: pd.Series) -> pd.Series:
-    return rows.map(lambda r: expand_spans([list(x) for x in r]) if r is not None else None)
+def _grid(rows: pd.Series) -> pd.Series:
+    return rows.map(lambda r: expand_spans(json.loads(r)) if isinstance(r, str) else None)
+
+
+def table_grid(rows: str | Column) -> Column:
+    """The expanded cells of a table node's rows, which cross into Python as JSON."""
+    return _grid(F.to_json(rows))
 
 
 def title_parts(title: Column, namespaces: dict[str, int] | None = None, languages: tuple[str, ...] = ("en", "de", "fr", "es", "it", "nl", "ru", "ja", "pl", "pt")) -> Column:
