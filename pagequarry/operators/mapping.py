@@ -14,6 +14,7 @@ from pagequarry.functions import values as V
 from pagequarry.functions.scalar import trim_split
 from pagequarry.model import LANG_STRING, RDF, XSD, statement, statements
 from pagequarry.operators.extractors import ONTOLOGY, exploded, in_namespaces, resource, source_iri, subject
+from pagequarry.operators.post import cut
 from pagequarry.operators.wikitext import table_grid
 
 RULE_SCHEMA = "template string, key string, kind string, predicate string, range string, language string, prefix string, suffix string, factor double, functional boolean, pick string, value string, key2 string, class string"
@@ -93,8 +94,10 @@ def typed(value: Column) -> Column:
 
 
 def _value(key: Column) -> Column:
-    hit = F.filter("node.props", lambda p: F.lower(p["key"]) == F.lower(key))
-    return F.nullif(F.trim(F.try_element_at(hit, F.lit(-1))["value"]), F.lit(""))
+    """The last value of the node's key; null if it has none."""
+    names = F.reverse(F.transform("node.props", lambda p: F.lower(p["key"])))
+    at = F.array_position(names, F.lower(key))
+    return F.when(at > 0, F.nullif(F.trim(F.get(F.reverse(F.transform("node.props", lambda p: p["value"])), (at - 1).cast("int"))), F.lit("")))
 
 
 def map_templates(pages: DataFrame, template_rules: DataFrame, property_rules: DataFrame, redirects: DataFrame | None = None) -> DataFrame:
@@ -104,7 +107,8 @@ def map_templates(pages: DataFrame, template_rules: DataFrame, property_rules: D
     date-interval, geo, condition (isSet, equals, contains, hasLink, otherwise in `pick`; the first that
     holds gives the class), node (an intermediate node of its own).
     """
-    top = mapped_templates(pages, template_rules, redirects)
+    # Every kind of rule reads the mapped templates, so they are computed once.
+    top = cut(mapped_templates(pages, template_rules, redirects).drop("nodes"), "templates")
     types = statements(
         top.withColumn("c__", F.col("class__")),
         statement("instance_types", F.col("s__"), RDF + "type", F.concat(F.lit(ONTOLOGY), F.col("c__"))),

@@ -60,7 +60,8 @@ def grouped(statements: DataFrame) -> DataFrame:
 def sql_dump_ids(spark: SparkSession, path: str, prop: str = "disambiguation") -> DataFrame:
     """page_id of the tuples of a property in an SQL dump of page properties."""
     raw = spark.read.text(path).where(F.col("value").contains("INSERT INTO"))
-    return raw.select(F.explode(F.regexp_extract_all("value", F.lit(rf"\((\d+),'{prop}',"), 1)).cast("long").alias("page_id")).distinct()
+    ids = F.regexp_extract_all("value", F.lit(rf"\((\d+),'{prop}',"), 1).cast("array<bigint>")
+    return raw.select(F.explode(ids).alias("page_id")).distinct()
 
 
 REDIRECT = r"(?is)^\s*#\s*(?:redirect|weiterleitung|redirection|redirecci[oó]n)\s*:?\s*\[\[([^\]|#]+)"
