@@ -119,7 +119,8 @@ def map_templates(pages: DataFrame, template_rules: DataFrame, property_rules: D
     simple = rows.where("kind in ('simple', 'node') and raw__ is not null")
     split = F.when(F.col("functional"), F.array("raw__")).otherwise(trim_split(F.col("raw__"), r"<br\s*/?>|\n\s*\*|;"))
     picked = F.when(F.col("pick") == "first", F.slice(split, 1, 1)).when(F.col("pick") == "last", F.slice(split, -1, 1)).otherwise(split)
-    simple = simple.select("*", F.posexplode(picked).alias("at__", "v__")).withColumn("t__", typed(F.col("v__"))).where("t__ is not null")
+    simple = simple.select("*", F.posexplode(picked).alias("at__", "v__")).withColumn("t__", typed(F.col("v__")))
+    simple = cut(simple, "typed").where("t__ is not null")
     node = F.concat("s__", F.lit("__"), F.col("predicate"), F.lit("__"), (F.col("at__") + 1).cast("string"))
     s = F.when(F.col("kind") == "node", node).otherwise(F.col("s__"))
     iri = F.concat(F.lit(ONTOLOGY), F.col("predicate"))

@@ -117,7 +117,8 @@ def apply_policies(statements: DataFrame, policies: list[tuple[str, Policy]]) ->
 
 def marked(lines: DataFrame) -> DataFrame:
     """Lines with a bad address commented out."""
-    bad = F.col("line").rlike(r'<[^>]*[\s"{}|\\^`][^>]*>')
+    outside = F.regexp_replace("line", r'"(?:[^"\\]|\\.)*"', '""')
+    bad = outside.rlike(r'<[^>]*(?:[\s"{}|^`]|\\(?![uU]))[^>]*>')
     return lines.withColumn("line", F.when(bad, F.concat(F.lit("# BAD: "), F.col("line"))).otherwise(F.col("line")))
 
 
