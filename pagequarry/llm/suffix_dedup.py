@@ -115,8 +115,7 @@ def suffix_array(b: np.ndarray) -> np.ndarray:
     key = head[sa]
     new = np.ones(n, dtype=bool)
     new[1:] = key[1:] != key[:-1]
-    rank = np.zeros(n + 1, dtype=np.int64)
-    rank[n] = -1
+    rank = np.zeros(n, dtype=np.int64)
     rank[sa] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
     at, h = np.arange(n), 8
     while True:
@@ -125,7 +124,9 @@ def suffix_array(b: np.ndarray) -> np.ndarray:
         if not len(at):
             return sa
         own = sa[at]
-        key = rank[own] * (n + 2) + rank[np.minimum(own + h, n)] + 1
+        # Of suffixes that end within the next h bytes the shorter comes first (bytes of 0 look like the padding).
+        ahead = own + h
+        key = rank[own] * (n + h + 1) + np.where(ahead < n, rank[np.minimum(ahead, n - 1)], n - 1 - ahead) + h
         order = np.argsort(key, kind="stable")
         sa[at], key = own[order], key[order]
         new = np.ones(len(at), dtype=bool)
