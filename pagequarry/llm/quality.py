@@ -29,7 +29,8 @@ from pagequarry.llm.labelled import training_rows
 #: Labelled rows that the regression is fitted on at most.
 FIT_ROWS = 10_000
 MIN_DOCS = 3
-REMEMBERED = 500_000
+#: Words and pairs of shapes that a worker, or the driver that fits, remembers.
+REMEMBERED = 100_000
 
 WORDLIKE, RUN = re.compile(r"\w+"), re.compile(r"(.)\1{3,}")
 
@@ -62,7 +63,7 @@ class OrdinalRegression:
     def vector(self, text: str, known: dict[str, tuple[str, int]], pairs: dict[tuple[str, str], int]) -> tuple[np.ndarray, np.ndarray]:
         tokens = text.split()
         if not tokens:
-            return np.empty(0, np.int64), np.empty(0)
+            return np.empty(0, np.int32), np.empty(0, np.float32)
         counts = Counter(tokens)
         for t in counts:
             if t not in known:
@@ -86,13 +87,13 @@ class OrdinalRegression:
         if len(pairs) > REMEMBERED:
             pairs.clear()
         at, inverse = np.unique(np.array(ids, dtype=np.int64), return_inverse=True)
-        return at, np.sqrt(np.bincount(inverse, weights=n) / len(tokens))
+        return at.astype(np.int32), np.sqrt(np.bincount(inverse, weights=n) / len(tokens)).astype(np.float32)
 
     def vectors(self, texts: list[str], known: dict, pairs: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         got = [self.vector(t, known, pairs) for t in texts]
         lengths = np.array([len(i) for i, _ in got], dtype=np.int64)
         if not got:
-            return np.empty(0, np.int64), np.empty(0), lengths
+            return np.empty(0, np.int32), np.empty(0, np.float32), lengths
         return np.concatenate([i for i, _ in got]), np.concatenate([x for _, x in got]), lengths
 
     def fit(self, rows: list[tuple[str, int]]) -> OrdinalRegression:
@@ -104,7 +105,7 @@ class OrdinalRegression:
         if not steps:
             return self
         ids, x, lengths = self.vectors([t for t, _ in rows], {}, {})
-        x = np.where((np.bincount(ids, minlength=1 << self.bits) >= MIN_DOCS)[ids], x, 0)
+        x[(np.bincount(ids, minlength=1 << self.bits) < MIN_DOCS)[ids]] = 0
         starts, _ = ragged(lengths)
         # Thresholds are a first one and positive gaps, so that they stay ordered.
         first = np.log(below / (1 - below))
