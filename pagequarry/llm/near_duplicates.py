@@ -11,11 +11,13 @@ a coordinate still empty run on for twice as long.
 Texts that agree on a whole band are candidates. Equal texts are one node. In a band's bucket every
 node is compared with two leaders of the bucket (the one that most texts agree with, and one drawn by
 a hash of bucket and node, so that bands differ) by the exact similarity of the shingles. Buckets
-that the verified links leave in several classes are looked at again: small ones by all pairs across
-their classes, large ones by leaders of those who agree on a second band too. Classes are the
-connected components of the verified links. Neither a bucket nor a class is ever collected, and no
-step makes all pairs of a large group; a link between two texts of a large mixed bucket is found
-through its leaders and bands, of which two texts of similarity 0.8 share eight on average.
+that the verified links leave in several classes are resolved exactly: small ones by their pairs
+across classes, larger ones (crowds) in groups of bounded size, where the common shingles of all
+members are counted by matrix products and only the links that join two classes leave the task. A
+crowd that exceeds a group is dealt into parts, and each two parts meet in a group of their own.
+Classes are the connected components of the verified links; they are those of all links between
+texts that agree on a band. Neither a bucket nor a class is ever collected, and no pairs of a crowd
+become rows.
 
 Defined results: a null text counts as empty; texts without words are near only to equal ones (null
 and '' are equal); texts of one to four words have one shingle, all of their words; a class is named
@@ -25,6 +27,7 @@ by its least doc_id (null if all are null); repeated rows are of one class.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
@@ -39,11 +42,12 @@ WIDTH = 5
 SIMILARITY = 0.8
 #: Bands and rows of a band: two texts of similarity 0.8 miss all bands with a probability of 3e-5.
 BANDS, ROWS = 20, 4
-#: Members of a bucket that falls into several classes up to which all its pairs across classes are
-#: compared; larger ones are split by agreement on a second band and compared with leaders again.
+#: Members of a bucket that falls into several classes up to which its pairs across classes are rows.
 SMALL = 8
-#: Second bands that each band is paired with.
-PAIRED = 3
+#: Members of a crowd, and their shingles, in a part; two parts meet in a task.
+PART_NODES, PART_REGIONS = 1024, 4_000_000
+#: Shingles whose columns are multiplied at a time.
+COLUMNS = 2048
 #: Rows of a leader's shingles that meet its pairs, so that a leader of many isn't one task's.
 PAIRS_PER_COPY = 256
 REMEMBERED = 500_000
@@ -172,15 +176,14 @@ def classes(docs: DataFrame, *, similarity: float = SIMILARITY, bands: int = BAN
     few = mixed.where(F.col("n") <= SMALL)
     minor = few.where("root <> largest").select("bucket", F.col("node").alias("b"), F.col("root").alias("own"))
     across = minor.join(few.select("bucket", F.col("node").alias("a"), "root"), "bucket").where("own <> root").select("a", "b")
-    own = mixed.where(F.col("n") > SMALL).groupBy("node", "central", "root").agg(F.array_sort(F.collect_set("bucket")).alias("own"))
-    both = F.transform(F.col("own"), lambda x, i: F.transform(F.slice("own", i + 2, PAIRED), lambda y: F.xxhash64(x, y)))
-    split = led(own.select(F.explode(F.flatten(both)).alias("bucket"), "node", "central", "root"))
     tested = pairs.union(pairs.select("b", "a"))
-    more = written(across.union(split).distinct().join(tested, ["a", "b"], "left_anti"), "more")
-    if not more.isEmpty():
-        found = written(similar(more, texts, similarity), "links")
-        if not found.isEmpty():
-            roots = components(links.union(found))
+    more = written(across.distinct().join(tested, ["a", "b"], "left_anti"), "more")
+    found = [] if more.isEmpty() else [written(similar(more, texts, similarity), "links")]
+    crowds = mixed.where(F.col("n") > SMALL).select("bucket", "node", "root")
+    if not crowds.isEmpty():
+        found.append(written(crowd_links(crowds, texts, similarity), "links"))
+    if found:
+        roots = components(reduce(DataFrame.union, found, links))
     named = texts.select("doc_id", "row_key", "text_key").join(roots.withColumnRenamed("node", "text_key"), "text_key", "left")
     named = named.select("row_key", "doc_id", F.coalesce("root", "text_key").alias("root"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("class_id"))
@@ -197,11 +200,10 @@ def led(members: DataFrame) -> DataFrame:
     return met.select("a", F.explode(other).alias("b")).select("a", F.col("b.node").alias("b")).distinct()
 
 
-def similar(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) of text keys, b the more shared, whose weighted Jaccard similarity of shingles is at least `least`."""
-    nodes = pairs.select(F.col("a").alias("text_key")).union(pairs.select(F.col("b").alias("text_key"))).distinct()
+def shingle_sets(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """node and regions of the texts whose keys are in nodes (node, distinct), written."""
     # One row of each text.
-    one = texts.select("text_key", "row_key").groupBy("text_key").agg(F.min("row_key").alias("row_key")).join(nodes, "text_key").select("row_key")
+    one = texts.select(F.col("text_key").alias("node"), "row_key").groupBy("node").agg(F.min("row_key").alias("row_key")).join(nodes, "node").select("row_key")
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles()
@@ -212,7 +214,88 @@ def similar(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), flat)], ["node", "regions"])
 
     read = texts.join(one, "row_key").select("text_key", "text").mapInArrow(shingled, "node binary, regions array<bigint>")
-    read = written(read.dropDuplicates(["node"]), "regions")
+    return written(read.dropDuplicates(["node"]), "regions")
+
+
+def common(regions: list[np.ndarray]) -> np.ndarray:
+    """Numbers of common regions of each two lists: columns of frequent regions by matrix products, the others pair by pair."""
+    n = len(regions)
+    _, row = ragged([len(r) for r in regions])
+    _, column, count = np.unique(np.concatenate(regions), return_inverse=True, return_counts=True)
+    order = np.argsort(-count, kind="stable")
+    place = np.empty(len(count), dtype=np.int64)
+    place[order] = np.arange(len(count))
+    column, count = place[column], count[order]
+    out = np.zeros((n, n), dtype=np.float32)
+    frequent = int(np.searchsorted(-count, -max(2, n // 16), side="right"))
+    for k in range(0, frequent, COLUMNS):
+        here = (column >= k) & (column < min(k + COLUMNS, frequent))
+        x = np.zeros((n, min(COLUMNS, frequent - k)), dtype=np.float32)
+        x[row[here], column[here] - k] = 1
+        out += x @ x.T
+    rare = column >= frequent
+    row, column = row[rare], column[rare]
+    row = row[np.argsort(column, kind="stable")]
+    count = count[frequent:]
+    starts = np.cumsum(count) - count
+    for p in np.unique(count[count > 1]):
+        at = starts[count == p]
+        for k in range(0, len(at), max(1, (1 << 20) // int(p * p))):
+            members = row[at[k : k + max(1, (1 << 20) // int(p * p))][:, None] + np.arange(p)]
+            pair = (members[:, :, None] * n + members[:, None, :]).ravel()
+            cell, times = np.unique(pair, return_counts=True)
+            out.ravel()[cell] += times
+    return out
+
+
+def joining_links(root: list[bytes], regions: list[np.ndarray], least: float) -> tuple[list[int], list[int]]:
+    """Pairs of similar lists of different classes, as few as join the classes that they join."""
+    number = {r: k for k, r in enumerate(dict.fromkeys(root))}
+    own = np.array([number[r] for r in root])
+    both = common(regions)
+    size = np.array([len(r) for r in regions], dtype=np.float64)
+    a, b = np.nonzero((both >= least * (size[:, None] + size[None, :] - both)) & (own[:, None] < own[None, :]))
+    parent = list(range(len(number)))
+
+    def top(k: int) -> int:
+        while parent[k] != k:
+            parent[k] = parent[parent[k]]
+            k = parent[k]
+        return k
+
+    out: tuple[list[int], list[int]] = ([], [])
+    _, first = np.unique(own[a] * len(number) + own[b], return_index=True)
+    for i, j in zip(a[first].tolist(), b[first].tolist(), strict=True):
+        x, y = top(own[i]), top(own[j])
+        if x != y:
+            parent[x] = y
+            out[0].append(i)
+            out[1].append(j)
+    return out
+
+
+def crowd_links(crowds: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) between the classes of each bucket's members (bucket, node, root)."""
+    sets = shingle_sets(crowds.select("node").distinct(), texts)
+    sizes = crowds.join(sets.select("node", F.size("regions").alias("size")), "node").groupBy("bucket").agg(F.count(F.lit(1)).alias("nodes"), F.sum("size").alias("size"))
+    parts = sizes.select("bucket", F.ceil(F.greatest(F.col("nodes") / PART_NODES, F.col("size") / PART_REGIONS)).cast("int").alias("parts"))
+    dealt = crowds.join(parts, "bucket").withColumn("part", F.pmod(F.xxhash64("node", "bucket"), F.col("parts")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    met = dealt.select("bucket", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "node", "root").join(sets, "node")
+
+    def resolved(group: pa.Table) -> pa.Table:
+        nodes, flat = group["node"].combine_chunks(), group["regions"].combine_chunks()
+        starts = flat.offsets.to_numpy()
+        values = flat.values.to_numpy()
+        i, j = joining_links(group["root"].to_pylist(), [values[s:e] for s, e in zip(starts[:-1], starts[1:], strict=True)], least)
+        return pa.table({"a": nodes.take(pa.array(i, pa.int64())), "b": nodes.take(pa.array(j, pa.int64()))})
+
+    return met.groupBy("bucket", "low", "high").applyInArrow(resolved, "a binary, b binary")
+
+
+def similar(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) of text keys, b the more shared, whose weighted Jaccard similarity of shingles is at least `least`."""
+    read = shingle_sets(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), texts)
     # The side that many pairs share is copied, so that its pairs are spread.
     shared = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / PAIRS_PER_COPY).cast("int").alias("copies"))
     spread = pairs.join(shared, "b").withColumn("copy", F.pmod(F.xxhash64("a"), F.col("copies")).cast("int")).drop("copies")

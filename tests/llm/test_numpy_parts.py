@@ -223,3 +223,37 @@ def test_ordinal_regression_learns_three_grades():
 
 def test_shapes():
     assert quality.shape("HELLO!!!!!!") == "A!!!" and quality.shape("Abc,") == "Aa," and quality.shape("|") == "|"
+
+
+# --- crowds -------------------------------------------------
+
+
+@pytest.mark.parametrize("n, span", [(1, 5), (5, 9), (60, 40), (90, 3000)])
+def test_common_regions(n, span):
+    rng = random.Random(n)
+    lists = [np.array(sorted(rng.sample(range(span), rng.randint(0, min(span, 80)))), dtype=np.int64) for _ in range(n)]
+    expected = [[len(set(a.tolist()) & set(b.tolist())) for b in lists] for a in lists]
+    got = near_duplicates.common(lists)
+    off = ~np.eye(n, dtype=bool)
+    assert (got[off] == np.array(expected)[off]).all()
+
+
+def test_joining_links_join_what_all_links_join():
+    rng = random.Random(4)
+    lists = [np.array(sorted(rng.sample(range(30), rng.randint(20, 29))), dtype=np.int64) for _ in range(50)]
+    root = [bytes([k % 20]) for k in range(50)]
+
+    def classes(pairs):
+        of = {r: r for r in root}
+        for i, j in pairs:
+            x, y = of[root[i]], of[root[j]]
+            of = {r: x if c == y else c for r, c in of.items()}
+        return {frozenset(r for r in of if of[r] == c) for c in of.values()}
+
+    def near(i, j):
+        a, b = set(lists[i].tolist()), set(lists[j].tolist())
+        return len(a & b) >= 0.8 * len(a | b)
+
+    found = list(zip(*near_duplicates.joining_links(root, lists, 0.8), strict=True))
+    assert all(near(i, j) and root[i] != root[j] for i, j in found) and len(found) < 20
+    assert classes(found) == classes((i, j) for i in range(50) for j in range(i) if near(i, j))

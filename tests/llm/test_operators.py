@@ -315,9 +315,11 @@ def test_near_duplicates(spark, empty):
     assert classes(empty).count() == 0 and deduplicated(empty).count() == 0
 
 
-def test_near_duplicates_in_large_mixed_buckets(spark, monkeypatch):
-    """Pairs inside a crowd that shares most of its text are found by second bands."""
+@pytest.mark.parametrize("part", [1024, 16])
+def test_near_duplicates_in_crowds(spark, monkeypatch, part):
+    """Pairs inside a crowd that shares most of its text are found, also where it is dealt into parts."""
     monkeypatch.setattr(near_duplicates, "SMALL", 2)
+    monkeypatch.setattr(near_duplicates, "PART_NODES", part)
     rng = random.Random(8)
     shared = prose(rng, 70).split()
     rows = []
