@@ -1,19 +1,24 @@
 """Benchmark decontamination by template windows, in DataFrame functions only.
 
-Texts become sequences of words in which numbers, units that follow a number and names (capitalised
-words inside a sentence) are typed placeholders. Windows of five template words are hash-joined with
-those of the benchmark items. Matches of a document with an item are gathered on diagonals (position
-in the document less position in the item); on each diagonal the values under the placeholders must
-map one to one (item value to document value), so that a question with other numbers or names is
-caught, while texts that merely share a pattern are not.
-
-An item leaks into a document if consistent diagonals cover at least CONTAINMENT of its windows, or
-one of them has RUN windows in a row (13 words).
+Texts become sequences of words in which numbers (in digits or words), units that follow a number and
+names (capitalised words that aren't function words, wherever they stand) are typed placeholders. Windows
+of five words are hash-joined with those of the benchmark items, as templates and as plain words in lower
+case, so an exact copy is found whatever stands around it. Items also offer windows in which only names
+inside a sentence are placeholders, for first words that a document has in lower case. Matches of a
+document with an item are gathered on diagonals (position in the document less position in the item).
+Windows of equal words always count; of the others those don't count that hold an item value which has
+several document values on the diagonal. So a question with other numbers or names is caught, while texts
+that merely share a pattern are not.
+
+An item leaks into a document if the windows that count cover at least CONTAINMENT of its windows, or
+RUN of them stand in a row on a diagonal (13 words). Windows with fewer than MIN_LITERALS words that
+aren't placeholders prove nothing as templates and match by equal words only; containment is the greater
+of the share of all windows and the share of the others.
 
 Defined results: a null text counts as empty and leaks nothing; a text of fewer than five words is one
-window, the whole of it; windows with fewer than MIN_LITERALS words that aren't placeholders prove
-nothing and are left out of the item's windows, and an item without windows leaks nowhere; repeated
-rows get a result each time if they differ in id, and one if they don't; null item ids are an id.
+window, the whole of it, and an item that short is also found word for word anywhere in a longer text; an
+item without words leaks nowhere; repeated rows get a result each time if they differ in id, and one if
+they don't; null item ids are an id.
 """
 
 from __future__ import annotations
@@ -35,35 +40,87 @@ UNITS = (
     "km|m|cm|mm|miles?|feet|ft|inch(?:es)?|kg|g|mg|lbs?|pounds?|ounces?|tons?|l|ml|lit(?:er|re)s?|s|ms|sec(?:onds?)?|min(?:utes?)?|h|hrs?|hours?|days?|weeks?|months?|years?"
     "|mph|kmh|percent|dollars?|euros?|cents?|usd|eur|gb|mb|kb|tb|hz|khz|mhz|ghz|w|kw|mw|v|degrees?"
 )
+NUMBER_WORDS = (
+    "zero|one|two|three|four|five|six|seven|eight|nine|ten|eleven|twelve|thirteen|fourteen|fifteen|sixteen|seventeen|eighteen|nineteen|twenty|thirty|forty|fifty|sixty|seventy"
+    "|eighty|ninety|hundred|thousand|million|billion|dozen|zwei|drei|vier|fünf|sechs|sieben|acht|neun|zehn|elf|zwölf|dos|tres|cuatro|cinco|seis|siete|ocho|nueve|diez|doce"
+    "|deux|trois|quatre|cinq|sept|huit|neuf|dix|douze"
+)
+#: Words that are no names when capitalised.
+FUNCTION_WORDS = (
+    "The|An|And|Or|But|If|In|On|At|Of|To|For|From|With|By|As|Is|Are|Was|Were|Be|Do|Does|Did|Has|Have|Had|Can|Could|Will|Would|Should|May|Must|How|What|Which|Who|Whose|Whom|When|Where|Why"
+    "|This|That|These|Those|There|Then|It|Its|He|She|They|We|You|His|Her|Their|Our|Your|My|Each|Every|All|Some|Any|No|Not|So|After|Before|While|Since|Let|Find|Given"
+    "|Der|Die|Das|Den|Dem|Ein|Eine|Und|Oder|Aber|Wenn|Im|Am|Zu|Mit|Von|Auf|Für|Ist|Sind|Wie|Was|Wer|Wann|Wo|Warum|Es|Er|Sie|Wir|Ihr|Nach"
+    "|El|La|Los|Las|Un|Una|Si|En|De|Del|Con|Por|Para|Es|Se|Que|Qué|Cuánto|Cuántos|Cuántas|Cuál|Cómo|Le|Les|Des|Une|Et|Ou|Mais|Dans|Sur|Avec|Pour|Est|Quel|Quelle|Combien|Il|Elle"
+)
 LETTER = r"\p{L}\p{M}\p{N}"
 EDGE = f"(?![{LETTER}])"
+#: Names wherever they stand, and names inside a sentence.
+ANYWHERE = rf"(?<![{LETTER}])(?!(?:{FUNCTION_WORDS}){EDGE})\p{{Lu}}[\p{{Ll}}\p{{M}}]+{EDGE}"
+INSIDE = rf"(?<=[\p{{Ll}}{NUMBER}{UNIT},;] )(?!(?:{FUNCTION_WORDS}){EDGE})\p{{Lu}}[\p{{Ll}}\p{{M}}]+{EDGE}"
 
 
-def template_text(text: Column) -> Column:
+def template_text(text: Column, name: str = ANYWHERE) -> Column:
     """The text with placeholders, word for word."""
-    units = F.regexp_replace(text, rf"(?<=\p{{N}} )(?i:{UNITS}){EDGE}", UNIT)
-    numbers = F.regexp_replace(units, rf"(?<![{LETTER}])\p{{N}}+{EDGE}", NUMBER)
-    counted = F.when(text.rlike(r"\p{N}"), numbers).otherwise(text)
-    return F.regexp_replace(counted, rf"(?<=[\p{{Ll}}{NUMBER}{UNIT},;] )\p{{Lu}}[\p{{Ll}}\p{{M}}]+{EDGE}", NAME)
+    numbers = F.regexp_replace(text, rf"(?<![{LETTER}])(?:\p{{N}}+|(?i:{NUMBER_WORDS})){EDGE}", NUMBER)
+    units = F.regexp_replace(numbers, rf"(?<=[\p{{N}}{NUMBER}] )(?i:{UNITS}){EDGE}", UNIT)
+    return F.regexp_replace(units, name, NAME)
 
 
 def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), f"[^{LETTER}{NUMBER}{NAME}{UNIT}]+"), "")
 
 
+def has_slots(text: Column) -> Column:
+    return text.rlike(f"[{NUMBER}{NAME}{UNIT}]")
+
+
+def is_slot(word: Column) -> Column:
+    return word.isin(NUMBER, NAME, UNIT)
+
+
+def spaced(text: Column) -> Column:
+    """The text with a space between a number and its unit."""
+    return F.when(text.rlike(r"\p{N}"), F.regexp_replace(text, rf"(?<=\p{{N}})(?=(?i:{UNITS}){EDGE})", " ")).otherwise(text)
+
+
+def window_count(of: Column, width: int = WIDTH) -> Column:
+    return F.when(F.size(of) >= width, F.size(of) - width + 1).otherwise((F.size(of) > 0).cast("int"))
+
+
+def hashes(of: str, n: Column, width: int = WIDTH) -> Column:
+    return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.slice(of, i, width)))).otherwise(F.array().cast("array<bigint>"))
+
+
 def windowed(rows: DataFrame, keep: list[str]) -> DataFrame:
-    """keep, n (windows), template and raw words (null if there are no placeholders) and windows (hashes)."""
-    spaced = F.when(F.col("text").rlike(r"\p{N}"), F.regexp_replace("text", rf"(?<=\p{{N}})(?=(?i:{UNITS}){EDGE})", " ")).otherwise(F.col("text"))
-    slotted = rows.select(*keep, spaced.alias("text")).select(*keep, "text", template_text(F.col("text")).alias("shape"))
-    split = slotted.select(*keep, words(F.col("shape")).alias("template"), F.when(F.col("shape").rlike(f"[{NUMBER}{NAME}{UNIT}]"), words(F.col("text"))).alias("raw"))
-    counted = split.withColumn("n", F.when(F.size("template") >= WIDTH, F.size("template") - WIDTH + 1).otherwise((F.size("template") > 0).cast("int")))
-    hashes = F.when(F.col("n") > 0, F.transform(F.sequence(F.lit(1), F.col("n")), lambda i: F.xxhash64(F.slice("template", i, WIDTH)))).otherwise(F.array().cast("array<bigint>"))
-    return counted.select(*keep, "n", "template", "raw", hashes.alias("windows"))
+    """keep, n (windows), raw words and hashes of windows: those of the n templates, then those of the n
+    windows of raw words if there are placeholders (null where the template is the same)."""
+    slotted = rows.select(*keep, spaced(F.col("text")).alias("text")).select(*keep, "text", template_text(F.col("text")).alias("shape"))
+    split = slotted.select(*keep, words(F.col("shape")).alias("template"), F.when(has_slots(F.col("shape")), words(F.col("text"))).alias("raw"))
+    counted = split.withColumn("n", window_count(F.col("template")))
+    hashed = counted.select(*keep, "n", F.coalesce("raw", "template").alias("raw"), hashes("template", F.col("n")).alias("shapes"), F.when(F.col("raw").isNotNull(), hashes("raw", F.col("n"))).alias("plain"))
+    both = F.concat("shapes", F.zip_with("shapes", "plain", lambda a, b: F.when(a != b, b)))
+    return hashed.select(*keep, "n", "raw", F.when(F.col("plain").isNull(), F.col("shapes")).otherwise(both).alias("windows"))
+
+
+def item_windows(items: DataFrame) -> DataFrame:
+    """item_id, of, size (words of the item), item_at, window (hash), slots (template), item_words and rich (a template that proves something)."""
+    text = items.select("item_id", "of", spaced(F.col("text")).alias("text"))
+    split = text.select("item_id", "of", words(template_text(F.col("text"))).alias("template"), words(template_text(F.col("text"), INSIDE)).alias("inside"), words(F.col("text")).alias("raw"))
+    n = window_count(F.col("raw"))
+    at = split.withColumn("item_at", F.explode(F.when(n > 0, F.sequence(F.lit(0), n - 1))))
+    part = lambda c: F.slice(c, F.col("item_at") + 1, WIDTH)
+    parts = at.select("item_id", "of", F.size("raw").alias("size"), "item_at", part("template").alias("template"), part("inside").alias("inside"), part("raw").alias("item_words"))
+    proves = lambda form: F.size(F.filter(form, lambda x: ~is_slot(x))) >= F.least(F.lit(MIN_LITERALS), F.size(form))
+    each = parts.withColumn("rich", proves(F.col("template"))).withColumn("form", F.explode(F.array_distinct(F.array("template", "inside", "item_words"))))
+    plain = F.col("form") == F.col("item_words")
+    return each.where(plain | proves(F.col("form"))).select(
+        "item_id", "of", "size", "item_at", F.xxhash64("form").alias("window"), F.when(plain, F.col("template")).otherwise(F.col("form")).alias("slots"), "item_words", "rich"
+    )
 
 
 def slot_pairs(template: Column, item_words: Column, doc_words: Column) -> Column:
     """(item value, document value) under each placeholder."""
-    kind = lambda x: F.element_at(template, x).isin(NUMBER, NAME, UNIT)
+    kind = lambda x: is_slot(F.element_at(template, x))
     at = F.filter(F.sequence(F.lit(1), F.size(template)), kind)
     pair = lambda i: F.struct(F.concat(F.element_at(template, i), F.element_at(item_words, i)).alias("item"), F.element_at(doc_words, i).alias("doc"))
     return F.transform(at, pair)
@@ -83,38 +140,41 @@ def longest_run(positions: Column) -> Column:
 def leaks(docs: DataFrame, benchmark: DataFrame, *, containment: float = CONTAINMENT, run: int = RUN) -> DataFrame:
     """A row for each document and item that leaks into it: row_key, doc_id, item_id, and the evidence."""
     items = benchmark.select("item_id", F.xxhash64("text").alias("of"), text_col().alias("text")).dropDuplicates()
-    split = windowed(items, ["item_id", "of"])
-    each = split.select("item_id", "of", "template", "raw", F.posexplode_outer("windows").alias("item_at", "window")).where("window is not null")
-    part = lambda c: F.slice(c, F.col("item_at") + 1, WIDTH)
-    each = each.select("item_id", "of", "item_at", "window", part("template").alias("template"), part("raw").alias("item_words"))
-    literals = F.size(F.filter("template", lambda x: ~x.isin(NUMBER, NAME, UNIT)))
-    each = each.where(literals >= F.least(F.lit(MIN_LITERALS), F.size("template")))
-    totals = each.groupBy("item_id", "of").agg(F.count(F.lit(1)).cast("int").alias("item_windows"))
+    each = item_windows(items)
+    totals = each.groupBy("item_id", "of").agg(F.count_distinct("item_at").cast("int").alias("item_windows"), F.count_distinct(F.when(F.col("rich"), F.col("item_at"))).alias("rich_windows"))
     side = F.broadcast(each) if each.count() <= BROADCAST_WINDOWS else each
 
     texts = docs.select("doc_id", row_key().alias("row_key"), text_col().alias("text"))
     # The outer form keeps Catalyst from deriving a filter on the windows' size, which it would push
     # below the projections and so evaluate every expression in them again.
-    own = windowed(texts, ["doc_id", "row_key"]).select("doc_id", "row_key", "raw", F.posexplode_outer("windows").alias("doc_at", "window"))
+    own = windowed(texts, ["doc_id", "row_key"]).select("doc_id", "row_key", "n", "raw", F.posexplode_outer("windows").alias("pos", "window")).withColumn("doc_at", F.col("pos") % F.col("n"))
+    own = own.select("doc_id", "row_key", "raw", "doc_at", "window")
+    for (width,) in each.where(F.col("size") < WIDTH).select("size").distinct().collect():
+        plain = texts.select("doc_id", "row_key", words(spaced(F.col("text"))).alias("raw"))
+        of = hashes("raw", window_count(F.col("raw"), width), width)
+        own = own.unionByName(plain.select("doc_id", "row_key", "raw", F.posexplode_outer(of).alias("doc_at", "window")))
+    there = F.slice("raw", F.col("doc_at") + 1, F.size("item_words"))
     met = own.join(side, "window").select(
-        "doc_id", "row_key", "item_id", "of", "item_at", (F.col("doc_at") - F.col("item_at")).alias("diagonal"),
-        F.when(F.col("item_words").isNull() | F.col("raw").isNull(), F.array().cast("array<struct<item:string,doc:string>>"))
-        .otherwise(slot_pairs(F.col("template"), F.col("item_words"), F.slice("raw", F.col("doc_at") + 1, WIDTH))).alias("pairs"),
+        "doc_id", "row_key", "item_id", "of", (F.col("doc_at") - F.col("item_at")).alias("diagonal"),
+        F.struct("item_at", "rich", (F.col("item_words") == there).alias("exact"), slot_pairs(F.col("slots"), F.col("item_words"), there).alias("pairs")).alias("match"),
     )
-    diagonals = met.groupBy("row_key", "doc_id", "item_id", "of", "diagonal").agg(
-        F.collect_set("item_at").alias("at"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs")
+    diagonals = met.groupBy("row_key", "doc_id", "item_id", "of", "diagonal").agg(F.collect_list("match").alias("matches"))
+    paired = diagonals.withColumn("pairs", F.array_sort(F.array_distinct(F.flatten(F.col("matches.pairs")))))
+    # Sorted, so the values of an item value stand next to each other.
+    item_value = lambda i: F.element_at("pairs", i)["item"]
+    torn = F.when(F.size("pairs") > 1, F.transform(F.filter(F.sequence(F.lit(2), F.size("pairs")), lambda i: item_value(i) == item_value(i - 1)), item_value)).otherwise(F.array().cast("array<string>"))
+    judged = paired.withColumn("torn", torn)
+    counts = judged.withColumn("matches", F.filter("matches", lambda m: m["exact"] | ~F.arrays_overlap(m["pairs"]["item"], F.col("torn")))).where(F.size("matches") > 0)
+    changed = F.exists("matches", lambda m: F.exists(m["pairs"], lambda p: F.substring(p["item"], 2, 1000) != p["doc"]))
+    at = counts.select("row_key", "doc_id", "item_id", "of", F.array_distinct("matches.item_at").alias("at"), F.filter("matches", lambda m: m["rich"])["item_at"].alias("rich"), changed.alias("changed"))
+    met_in_all = lambda c: F.size(F.array_distinct(F.flatten(F.collect_list(c))))
+    found = at.groupBy("row_key", "doc_id", "item_id", "of").agg(
+        met_in_all("at").alias("matched"), met_in_all("rich").alias("rich"), F.max(longest_run(F.col("at"))).alias("longest_run"), F.max("changed").alias("reparameterised")
     )
-    distinct = lambda field: F.size(F.array_distinct(F.transform("pairs", lambda p: p[field])))
-    consistent = (distinct("item") == F.size("pairs")) & (distinct("doc") == F.size("pairs"))
-    changed = F.exists("pairs", lambda p: F.substring(p["item"], 2, 1000) != p["doc"])
-    found = diagonals.where(consistent).groupBy("row_key", "doc_id", "item_id", "of").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("matched"),
-        F.max(longest_run(F.col("at"))).alias("longest_run"),
-        F.max(changed).alias("reparameterised"),
-    )
-    judged = found.join(F.broadcast(totals) if side is not each else totals, [found.item_id.eqNullSafe(totals.item_id), found.of == totals.of])
-    share = F.col("matched") / F.col("item_windows")
-    return judged.where((share >= containment) | (F.col("longest_run") >= run)).select(
+    both = found.join(F.broadcast(totals) if side is not each else totals, [found.item_id.eqNullSafe(totals.item_id), found.of == totals.of])
+    of_rich = F.when(F.col("rich_windows") > 0, F.col("rich") / F.col("rich_windows"))
+    share = F.greatest(F.col("matched") / F.col("item_windows"), of_rich)
+    return both.where((share >= containment) | (F.col("longest_run") >= run)).select(
         "row_key", "doc_id", found.item_id, "item_windows", "matched", F.round(share, 6).alias("containment"), "longest_run", "reparameterised"
     )
 

@@ -130,6 +130,37 @@ def test_leaks_of_plain_passages(spark):
     assert {(r.doc_id, r.item_id) for r in got.collect()} == expected
 
 
+def leaking(spark, item, text):
+    got = leaks(spark.createDataFrame([(1, text)], "doc_id long, text string"), spark.createDataFrame([(2, item)], "item_id long, text string"))
+    return got.count() == 1
+
+
+def test_leaks_with_torn_slots(spark):
+    """Equal words count whatever the slots say; two item values may get one document value."""
+    rng = random.Random(3)
+    tail = prose(rng, 50)
+    assert leaking(spark, f"we saw 12 boats and then 12 more {tail}", f"we saw 12 boats and then 8 more {tail}")
+    assert leaking(spark, "she has 3 red apples and then buys 4 green pears at the market", "she has 5 red apples and then buys 5 green pears at the market")
+
+
+def test_leaks_of_names_and_numbers_anywhere(spark):
+    item = "Anna has 12 apples. Anna buys 30 more. How many apples does Anna have?"
+    other = item.replace("Anna", "Marta").replace("12", "7").replace("30", "45")
+    for before in ("", "some text\n", 'he said "', "so then "):
+        assert leaking(spark, item, before + other)
+    assert leaking(spark, "How many legs has a spider", "so tell me How many legs has a spider and why")
+    assert leaking(spark, "Suppose Anna walks to the old mill", "so suppose Marta walks to the old mill")
+    assert leaking(spark, "a farmer keeps three goats on the hill", "a farmer keeps five goats on the hill")
+    assert not leaking(spark, item, "Marta has 7 dogs. Marta sold 45 of them. Where are the dogs of Marta now?")
+
+
+def test_leaks_of_short_and_literal_poor_items(spark):
+    assert leaking(spark, "3 14 15 92 65 35", "the digits are 3 14 15 92 65 35 and so on")
+    assert leaking(spark, "What is 7 + 8?", "the teacher asked them what is 7 + 8 and left")
+    assert not leaking(spark, "3 14 15 92 65 35", "the digits are 2 71 82 81 82 84 and so on")
+    assert not leaking(spark, "What is 7 + 8?", "the teacher asked them what is 7 + 9 and left")
+
+
 def test_toxicity(docs, empty, labels):
     got = toxicity(docs, labels).collect()
     assert len(got) == len(ROWS) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
