@@ -299,6 +299,17 @@ def overlap_links(t: Tables) -> DataFrame:
     return post.overlapping(s, s, "g", width=64).where("a_id < b_id").select("g", "a_id", "b_id")
 
 
+WHOLE_SPANS = "SELECT l_suppkey AS g, l_orderkey * 10 + l_linenumber AS id, (l_partkey * 37) % 20000 AS b, (l_partkey * 37) % 20000 + l_linenumber * 9 AS e FROM lineitem"
+
+
+@query(f"""SELECT DISTINCT x.g AS g, x.id AS a_id, y.id AS b_id FROM ({WHOLE_SPANS}) x JOIN ({WHOLE_SPANS}) y ON x.g = y.g AND x.b < y.e AND y.b < x.e WHERE x.id < y.id""")
+def overlap_links_whole(t: Tables) -> DataFrame:
+    """The spans of all rows, by supplier: the groups keep their size as the table grows."""
+    begin = (F.col("l_partkey") * 37) % 20000
+    s = t.lineitem.select(F.col("l_suppkey").alias("g"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), begin.alias("begin"), (begin + F.col("l_linenumber") * 9).alias("end"))
+    return post.overlapping(s, s, "g", width=64).where("a_id < b_id").select("g", "a_id", "b_id").distinct()
+
+
 # --- events -------------------------------------------------------------------------------------------
 
 

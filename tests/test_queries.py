@@ -2,6 +2,7 @@
 
 import datetime
 import os
+import random
 
 import pytest
 
@@ -46,6 +47,21 @@ def test_query(spark, duck, name):
     assert got == sorted(tuple(plain(r[i]) for i in order) for r in rows)
 
 
+def written(spark, folder, name, rows, schema):
+    spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_overlap_links_whole(spark, tmp_path):
+    """Rows of any order and line number, by brute force."""
+    rng = random.Random(2)
+    rows = [(9000 + k // 7, k % 7 + 1, rng.randint(1, 30), rng.randint(1, 3)) for k in range(200)]
+    folder = written(spark, tmp_path, "lineitem", rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long")
+    spans = [(g, o * 10 + n, p * 37 % 20000, p * 37 % 20000 + n * 9) for o, n, p, g in rows]
+    expected = {(x[0], x[1], y[1]) for x in spans for y in spans if x[0] == y[0] and x[1] < y[1] and x[2] < y[3] and y[2] < x[3]}
+    assert expected and {tuple(r) for r in QUERIES["overlap_links_whole"](spark, folder).collect()} == expected
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
