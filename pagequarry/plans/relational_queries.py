@@ -347,6 +347,14 @@ def live_diff(t: Tables) -> DataFrame:
     return post.set_difference(t.events.where("event_id % 40 = 0"), t.events.where("event_id % 40 = 1"), key)
 
 
+@query("""WITH a AS (SELECT DISTINCT user_id, event_type FROM events WHERE event_id % 2 = 0), b AS (SELECT DISTINCT user_id, event_type FROM events WHERE event_id % 2 <> 0)
+SELECT coalesce(a.user_id, b.user_id) AS user_id, coalesce(a.event_type, b.event_type) AS event_type, CASE WHEN a.user_id IS NULL THEN 'added' WHEN b.user_id IS NULL THEN 'deleted' ELSE 'unmodified' END AS op
+FROM a FULL JOIN b ON a.user_id = b.user_id AND a.event_type = b.event_type""")
+def live_diff_whole(t: Tables) -> DataFrame:
+    """Even against odd events, which together are all of them."""
+    return post.set_difference(t.events.where("event_id % 2 = 0"), t.events.where("event_id % 2 <> 0"), ["user_id", "event_type"])
+
+
 @query("""SELECT user_id, max(ts) AS last_seen FROM events GROUP BY user_id HAVING max(ts) < TIMESTAMP '2024-01-30 12:00:00' ORDER BY last_seen, user_id LIMIT 25""")
 def unmodified_refresh(t: Tables) -> DataFrame:
     return live.oldest(t.events, "user_id", "ts", "2024-01-30 12:00:00", 25)
@@ -371,6 +379,14 @@ def release_drift(t: Tables) -> DataFrame:
     return post.drift(n(3), n(2), "k", "n", 0.1)
 
 
+@query("""WITH a AS (SELECT l_returnflag AS k, count(*) AS n FROM lineitem GROUP BY 1), b AS (SELECT l_returnflag AS k, count(*) AS n FROM lineitem WHERE l_linenumber <= 3 GROUP BY 1)
+SELECT k, a.n AS now, coalesce(b.n, 0) AS before, CASE WHEN b.n IS NULL THEN 1.0 ELSE round((a.n - b.n) / b.n, 6) END AS change FROM a LEFT JOIN b USING (k) WHERE b.n IS NULL OR abs((a.n - b.n) / b.n) >= 0.1""")
+def release_drift_whole(t: Tables) -> DataFrame:
+    """All rows against those of the first three lines of an order."""
+    n = lambda df: df.groupBy(F.col("l_returnflag").alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    return post.drift(n(t.lineitem), n(t.lineitem.where("l_linenumber <= 3")), "k", "n", 0.1)
+
+
 @query("""SELECT n_regionkey, string_agg(n_name, ', ' ORDER BY n_name) AS names FROM nation GROUP BY n_regionkey""")
 def concat_names(t: Tables) -> DataFrame:
     return t.nation.groupBy("n_regionkey").agg(F.array_join(F.array_sort(F.collect_set("n_name")), ", ").alias("names"))

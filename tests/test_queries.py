@@ -62,6 +62,20 @@ def test_overlap_links_whole(spark, tmp_path):
     assert expected and {tuple(r) for r in QUERIES["overlap_links_whole"](spark, folder).collect()} == expected
 
 
+def test_live_diff_whole(spark, tmp_path):
+    rows = [(k, k % 7, ("a", "b", "c")[k % 3]) for k in range(30)] + [(36, 90, "a"), (37, 91, "a"), (90, 92, "b"), (91, 92, "b")]
+    folder = written(spark, tmp_path, "events", rows, "event_id long, user_id long, event_type string")
+    sides = [{(u, e) for k, u, e in rows if k % 2 == odd} for odd in (0, 1)]
+    expected = {(*x, "unmodified" if x in sides[0] & sides[1] else "deleted" if x in sides[0] else "added") for x in sides[0] | sides[1]}
+    assert {tuple(r) for r in QUERIES["live_diff_whole"](spark, folder).collect()} == expected
+
+
+def test_release_drift_whole(spark, tmp_path):
+    rows = [(1, "A"), (2, "A"), (7, "A"), (1, "N"), (5, "R")]
+    folder = written(spark, tmp_path, "lineitem", rows, "l_linenumber int, l_returnflag string")
+    assert {tuple(r) for r in QUERIES["release_drift_whole"](spark, folder).collect()} == {("A", 3, 2, 0.5), ("R", 1, 0, 1.0)}
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
