@@ -299,6 +299,40 @@ def levenshtein_ratio(t: Tables) -> DataFrame:
     return name_pairs(t).select("a", "b", F.round(M.levenshtein_ratio(F.col("a"), F.col("b")), 6).alias("score"))
 
 
+SHARING = f"""WITH p AS (SELECT DISTINCT p_name AS a FROM part), q AS (SELECT a, {NGRAMS.format("a")} AS g FROM p),
+m AS (SELECT x.a AS a, y.a AS b, x.g AS g, y.g AS h, len(list_intersect(x.g, y.g)) AS i FROM q x JOIN q y ON x.a < y.a WHERE len(list_intersect(x.g, y.g)) > 0)"""
+
+
+def sharing_pairs(t: Tables) -> DataFrame:
+    """a, b, their numbers of n-grams and the number they share, of all pairs of names that share any; the other pairs score 0."""
+    grams = t.part.select(F.col("p_name").alias("a")).distinct().withColumn("g", M.ngrams(F.col("a"))).select("a", F.size("g").alias("na"), F.explode("g").alias("gram"))
+    other = grams.select(F.col("a").alias("b"), F.col("na").alias("nb"), "gram")
+    return grams.join(other, "gram").where("a < b").groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("shared"))
+
+
+@query(f"{SHARING} SELECT a, b, round(i / (len(g) + len(h) - i), 6) AS score FROM m")
+def ngram_jaccard_whole(t: Tables) -> DataFrame:
+    return sharing_pairs(t).select("a", "b", F.round(F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared")), 6).alias("score"))
+
+
+@query(f"{SHARING} SELECT a, b, round(2 * i / (len(g) + len(h)), 6) AS score FROM m")
+def ngram_dice_whole(t: Tables) -> DataFrame:
+    return sharing_pairs(t).select("a", "b", F.round(2 * F.col("shared") / (F.col("na") + F.col("nb")), 6).alias("score"))
+
+
+@query(f"{SHARING} SELECT a, b, round(i / least(len(g), len(h)), 6) AS score FROM m")
+def ngram_overlap_whole(t: Tables) -> DataFrame:
+    return sharing_pairs(t).select("a", "b", F.round(F.col("shared") / F.least("na", "nb"), 6).alias("score"))
+
+
+@query()
+def levenshtein_ratio_whole(t: Tables) -> DataFrame:
+    """Pairs from a ratio of 2/3. One edit changes three of the n + 2 padded trigrams of a name of n letters at most,
+    so names without a common one are (n + 2) / 3 edits apart at least, a ratio under 2/3: none is lost."""
+    near = F.levenshtein("a", "b") * 3 <= F.greatest(F.length("a"), F.length("b"))
+    return sharing_pairs(t).where(near).select("a", "b", F.round(M.levenshtein_ratio(F.col("a"), F.col("b")), 6).alias("score"))
+
+
 @query(f"""WITH p AS (SELECT DISTINCT p_name AS a FROM part), q AS (SELECT a, {NGRAMS.format("a")} AS g FROM p),
 c AS (SELECT x.a AS a, y.a AS b, round(len(list_intersect(x.g, y.g)) / len(list_distinct(list_concat(x.g, y.g))), 6) AS score FROM q x JOIN q y ON x.a <> y.a WHERE len(list_intersect(x.g, y.g)) > 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, b) AS k FROM c) SELECT a, b AS best, score FROM r WHERE k = 1 AND score >= 0.3""")

@@ -76,6 +76,38 @@ def test_release_drift_whole(spark, tmp_path):
     assert {tuple(r) for r in QUERIES["release_drift_whole"](spark, folder).collect()} == {("A", 3, 2, 0.5), ("R", 1, 0, 1.0)}
 
 
+def test_name_pairs_whole(spark, tmp_path):
+    """Names that differ in the first letter too, by brute force."""
+    rng = random.Random(4)
+    names = {"lantern", "mantern", "banana", "canana", "ab", "bb", "", "x"} | {"".join(rng.choice("abc") for _ in range(rng.randint(1, 9))) for _ in range(60)}
+    folder = written(spark, tmp_path, "part", [(n,) for n in names], "p_name string")
+
+    def grams(n):
+        padded = f"##{n}##"
+        return {padded[k : k + 3] for k in range(len(padded) - 2)}
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            before, row = row, [i]
+            for j, y in enumerate(b, 1):
+                row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+        return row[-1]
+
+    pairs = [(a, b, grams(a), grams(b)) for a in names for b in names if a < b]
+    sharing = [(a, b, g, h) for a, b, g, h in pairs if g & h]
+    expected = {
+        "ngram_jaccard_whole": {(a, b): len(g & h) / len(g | h) for a, b, g, h in sharing},
+        "ngram_dice_whole": {(a, b): 2 * len(g & h) / (len(g) + len(h)) for a, b, g, h in sharing},
+        "ngram_overlap_whole": {(a, b): len(g & h) / min(len(g), len(h)) for a, b, g, h in sharing},
+        "levenshtein_ratio_whole": {(a, b): 1 - distance(a, b) / max(len(a), len(b)) for a, b, _, _ in pairs if 3 * distance(a, b) <= max(len(a), len(b))},
+    }
+    for name, want in expected.items():
+        got = {(r.a, r.b): r.score for r in QUERIES[name](spark, folder).collect()}
+        assert got == pytest.approx(want, abs=1e-6)
+        assert ("lantern", "mantern") in got
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
