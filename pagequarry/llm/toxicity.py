@@ -1,14 +1,19 @@
 """Toxicity of whole texts: a factorization machine over hashed terms.
 
 A text is the set of its hashed terms: words in lower case and word beginnings of four and five
-letters (which catch inflected forms), of which those count whose share of toxic training texts
-departs from the mean by a chi-square test. The score is the logistic of a bias, a weight per term and
-the inner products of the factor vectors of all pairs of terms, which is where an insult next to a
-mention of a group can count for more than both alone. Terms met in fewer than MIN_DOCS training
-texts weigh nothing.
+letters (which catch inflected forms). The score is the logistic of a bias, a weight per term and the
+inner products of the factor vectors of all pairs of terms, divided by the number of the text's terms
+that have factors (so a long text's many pairs don't drown its weights). The pairs are where an insult
+next to a mention of a group counts for more than both alone.
+
+Linear weights go to terms whose share of toxic training texts departs from the mean by a chi-square
+test. Factors go to every term met in at least MIN_DOCS training texts, whatever it tells alone, since
+a term may tell something only in a pair; a penalty on the length of each factor vector lets those
+that no pair needs die out. The weights are fitted for WARM rounds first, then both together.
 
 Defined results: a null or empty text has no terms and gets the bias alone; repeated rows get equal
-scores; without any labelled row the bias is that of one toxic text in twenty.
+scores; texts of any length are read whole; an empty table gives no rows; extra columns of either
+table aren't read; without any labelled row the bias is that of one toxic text in twenty.
 """
 
 from __future__ import annotations
@@ -35,27 +40,31 @@ REMEMBERED = 500_000
 @dataclass
 class FactorizationMachine:
     """Binary features; a follow-the-regularised-leader step with an absolute penalty for the linear
-    weights, so that terms without steady evidence weigh nothing, and squared-gradient scaled steps,
-    drawn back to 0, for the factors."""
+    weights, so that terms without steady evidence weigh nothing, and squared-gradient scaled steps
+    with a penalty on their length for the factor vectors."""
 
     bits: int = 18
     factors: int = 4
-    epochs: int = 4
+    warm: int = 3
+    epochs: int = 9
     batch: int = 64
     step: float = 0.5
     penalty: float = 2.0
     least_chi: float = 15.0
-    factor_step: float = 0.01
-    factor_penalty: float = 2e-3
+    factor_start: float = 0.3
+    factor_step: float = 0.4
+    factor_penalty: float = 0.03
     seed: int = 7
     bias: float = 0.0
     linear: np.ndarray = field(default=None, repr=False)  # type: ignore[assignment]
+    #: A row for each factor, a column for each term.
     latent: np.ndarray = field(default=None, repr=False)  # type: ignore[assignment]
+    live: np.ndarray = field(default=None, repr=False)  # type: ignore[assignment]
 
     def terms(self, word: str) -> list[int]:
         mask = (1 << self.bits) - 1
         names = [f"w {word}", *(f"{n} {word[:n]}" for n in (4, 5) if len(word) >= n)]
-        return [zlib.crc32(x.encode("utf-8")) & mask for x in names]
+        return [zlib.crc32(x.encode("utf-8", "surrogatepass")) & mask for x in names]
 
     def features(self, texts: Iterable[str], known: dict[str, tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray]:
         """Hashed terms of all texts, each text's once and in order, and their number for each text."""
@@ -67,73 +76,81 @@ class FactorizationMachine:
                     got = known[word] = self.active(word)
                 if got:
                     own.update(got)
-            ids.append(np.sort(np.fromiter(own, dtype=np.int64, count=len(own))))
+            ids.append(np.sort(np.fromiter(own, dtype=np.int32, count=len(own))))
         if len(known) > REMEMBERED:
             known.clear()
-        return np.concatenate(ids) if ids else np.empty(0, np.int64), np.array([len(x) for x in ids], dtype=np.int64)
+        return np.concatenate(ids) if ids else np.empty(0, np.int32), np.array([len(x) for x in ids], dtype=np.int64)
 
     def active(self, word: str) -> tuple[int, ...]:
         """The terms of a word, once fitted those that weigh anything."""
         terms = self.terms(word)
-        return tuple(terms if self.linear is None else [t for t in terms if self.used[t]])
-
-    @property
-    def used(self) -> np.ndarray:
-        return self._used
-
-    def raw(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Score before the logistic and the sums of factors, for each text."""
-        starts, row = ragged(counts)
-        sums = np.zeros((len(counts), self.factors))
-        squares, linear = np.zeros(len(counts)), np.zeros(len(counts))
-        if some := np.flatnonzero(counts).tolist():
-            at, v = starts[:-1][some], self.latent[ids]
-            sums[some] = np.add.reduceat(v, at, axis=0)
-            squares[some] = np.add.reduceat((v * v).sum(axis=1), at)
-            linear[some] = np.add.reduceat(self.linear[ids], at)
-        return self.bias + linear + 0.5 * ((sums * sums).sum(axis=1) - squares), sums
+        return tuple(terms if self.live is None else [t for t in terms if self.linear[t] != 0 or self.live[t]])
+
+    def raw(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Score before the logistic; the sums of factors and the number of terms with factors, for each text."""
+        starts, _ = ragged(counts)
+        sums, z, terms = np.zeros((self.factors, len(counts))), np.full(len(counts), self.bias), np.ones(len(counts))
+        some = np.flatnonzero(counts)
+        if len(some):
+            at, squares = starts[:-1][some], np.zeros(len(some))
+            for f in range(self.factors):
+                v = self.latent[f][ids]
+                sums[f, some] = np.add.reduceat(v, at, dtype=float)
+                squares += np.add.reduceat(v * v, at, dtype=float)
+            terms[some] = np.maximum(np.add.reduceat(self.live[ids], at, dtype=float), 1)
+            z[some] += np.add.reduceat(self.linear[ids], at, dtype=float) + 0.5 * ((sums[:, some] ** 2).sum(axis=0) - squares) / terms[some]
+        return z, sums, terms
 
     def fit(self, rows: list[tuple[str, int]]) -> FactorizationMachine:
         size = 1 << self.bits
         y = np.array([min(1, max(0, label)) for _, label in rows], dtype=float)
         self.bias = float(np.log((y.sum() + 1) / (len(y) - y.sum() + 19)))
-        ids, counts = self.features((text for text, _ in rows), {})
-        _, row = ragged(counts)
-        keep = self.telling(np.bincount(ids, minlength=size), np.bincount(ids, weights=y[row], minlength=size), y)
-        ids, row = ids[keep[ids]], row[keep[ids]]
-        counts = np.bincount(row, minlength=len(rows))
-        starts, _ = ragged(counts)
+        met_in, counts = self.features((text for text, _ in rows), {})
+        owner = ragged(counts)[1].astype(np.int32)
+        found = np.bincount(met_in, minlength=size)
+        telling = self.telling(found, np.bincount(met_in, weights=y[owner], minlength=size), y)
         rng = np.random.default_rng(self.seed)
-        self.linear = np.zeros(size)
-        self.latent = rng.normal(0, 0.01, (size, self.factors)) * keep[:, None]
-        lead, seen_w, seen_v, seen_b = np.zeros(size), np.zeros(size), np.full((size, self.factors), 1.0), 1.0
-        for _ in range(self.epochs):
+        self.linear, self.latent, self.live = np.zeros(size), np.zeros((self.factors, size)), np.zeros(size, dtype=bool)
+        lead, seen_w, seen_v, seen_b = np.zeros(size), np.zeros(size), np.ones(size), 1.0
+        for epoch in range(self.warm + self.epochs):
+            if epoch == self.warm:
+                self.live = found >= MIN_DOCS
+                self.latent = rng.normal(0, self.factor_start, (self.factors, size)) * self.live
+            own = (telling | self.live)[met_in]  # terms whose factors have died and that have no weight take no more part
+            ids, counts = met_in[own], np.bincount(owner[own], minlength=len(rows))
+            starts, _ = ragged(counts)
             order = rng.permutation(len(rows))
             for k in range(0, len(order), self.batch):
                 part = np.sort(order[k : k + self.batch])
-                own = np.concatenate([ids[starts[i] : starts[i + 1]] for i in part])
-                z, sums = self.raw(own, counts[part])
+                met = np.concatenate([ids[starts[i] : starts[i + 1]] for i in part])
+                z, sums, share = self.raw(met, counts[part])
                 error = 1 / (1 + np.exp(-np.clip(z, -40, 40))) - y[part]
                 _, at = ragged(counts[part])
-                terms, inverse = np.unique(own, return_inverse=True)
+                terms, inverse = np.unique(met, return_inverse=True)
                 each = error[at]
-                g = np.bincount(inverse, weights=each, minlength=len(terms))
+                g = np.bincount(inverse, weights=each, minlength=len(terms)) * telling[terms]
                 grown = seen_w[terms] + g * g
                 lead[terms] += g - (np.sqrt(grown) - np.sqrt(seen_w[terms])) / self.step * self.linear[terms]
                 seen_w[terms] = grown
                 beyond = np.maximum(np.abs(lead[terms]) - self.penalty, 0)
                 self.linear[terms] = -np.sign(lead[terms]) * beyond / ((1 + np.sqrt(grown)) / self.step)
-                gv = np.stack([np.bincount(inverse, weights=each * (sums[at, f] - self.latent[own, f]), minlength=len(terms)) for f in range(self.factors)], axis=1)
-                seen_v[terms] += gv * gv
-                v = self.latent[terms] - self.factor_step * gv / np.sqrt(seen_v[terms])
-                self.latent[terms] = np.sign(v) * np.maximum(np.abs(v) - self.factor_step * self.factor_penalty, 0)
+                if epoch >= self.warm:
+                    self.turn(terms, inverse, met, at, each / share[at], sums, seen_v)
                 seen_b += error.sum() ** 2
                 self.bias -= self.step * error.sum() / seen_b**0.5
         self.linear, self.latent = self.linear.astype(np.float32), self.latent.astype(np.float32)
-        self.latent[np.abs(self.latent) < 1e-3] = 0
-        self._used = keep & ((self.linear != 0) | (self.latent != 0).any(axis=1))
         return self
 
+    def turn(self, terms: np.ndarray, inverse: np.ndarray, met: np.ndarray, at: np.ndarray, error: np.ndarray, sums: np.ndarray, seen: np.ndarray) -> None:
+        """A step of the factor vectors of the terms met in a batch; those that the penalty shortens to nothing die."""
+        g = np.stack([np.bincount(inverse, weights=error * (sums[f][at] - self.latent[f][met]), minlength=len(terms)) for f in range(self.factors)])
+        seen[terms] += (g * g).sum(axis=0)
+        v = self.latent[:, terms] - self.factor_step * g / np.sqrt(seen[terms])
+        length = np.sqrt((v * v).sum(axis=0))
+        v *= np.maximum(1 - self.factor_step * self.factor_penalty / np.maximum(length, 1e-12), 0) * self.live[terms]
+        self.latent[:, terms] = v
+        self.live[terms] = (v != 0).any(axis=0)
+
     def telling(self, found: np.ndarray, toxic: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Terms in enough texts whose share of toxic ones departs from the mean (chi-square)."""
         share = min(max(y.mean(), 1e-6), 1 - 1e-6) if len(y) else 0.5
@@ -142,7 +159,7 @@ class FactorizationMachine:
         return (found >= MIN_DOCS) & (chi >= self.least_chi)
 
     def score(self, texts: list[str], known: dict[str, tuple[int, ...]]) -> np.ndarray:
-        z, _ = self.raw(*self.features(texts, known))
+        z, _, _ = self.raw(*self.features(texts, known))
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 

@@ -194,13 +194,32 @@ def test_factorization_machine_learns():
 
 
 def test_pairs_of_terms_count():
-    """Two terms that are toxic only together: the pair term must carry it."""
+    """Terms that tell nothing alone, with the default settings: only the factors can know, and without them nothing is known."""
+    rng = random.Random(2)
+    words = [f"w{k:03d}x" for k in range(300)]
+    rows = []
+    for _ in range(3000):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        own = [*rng.choices(words, k=25), rng.choice(["insulting", "rude"] if a else ["polite", "kind"]), rng.choice(["groupa", "folk"] if b else ["tree", "stone"])]
+        rng.shuffle(own)
+        rows.append((" ".join(own), int(a == b)))
+    m = toxicity.FactorizationMachine().fit(rows[:2400])
+    texts, y = [t for t, _ in rows[2400:]], np.array([y for _, y in rows[2400:]])
+    with_pairs = ((m.score(texts, {}) >= 0.5) == y).mean()
+    assert with_pairs > 0.95
+    m.latent[:] = 0
+    without = ((m.score(texts, {}) >= 0.5) == y).mean()
+    assert without < 0.6
+
+
+def test_pairs_beside_weights():
+    """An insult and a mention of a group that are harmless alone, in mostly clean texts."""
     rng = random.Random(2)
     rows = []
     for _ in range(4000):
         a, b = rng.random() < 0.5, rng.random() < 0.5
         rows.append((" ".join([*(["insulting"] if a else []), *(["grouping"] if b else []), made(rng, ["x1", "x2", "x3", "x4"], 3)]), int(a and b)))
-    m = toxicity.FactorizationMachine(epochs=12, factor_step=0.1, factor_penalty=0.0).fit(rows)
+    m = toxicity.FactorizationMachine().fit(rows)
     score = m.score(["insulting x1 x2", "grouping x1 x2", "insulting grouping x1 x2"], {})
     assert score[2] > 0.5 > max(score[:2])
 
