@@ -140,15 +140,31 @@ def test_equal_windows_have_equal_anchors():
 
 
 @settings(max_examples=40, deadline=None)
-@given(st.integers(0, 10**6), st.integers(1, 300), st.integers(1, 9), st.integers(1, 5))
-def test_best_in_block(seed, n, dim, spread):
+@given(st.integers(0, 10**6), st.integers(1, 300), st.integers(1, 9), st.sampled_from([1, 3, 100, 10**6, 10**7]))
+def test_bounds_hold_and_exclude_no_best(seed, n, dim, spread):
     rng = np.random.default_rng(seed)
-    v, ids = rng.integers(-spread * 100, spread * 100, (n, dim)), rng.permutation(n).astype(np.int64)
+    v, ids = rng.integers(-spread, spread + 1, (n, dim)), rng.permutation(n).astype(np.int64)
     q_ids, q = ids[:3], v[:3]
-    rows, found, score = vector_search.best_in_block(q_ids, q, ids, v, 5)
+    scan = vector_search.Scan(q_ids, q, 5)
+    left = [set() for _ in q_ids]
+    for k in range(0, n, 64):
+        part = v[k : k + 64]
+        who, at, lower, upper = scan.block(ids[k : k + 64], *vector_search.approximation(part))
+        exact = (part[at] * q[who]).sum(axis=1)
+        assert ((lower <= exact) & (exact <= upper)).all()
+        for i, j, u in zip(who.tolist(), at.tolist(), upper.tolist(), strict=True):
+            left[i].add((int(ids[k + j]), u))
     for i in range(len(q_ids)):
-        expected = sorted(((-int(v[j] @ q[i]), int(ids[j])) for j in range(n) if ids[j] != q_ids[i]))[:5]
-        assert [(-int(s), int(f)) for f, s in zip(found[rows == i], score[rows == i], strict=True)] == expected
+        best = sorted(((-int(v[j] @ q[i]), int(ids[j])) for j in range(n) if ids[j] != q_ids[i]))[:5]
+        assert {j for _, j in best} <= {j for j, u in left[i] if u >= scan.kth[i]}
+
+
+def test_few_vectors_are_left():
+    rng = np.random.default_rng(3)
+    v = np.floor(rng.normal(0, 1000, (20_000, 16))).astype(np.int64)
+    scan = vector_search.Scan(np.arange(10), v[:10], 5)
+    who, at, lower, upper = scan.block(np.arange(len(v)), *vector_search.approximation(v))
+    assert (upper > lower).any() and len(who) < 10 * 100
 
 
 # --- signatures ---------------------------------------------------------------------------------------------

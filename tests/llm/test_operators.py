@@ -292,6 +292,9 @@ def test_vectors(spark):
         expected += [(q, k, i, -s) for k, (s, i) in enumerate(best, 1)]
     assert got == expected
     assert top_k(v.limit(0), v).count() == 0 and top_k(v.where("vec_id = 50"), v.limit(0)).count() == 0
+    beyond = spark.createDataFrame([(1, [1e9]), (2, [1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="exceeds"):
+        top_k(beyond, beyond).count()
 
 
 def brute_classes(rows, least=0.8):
