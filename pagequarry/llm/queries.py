@@ -12,7 +12,7 @@ from pagequarry.llm.labelled import held_out
 from pagequarry.llm.mixing import DEFAULT_WEIGHTS, default_levels, mix
 from pagequarry.llm.near_duplicates import classes
 from pagequarry.llm.quality import quality
-from pagequarry.llm.secret_scan import secret_scan
+from pagequarry.llm.secret_scan import ranked_words, secret_scan
 from pagequarry.llm.sharding import shards
 from pagequarry.llm.suffix_dedup import without_repeats
 from pagequarry.llm.token_counts import token_counts
@@ -43,7 +43,8 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_scan(table(spark, sf_dir, "documents")).drop("found")
+    words = ranked_words(vocabulary_path("byte_bpe_50k.json"))
+    return secret_scan(table(spark, sf_dir, "documents"), words=words).drop("found")
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,10 @@
 """The parts that need no session, against brute force."""
 
+import itertools
+import math
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -59,13 +62,76 @@ def test_base_spans(text):
     assert sorted(secret_scan.base_spans(text)) == sorted(brute_spans(text))
 
 
+GUESSES = secret_scan.GuessCosts(["yesterday", "correct", "horse"])
+
+
 def test_guess_costs():
-    bits = secret_scan.guess_bits
+    bits = GUESSES.bits
     assert bits("password") < bits("Password1") < bits("letmein123") < 20
     assert bits("qwertyuiop") < 20 and bits("aaaaaaaaaa") < 15 and bits("abcabcabc") < 20 and bits("20240131") < 20
-    assert bits("x9F$kq2LpZ") > 40 and bits("") == 0.0
+    assert bits("x9F$kq2LpZ") > 40 and bits("") == 0.0 and bits("x9F$kq2LpZ", 30.0) == 30.0
+    assert bits("abcdefghouse") < bits("abcdefg") + bits("house") + 1e-9  # a walk may end early
     text = "pwd: x9F$kq2LpZ and pwd: password1"
-    assert [text[a:b] for a, b, _ in secret_scan.guessed_spans(text, [], 40.0)] == ["x9F$kq2LpZ"]
+    assert [text[a:b] for a, b, _ in secret_scan.guessed_spans(text, [], GUESSES, 40.0)] == ["x9F$kq2LpZ"]
+
+
+def test_ranked_words_are_cheap():
+    words = secret_scan.ranked_words(pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json"))
+    bits = secret_scan.GuessCosts(words).bits
+    assert len(words) > 10_000 and max(map(bits, ("yesterday", "documentation", "happiness", "correcthorse"))) < 30
+    text = "pass: yesterday secret: documents"
+    assert secret_scan.guessed_spans(text, [], secret_scan.GuessCosts(words), 40.0) == []
+
+
+def test_long_values_take_time_by_their_length():
+    rng = random.Random(1)
+    began = time.time()
+    for unit in ("xy", "a", "abcd", "as", "0123456789", "yesterday"):
+        value = unit * (200_000 // len(unit))
+        assert 0 < GUESSES.bits(value, 40.0) <= 40.0
+    assert GUESSES.bits("".join(rng.choices("abcdefXYZ0189$%", k=200_000)), 40.0) == 40.0
+    assert secret_scan.guessed_spans("pwd=" + "xy" * 100_000, [], GUESSES, 40.0) == []
+    assert time.time() - began < 20
+
+
+def cheapest(value, rank):
+    """The least cost over all segmentations, one by one, with the parts defined anew."""
+    walks = {w for row in secret_scan.WALKS for r in (row, row[::-1]) for w in zip(r, r[1:])}
+    brute = lambda c: math.log2(10 if c.isdigit() else 26 if c.isalpha() else 33)
+
+    def part(x):
+        low, costs = x.lower(), []
+        if len(x) == 1:
+            costs.append(brute(x))
+        plain = low.translate(secret_scan.LEET)
+        if len(x) >= 3 and plain in rank:
+            costs.append(1 + math.log2(rank[plain] + 1) + (0 if x == low else 1 if x == low.upper() or x[1:] == low[1:] else len(x)) + (plain != low))
+        if len(x) >= 3 and all(p in walks for p in zip(low, low[1:])):
+            costs.append(1 + math.log2(len(secret_scan.WALKS) * 24) + math.log2(len(x)))
+        for unit in (1, 2, 3, 4):
+            times = len(x) // unit
+            if times * unit == len(x) and times >= (3 if unit == 1 else 2) and low == low[:unit] * times:
+                costs.append(1 + sum(map(brute, x[:unit])) + math.log2(times))
+        for y, m, d in ([x[:4], x[4:-2], x[-2:]], [x[-4:], x[2:-4], x[:2]]):
+            m = m.strip("-/._") if 2 <= len(m) <= 4 and re.fullmatch(r"[-/._]?\d\d[-/._]?", m) else ""
+            if re.fullmatch(r"(19|20)\d\d", y, re.A) and m and 1 <= int(m) <= 12 and re.fullmatch(r"\d\d", d, re.A) and 1 <= int(d) <= 31 and len(x) >= 8:
+                costs.append(1 + math.log2(365 * 130))
+        if re.fullmatch(r"(19|20)\d\d", x, re.A):
+            costs.append(1 + math.log2(130))
+        return min(costs, default=math.inf)
+
+    best = math.inf
+    for cuts in itertools.product([0, 1], repeat=len(value) - 1):
+        at = [0, *(k + 1 for k, c in enumerate(cuts) if c), len(value)]
+        best = min(best, sum(part(value[i:j]) for i, j in zip(at, at[1:])))
+    return best
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from(["dog", "D0G", "Pass", "a", "aa", "xy", "1", "9", "qwe", "asd", "2024", "01", "31-", "$", "ab"]), min_size=1, max_size=5).map(lambda x: "".join(x)[:11]))
+def test_guess_costs_are_the_least(value):
+    costs = secret_scan.GuessCosts(["dog"])
+    assert math.isclose(costs.bits(value), cheapest(value, costs.rank))
 
 
 # --- packing -------------------------------------------------------------------------------------
