@@ -15,10 +15,14 @@ RUN of them stand in a row on a diagonal (13 words). Windows with fewer than MIN
 aren't placeholders prove nothing as templates and match by equal words only; containment is the greater
 of the share of all windows and the share of the others.
 
+Each word is hashed once; a window's hash is that of its words' hashes. The windows of a text exist only
+inside the stage that looks them up, so no more than the matches leave it.
+
 Defined results: a null text counts as empty and leaks nothing; a text of fewer than five words is one
 window, the whole of it, and an item that short is also found word for word anywhere in a longer text; an
-item without words leaks nowhere; repeated rows get a result each time if they differ in id, and one if
-they don't; null item ids are an id.
+item without words leaks nowhere; texts of any length are read whole; repeated rows get a result each time
+if they differ in id, and one if they don't; null item ids are an id; an empty table of documents or of
+items gives no rows; extra columns aren't read, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,86 +40,99 @@ MIN_LITERALS = 2
 BROADCAST_WINDOWS = 500_000
 
 NUMBER, NAME, UNIT = "\ue000", "\ue001", "\ue002"
-UNITS = (
-    "km|m|cm|mm|miles?|feet|ft|inch(?:es)?|kg|g|mg|lbs?|pounds?|ounces?|tons?|l|ml|lit(?:er|re)s?|s|ms|sec(?:onds?)?|min(?:utes?)?|h|hrs?|hours?|days?|weeks?|months?|years?"
-    "|mph|kmh|percent|dollars?|euros?|cents?|usd|eur|gb|mb|kb|tb|hz|khz|mhz|ghz|w|kw|mw|v|degrees?"
-)
-NUMBER_WORDS = (
-    "zero|one|two|three|four|five|six|seven|eight|nine|ten|eleven|twelve|thirteen|fourteen|fifteen|sixteen|seventeen|eighteen|nineteen|twenty|thirty|forty|fifty|sixty|seventy"
-    "|eighty|ninety|hundred|thousand|million|billion|dozen|zwei|drei|vier|fünf|sechs|sieben|acht|neun|zehn|elf|zwölf|dos|tres|cuatro|cinco|seis|siete|ocho|nueve|diez|doce"
-    "|deux|trois|quatre|cinq|sept|huit|neuf|dix|douze"
-)
+UNITS = """km m cm mm mile miles feet ft inch inches kg g mg lb lbs pound pounds ounce ounces ton tons l ml liter liters litre litres s ms sec second
+seconds min minute minutes h hr hrs hour hours day days week weeks month months year years mph kmh percent dollar dollars euro euros cent cents usd eur
+gb mb kb tb hz khz mhz ghz w kw mw v degree degrees""".split()
+NUMBER_WORDS = """zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty
+thirty forty fifty sixty seventy eighty ninety hundred thousand million billion dozen zwei drei vier fünf sechs sieben acht neun zehn elf zwölf dos tres
+cuatro cinco seis siete ocho nueve diez doce deux trois quatre cinq sept huit neuf dix douze""".split()
 #: Words that are no names when capitalised.
-FUNCTION_WORDS = (
-    "The|An|And|Or|But|If|In|On|At|Of|To|For|From|With|By|As|Is|Are|Was|Were|Be|Do|Does|Did|Has|Have|Had|Can|Could|Will|Would|Should|May|Must|How|What|Which|Who|Whose|Whom|When|Where|Why"
-    "|This|That|These|Those|There|Then|It|Its|He|She|They|We|You|His|Her|Their|Our|Your|My|Each|Every|All|Some|Any|No|Not|So|After|Before|While|Since|Let|Find|Given"
-    "|Der|Die|Das|Den|Dem|Ein|Eine|Und|Oder|Aber|Wenn|Im|Am|Zu|Mit|Von|Auf|Für|Ist|Sind|Wie|Was|Wer|Wann|Wo|Warum|Es|Er|Sie|Wir|Ihr|Nach"
-    "|El|La|Los|Las|Un|Una|Si|En|De|Del|Con|Por|Para|Es|Se|Que|Qué|Cuánto|Cuántos|Cuántas|Cuál|Cómo|Le|Les|Des|Une|Et|Ou|Mais|Dans|Sur|Avec|Pour|Est|Quel|Quelle|Combien|Il|Elle"
-)
+FUNCTION_WORDS = """The An And Or But If In On At Of To For From With By As Is Are Was Were Be Do Does Did Has Have Had Can Could Will Would Should May
+Must How What Which Who Whose Whom When Where Why This That These Those There Then It Its He She They We You His Her Their Our Your My Each Every All
+Some Any No Not So After Before While Since Let Find Given Der Die Das Den Dem Ein Eine Und Oder Aber Wenn Im Am Zu Mit Von Auf Für Ist Sind Wie Wer
+Wann Wo Warum Es Er Sie Wir Ihr Nach El La Los Las Un Una Si En De Del Con Por Para Se Que Qué Cuánto Cuántos Cuántas Cuál Cómo Le Les Des Une Et Ou
+Mais Dans Sur Avec Pour Est Quel Quelle Combien Il Elle""".split()
 LETTER = r"\p{L}\p{M}\p{N}"
 EDGE = f"(?![{LETTER}])"
-#: Names wherever they stand, and names inside a sentence.
-ANYWHERE = rf"(?<![{LETTER}])(?!(?:{FUNCTION_WORDS}){EDGE})\p{{Lu}}[\p{{Ll}}\p{{M}}]+{EDGE}"
-INSIDE = rf"(?<=[\p{{Ll}}{NUMBER}{UNIT},;] )(?!(?:{FUNCTION_WORDS}){EDGE})\p{{Lu}}[\p{{Ll}}\p{{M}}]+{EDGE}"
+CAPITALISED = r"\p{Lu}[\p{Ll}\p{M}]+"
+#: Names inside a sentence.
+INSIDE = rf"(?=\p{{Lu}})(?<=[\p{{Ll}}\p{{N}},;] )(?!(?:{'|'.join(FUNCTION_WORDS)}){EDGE}){CAPITALISED}{EDGE}"
 
 
-def template_text(text: Column, name: str = ANYWHERE) -> Column:
-    """The text with placeholders, word for word."""
-    numbers = F.regexp_replace(text, rf"(?<![{LETTER}])(?:\p{{N}}+|(?i:{NUMBER_WORDS})){EDGE}", NUMBER)
-    units = F.regexp_replace(numbers, rf"(?<=[\p{{N}}{NUMBER}] )(?i:{UNITS}){EDGE}", UNIT)
-    return F.regexp_replace(units, name, NAME)
+def spaced(text: Column) -> Column:
+    """The text with a space between a number and its unit."""
+    return F.when(text.rlike(r"\p{N}"), F.regexp_replace(text, rf"(?<=\p{{N}})(?=(?i:{'|'.join(UNITS)}){EDGE})", " ")).otherwise(text)
 
 
 def words(text: Column) -> Column:
-    return F.array_remove(F.split(F.lower(text), f"[^{LETTER}{NUMBER}{NAME}{UNIT}]+"), "")
+    """Words as they are written; placeholders are words."""
+    return F.array_remove(F.split(text, f"[^{LETTER}{NUMBER}{NAME}{UNIT}]+"), "")
 
 
-def has_slots(text: Column) -> Column:
-    return text.rlike(f"[{NUMBER}{NAME}{UNIT}]")
+def lowered(of: Column) -> Column:
+    return F.transform(of, lambda w: F.lower(w))
 
 
-def is_slot(word: Column) -> Column:
-    return word.isin(NUMBER, NAME, UNIT)
+def typed(written: Column, low: Column, plain: Column, kinds: dict[str, Column], names: bool = True) -> Column:
+    """plain with what `kinds` has for a number, a unit or a name in its place; written, low, plain: a text's words in three forms."""
+    # Only what doesn't begin with a letter from a to z needs a look at its digits.
+    number = lambda x: x.isin(NUMBER_WORDS) | (~x.between("a", "z\uffff") & x.rlike(r"^\p{N}+$"))
 
+    def kind(w: Column, i: Column) -> Column:
+        x = F.get(low, i)
+        out = F.when(number(x), kinds[NUMBER]).when(x.isin(UNITS) & (i > 0) & F.coalesce(number(F.get(low, i - 1)), F.lit(False)), kinds[UNIT])
+        if names:
+            out = out.when((w != x) & ~w.isin(FUNCTION_WORDS) & w.rlike(f"^{CAPITALISED}$"), kinds[NAME])
+        return out.otherwise(F.get(plain, i))
 
-def spaced(text: Column) -> Column:
-    """The text with a space between a number and its unit."""
-    return F.when(text.rlike(r"\p{N}"), F.regexp_replace(text, rf"(?<=\p{{N}})(?=(?i:{UNITS}){EDGE})", " ")).otherwise(text)
+    return F.transform(written, kind)
 
 
-def window_count(of: Column, width: int = WIDTH) -> Column:
-    return F.when(F.size(of) >= width, F.size(of) - width + 1).otherwise((F.size(of) > 0).cast("int"))
+def is_slot(word: Column) -> Column:
+    return word.isin(NUMBER, NAME, UNIT)
 
 
-def hashes(of: str, n: Column, width: int = WIDTH) -> Column:
-    return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.slice(of, i, width)))).otherwise(F.array().cast("array<bigint>"))
+def window(of: str, at: Column | int, width: int = WIDTH) -> Column:
+    """The hash of `width` words, or of those there are, from a place on; of: an array of the words' hashes."""
+    return F.xxhash64(*[F.get(of, F.lit(at) + k if isinstance(at, int) else at + k) for k in range(width)])
 
 
-def windowed(rows: DataFrame, keep: list[str]) -> DataFrame:
-    """keep, n (windows), raw words and hashes of windows: those of the n templates, then those of the n
-    windows of raw words if there are placeholders (null where the template is the same)."""
-    slotted = rows.select(*keep, spaced(F.col("text")).alias("text")).select(*keep, "text", template_text(F.col("text")).alias("shape"))
-    split = slotted.select(*keep, words(F.col("shape")).alias("template"), F.when(has_slots(F.col("shape")), words(F.col("text"))).alias("raw"))
-    counted = split.withColumn("n", window_count(F.col("template")))
-    hashed = counted.select(*keep, "n", F.coalesce("raw", "template").alias("raw"), hashes("template", F.col("n")).alias("shapes"), F.when(F.col("raw").isNotNull(), hashes("raw", F.col("n"))).alias("plain"))
-    both = F.concat("shapes", F.zip_with("shapes", "plain", lambda a, b: F.when(a != b, b)))
-    return hashed.select(*keep, "n", "raw", F.when(F.col("plain").isNull(), F.col("shapes")).otherwise(both).alias("windows"))
+def looked_up(texts: DataFrame, keep: list[str], short: list[int]) -> DataFrame:
+    """keep, raw (words in lower case), doc_at and window of every window of texts, as template and as plain words, and as
+    plain words of the lengths in `short`."""
+    # The outer form keeps Catalyst from deriving a filter on the words' number, which it would push
+    # below the projections and so evaluate every expression in them again.
+    split = texts.select(*keep, words(spaced(F.col("text"))).alias("written"))
+    low = split.select(*keep, "written", lowered(F.col("written")).alias("raw"))
+    hashed = low.select(*keep, "written", "raw", F.transform("raw", lambda w: F.xxhash64(w)).alias("plain"))
+    kinds = {k: F.xxhash64(F.lit(k)) for k in (NUMBER, NAME, UNIT)}
+    shaped = hashed.select(*keep, "raw", "plain", typed(F.col("written"), F.col("raw"), F.col("plain"), kinds).alias("shape"))
+    each = shaped.select(*keep, "raw", "plain", "shape", F.posexplode_outer("plain").alias("doc_at", "first"))
+    at, n = F.col("doc_at"), F.size("plain")
+    own = [F.when((at == 0) | (at <= n - WIDTH), window(c, at)) for c in ("plain", "shape")]
+    own += [F.when((at <= n - k) & (n > k), window("plain", at, k)) for k in short]
+    found = each.select(*keep, "raw", "doc_at", own[0].alias("own"), own[1].alias("typed"), *[x.alias(f"short{k}") for k, x in zip(short, own[2:], strict=True)])
+    forms = F.array("own", F.when(F.col("own") != F.col("typed"), F.col("typed")), *[f"short{k}" for k in short])
+    return found.select(*keep, "raw", "doc_at", F.explode_outer(forms).alias("window"))
 
 
 def item_windows(items: DataFrame) -> DataFrame:
     """item_id, of, size (words of the item), item_at, window (hash), slots (template), item_words and rich (a template that proves something)."""
     text = items.select("item_id", "of", spaced(F.col("text")).alias("text"))
-    split = text.select("item_id", "of", words(template_text(F.col("text"))).alias("template"), words(template_text(F.col("text"), INSIDE)).alias("inside"), words(F.col("text")).alias("raw"))
-    n = window_count(F.col("raw"))
+    text = text.select("item_id", "of", words(F.col("text")).alias("written"), words(F.regexp_replace("text", INSIDE, NAME)).alias("inner"))
+    text = text.select("item_id", "of", "written", "inner", lowered(F.col("written")).alias("raw"), lowered(F.col("inner")).alias("inner_low"))
+    kinds = {k: F.lit(k) for k in (NUMBER, NAME, UNIT)}
+    inside = typed(F.col("inner"), F.col("inner_low"), F.col("inner_low"), kinds, names=False)
+    split = text.select("item_id", "of", "raw", typed(F.col("written"), F.col("raw"), F.col("raw"), kinds).alias("template"), inside.alias("inside"))
+    n = F.when(F.size("raw") >= WIDTH, F.size("raw") - WIDTH + 1).otherwise((F.size("raw") > 0).cast("int"))
     at = split.withColumn("item_at", F.explode(F.when(n > 0, F.sequence(F.lit(0), n - 1))))
     part = lambda c: F.slice(c, F.col("item_at") + 1, WIDTH)
     parts = at.select("item_id", "of", F.size("raw").alias("size"), "item_at", part("template").alias("template"), part("inside").alias("inside"), part("raw").alias("item_words"))
     proves = lambda form: F.size(F.filter(form, lambda x: ~is_slot(x))) >= F.least(F.lit(MIN_LITERALS), F.size(form))
     each = parts.withColumn("rich", proves(F.col("template"))).withColumn("form", F.explode(F.array_distinct(F.array("template", "inside", "item_words"))))
     plain = F.col("form") == F.col("item_words")
-    return each.where(plain | proves(F.col("form"))).select(
-        "item_id", "of", "size", "item_at", F.xxhash64("form").alias("window"), F.when(plain, F.col("template")).otherwise(F.col("form")).alias("slots"), "item_words", "rich"
-    )
+    hashed = each.where(plain | proves(F.col("form"))).withColumn("hashes", F.transform("form", lambda w: F.xxhash64(w)))
+    return hashed.select("item_id", "of", "size", "item_at", window("hashes", 0).alias("window"), F.when(plain, F.col("template")).otherwise(F.col("form")).alias("slots"), "item_words", "rich")
 
 
 def slot_pairs(template: Column, item_words: Column, doc_words: Column) -> Column:
@@ -145,14 +162,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, containment: float = CONTAIN
     side = F.broadcast(each) if each.count() <= BROADCAST_WINDOWS else each
 
     texts = docs.select("doc_id", row_key().alias("row_key"), text_col().alias("text"))
-    # The outer form keeps Catalyst from deriving a filter on the windows' size, which it would push
-    # below the projections and so evaluate every expression in them again.
-    own = windowed(texts, ["doc_id", "row_key"]).select("doc_id", "row_key", "n", "raw", F.posexplode_outer("windows").alias("pos", "window")).withColumn("doc_at", F.col("pos") % F.col("n"))
-    own = own.select("doc_id", "row_key", "raw", "doc_at", "window")
-    for (width,) in each.where(F.col("size") < WIDTH).select("size").distinct().collect():
-        plain = texts.select("doc_id", "row_key", words(spaced(F.col("text"))).alias("raw"))
-        of = hashes("raw", window_count(F.col("raw"), width), width)
-        own = own.unionByName(plain.select("doc_id", "row_key", "raw", F.posexplode_outer(of).alias("doc_at", "window")))
+    short = sorted(r["size"] for r in each.where(F.col("size") < WIDTH).select("size").distinct().collect())
+    own = looked_up(texts, ["doc_id", "row_key"], short)
     there = F.slice("raw", F.col("doc_at") + 1, F.size("item_words"))
     met = own.join(side, "window").select(
         "doc_id", "row_key", "item_id", "of", (F.col("doc_at") - F.col("item_at")).alias("diagonal"),
@@ -165,7 +176,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, containment: float = CONTAIN
     torn = F.when(F.size("pairs") > 1, F.transform(F.filter(F.sequence(F.lit(2), F.size("pairs")), lambda i: item_value(i) == item_value(i - 1)), item_value)).otherwise(F.array().cast("array<string>"))
     judged = paired.withColumn("torn", torn)
     counts = judged.withColumn("matches", F.filter("matches", lambda m: m["exact"] | ~F.arrays_overlap(m["pairs"]["item"], F.col("torn")))).where(F.size("matches") > 0)
-    changed = F.exists("matches", lambda m: F.exists(m["pairs"], lambda p: F.substring(p["item"], 2, 1000) != p["doc"]))
+    changed = F.exists("matches", lambda m: F.exists(m["pairs"], lambda p: p["item"] != F.concat(F.substring(p["item"], 1, 1), p["doc"])))
     at = counts.select("row_key", "doc_id", "item_id", "of", F.array_distinct("matches.item_at").alias("at"), F.filter("matches", lambda m: m["rich"])["item_at"].alias("rich"), changed.alias("changed"))
     met_in_all = lambda c: F.size(F.array_distinct(F.flatten(F.collect_list(c))))
     found = at.groupBy("row_key", "doc_id", "item_id", "of").agg(
