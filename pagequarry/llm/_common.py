@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,22 +36,57 @@ def small_batches(spark: SparkSession, rows: int = TEXT_BATCH) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder for cut lineages, named in spark.checkpoint.dir."""
+    """The cluster's shared folder for cut lineages, named in spark.checkpoint.dir; where that is unset, a folder of this machine if the session runs on it alone, as in tests."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="pagequarry-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a table written to the shared folder: a lost executor costs a reread, not a recomputation."""
+_open: list[list[str]] = []
+
+
+def written(df: DataFrame, name: str, *, keep: bool = False) -> DataFrame:
+    """df as a table written to the shared folder: a lost executor costs a reread, not a recomputation.
+
+    Within `scratch` it goes at the end, unless it is to be kept for the result that is returned.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/pagequarry/{name}-{uuid.uuid4().hex}"
+    if _open and not keep:
+        _open[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Deletes folders of the shared file system."""
+    for path in paths:
+        of = spark._jvm.org.apache.hadoop.fs.Path(path)
+        of.getFileSystem(spark._jsc.hadoopConfiguration()).delete(of, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside are deleted at the end; what is returned may only read tables that are kept."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        removed(spark, _open.pop())
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like `name` that df doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     """128 bits that name a row by its id and text (equal rows share it; null ids are a value of their own)."""
     return F.unhex(F.md5(F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("-")), F.lit(":"), text_col(text))))

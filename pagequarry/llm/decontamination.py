@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagequarry.llm._common import row_key, text_col
+from pagequarry.llm._common import fresh, row_key, text_col
 
 WIDTH = 5
 CONTAINMENT = 0.8
@@ -192,5 +192,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, containment: float = CONTAIN
 
 def clean(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
     """docs without the rows that an item leaks into."""
-    found = leaks(docs, benchmark, **settings).select(F.col("row_key").alias("key__")).distinct()
-    return docs.withColumn("key__", row_key()).join(found, "key__", "left_anti").drop("key__")
+    key = fresh(docs, "key__")
+    found = leaks(docs, benchmark, **settings).select(F.col("row_key").alias(key)).distinct()
+    return docs.withColumn(key, row_key()).join(found, key, "left_anti").drop(key)

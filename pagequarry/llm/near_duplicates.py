@@ -20,8 +20,10 @@ texts that agree on a band. Neither a bucket nor a class is ever collected, and
 become rows.
 
 Defined results: a null text counts as empty; texts without words are near only to equal ones (null
-and '' are equal); texts of one to four words have one shingle, all of their words; a class is named
-by its least doc_id (null if all are null); repeated rows are of one class.
+and '' are equal); texts of one to four words have one shingle, all of their words; texts of any length
+are compared whole; a class is named by its least doc_id (null if all are null); repeated rows are of one
+class; an empty table gives no rows; extra columns are carried along by `deduplicated`, whatever their
+names, and not read by `classes`.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagequarry.llm._common import WORD, mix64, ragged, row_key, small_batches, text_col, written
+from pagequarry.llm._common import WORD, fresh, mix64, ragged, row_key, scratch, small_batches, text_col, written
 from pagequarry.llm.components import components
 
 WIDTH = 5
@@ -45,7 +47,7 @@ BANDS, ROWS = 20, 4
 #: Members of a bucket that falls into several classes up to which its pairs across classes are rows.
 SMALL = 8
 #: Members of a crowd, and their shingles, in a part; two parts meet in a task.
-PART_NODES, PART_REGIONS = 1024, 4_000_000
+PART_NODES, PART_REGIONS = 1024, 1_000_000
 #: Shingles whose columns are multiplied at a time.
 COLUMNS = 2048
 #: Rows of a leader's shingles that meet its pairs, so that a leader of many isn't one task's.
@@ -96,6 +98,7 @@ def signatures(regions: list[np.ndarray], k: int) -> np.ndarray:
     """The earliest dart of each coordinate (0: the text has no regions), a row for each text."""
     count = np.array([len(r) for r in regions], dtype=np.int64)
     out = np.zeros((len(regions), k), dtype=np.uint64)
+    assert out.size < 1 << 20  # coordinates of all texts share 20 bits of a key below
     todo = np.flatnonzero(count)
     until = np.zeros(len(regions))
     until[todo] = (k * np.log(k) + 2 * k) / count[todo]
@@ -158,32 +161,34 @@ def classes(docs: DataFrame, *, similarity: float = SIMILARITY, bands: int = BAN
             yield pa.RecordBatch.from_arrays([own, pa.ListArray.from_arrays(starts, pa.array(keys.ravel()))], ["node", "keys"])
 
     signed = texts.select("text_key", "text").mapInArrow(banded, "node binary, keys array<bigint>")
-    # Rows of one text give equal keys, so buckets count and hold distinct texts.
-    buckets = written(signed.select(F.explode("keys").alias("bucket"), "node").distinct(), "bands")
-    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = written(buckets.join(sizes, "bucket"), "members")
-    # The more texts agree with one, the better it leads: the original of many copies comes first.
-    central = members.groupBy("node").agg(F.sum("n").alias("central"))
-    members = written(members.join(central, "node"), "members")
-    pairs = written(led(members.withColumn("root", F.col("node"))), "pairs")
-    links = written(similar(pairs, texts, similarity), "links")
-    roots = components(links)
-
-    labelled = members.join(roots, "node", "left").select("bucket", "node", "n", "central", F.coalesce("root", "node").alias("root"))
-    parts = labelled.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
-    parts = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "root")).alias("top")).where("parts > 1")
-    mixed = written(labelled.join(parts.select("bucket", F.col("top.root").alias("largest")), "bucket"), "mixed")
-    few = mixed.where(F.col("n") <= SMALL)
-    minor = few.where("root <> largest").select("bucket", F.col("node").alias("b"), F.col("root").alias("own"))
-    across = minor.join(few.select("bucket", F.col("node").alias("a"), "root"), "bucket").where("own <> root").select("a", "b")
-    tested = pairs.union(pairs.select("b", "a"))
-    more = written(across.distinct().join(tested, ["a", "b"], "left_anti"), "more")
-    found = [] if more.isEmpty() else [written(similar(more, texts, similarity), "links")]
-    crowds = mixed.where(F.col("n") > SMALL).select("bucket", "node", "root")
-    if not crowds.isEmpty():
-        found.append(written(crowd_links(crowds, texts, similarity), "links"))
-    if found:
-        roots = components(reduce(DataFrame.union, found, links))
+    with scratch(spark):
+        # Rows of one text give equal keys, so buckets count and hold distinct texts.
+        buckets = written(signed.select(F.explode("keys").alias("bucket"), "node").distinct(), "bands")
+        sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        members = written(buckets.join(sizes, "bucket"), "members")
+        # The more texts agree with one, the better it leads: the original of many copies comes first.
+        central = members.groupBy("node").agg(F.sum("n").alias("central"))
+        members = written(members.join(central, "node"), "members")
+        pairs = written(led(members.withColumn("root", F.col("node"))), "pairs")
+        links = written(similar(pairs, texts, similarity), "links")
+        roots = components(links)
+
+        labelled = members.join(roots, "node", "left").select("bucket", "node", "n", "central", F.coalesce("root", "node").alias("root"))
+        parts = labelled.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+        parts = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "root")).alias("top")).where("parts > 1")
+        mixed = written(labelled.join(parts.select("bucket", F.col("top.root").alias("largest")), "bucket"), "mixed")
+        few = mixed.where(F.col("n") <= SMALL)
+        minor = few.where("root <> largest").select("bucket", F.col("node").alias("b"), F.col("root").alias("own"))
+        across = minor.join(few.select("bucket", F.col("node").alias("a"), "root"), "bucket").where("own <> root").select("a", "b")
+        tested = pairs.union(pairs.select("b", "a"))
+        more = written(across.distinct().join(tested, ["a", "b"], "left_anti"), "more")
+        found = [] if more.isEmpty() else [written(similar(more, texts, similarity), "links")]
+        crowds = mixed.where(F.col("n") > SMALL).select("bucket", "node", "root")
+        if not crowds.isEmpty():
+            found.append(written(crowd_links(crowds, texts, similarity), "links"))
+        if found:
+            roots = components(reduce(DataFrame.union, found, links))
+        roots = written(roots, "roots", keep=True)
     named = texts.select("doc_id", "row_key", "text_key").join(roots.withColumnRenamed("node", "text_key"), "text_key", "left")
     named = named.select("row_key", "doc_id", F.coalesce("root", "text_key").alias("root"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("class_id"))
@@ -311,6 +316,7 @@ def deduplicated(docs: DataFrame, **settings) -> DataFrame:
     """One row of docs for each class: that of the least doc_id (nulls last), of several the one of the least row key."""
     named = classes(docs, **settings)
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row_key"))
-    chosen = named.groupBy("root").agg(F.min(order).alias("first")).select(F.col("first.row_key").alias("key__"))
-    kept = docs.withColumn("key__", row_key()).join(written(chosen, "chosen"), "key__")
-    return kept.dropDuplicates(["key__"]).drop("key__")
+    key = fresh(docs, "key__")
+    chosen = named.groupBy("root").agg(F.min(order).alias("first")).select(F.col("first.row_key").alias(key))
+    kept = docs.withColumn(key, row_key()).join(written(chosen, "chosen", keep=True), key)
+    return kept.dropDuplicates([key]).drop(key)

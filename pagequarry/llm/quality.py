@@ -7,8 +7,9 @@ P(grade <= k) = logistic(threshold_k - w.x). From it follow the expected grade a
 probability that selects.
 
 Defined results: a null or empty text has no terms, so the thresholds alone grade it; repeated rows
-get equal grades; without labelled rows, or with one grade only, every text gets that grade (0 if
-there is none) and is kept.
+get equal grades; texts of any length are graded whole; without labelled rows, or with one grade only,
+every text gets that grade (0 if there is none) and is kept; an empty table gives no rows; extra columns
+are carried along, whatever their names, but for one named quality__, which the result replaces.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagequarry.llm._common import ragged, small_batches, text_col
+from pagequarry.llm._common import fresh, ragged, small_batches, text_col
 from pagequarry.llm.labelled import training_rows
 
 #: Labelled rows that the regression is fitted on at most.
@@ -32,11 +33,11 @@ MIN_DOCS = 3
 #: Words and pairs of shapes that a worker, or the driver that fits, remembers.
 REMEMBERED = 100_000
 
-WORDLIKE, RUN = re.compile(r"\w+"), re.compile(r"(.)\1{3,}")
+WORDLIKE, RUN = re.compile(r"\w+"), re.compile(r"(.{1,3}?)\1{3,}")
 
 
 def shape(token: str) -> str:
-    """a for a word in lower case, A in upper, Aa capitalised, 0 for digits; signs stay, at most three of each."""
+    """a for a word in lower case, A in upper, Aa capitalised, 0 for digits; signs stay; what repeats does so three times."""
     def kind(m: re.Match) -> str:
         x = m[0]
         if x.isdigit():
@@ -47,7 +48,7 @@ def shape(token: str) -> str:
             return "A" if len(x) > 1 else "Aa"
         return "Aa" if x[1:].islower() else "m"
 
-    return RUN.sub(r"\1\1\1", WORDLIKE.sub(kind, token))[:12]
+    return RUN.sub(r"\1\1\1", WORDLIKE.sub(kind, token))
 
 
 class OrdinalRegression:
@@ -162,6 +163,7 @@ def quality(docs: DataFrame, labels: DataFrame, *, grade: int | None = None, cut
     model = spark.sparkContext.broadcast(fitted)
     best = len(fitted.grades) - 1 if grade is None else int(np.searchsorted(fitted.grades, grade))
     kept = [c for c in docs.columns if c != "quality__"]
+    text, expected_as, tail_as = (fresh(docs, n) for n in ("text__", "expected__", "tail__"))
 
     def graded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, pairs, m = {}, {}, model.value
@@ -169,14 +171,14 @@ def quality(docs: DataFrame, labels: DataFrame, *, grade: int | None = None, cut
             tails = m.tails(batch.column(0).to_pylist(), known, pairs)
             expected = m.grades[0] + tails @ np.diff(m.grades).astype(float)
             tail = np.ones(len(batch)) if best == 0 else tails[:, best - 1] if best <= tails.shape[1] else np.zeros(len(batch))
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(expected), pa.array(tail)], [*kept, "__expected", "__tail"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(expected), pa.array(tail)], [*kept, expected_as, tail_as])
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
-    out = docs.select(text_col().alias("__text"), *kept).mapInArrow(graded, f"{fields}, __expected double, __tail double")
-    verdict = F.struct(F.col("__expected").alias("expected_grade"), F.col("__tail").alias("tail"), (F.col("__tail") >= cut).alias("keep"))
-    return out.select(*kept, verdict.alias("quality__"))
+    out = docs.select(text_col().alias(text), *[F.col(f"`{c}`") for c in kept]).mapInArrow(graded, f"{fields}, `{expected_as}` double, `{tail_as}` double")
+    verdict = F.struct(F.col(expected_as).alias("expected_grade"), F.col(tail_as).alias("tail"), (F.col(tail_as) >= cut).alias("keep"))
+    return out.select(*[F.col(f"`{c}`") for c in kept], verdict.alias("quality__"))
 
 
 def accepted(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
     """The rows of docs that are kept."""
-    return quality(docs, labels, **settings).where("quality__.keep").select(*docs.columns)
+    return quality(docs, labels, **settings).where("quality__.keep").drop("quality__").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -50,7 +50,7 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     out = mix(docs, levels=default_levels(), weights=DEFAULT_WEIGHTS, budget_share=0.8, max_epochs=2, seed=42)
-    return out.select("doc_id", "mix__.domain", "mix__.lang", "mix__.source", "mix__.tokens", "mix__.epoch")
+    return out.select("doc_id", "mix__.domain", "mix__.lang", "mix__.source", "mix__.tokens", "mix__.epoch", "mix__.draw")
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

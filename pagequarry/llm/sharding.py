@@ -11,8 +11,9 @@ ones are dealt by hash into at most shards * FINE bundles, which are items too.
 split, so a group of copies larger than a fair share makes its shard larger than the rest.
 
 Defined results: a null text counts as empty, of size OVERHEAD, and is in one group with the empty
-ones; an empty table gives no rows; slots are gapless from 0 in each shard, in the order of a hash
-bucket, then doc_id (nulls first) and text.
+ones; an empty table gives no rows; a text of any length is one item; equal rows get a slot each; extra
+columns aren't read, whatever their names; slots are gapless from 0 in each shard, in the order of a hash
+bucket, then doc_id (nulls first) and text. At scale nearly all items are bundles.
 """
 
 from __future__ import annotations
@@ -22,14 +23,14 @@ from bisect import bisect_left, insort
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagequarry.llm._common import text_col
+from pagequarry.llm._common import text_col, written
 
 #: Bytes that every row takes besides its text.
 OVERHEAD = 16
 #: Items per shard that the plan is bounded to, twice: large groups, and bundles of small ones.
 FINE = 512
-#: Hash buckets of a shard in which rows are numbered side by side.
-BUCKETS = 64
+#: Rows of a hash bucket of a shard, about; the rows of one are numbered in one task.
+BUCKET_ROWS = 20_000
 
 
 def best_fit_decreasing(sizes: list[int], capacity: int, bins: int) -> list[int] | None:
@@ -72,9 +73,10 @@ def shards(docs: DataFrame, *, count: int = 40, fine: int = FINE) -> DataFrame:
     spark = docs.sparkSession
     text = text_col()
     rows = docs.select("doc_id", (F.octet_length(text).cast("long") + OVERHEAD).alias("size"), F.crc32(text).alias("text_crc32"), group_key(text).alias("key"))
+    rows = written(rows, "sizes", keep=True)
     bound = count * fine
     groups = rows.groupBy("key").agg(F.sum("size").alias("bytes"))
-    total = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    total, there = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
     large = F.col("bytes") * bound >= F.lit(total)  # at most `bound` groups can be
     bundle = F.pmod(F.xxhash64("key"), F.lit(bound))
     items = (
@@ -97,14 +99,15 @@ def shards(docs: DataFrame, *, count: int = 40, fine: int = FINE) -> DataFrame:
         .join(F.broadcast(of_bundle), "bundle", "left")
         .select("doc_id", "size", "text_crc32", "key", F.coalesce("own", "theirs").alias("shard"))
     )
-    return numbered(placed, [F.col("doc_id").asc_nulls_first(), F.col("key")]).select(
+    buckets = max(1, -(-there // (count * BUCKET_ROWS)))
+    return numbered(placed, [F.col("doc_id").asc_nulls_first(), F.col("key")], buckets).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
 
 
-def numbered(placed: DataFrame, order: list[Column]) -> DataFrame:
-    """placed with a gapless slot from 0 in each shard; a shard's rows are numbered in BUCKETS tasks."""
-    placed = placed.withColumn("bucket", F.pmod(F.xxhash64(*[c for c in placed.columns if c != "shard"], F.lit("slot")), F.lit(BUCKETS)).cast("int"))
+def numbered(placed: DataFrame, order: list[Column], buckets: int) -> DataFrame:
+    """placed with a gapless slot from 0 in each shard; a shard's rows are numbered in `buckets` tasks, whose row counts the driver adds up."""
+    placed = placed.withColumn("bucket", F.pmod(F.xxhash64(*[c for c in placed.columns if c != "shard"], F.lit("slot")), F.lit(buckets)).cast("int"))
     sizes = {(r["shard"], r["bucket"]): r["count"] for r in placed.groupBy("shard", "bucket").count().collect()}
     starts, at = [], 0
     for shard, b in sorted(sizes):

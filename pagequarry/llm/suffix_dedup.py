@@ -1,17 +1,21 @@
 """Removal of passages of at least WINDOW bytes that occur more than once, by suffix arrays per shard.
 
-Texts are UTF-8 bytes. Every string of WINDOW bytes has an anchor: the least hash among the GRAM-byte
-strings in it (the leftmost of equal ones). Equal strings have equal anchors, so all that must be
-compared lies in regions around anchors whose hash occurs more than once:
-
-1. Each text's anchors are found by rolling hashes; a region is what the windows of one anchor cover.
-2. Regions that occur as a whole more than once are repeated throughout; sums over their digests
-   show it, whatever the number of copies.
+Texts are UTF-8 bytes. Strings are judged at two lengths: those of WINDOW bytes are removed, those of
+PASSAGE bytes (about fifty words) are reported. Every string of PASSAGE bytes has an anchor: the least
+hash among the GRAM-byte strings in it (the leftmost of equal ones). Equal strings have equal anchors,
+and so have longer ones that begin alike, so all that must be compared lies in regions around anchors
+whose hash occurs more than once:
+
+1. Each text's anchors are found by rolling hashes; a region is what the PASSAGE-byte strings of one
+   anchor cover, and goes on as far as WINDOW-byte strings that begin in it reach.
+2. Equal regions are one region that occurs several times, and are repeated throughout; sums over their
+   digests show it, whatever the number of copies.
 3. What is left are distinct regions of an anchor, where repeated passages begin and end. They go to
    shards by their anchor. Each shard sorts its suffixes by Larsson and Sadakane's refinement (groups
    of equal prefixes, doubled in length until all are single) and derives the common prefixes of
    neighbours by Kasai's rule in its vector form (the common prefix of a suffix is at least its
-   predecessor's less one; only where the bytes before differ is it measured).
+   predecessor's less one; only where the bytes before differ is it measured). Common prefixes of
+   WINDOW and of PASSAGE bytes part the suffixes into classes of equal strings.
 4. An anchor with more distinct regions than a shard takes is decided across shards. Its windows are
    taken in blocks of STEP, aligned at the anchor: a block whose bytes occur twice is repeated as a
    whole; one whose core, the bytes that all its windows hold, occurs once holds no repeated window.
@@ -20,7 +24,8 @@ compared lies in regions around anchors whose hash occurs more than once:
 
 Defined results: a null text counts as empty; texts shorter than WINDOW lose nothing; a passage that
 repeats inside one text, overlapping itself included, counts; rows equal in id and text count as two
-occurrences; no text is too long.
+occurrences; texts of any length are read whole, in pieces of PIECE bytes; an empty table gives no rows;
+extra columns aren't read, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,16 +38,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagequarry.llm._common import mix64, row_key, small_batches, text_col, written
+from pagequarry.llm._common import mix64, row_key, scratch, small_batches, text_col, written
 
 WINDOW = 400
-GRAM = 96
+PASSAGE = 256
+GRAM = 64
 #: Distinct regions of one anchor in a shard at most.
 REGIONS = 1024
 #: Windows of a block.
 STEP = 32
 #: Bytes whose suffixes are sorted at once (whole groups of one anchor: a block may exceed it by one group).
 BLOCK = 1 << 20
+#: Windows of a long text, and bytes of several short ones, whose anchors are found at once.
+PIECE = 1 << 20
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
@@ -76,7 +84,7 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(backward[:n], forward[width - 1 : width - 1 + n])
 
 
-def anchors(b: np.ndarray, starts: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def anchors(b: np.ndarray, starts: np.ndarray, window: int = PASSAGE, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, first window, last window, place, hash) of each anchor in texts that lie one after another in b from `starts`."""
     lengths = np.diff(starts)
     hashes = rolling(b, gram)
@@ -169,19 +177,20 @@ def common_prefixes(b: np.ndarray, sa: np.ndarray) -> np.ndarray:
     return prefix[sa]
 
 
-def repeated(snippets: list[bytes], windows: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For the windows that start in the first `windows[i]` bytes of each snippet: their snippet, their
-    offset, the class of equal windows that each is of, and the number of windows in that class."""
-    lengths = np.fromiter(map(len, snippets), dtype=np.int64, count=len(snippets))
-    starts = np.cumsum(lengths) - lengths
-    b = np.frombuffer(b"".join(snippets), dtype=np.uint8)
+def repeated(b: np.ndarray, starts: np.ndarray, firsts: np.ndarray, widths: tuple[int, ...]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each width: the windows that begin in the first `firsts[i]` bytes of snippet i and end in it (their snippet and
+    offset), and the number of equal ones. The snippets lie one after another in b from `starts`."""
+    lengths = np.diff(starts)
     sa = suffix_array(b)
-    group = np.empty(len(b), dtype=np.int64)
-    group[sa] = np.cumsum(common_prefixes(b, sa) < window)
-    snippet = np.repeat(np.arange(len(snippets)), windows)
-    offset = np.arange(len(snippet)) - (np.cumsum(windows) - windows)[snippet]
-    group = group[starts[snippet] + offset]
-    return snippet, offset, group, np.bincount(group)[group]
+    prefixes = common_prefixes(b, sa)
+    for width in widths:
+        group = np.empty(len(b), dtype=np.int64)
+        group[sa] = np.cumsum(prefixes < width)
+        windows = np.clip(np.minimum(firsts, lengths - width + 1), 0, None)
+        snippet = np.repeat(np.arange(len(lengths)), windows)
+        offset = np.arange(len(snippet)) - (np.cumsum(windows) - windows)[snippet]
+        own = group[starts[snippet] + offset]
+        yield width, snippet, offset, np.bincount(own, minlength=1)[own]
 
 
 def runs(owner: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -194,48 +203,74 @@ def runs(owner: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return owner[first], at[first], at[np.append(first[1:], len(at)) - 1]
 
 
+def _pieces(texts: list[bytes]) -> Iterator[list[tuple[int, int, bytes]]]:
+    """Groups of (row, offset, bytes) of about PIECE bytes; a long text's pieces overlap by what a window reaches."""
+    group: list[tuple[int, int, bytes]] = []
+    size = 0
+    for i, t in enumerate(texts):
+        for at in range(0, max(1, len(t) - PASSAGE + 1), PIECE):
+            piece = t[at : at + PIECE + PASSAGE - 1]
+            if group and size + len(piece) > PIECE + PASSAGE:
+                yield group
+                group, size = [], 0
+            group.append((i, at, piece))
+            size += len(piece)
+    if group:
+        yield group
+
+
 def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column(1).to_pylist()
-        for k in range(0, len(texts), 128):
-            part = texts[k : k + 128]
-            starts = np.concatenate([[0], np.cumsum([len(t) for t in part])]).astype(np.int64)
-            data = b"".join(part)
-            text, first, last, place, hashed = anchors(np.frombuffer(data, dtype=np.uint8), starts)
-            a, e = (starts[text] + first).tolist(), (starts[text] + last + WINDOW).tolist()
-            digest = [blake2b(data[i:j], digest_size=16).digest() for i, j in zip(a, e, strict=True)]
+        for group in _pieces(texts):
+            starts = np.concatenate([[0], np.cumsum([len(x) for *_, x in group])]).astype(np.int64)
+            piece, first, last, place, hashed = anchors(np.frombuffer(b"".join(x for *_, x in group), dtype=np.uint8), starts)
+            row, offset = (np.array([x[k] for x in group], dtype=np.int64)[piece] for k in (0, 1))
+            first, last, place = first + offset, last + offset, place + offset
+            stop = np.minimum(last + WINDOW, np.array([len(t) for t in texts], dtype=np.int64)[row])
+            digest = [blake2b(texts[r][i:j], digest_size=16).digest() for r, i, j in zip(row.tolist(), first.tolist(), stop.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(text + k)), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)), pa.array(place.astype(np.int32)), pa.array(hashed.view(np.int64)), pa.array(digest, pa.binary())],
-                ["row_key", "first", "last", "place", "anchor", "region"],
+                [batch.column(0).take(pa.array(row)), *(pa.array(x.astype(np.int32)) for x in (first, last, place, stop)), pa.array(hashed.view(np.int64)), pa.array(digest, pa.binary())],
+                ["row_key", "first", "last", "place", "stop", "anchor", "region"],
             )
 
 
 def _sorted_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come in the order of their anchor: blocks of whole groups, each with its suffix array."""
-
-    def block(rows: list[dict]) -> pa.RecordBatch:
-        windows = np.array([r["last"] - r["first"] + 1 for r in rows], dtype=np.int64)
-        snippet, offset, _, count = repeated([r["bytes"] for r in rows], windows)
-        wanted = np.array([r["wanted"] for r in rows], dtype=bool)
-        who, a, z = runs(*(x[(count > 1) & wanted[snippet]] for x in (snippet, offset)))
-        begin = np.array([r["first"] for r in rows], dtype=np.int64)[who]
-        return pa.RecordBatch.from_arrays([pa.array([rows[i]["row_key"] for i in who], pa.binary()), pa.array((begin + a).astype(np.int32)), pa.array((begin + z + WINDOW).astype(np.int32))], ["row_key", "begin", "end"])
-
-    held: list[dict] = []
+    """Rows (row_key, first, last, anchor, wanted, bytes) come in the order of their anchor: blocks of whole groups, each with its suffix array."""
+
+    def block(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        t = t.combine_chunks()
+        column = {c: t[c].chunk(0) for c in ("row_key", "bytes")} if t.num_rows else {}
+        first, last, wanted = (t[c].to_numpy() for c in ("first", "last", "wanted"))
+        own = column["bytes"]
+        offsets = np.frombuffer(own.buffers()[1], dtype=np.int32)[own.offset : own.offset + len(own) + 1].astype(np.int64)
+        b = np.frombuffer(own.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]]
+        for width, snippet, offset, count in repeated(b, offsets - offsets[0], (last - first + 1).astype(np.int64), (WINDOW, PASSAGE)):
+            who, a, z = runs(*(x[(count > 1) & wanted[snippet].astype(bool)] for x in (snippet, offset)))
+            spans = (first[who] + a, first[who] + z + width, np.full(len(who), width))
+            yield pa.RecordBatch.from_arrays([column["row_key"].take(pa.array(who)), *(pa.array(x.astype(np.int32)) for x in spans)], ["row_key", "begin", "end", "width"])
+
+    held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
-        for r in batch.to_pylist():
-            if size >= BLOCK and r["anchor"] != held[-1]["anchor"]:
-                yield block(held)
-                held, size = [], 0
-            held.append(r)
-            size += len(r["bytes"])
-    if held:
-        yield block(held)
-
-
-def crowded(snippets: DataFrame) -> DataFrame:
-    """Repeated windows among regions (row_key, first, last, place, wanted, bytes) of anchors that one shard can't take."""
+        held.append(batch)
+        size += batch.nbytes
+        if size >= BLOCK:
+            t = pa.Table.from_batches(held)
+            anchor = t["anchor"].to_numpy()
+            before = np.flatnonzero(anchor != anchor[-1])
+            if len(before):
+                cut = int(before[-1]) + 1
+                yield from block(t.slice(0, cut))
+                held = t.slice(cut).combine_chunks().to_batches()
+            size = sum(x.nbytes for x in held)
+    if sum(map(len, held)):
+        yield from block(pa.Table.from_batches(held))
+
+
+def crowded(snippets: DataFrame, width: int) -> DataFrame:
+    """Repeated windows of a width among regions (row_key, first, last, place, stop, wanted, bytes) of anchors that one shard can't take."""
+    snippets = snippets.withColumn("last", F.least("last", F.col("stop") - width)).where("last >= first")
     span = lambda begin, length: F.substring("bytes", begin - F.col("first") + 1, length)
     step = F.lit(STEP)
     block = F.explode(F.sequence(F.floor((F.col("place") - F.col("last")) / step), F.floor((F.col("place") - F.col("first")) / step)))
@@ -243,19 +278,20 @@ def crowded(snippets: DataFrame) -> DataFrame:
     cut = cut.withColumn("low", F.greatest(F.col("first"), F.col("core_at") - (STEP - 1))).withColumn("high", F.least("last", "core_at"))
     digest = lambda begin, length, note: F.unhex(F.md5(F.concat(span(begin, length), note.cast("string").cast("binary"))))
     cut = cut.select(
-        "row_key", "low", "high", "wanted", span(F.col("low"), F.col("high") - F.col("low") + WINDOW).alias("bytes"),
-        digest(F.col("low"), F.col("high") - F.col("low") + WINDOW, F.col("place") - F.col("low")).alias("hull"), digest(F.col("core_at"), F.lit(WINDOW - STEP + 1), F.col("block")).alias("core"),
+        "row_key", "low", "high", "wanted", span(F.col("low"), F.col("high") - F.col("low") + width).alias("bytes"),
+        digest(F.col("low"), F.col("high") - F.col("low") + width, F.col("place") - F.col("low")).alias("hull"), digest(F.col("core_at"), F.lit(width - STEP + 1), F.col("block")).alias("core"),
     )
     cut = written(cut, "blocks")
     hulls = cut.groupBy("hull").agg(F.count(F.lit(1)).alias("n"), F.first("core").alias("core"), F.min(F.struct("row_key", "low")).alias("one"))
     hulls = written(hulls, "hulls")
     several = hulls.groupBy("core").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
-    whole = cut.where("wanted").join(hulls.where("n > 1").select("hull"), "hull", "left_semi").select("row_key", F.col("low").alias("begin"), (F.col("high") + WINDOW).alias("end"))
+    whole = cut.where("wanted").join(hulls.where("n > 1").select("hull"), "hull", "left_semi").select("row_key", F.col("low").alias("begin"), (F.col("high") + width).alias("end"))
     # One block of each kind whose core occurs in other kinds too, window by window; of those that occur once it is asked.
     open_ = hulls.join(several.select("core"), "core", "left_semi").select("one.row_key", "one.low", (F.col("n") == 1).alias("single"))
     asked = cut.join(open_, ["row_key", "low"]).withColumn("begin", F.explode(F.sequence("low", "high")))
-    asked = asked.select("row_key", "begin", (F.col("begin") + WINDOW).cast("int").alias("end"), F.unhex(F.md5(F.substring("bytes", F.col("begin") - F.col("low") + 1, F.lit(WINDOW)))).alias("digest"), (F.col("single") & F.col("wanted")).alias("open"))
-    return whole.union(asked.repartition("digest").sortWithinPartitions("digest").mapInArrow(_merged, "row_key binary, begin int, end int"))
+    asked = asked.select("row_key", "begin", (F.col("begin") + width).cast("int").alias("end"), F.unhex(F.md5(F.substring("bytes", F.col("begin") - F.col("low") + 1, F.lit(width)))).alias("digest"), (F.col("single") & F.col("wanted")).alias("open"))
+    merged = asked.repartition("digest").sortWithinPartitions("digest").mapInArrow(_merged, "row_key binary, begin int, end int")
+    return whole.union(merged).withColumn("width", F.lit(width))
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,48 +318,64 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield found(rest)
 
 
+def covered(spans: list[tuple[int, int]]) -> list[list[int]]:
+    """Maximal runs of the union of (begin, end)."""
+    out: list[list[int]] = []
+    for begin, end in sorted(spans):
+        if out and begin <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], end)
+        else:
+            out.append([begin, end])
+    return out
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out: list[list] = [[], [], [], [], []]
+        out: list[list] = [[], [], [], [], [], []]
         for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            removed: list[list[int]] = []
-            for s in sorted((s["begin"], s["end"]) for s in spans or ()):
-                if removed and s[0] <= removed[-1][1]:
-                    removed[-1][1] = max(removed[-1][1], s[1])
-                else:
-                    removed.append(list(s))
+            removed = covered([(s["begin"], s["end"]) for s in spans or () if s["width"] == WINDOW])
+            passages = covered([(s["begin"], s["end"]) for s in spans or ()])
             edges = [0, *(x for r in removed for x in r), len(text)]
-            kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-            for of, x in zip(out, (len(text), len(text) - len(kept), len(removed), sha256(kept).hexdigest(), kept), strict=True):
+            kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)) if removed else text
+            for of, x in zip(out, (len(text), len(text) - len(kept), len(removed), sha256(kept).hexdigest(), sum(b - a for a, b in passages), kept), strict=True):
                 of.append(x)
-        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()), strict=True))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, t) for x, t in zip(out, kinds, strict=True))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passage_bytes", "kept"])
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """row_key, begin and end (bytes) of repeated windows, in runs that may overlap."""
+    """row_key, begin, end (bytes) and width of repeated windows, in runs that may overlap."""
     spark = docs.sparkSession
     small_batches(spark)
     texts = docs.select(row_key().alias("row_key"), text_col().cast("binary").alias("text"))
-    found = written(texts.where(F.length("text") >= WINDOW).mapInArrow(_anchored, "row_key binary, first int, last int, place int, anchor long, region binary"), "anchors")
-    regions = written(found.groupBy("anchor", "region").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row_key", "first", "last", "place")).alias("one")), "regions")
+    long_enough = texts.where(F.length("text") >= PASSAGE)
+    found = written(long_enough.mapInArrow(_anchored, "row_key binary, first int, last int, place int, stop int, anchor long, region binary"), "anchors")
+    regions = written(found.groupBy("anchor", "region").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row_key", "first", "last", "place", "stop")).alias("one")), "regions")
     copied = regions.where("n > 1").select("region")
-    whole = found.join(copied, "region").select("row_key", F.col("first").alias("begin"), (F.col("last") + WINDOW).alias("end"))
+    wide = F.col("stop") - F.col("first") >= WINDOW
+    whole = found.join(copied, "region").select("row_key", F.col("first").alias("begin"), F.when(wide, F.col("stop")).otherwise(F.col("last") + PASSAGE).alias("end"), F.when(wide, WINDOW).otherwise(PASSAGE).alias("width"))
     # Anchors with several regions, some of which occur once: those are wanted, one of each of the others is a partner.
     several = regions.groupBy("anchor").agg(F.count(F.lit(1)).alias("regions"), F.min("n").alias("least")).where("regions > 1 and least = 1")
     partly = regions.join(several.select("anchor", "regions"), "anchor").select("one.*", "anchor", (F.col("regions") > REGIONS).alias("crowd"), (F.col("n") == 1).alias("wanted"))
     partly = written(partly, "partly")
-    piece = F.substring("text", F.col("first") + 1, F.col("last") - F.col("first") + WINDOW)
-    snippets = partly.join(texts, "row_key").select("row_key", "first", "last", "place", "anchor", "crowd", "wanted", piece.alias("bytes")).dropDuplicates(["row_key", "first"])
+    piece = F.substring("text", F.col("first") + 1, F.col("stop") - F.col("first"))
+    snippets = partly.join(texts, "row_key").select("row_key", "first", "last", "place", "stop", "anchor", "crowd", "wanted", piece.alias("bytes")).dropDuplicates(["row_key", "first"])
     snippets = written(snippets, "snippets")
-    dealt = snippets.where("not crowd").repartition("anchor").sortWithinPartitions("anchor", "row_key", "first")
-    sorted_ = dealt.mapInArrow(_sorted_shards, "row_key binary, begin int, end int")
-    return whole.union(sorted_).union(crowded(snippets.where("crowd")))
+    dealt = snippets.where("not crowd").select("row_key", "first", "last", "anchor", "wanted", "bytes").repartition("anchor").sortWithinPartitions("anchor", "row_key", "first")
+    out = whole.union(dealt.mapInArrow(_sorted_shards, "row_key binary, begin int, end int, width int"))
+    crowds = snippets.where("crowd")
+    if not crowds.isEmpty():
+        for width in (WINDOW, PASSAGE):
+            out = out.union(crowded(crowds, width))
+    return out
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the remaining bytes) of every row."""
-    spans = repeated_spans(docs).groupBy("row_key").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
-    spans = written(spans, "spans")
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_passage_bytes (bytes of PASSAGE-byte strings that also start elsewhere) and kept (the remaining bytes) of every row."""
+    with scratch(docs.sparkSession):
+        spans = repeated_spans(docs).groupBy("row_key").agg(F.collect_set(F.struct("begin", "end", "width")).alias("spans"))
+        spans = written(spans, "spans", keep=True)
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", row_key().alias("row_key"), text_col().cast("binary").alias("text")).join(spans, "row_key", "left")
-    return rows.select("doc_id", "text", "spans").mapInArrow(_cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    fields = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passage_bytes long, kept binary"
+    return rows.select("doc_id", "text", "spans").mapInArrow(_cut, fields)

@@ -6,7 +6,9 @@ sequence has a rank. The surviving symbols are the tokens. Distinct pre-tokens a
 their counts kept in a bounded table, so that a word costs one look-up.
 
 Defined results: a null text counts as empty (0 tokens); special strings of the vocabulary are cut
-out first and count as one token each, as the library does by default; nothing is truncated.
+out first and count as one token each, as the library does by default; texts of any length are counted
+whole; repeated rows get equal counts; an empty table gives no rows; extra columns aren't read, whatever
+their names; a vocabulary with another kind of pre-tokens or with a normaliser is an error.
 """
 
 from __future__ import annotations
@@ -38,11 +40,14 @@ def byte_letters() -> dict[str, int]:
 
 
 class BytePairCounter:
-    """Counts tokens of texts; built in each worker from the vocabulary file."""
+    """Counts tokens of texts; built once from the vocabulary file, its arrays go to the workers."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        split = spec.get("pre_tokenizer") or {}
+        if split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True) or spec.get("normalizer"):
+            raise ValueError(f"{path}: only byte-level vocabularies without normalisation are counted")
         vocab, letters = spec["model"]["vocab"], byte_letters()
         self.start = np.zeros(256, dtype=np.int64)
         for letter, b in letters.items():
@@ -128,11 +133,12 @@ class BytePairCounter:
 
 
 def token_counts(docs: DataFrame, vocabulary: str, *, limit: int = 1024, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, n_bytes, n_tokens and over_limit (n_tokens > limit) of every row; vocabulary is a path that workers can read."""
+    """id, n_bytes, n_tokens and over_limit (n_tokens > limit) of every row; vocabulary is a path that the driver can read."""
     small_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(BytePairCounter(vocabulary))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = BytePairCounter(vocabulary)
+        counter = shared.value
         for batch in batches:
             tokens = pa.array(counter.counts(batch.column(2).to_pylist()), type=pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), tokens], ["id", "n_bytes", "n_tokens"])

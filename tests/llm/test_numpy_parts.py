@@ -8,6 +8,7 @@ import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -196,12 +197,45 @@ def test_equal_windows_have_equal_anchors():
     for t, a, z, p, h in zip(text, first, last, place, hashed, strict=True):
         for w in range(a, z + 1):
             owner[t, w] = (int(p) - w, int(h))
-    assert len(owner) == sum(max(0, len(t) - 399) for t in texts)
+    width = suffix_dedup.PASSAGE
+    assert len(owner) == sum(max(0, len(t) - width + 1) for t in texts)
     at = [t.index(passage) for t in texts]
-    for k in range(301):
+    for k in range(701 - width):
         assert len({owner[i, at[i] + k] for i in range(3)}) == 1
 
 
+def test_pieces_of_long_texts_change_no_anchor(monkeypatch):
+    rng = random.Random(4)
+    texts = [bytes(rng.randrange(97, 100) for _ in range(n)) for n in (0, 255, 256, 257, 999, 5000, 12000, 300)]
+
+    def anchored():
+        batch = pa.RecordBatch.from_arrays([pa.array([bytes([k]) for k in range(len(texts))]), pa.array(texts)], ["row_key", "text"])
+        out = {}
+        for got in suffix_dedup._anchored(iter([batch])):
+            for r in got.to_pylist():
+                assert r["stop"] == min(r["last"] + suffix_dedup.WINDOW, len(texts[r["row_key"][0]]))
+                for w in range(r["first"], r["last"] + 1):
+                    assert out.setdefault((r["row_key"], w), (r["place"], r["anchor"])) == (r["place"], r["anchor"])
+        return out
+
+    whole = anchored()
+    assert len(whole) == sum(max(0, len(t) - suffix_dedup.PASSAGE + 1) for t in texts)
+    monkeypatch.setattr(suffix_dedup, "PIECE", 700)
+    assert anchored() == whole
+
+
+def test_both_widths_of_repeats():
+    rng = random.Random(6)
+    passage = bytes(rng.randrange(97, 123) for _ in range(500))
+    snippets = [passage[k : k + n] + bytes(rng.randrange(97, 123) for _ in range(rng.randint(0, 80))) for k, n in ((0, 500), (10, 420), (100, 300), (0, 450), (200, 256))]
+    starts = np.concatenate([[0], np.cumsum([len(x) for x in snippets])])
+    for width, snippet, offset, count in suffix_dedup.repeated(np.frombuffer(b"".join(snippets), dtype=np.uint8), starts, np.array([60] * 5), (400, 256)):
+        got = dict(zip(zip(snippet.tolist(), offset.tolist()), count.tolist(), strict=True))
+        windows = {(i, k): x[k : k + width] for i, x in enumerate(snippets) for k in range(min(60, len(x) - width + 1))}
+        times = Counter(windows.values())
+        assert got == {at: times[w] for at, w in windows.items()}
+
+
 # --- vectors --------------------------------------------------------------------------------------------
 
 

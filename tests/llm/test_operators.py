@@ -248,17 +248,22 @@ def test_mixing_awkward(docs, empty):
     assert mixing.share(10, {"a": 0.0, "b": 1.0}, {"a": 5, "b": 3}) == {"a": 0.0, "b": 3}
 
 
-def brute_repeats(rows, window=400):
+def brute_repeats(rows, window=400, passage=256):
     texts = [(i, (t or "").encode()) for i, t, *_ in rows]
-    seen = Counter(t[k : k + window] for _, t in texts for k in range(len(t) - window + 1))
+
+    def covered(width):
+        seen = Counter(t[k : k + width] for _, t in texts for k in range(len(t) - width + 1))
+        for _, t in texts:
+            hit = bytearray(len(t))
+            for k in range(len(t) - width + 1):
+                if seen[t[k : k + width]] > 1:
+                    hit[k : k + width] = b"\1" * width
+            yield hit
+
     out = []
-    for i, t in texts:
-        hit = bytearray(len(t))
-        for k in range(len(t) - window + 1):
-            if seen[t[k : k + window]] > 1:
-                hit[k : k + window] = b"\1" * window
+    for (i, t), hit, near in zip(texts, covered(window), covered(passage), strict=True):
         kept = bytes(c for c, h in zip(t, hit, strict=True) if not h)
-        out.append((i, len(t), sum(hit), len(re.findall(b"\1+", bytes(hit))), hashlib.sha256(kept).hexdigest()))
+        out.append((i, len(t), sum(hit), len(re.findall(b"\1+", bytes(hit))), hashlib.sha256(kept).hexdigest(), sum(near)))
     return Counter(out)
 
 
