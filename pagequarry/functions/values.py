@@ -12,23 +12,42 @@ from pyspark.sql import functions as F
 
 from pagequarry.model import LANG_STRING, XSD
 
-#: Words of scale by language, and the zeros that they stand for.
+#: Words of scale by language, and the zeros that they stand for.
 SCALES = {
     "en": {"thousand": 3, "million": 6, "mio": 6, "mln": 6, "billion": 9, "bln": 9, "trillion": 12, "quadrillion": 15},
     "de": {"tausend": 3, "million": 6, "millionen": 6, "mio": 6, "milliarde": 9, "milliarden": 9, "mrd": 9, "billion": 12, "billionen": 12},
     "fr": {"mille": 3, "million": 6, "millions": 6, "milliard": 9, "milliards": 9, "billion": 12},
     "es": {"mil": 3, "millón": 6, "millones": 6, "millardo": 9, "billón": 12, "billones": 12},
+    "it": {"mila": 3, "milione": 6, "milioni": 6, "miliardo": 9, "miliardi": 9},
+    "pt": {"mil": 3, "milhão": 6, "milhões": 6, "bilhão": 9, "bilhões": 9, "trilhão": 12, "trilhões": 12},
+    "nl": {"duizend": 3, "miljoen": 6, "mln": 6, "miljard": 9, "mld": 9, "biljoen": 12},
+    "pl": {"tysiąc": 3, "tysiące": 3, "tysięcy": 3, "tys": 3, "milion": 6, "miliony": 6, "milionów": 6, "mln": 6, "miliard": 9, "miliardy": 9, "miliardów": 9, "mld": 9},
+    "ru": {"тысяча": 3, "тысячи": 3, "тысяч": 3, "тыс": 3, "миллион": 6, "миллиона": 6, "миллионов": 6, "млн": 6, "миллиард": 9, "миллиарда": 9, "миллиардов": 9, "млрд": 9},
+    "sv": {"tusen": 3, "miljon": 6, "miljoner": 6, "mn": 6, "miljard": 9, "miljarder": 9},
+    "cs": {"tisíc": 3, "tisíce": 3, "milion": 6, "miliony": 6, "milionů": 6, "mil": 6, "miliarda": 9, "miliardy": 9, "miliard": 9, "mld": 9},
+    "tr": {"bin": 3, "milyon": 6, "milyar": 9, "trilyon": 12},
 }
 #: Languages in which a comma marks decimals.
-COMMA_DECIMALS = ("de", "fr", "es")
+COMMA_DECIMALS = ("de", "fr", "es", "it", "pt", "nl", "pl", "ru", "sv", "cs", "tr", "el", "hu")
 
+#: The months by language.
 MONTHS = {
     "en": "january february march april may june july august september october november december",
     "de": "januar februar märz april mai juni juli august september oktober november dezember",
     "fr": "janvier février mars avril mai juin juillet août septembre octobre novembre décembre",
     "es": "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre",
+    "it": "gennaio febbraio marzo aprile maggio giugno luglio agosto settembre ottobre novembre dicembre",
+    "pt": "janeiro fevereiro março abril maio junho julho agosto setembro outubro novembro dezembro",
+    "nl": "januari februari maart april mei juni juli augustus september oktober november december",
+    "pl": "stycznia lutego marca kwietnia maja czerwca lipca sierpnia września października listopada grudnia",
+    "ru": "января февраля марта апреля мая июня июля августа сентября октября ноября декабря",
+    "sv": "januari februari mars april maj juni juli augusti september oktober november december",
+    "cs": "ledna února března dubna května června července srpna září října listopadu prosince",
+    "tr": "ocak şubat mart nisan mayıs haziran temmuz ağustos eylül ekim kasım aralık",
+    "el": "ιανουαρίου φεβρουαρίου μαρτίου απριλίου μαΐου ιουνίου ιουλίου αυγούστου σεπτεμβρίου οκτωβρίου νοεμβρίου δεκεμβρίου",
+    "hu": "január február március április május június július augusztus szeptember október november december",
 }
-BEFORE_CHRIST = r"(?:BCE|BC|B\.C\.|v\. ?Chr\.|av\. ?J\.-C\.|a\. ?C\.)"
+BEFORE_CHRIST = r"(?:BCE|BC|B\.C\.|v\. ?Chr\.|av\. ?J\.-C\.|a\. ?C\.|p\.n\.e\.|до н\. ?э\.|f\.Kr\.|př\. ?n\. ?l\.|π\.Χ\.)"
 
 #: (dimension, unit, labels, factor, offset): standard value = (value + offset) * factor; without a factor there is no conversion.
 UNITS: list[tuple[str, str, tuple[str, ...], float | None, float]] = [
@@ -155,14 +174,15 @@ def parse_integer(x: Column, lang: str = "en", kind: str = "integer", factor: fl
     return let(F.round(parse_double(x, lang) * factor).cast("long"), inside)
 
 
-TRUE_WORDS = {"en": "true|yes", "de": "wahr|ja|true", "fr": "vrai|oui|true", "es": "verdadero|s[ií]|true"}
-FALSE_WORDS = {"en": "false|no", "de": "falsch|nein|false", "fr": "faux|non|false", "es": "falso|no|false"}
+#: Words for true and false by language; languages without any have those of English.
+TRUE_WORDS = {"en": "true|yes", "de": "wahr|ja|true", "fr": "vrai|oui|true", "es": "verdadero|s[ií]|true", "it": "vero|s[iì]|true", "pt": "verdadeiro|sim|true", "nl": "waar|ja|true", "pl": "prawda|tak|true", "ru": "истина|да|true", "sv": "sant|ja|true", "cs": "pravda|ano|true", "tr": "doğru|evet|true", "el": "αληθές|ναι|true"}
+FALSE_WORDS = {"en": "false|no", "de": "falsch|nein|false", "fr": "faux|non|false", "es": "falso|no|false", "it": "falso|no|false", "pt": "falso|n[aã]o|false", "nl": "onwaar|nee|false", "pl": "fałsz|nie|false", "ru": "ложь|нет|false", "sv": "falskt|nej|false", "cs": "nepravda|ne|false", "tr": "yanlış|hayır|false", "el": "ψευδές|όχι|false"}
 
 
 def parse_boolean(x: Column, lang: str = "en") -> Column:
     """Words for false are tried first."""
     word = lambda w: F.lower(x).rlike(rf"(?:^|[^\p{{L}}])(?:{w})(?:$|[^\p{{L}}])")
-    return F.when(word(FALSE_WORDS[lang]), F.lit(False)).when(word(TRUE_WORDS[lang]), F.lit(True))
+    return F.when(word(FALSE_WORDS.get(lang, FALSE_WORDS["en"])), F.lit(False)).when(word(TRUE_WORDS.get(lang, TRUE_WORDS["en"])), F.lit(True))
 
 
 def parse_enumeration(x: Column, literals: dict[str, tuple[str, ...]]) -> Column:
@@ -192,7 +212,7 @@ def let(x: Column, body) -> Column:  # noqa: ANN001
 
 def month_number(word: Column, lang: str) -> Column:
     """1 to 12 by the name of a month, or by its first three letters where no other begins so."""
-    names = MONTHS[lang].split()
+    names = MONTHS.get(lang, MONTHS["en"]).split()
     known = {name: k for k, name in enumerate(names, 1)}
     known |= {name[:3]: k for k, name in enumerate(names, 1) if sum(n[:3] == name[:3] for n in names) == 1}
     table = F.create_map(*[F.lit(v) for kv in known.items() for v in kv])
@@ -283,14 +303,15 @@ def combine_dates(*dates: Column) -> Column:
     return let(F.array(*dates), lambda ds: partial_date(first(ds, "y"), first(ds, "m"), first(ds, "d")))
 
 
-PRESENT = {"en": "present|now", "de": "heute", "fr": "aujourd.hui|pr[ée]sent", "es": "presente|actualidad"}
-SINCE = {"en": "since|onwards?", "de": "seit|ab", "fr": "depuis", "es": "desde"}
-UNTIL = {"en": "to|until", "de": "bis", "fr": "[àa]", "es": "hasta|a"}
+#: Words of open and closed intervals by language; languages without any have those of English.
+PRESENT = {"en": "present|now", "de": "heute", "fr": "aujourd.hui|pr[ée]sent", "es": "presente|actualidad", "it": "oggi|presente", "pt": "presente|atualmente|hoje", "nl": "heden", "pl": "obecnie|dziś", "ru": "настоящее|н\\. ?в\\.", "sv": "nu|idag", "cs": "dosud|současnost", "tr": "günümüz"}
+SINCE = {"en": "since|onwards?", "de": "seit|ab", "fr": "depuis", "es": "desde", "it": "dal|da", "pt": "desde", "nl": "sinds", "pl": "od", "ru": "с", "sv": "sedan", "cs": "od", "tr": "beri"}
+UNTIL = {"en": "to|until", "de": "bis", "fr": "[àa]", "es": "hasta|a", "it": "al|a|fino", "pt": "a|até", "nl": "tot", "pl": "do", "ru": "по|до", "sv": "till", "cs": "do", "tr": "ile"}
 
 
 def parse_date_interval(x: Column, lang: str = "en") -> Column:
     """start and end: "a – b", "a to b", "a – present" and "since a" (open end), one date (both), a reversed pair (start only)."""
-    pattern = rf"\s*[-−–—]+\s*(?!\d{{2}}\b)|\s+(?:{UNTIL[lang]})\s+|(?<=\d{{4}})[-−–—](?=\d{{4}})"
+    pattern = rf"\s*[-−–—]+\s*(?!\d{{2}}\b)|\s+(?:{UNTIL.get(lang, UNTIL['en'])})\s+|(?<=\d{{4}})[-−–—](?=\d{{4}})"
     none = F.lit(None).cast(DATE_TYPE)
     sortable = lambda d: d["y"] * 10000 + F.coalesce(d["m"], F.lit(0)) * 100 + F.coalesce(d["d"], F.lit(0))
 
@@ -300,7 +321,7 @@ def parse_date_interval(x: Column, lang: str = "en") -> Column:
         return F.when(a.isNotNull(), F.struct(a.alias("start"), end.alias("end")))
 
     dates = F.transform(F.slice(F.split(x, pattern), 1, 2), lambda p: parse_date(p, lang))
-    open_ = x.rlike(rf"(?i)\b(?:{PRESENT[lang]}|{SINCE[lang]})")
+    open_ = x.rlike(rf"(?i)(?<!\p{{L}})(?:{PRESENT.get(lang, PRESENT['en'])}|{SINCE.get(lang, SINCE['en'])})(?!\p{{L}})")
     return let(F.struct(dates.alias("dates"), open_.alias("open")), read)
 
 
@@ -364,35 +385,63 @@ def geez_number(x: Column) -> Column:
 
 # --- durations, units, coordinates --------------------------------------------------------------
 
-DURATION_UNITS = {"second": 1, "seconds": 1, "sec": 1, "secs": 1, "s": 1, "minute": 60, "minutes": 60, "min": 60, "mins": 60, "m": 60, "hour": 3600, "hours": 3600, "hr": 3600, "hrs": 3600, "h": 3600, "day": 86400, "days": 86400, "d": 86400, "week": 604800, "weeks": 604800, "month": 2628000, "months": 2628000, "year": 31536000, "years": 31536000}
+#: Words for units of time by language, and seconds.
+DURATION_WORDS: dict[str, dict[int, str]] = {
+    "en": {1: "second seconds sec secs s", 60: "minute minutes min mins m", 3600: "hour hours hr hrs h", 86400: "day days d", 604800: "week weeks", 2628000: "month months", 31536000: "year years yr yrs"},
+    "de": {1: "sekunde sekunden sek s", 60: "minute minuten min", 3600: "stunde stunden std h", 86400: "tag tage tagen", 604800: "woche wochen", 2628000: "monat monate monaten", 31536000: "jahr jahre jahren"},
+    "fr": {1: "seconde secondes sec s", 60: "minute minutes min mn", 3600: "heure heures h", 86400: "jour jours j", 604800: "semaine semaines", 2628000: "mois", 31536000: "an ans année années"},
+    "es": {1: "segundo segundos seg s", 60: "minuto minutos min", 3600: "hora horas h", 86400: "día días", 604800: "semana semanas", 2628000: "mes meses", 31536000: "año años"},
+    "it": {1: "secondo secondi sec s", 60: "minuto minuti min", 3600: "ora ore h", 86400: "giorno giorni", 604800: "settimana settimane", 2628000: "mese mesi", 31536000: "anno anni"},
+    "pt": {1: "segundo segundos seg s", 60: "minuto minutos min", 3600: "hora horas h", 86400: "dia dias", 604800: "semana semanas", 2628000: "mês meses", 31536000: "ano anos"},
+    "nl": {1: "seconde seconden sec s", 60: "minuut minuten min", 3600: "uur uren u", 86400: "dag dagen", 604800: "week weken", 2628000: "maand maanden", 31536000: "jaar jaren"},
+    "pl": {1: "sekunda sekundy sekund s", 60: "minuta minuty minut min", 3600: "godzina godziny godzin h", 86400: "dzień dni", 604800: "tydzień tygodnie tygodni", 2628000: "miesiąc miesiące miesięcy", 31536000: "rok lata lat"},
+    "ru": {1: "секунда секунды секунд сек с", 60: "минута минуты минут мин", 3600: "час часа часов ч", 86400: "день дня дней", 604800: "неделя недели недель", 2628000: "месяц месяца месяцев", 31536000: "год года лет"},
+}
 
 
-def parse_duration(x: Column) -> Column:
+def parse_duration(x: Column, lang: str = "en") -> Column:
     """Seconds: h:mm:ss, m:ss, or numbers with units of time, summed; a leading minus counts for all."""
     text = F.lower(F.trim(x))
     sign = F.when(text.rlike("^[-−]"), -1.0).otherwise(1.0)
     clock = F.transform(F.split(F.regexp_extract(text, r"^[-−]?(\d+(?::\d{1,2}){1,2}(?:\.\d+)?)", 1), ":"), lambda p: p.try_cast("double"))
     timed = F.aggregate(clock, F.lit(0.0), lambda acc, p: acc * 60 + p)
-    units = F.create_map(*[F.lit(v) for kv in DURATION_UNITS.items() for v in kv])
-    pieces = F.regexp_extract_all(text, F.lit(r"(\d[\d,]*(?:\.\d+)?\s*[a-z]+)"), 1)
-    seconds = F.transform(pieces, lambda p: F.replace(F.regexp_extract(p, r"^([\d,.]+)", 1), F.lit(","), F.lit("")).try_cast("double") * F.try_element_at(units, F.regexp_extract(p, r"([a-z]+)$", 1)))
+    words = {w: n for n, ws in DURATION_WORDS.get(lang, DURATION_WORDS["en"]).items() for w in ws.split()}
+    units = F.create_map(*[F.lit(v) for kv in words.items() for v in kv])
+    number = r"\d[\d.]*(?:,\d+)?" if lang in COMMA_DECIMALS else r"\d[\d,]*(?:\.\d+)?"
+    pieces = F.regexp_extract_all(text, F.lit(rf"({number}\s*\p{{L}}+)"), 1)
+    seconds = F.transform(pieces, lambda p: number_text(p, lang).try_cast("double") * F.try_element_at(units, F.regexp_extract(p, r"(\p{L}+)$", 1)))
     known = F.filter(seconds, lambda s: s.isNotNull())
     return F.when(text.rlike(r"^[-−]?\d+(?::\d{1,2}){1,2}"), sign * timed).when(F.size(known) > 0, sign * F.aggregate(known, F.lit(0.0), lambda acc, s: acc + s))
 
 
+def without_unit_templates(x: Column) -> Column:
+    """Templates of conversion and of height as plain text: {{convert|12|km|mi}} is 12 km, {{height|ft=5|in=11}} is 5 ft 11 in."""
+    number = r"([-−]?[\d.,]+)"
+    x = F.regexp_replace(x, rf"(?i)\{{\{{\s*(?:convert|cvt|unit)\s*\|\s*{number}\s*\|\s*([^|{{}}]+?)\s*(?:\|[^{{}}]*)?\}}\}}", "$1 $2")
+    x = F.regexp_replace(x, rf"(?i)\{{\{{\s*height\s*\|(?:[^{{}}]*\|)?\s*(?:ft|feet)\s*=\s*{number}\s*\|\s*(?:in|inch)\s*=\s*{number}[^{{}}]*\}}\}}", "$1 ft $2 in")
+    return F.regexp_replace(x, rf"(?i)\{{\{{\s*height\s*\|(?:[^{{}}]*\|)?\s*(m|cm|ft)\s*=\s*{number}[^{{}}]*\}}\}}", "$2 $1")
+
+
 def value_with_unit(x: Column, lang: str = "en") -> Column:
-    """value and the unit's label of the first number that a known unit follows (or a currency sign precedes); feet and inches add up."""
+    """value and the unit's label of the first number that a known unit follows (or a currency sign precedes); feet and inches add up; templates of conversion and height count as text."""
     labels = sorted({label for _, _, ls, _, _ in UNITS for label in ls}, key=len, reverse=True)
-    unit = F.regexp_extract(x, r"\d\s*(" + "|".join(map(_exact, labels)) + r")(?![\p{L}\p{N}])", 1)
-    before = F.regexp_extract(x, r"([€$£])\s?\d", 1)
-    feet, inches = F.regexp_extract(x, r"(\d+)\s*(?:ft|feet|')\s*(\d+)\s*(?:in|inches|\")", 1), F.regexp_extract(x, r"(\d+)\s*(?:ft|feet|')\s*(\d+)\s*(?:in|inches|\")", 2)
-    number = parse_double(x, lang)
-    make = lambda v, u: F.struct(v.cast("double").alias("value"), u.alias("unit"))
-    return (
-        F.when(feet != "", make(feet.try_cast("double") + inches.try_cast("double") / 12, F.lit("ft")))
-        .when(number.isNotNull() & (before != ""), make(number, before))
-        .when(number.isNotNull() & (unit != ""), make(number, unit))
-    )
+    digits = r"(?<![\d.,])[-−–—]?\s?(?:\d{1,3}(?:[.\u00a0\u202f ]\d{3})+|\d+)(?:,\d+)?" if lang in COMMA_DECIMALS else r"(?<![\d.,])[-−–—]?\s?(?:\d+(?:,\d{3})*(?:\.\d+)?|\.\d+)"
+    scale = "|".join(sorted(SCALES.get(lang, SCALES["en"]), key=len, reverse=True))
+    number = rf"({digits}(?:\s*(?i:{scale})\.?(?!\p{{L}}))?)"
+    followed = rf"{number}\s*({'|'.join(map(_exact, labels))})(?![\p{{L}}\p{{N}}])"
+    preceded = rf"([€$£])\s?{number}"
+    inches = r"(\d+(?:\.\d+)?)\s*(?:feet|foot|ft|['′])\s*(\d+(?:\.\d+)?)\s*(?:inches|inch|in|[\"″])"
+
+    def read(t: Column) -> Column:
+        g = lambda p, k: F.nullif(F.regexp_extract(t, p, k), F.lit(""))
+        make = lambda v, u: F.struct(v.cast("double").alias("value"), u.alias("unit"))
+        return (
+            F.when(t.rlike(inches), make(g(inches, 1).try_cast("double") + g(inches, 2).try_cast("double") / 12, F.lit("ft")))
+            .when(t.rlike(preceded), make(parse_double(g(preceded, 2), lang), g(preceded, 1)))
+            .when(t.rlike(followed), make(parse_double(g(followed, 1), lang), g(followed, 2)))
+        )
+
+    return let(without_unit_templates(x), lambda t: let(read(t), lambda u: F.when(u["value"].isNotNull(), u)))
 
 
 def _exact(x: str) -> str:
@@ -475,7 +524,7 @@ class Cascade:
         numeric = x.rlike(r"^\s*[-−–—]?[\d.,\u00a0 ]+(?:\s*\p{L}+\.?)?\s*$") & (x.rlike(r"^[^\p{L}]*$") | (t["zeros"] > 0))
         readers = {
             "unit": F.when(t["unit"].isNotNull() & x.rlike(r"^\s*[€$£]?\s?[\d.,]+\s*\S*\s*$"), make(t["unit"]["value"], t["unit"]["unit"])),
-            "date": F.when(t["date"].isNotNull() & x.rlike(r"(?i)^[\p{L}\d\s.,/\-]+$") & x.rlike(r"\p{L}{3}|\d[-/.]\d|^\s*\d{4}\s*$"), make(date_text(t["date"]), t["date"]["type"])),
+            "date": F.when(t["date"].isNotNull() & ((t["date"]["type"] != XSD + "gYear") | x.rlike(rf"^\s*-?\d{{1,4}}\s*(?:{BEFORE_CHRIST})?\s*$")) & x.rlike(r"(?i)^[\p{L}\d\s.,/\-]+$") & x.rlike(r"\p{L}{3}|\d[-/.]\d|^\s*\d{4}\s*$"), make(date_text(t["date"]), t["date"]["type"])),
             "coordinate": F.when(t["coordinate"].isNotNull(), make(t["coordinate"], XSD + "double")),
             "integer": F.when(numeric & (t["number"] == F.floor(t["number"])), make(t["number"].cast("long"), XSD + "integer")),
             "double": F.when(numeric & t["number"].isNotNull(), make(t["number"], XSD + "double")),

@@ -319,7 +319,8 @@ def authority_ids(pages: DataFrame) -> DataFrame:
 @extractor("image-annotations")
 def image_annotations(pages: DataFrame) -> DataFrame:
     """Notes on images: the nth opening template with the nth closing one, and the text between them."""
-    opened, closed = (F.filter(of_kind("template", True), lambda n, w=w: F.lower(n["name"]) == w) for w in ("imagenote", "imagenoteend"))
+    marks = lambda word: F.filter(of_kind("template", True), lambda n: F.lower(n["name"]) == word)
+    opened, closed = marks("imagenote"), marks("imagenoteend")
     rows = in_namespaces(pages, FILE).select("*", F.explode(F.arrays_zip(opened.alias("a"), closed.alias("b"))).alias("z__")).where("z__.a is not null and z__.b is not null").withColumn("node", F.col("z__.a"))
     between = F.array_join(F.transform(F.filter("nodes", lambda n: (n["depth"] == 0) & (n["id"] > F.col("z__.a.id")) & (n["id"] < F.col("z__.b.id"))), lambda n: F.coalesce(n["text"], F.lit(""))), "")
     part = F.concat(S.file_url(F.regexp_replace("title", "^[^:]+:", ""), F.col("lang"), domain=DOMAIN), F.lit("#xywh=pixel:"), F.concat_ws(",", prop("x"), prop("y"), prop("w"), prop("h")))

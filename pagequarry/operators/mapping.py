@@ -11,10 +11,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagequarry.functions import values as V
-from pagequarry.functions.scalar import trim_split
+from pagequarry.functions.scalar import trim_split, wiki_encode
 from pagequarry.model import LANG_STRING, RDF, XSD, statement, statements
 from pagequarry.operators.extractors import ONTOLOGY, exploded, in_namespaces, resource, source_iri, subject
-from pagequarry.operators.post import cut
+from pagequarry.operators.post import cut, small
 from pagequarry.operators.wikitext import table_grid
 
 RULE_SCHEMA = "template string, key string, kind string, predicate string, range string, language string, prefix string, suffix string, factor double, functional boolean, pick string, value string, key2 string, class string"
@@ -26,7 +26,7 @@ def resolved(rows: DataFrame, redirects: DataFrame | None) -> DataFrame:
     if redirects is None:
         return rows
     r = redirects.select(F.lower("src").alias("template"), F.lower("dst").alias("to__")).dropDuplicates(["template"])
-    return rows.join(F.broadcast(r), "template", "left").withColumn("template", F.coalesce("to__", "template")).drop("to__")
+    return rows.join(small(r), "template", "left").withColumn("template", F.coalesce("to__", "template")).drop("to__")
 
 
 def mapped_templates(pages: DataFrame, template_rules: DataFrame, redirects: DataFrame | None = None) -> DataFrame:
@@ -38,7 +38,7 @@ def mapped_templates(pages: DataFrame, template_rules: DataFrame, redirects: Dat
     """
     rows = resolved(exploded(in_namespaces(pages, 0), "template"), redirects)
     rules = template_rules.select(F.lower("template").alias("template"), F.col("class").alias("class__"), F.col("root").alias("root__"))
-    hit = rows.join(F.broadcast(rules), "template")
+    hit = rows.join(small(rules), "template")
     inner = hit.select("page_id", F.col("node.id").alias("up__"))
     parents = hit.select("page_id", F.col("node.id").alias("id__"), F.explode(_ancestors()).alias("up__")).join(inner, ["page_id", "up__"], "left_semi").select("page_id", "id__").distinct()
     top = hit.join(parents, (hit["page_id"] == parents["page_id"]) & (hit["node.id"] == parents["id__"]), "left_anti")
@@ -100,12 +100,19 @@ def _value(key: Column) -> Column:
     return F.when(at > 0, F.nullif(F.trim(F.get(F.reverse(F.transform("node.props", lambda p: p["value"])), (at - 1).cast("int"))), F.lit("")))
 
 
+def _line(key: Column) -> Column:
+    """The line of the node's last value of a key; the node's own if it has none."""
+    found = F.filter("node.props", lambda p: F.lower(p["key"]) == F.lower(key))
+    return F.coalesce(F.try_element_at(F.transform(found, lambda p: p["line"]), F.lit(-1)), F.col("node.line"))
+
+
 def map_templates(pages: DataFrame, template_rules: DataFrame, property_rules: DataFrame, redirects: DataFrame | None = None) -> DataFrame:
     """Types, correspondences and properties of mapped templates.
 
     Kinds of property rules: simple, constant, calculate (sum of two keys), combine-date (two keys),
     date-interval, geo, condition (isSet, equals, contains, hasLink, otherwise in `pick`; the first that
-    holds gives the class), node (an intermediate node of its own).
+    holds gives the class), node (an intermediate node of its own: of each value if one rule of the
+    template has the node's `value` as its name or it has none, one node of all their values if several have).
     """
     # Every kind of rule reads the mapped templates, so they are computed once.
     top = cut(mapped_templates(pages, template_rules, redirects).drop("nodes"), "templates")
@@ -115,21 +122,25 @@ def map_templates(pages: DataFrame, template_rules: DataFrame, property_rules: D
         statement("instance_correspondences", F.when(~F.col("own__"), subject()), ONTOLOGY + "correspondence", F.col("s__")),
     )
     rules = property_rules.withColumn("template", F.lower("template"))
-    rows = top.join(F.broadcast(rules), "template").withColumn("raw__", _value(F.col("key"))).withColumn("raw2__", _value(F.col("key2")))
+    shared = F.count(F.lit(1)).over(Window.partitionBy("template", "kind", "value"))
+    rules = rules.withColumn("joint", (F.col("kind") == "node") & F.col("value").isNotNull() & (shared > 1))
+    rows = top.join(small(rules), "template").withColumn("raw__", _value(F.col("key"))).withColumn("raw2__", _value(F.col("key2")))
     simple = rows.where("kind in ('simple', 'node') and raw__ is not null")
     split = F.when(F.col("functional"), F.array("raw__")).otherwise(trim_split(F.col("raw__"), r"<br\s*/?>|\n\s*\*|;"))
     picked = F.when(F.col("pick") == "first", F.slice(split, 1, 1)).when(F.col("pick") == "last", F.slice(split, -1, 1)).otherwise(split)
     simple = simple.select("*", F.posexplode(picked).alias("at__", "v__")).withColumn("t__", typed(F.col("v__")))
     simple = cut(simple, "typed").where("t__ is not null")
-    node = F.concat("s__", F.lit("__"), F.col("predicate"), F.lit("__"), (F.col("at__") + 1).cast("string"))
+    # Several keys make one node; the values of a single key make one each.
+    name = F.coalesce("value", "predicate")
+    node = F.concat("s__", F.lit("__"), name, F.lit("__"), F.when(F.col("joint"), F.lit("1")).otherwise((F.col("at__") + 1).cast("string")))
     s = F.when(F.col("kind") == "node", node).otherwise(F.col("s__"))
     iri = F.concat(F.lit(ONTOLOGY), F.col("predicate"))
-    note = F.concat(source_iri(F.col("node.line")), F.lit("&template="), F.col("template"), F.lit("&property="), F.col("key"))
+    note = F.concat(source_iri(_line(F.col("key"))), F.lit("&template="), wiki_encode(F.col("node.name")), F.lit("&property="), F.col("key"))
     lang = F.when(F.col("t__.datatype") == LANG_STRING, F.coalesce("language", F.col("lang")))
     out = statements(
         simple,
         statement("mappings", s, iri, F.col("t__.value"), datatype=F.col("t__.datatype"), language=lang, context=note),
-        statement("mappings", F.when(F.col("kind") == "node", F.col("s__")), F.concat(F.lit(ONTOLOGY), F.col("predicate"), F.lit("Node")), node),
+        statement("mappings", F.when(F.col("kind") == "node", F.col("s__")), F.concat(F.lit(ONTOLOGY), name, F.lit("Node")), node),
         statement("instance_types", F.when(F.col("kind") == "node", node), RDF + "type", F.concat(F.lit(ONTOLOGY), F.col("class"))),
     )
     std = simple.where("range = 'unit'").withColumn("n__", F.col("t__.value").cast("double")).withColumn("u__", F.col("t__.datatype"))
@@ -177,11 +188,11 @@ def map_tables(pages: DataFrame, table_rules: DataFrame, redirects: DataFrame |
     rows = exploded(in_namespaces(pages, 0), "table", top=True).withColumn("grid__", table_grid("node.rows")).where(F.size("grid__") > 1)
     header = F.transform(F.col("grid__")[0], lambda h, i: F.struct(h.alias("h"), i.alias("i")))
     cells = rows.select("page_id", "title", "lang", "revision", "ns", "ord", F.col("node.line").alias("line__"), "grid__", F.explode(header).alias("c"))
-    rules = F.broadcast(table_rules.withColumn("keyword", F.lower("keyword")))
+    rules = small(table_rules.withColumn("keyword", F.lower("keyword")))
     at = F.instr(F.lower("c.h"), F.col("keyword"))
     best = cells.join(rules, F.contains(F.lower("c.h"), F.col("keyword"))).withColumn("at__", at)
     best = best.withColumn("k__", F.row_number().over(Window.partitionBy("page_id", "ord", "c.i").orderBy("at__", -F.length("keyword"), "predicate"))).where("k__ = 1")
-    body = best.select("*", F.posexplode(F.slice("grid__", 2, 100_000)).alias("r__", "row__")).withColumn("v__", F.get("row__", F.col("c.i"))).where("trim(v__) <> ''")
+    body = best.select("*", F.posexplode(F.slice("grid__", F.lit(2), F.size("grid__"))).alias("r__", "row__")).withColumn("v__", F.get("row__", F.col("c.i"))).where("trim(v__) <> ''")
     none = [F.lit(None).cast("string").alias(n) for n in ("prefix", "suffix")]
     body = body.select("*", *none, F.lit(None).cast("double").alias("factor")).withColumn("t__", typed(F.col("v__"))).where("t__ is not null")
     s = F.concat(subject(), F.lit("__table"), F.col("ord").cast("string"), F.lit("__"), (F.col("r__") + 1).cast("string"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -24,6 +25,8 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="pagequarry-")
         spark.conf.set("spark.checkpoint.dir", base)
     path = f"{base.rstrip('/')}/pagequarry/{name}-{uuid.uuid4().hex}"
@@ -105,49 +108,49 @@ def double_links(sitelinks: DataFrame) -> DataFrame:
 # --- closures ------------------------------------------------------------------------------------
 
 
-def redirect_closure(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
+def redirect_closure(edges: DataFrame) -> DataFrame:
     """src and its final dst. A source has one edge (the least target); members of a cycle and what leads into one are dropped.
 
     Pointers double in each round, so chains of length n take log2(n) rounds, each cut to a table.
     """
     step = edges.where("src is not null and dst is not null").groupBy("src").agg(F.min("dst").alias("dst"))
     current = cut(step, "closure")
-    nodes = current.count()
-    for k in range(max_rounds):
+    nodes, steps = current.count(), 1
+    while steps <= nodes:
         ahead = current.select(F.col("src").alias("dst"), F.col("dst").alias("further"))
         current = cut(current.join(ahead, "dst", "left").select("src", F.coalesce("further", "dst").alias("dst")), "closure")
-        open_ = current.join(step.select(F.col("src").alias("dst")), "dst", "left_semi")
-        if open_.isEmpty() or 2 ** (k + 1) > nodes:
+        steps *= 2
+        if current.join(step.select(F.col("src").alias("dst")), "dst", "left_semi").isEmpty():
             break
     # Whoever still points at a source after that many steps is on a cycle or leads into one.
     return current.join(step.select(F.col("src").alias("dst")), "dst", "left_anti").select("src", "dst")
 
 
-def class_closure(edges: DataFrame, max_depth: int = 32) -> DataFrame:
-    """class, ancestor and the least depth, itself at 0, over edges (class, base)."""
+def class_closure(edges: DataFrame) -> DataFrame:
+    """class, ancestor and the least depth, itself at 0, over edges (class, base), however deep; cycles end where nothing is new."""
     classes = edges.select("class").union(edges.select(F.col("base").alias("class"))).distinct()
     known = cut(classes.select("class", F.col("class").alias("ancestor"), F.lit(0).alias("depth")), "classes")
-    front = known
-    for depth in range(1, max_depth + 1):
+    front, depth = known, 0
+    while True:
+        depth += 1
         up = front.select("class", F.col("ancestor").alias("via")).join(edges.select(F.col("class").alias("via"), F.col("base").alias("ancestor")), "via")
         front = cut(up.select("class", "ancestor").distinct().join(known, ["class", "ancestor"], "left_anti").select("class", "ancestor", F.lit(depth).alias("depth")), "classes")
         if front.isEmpty():
-            break
+            return known
         known = cut(known.union(front), "classes")
-    return known
 
 
-def fill_from_parents(known: DataFrame, edges: DataFrame, max_depth: int = 32) -> DataFrame:
-    """node, label, depth: a node without a label gets that of the nearest labelled ancestor (the least label of several)."""
-    done = cut(known.select("node", "label", F.lit(0).alias("depth")), "fill")
-    for depth in range(1, max_depth + 1):
-        reach = edges.select(F.col("child").alias("node"), F.col("parent")).join(done.select(F.col("node").alias("parent"), "label"), "parent")
-        new = reach.join(done, "node", "left_anti").groupBy("node").agg(F.min("label").alias("label")).withColumn("depth", F.lit(depth))
-        new = cut(new, "fill")
-        if new.isEmpty():
-            break
-        done = cut(done.union(new), "fill")
-    return done
+def fill_from_parents(known: DataFrame, edges: DataFrame) -> DataFrame:
+    """node, label, depth: a node without a label gets that of the nearest labelled ancestor (the least label of several), however deep."""
+    done, depth = cut(known.select("node", "label", F.lit(0).alias("depth")), "fill"), 0
+    front = done
+    while True:
+        depth += 1
+        reach = edges.select(F.col("child").alias("node"), F.col("parent")).join(front.select(F.col("node").alias("parent"), "label"), "parent")
+        front = cut(reach.join(done, "node", "left_anti").groupBy("node").agg(F.min("label").alias("label")).withColumn("depth", F.lit(depth)), "fill")
+        if front.isEmpty():
+            return done
+        done = cut(done.union(front), "fill")
 
 
 # --- statistics --------------------------------------------------------------------------------
@@ -158,11 +161,57 @@ def count_values(df: DataFrame, *by: str) -> DataFrame:
 
 
 def statement_statistics(statements: DataFrame, by: str = "language") -> DataFrame:
-    """Distinct subjects, predicates and objects, and statements, for each language and in all (null)."""
-    return statements.rollup(by).agg(
-        F.count_distinct("subject").alias("subjects"), F.count_distinct("predicate").alias("predicates"),
-        F.count_distinct(F.when(F.col("datatype").isNull(), F.col("value"))).alias("objects"), F.count(F.lit(1)).alias("statements"),
-    )
+    """Distinct subjects, predicates and objects, and statements, for each language and in all (null).
+
+    Each column's distinct values are counted once for the languages, and those once more for all of them.
+    """
+    columns = {"subjects": F.col("subject"), "predicates": F.col("predicate"), "objects": F.when(F.col("datatype").isNull(), F.col("value"))}
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.xxhash64(c).alias("hash"), F.md5(c.cast("string")).alias("value")) for k, c in columns.items()])
+    each = statements.select(F.col(by).alias("by"), F.explode(kinds).alias("k")).where("k.value is not null").groupBy("by", "k.kind", "k.value").agg(F.lit(1).alias("one"))
+    per = each.groupBy("by").pivot("kind", list(columns)).count()
+    every = each.groupBy("kind", "value").agg(F.lit(1).alias("one")).groupBy(F.lit(None).cast(statements.schema[by].dataType).alias("by")).pivot("kind", list(columns)).count()
+    rows = statements.groupBy(F.col(by).alias("by")).agg(F.count(F.lit(1)).alias("statements"))
+    rows = rows.withColumn("total", F.lit(False)).unionByName(rows.agg(F.sum("statements").alias("statements")).select(F.lit(None).cast(statements.schema[by].dataType).alias("by"), "statements").withColumn("total", F.lit(True)))
+    counts = per.withColumn("total", F.lit(False)).unionByName(every.withColumn("total", F.lit(True)))
+    out = rows.join(counts, rows["by"].eqNullSafe(counts["by"]) & (rows["total"] == counts["total"]), "left")
+    return out.select(rows["by"].alias(by), *[F.coalesce(c, F.lit(0)).alias(c) for c in columns], "statements")
+
+
+def merged_statistics(documents: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
+    """Rows of several statistics documents (language, keys, sums) as one table: a row for each language and key, and one for all languages (language null)."""
+    per = documents.groupBy("language", *keys).agg(*[F.sum(c).alias(c) for c in sums])
+    return per.unionByName(per.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums]).withColumn("language", F.lit(None).cast("string")))
+
+
+def by_size(counts: DataFrame, language: str = "language", n: str = "n") -> DataFrame:
+    """Languages in the order of their pages, the most first, ties by code; place: from 1. A row for each language."""
+    return counts.withColumn("place", F.row_number().over(Window.orderBy(F.col(n).desc(), language)))
+
+
+def usage_counts(uses: DataFrame, redirects: DataFrame) -> DataFrame:
+    """template and n: uses (template) counted under what redirects (src, dst) finally lead to."""
+    final = uses.join(redirects.select(F.col("src").alias("template"), "dst"), "template", "left")
+    return final.groupBy(F.coalesce("dst", "template").alias("template")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def frequent(counts: DataFrame, group: str, n: str, factor: int = 10) -> DataFrame:
+    """group, uses and most of the groups whose largest count (n) times a factor exceeds their sum."""
+    return counts.groupBy(group).agg(F.sum(n).alias("uses"), F.max(n).alias("most")).where(F.col("most") * factor > F.col("uses"))
+
+
+def with_lookup(rows: DataFrame, table: DataFrame, key: str, value: str, rest: str) -> DataFrame:
+    """rows with the value that a side table has for a key, else `rest`; the table is broadcast if it is small."""
+    return rows.join(small(table.select(key, value)), key, "left").withColumn(value, F.coalesce(value, F.lit(rest)))
+
+
+def members_of(rows: DataFrame, keys: DataFrame, key: str, inside: bool = True) -> DataFrame:
+    """Rows whose key is, or isn't, among keys."""
+    return rows.join(keys.select(key), key, "left_semi" if inside else "left_anti")
+
+
+def concatenated(rows: DataFrame, group: str, value: str, separator: str = ", ") -> DataFrame:
+    """group and its distinct values in order, as one text."""
+    return rows.groupBy(group).agg(F.array_join(F.array_sort(F.collect_set(value)), separator).alias("values"))
 
 
 def coverage(usage: DataFrame, mapped: DataFrame, name: str, uses: str) -> DataFrame:
@@ -271,7 +320,7 @@ def type_consistency(statements: DataFrame, types: DataFrame, properties: DataFr
     bad = disjoint_closure(closure, disjoint)
     t_s = types.select(F.col("resource").alias("subject"), F.col("class").alias("s_class"))
     t_o = types.select(F.col("resource").alias("value"), F.col("class").alias("o_class"))
-    out = statements.join(F.broadcast(properties), "predicate", "left").join(t_s, "subject", "left").join(t_o, "value", "left")
+    out = statements.join(small(properties), "predicate", "left").join(t_s, "subject", "left").join(t_o, "value", "left")
     d = bad.select(F.col("c1").alias("s_class"), F.col("c2").alias("domain"), F.lit(False).alias("d_ok"))
     r = bad.select(F.col("c1").alias("o_class"), F.col("c2").alias("range"), F.lit(False).alias("r_ok"))
     out = out.join(small(d), ["s_class", "domain"], "left").join(small(r), ["o_class", "range"], "left")

@@ -9,6 +9,7 @@ from pagequarry.functions.scalar import resource_iri, short_hash
 from pagequarry.functions.values import julian_to_gregorian, let
 from pagequarry.model import DCT, LANG_STRING, OWL, RDF, RDFS, SKOS, XSD, statement, statements
 from pagequarry.operators.extractors import DOMAIN, extractor
+from pagequarry.operators.post import small
 
 TERM = "struct<language: string, value: string>"
 SNAK = "struct<snaktype: string, property: string, datavalue: struct<type: string, value: string>>"
@@ -162,7 +163,7 @@ def mapped(pages: DataFrame, commands: DataFrame, classes: DataFrame) -> DataFra
     value with underscores, $getLatitude, $getLongitude, $getGeoRss, $getClass. classes (item, class) map
     items to types. Addresses typed as text go to a dataset of errors.
     """
-    rows = preferred(claims(pages)).join(F.broadcast(commands), F.col("prop__") == F.col("prop")).join(F.broadcast(classes), F.col("value__") == F.concat(F.lit(ENTITY), F.col("item")), "left")
+    rows = preferred(claims(pages)).join(small(commands), F.col("prop__") == F.col("prop")).join(small(classes), F.col("value__") == F.concat(F.lit(ENTITY), F.col("item")), "left")
     lat, lon = F.split("value__", " ")[0], F.get(F.split("value__", " "), F.lit(1))
     fill = {"$getLatitude": lat, "$getLongitude": lon, "$getGeoRss": F.col("value__"), "$getClass": F.col("class"), "$2": F.replace("value__", F.lit(" "), F.lit("_")), "$1": F.col("value__")}
     value = F.coalesce(F.col("command"), F.lit("$1"))

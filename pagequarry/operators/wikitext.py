@@ -27,8 +27,37 @@ NODE = StructType(
 SKIPPED = re.compile(r"<!--.*?(?:-->|\Z)|<(nowiki|math|code|source|syntaxhighlight|pre)\b[^>]*(?:/>|>.*?</\1\s*>)", re.S | re.I)
 TOKEN = re.compile(r"\{\{\{|\{\{|\{\||\[\[|\[(?=https?://|//|mailto:|ftp://)|https?://[^\s\[\]<>\"|{}]+|^(=+)[^\S\n]*(.+?)[^\S\n]*\1[^\S\n]*$", re.M)
 PAIRS = {"{{": "}}", "[[": "]]", "{{{": "}}}", "{|": "|}"}
-#: Nesting beyond which brackets are text.
-DEEPEST = 40
+BRACKET = re.compile(r"\{\{|\[\[|\{\||\}\}|\]\]|\|\}")
+#: Nesting beyond which brackets are text (each level takes three frames of Python's stack).
+DEEPEST = 200
+
+
+def brackets(s: str) -> dict[int, int]:
+    """Where each bracket of a text ends, by where it begins; one pass. Those that never close aren't in it."""
+    ends: dict[int, int] = {}
+    stack: list[tuple[int, str]] = []
+    open_ = dict.fromkeys(PAIRS.values(), 0)
+    k = 0
+    while m := BRACKET.search(s, k):
+        k = m.start()
+        if m[0] in PAIRS:
+            sign = "{{{" if s.startswith("{{{", k) and not s.startswith("{{{{", k) else m[0]
+            stack.append((k, PAIRS[sign]))
+            open_[PAIRS[sign]] += 1
+            k += len(sign)
+            continue
+        if stack and s.startswith(stack[-1][1], k):
+            at, sign = stack.pop()
+            open_[sign] -= 1
+            k += len(sign)
+            ends[at] = k
+        elif m[0] != "|}" and open_[m[0]]:
+            # Inner brackets were left open: they close with the outer one.
+            while stack[-1][1] != m[0]:
+                open_[stack.pop()[1]] -= 1
+        else:
+            k += 1
+    return ends
 
 
 @dataclass
@@ -48,12 +77,12 @@ class Parser:
 
     def walk(self, s: str, at: int, end: int, parent: int, depth: int, line: int) -> None:
         """Nodes of s[at:end]; what lies between them is text."""
-        start = at
+        start, ends = at, brackets(s)
         while at < end:
             m = TOKEN.search(s, at, end)
             if not m:
                 break
-            close = self.closing(s, m.start(), end) if m[0] in PAIRS else s.find("]", m.end(), end) + 1 if m[0] == "[" else m.end()
+            close = ends.get(m.start(), 0) if m[0] in PAIRS else s.find("]", m.end(), end) + 1 if m[0] == "[" else m.end()
             here = line + s.count("\n", start if start < m.start() else m.start(), m.start())
             if close <= 0 or depth >= DEEPEST or (m[1] and depth):
                 at = m.start() + (len(m[0]) if m[0] not in ("{{{", "{{", "[[", "{|") else 1)
@@ -66,30 +95,6 @@ class Parser:
         if s[start:end].strip():
             self.add(parent, depth, line, "text", text=s[start:end])
 
-    @staticmethod
-    def closing(s: str, at: int, end: int) -> int:
-        """The end of the bracket that opens at a position; 0 if it never closes."""
-        stack: list[str] = []
-        k = at
-        while k < end:
-            if s.startswith("{{{", k) and not s.startswith("{{{{", k):
-                stack.append("}}}")
-                k += 3
-            elif s.startswith(("{{", "[["), k) or s.startswith("{|", k):
-                stack.append(PAIRS[s[k : k + 2]])
-                k += 2
-            elif stack and s.startswith(stack[-1], k):
-                k += len(stack.pop())
-                if not stack:
-                    return k
-            elif s.startswith(("}}", "]]", "|}"), k) and s[k : k + 2] in stack and s[k : k + 2] != "|}":
-                # An inner bracket was left open: it closes with the outer one.
-                while stack and stack[-1] != s[k : k + 2]:
-                    stack.pop()
-            else:
-                k += 1
-        return 0
-
     @staticmethod
     def split(s: str, sign: str) -> list[str]:
         """Parts at a sign that stands in no bracket."""

@@ -5,6 +5,7 @@ The functions on plain frames work on batches and, where they say so, on streams
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -14,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from pagequarry.model import STATEMENT_KEY
-from pagequarry.operators.post import set_difference
+from pagequarry.operators.post import cut, set_difference, small
 
 ITEM_SCHEMA = "item_id long, priority int, name string, modified timestamp, deleted boolean, xml string"
 
@@ -55,10 +56,19 @@ def throughput(df: DataFrame, ts: str, widths: list[str]) -> DataFrame:
     return out
 
 
-def queue(items: DataFrame, name: str, priority: str, ts: str) -> DataFrame:
-    """Each name once, at its best priority and then its earliest time, with its place from 1."""
+def queue(items: DataFrame, name: str, priority: str, ts: str, ranges: int = 64) -> DataFrame:
+    """Each name once, at its best priority and then its earliest time, with its place from 1.
+
+    Names are ranked within ranges of the order; the sizes of the ranges before, which are few, are added.
+    """
     best = items.groupBy(name).agg(F.min(F.struct(F.col(priority).alias("priority"), F.col(ts).alias("ts"))).alias("b")).select(name, "b.priority", "b.ts")
-    return best.withColumn("place", F.row_number().over(Window.orderBy("priority", "ts", name)))
+    order = ["priority", "ts", name]
+    ranged = best.repartitionByRange(ranges, *order).withColumn("range", F.spark_partition_id())
+    ranged = cut(ranged, "queue")
+    before = F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
+    firsts = ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n")).select("range", F.coalesce(before, F.lit(0)).alias("first"))
+    place = (F.col("first") + F.row_number().over(Window.partitionBy("range").orderBy(*order))).cast("int")
+    return ranged.join(F.broadcast(firsts), "range").withColumn("place", place).drop("range", "first")
 
 
 def oldest(df: DataFrame, key: str, ts: str, before: str, n: int) -> DataFrame:
@@ -80,7 +90,7 @@ def _differ(key: tuple[str], batches: Iterator[pd.DataFrame], state: GroupState)
     new = new[new["version"] == new["version"].max()]
     columns = ["subject", "predicate", "value", "datatype", "language"]
     old, times = (set(state.get[0]), state.get[1]) if state.exists else (set(), 0)
-    rows = {"\x1f".join("" if v is None or v != v else str(v) for v in r) for r in new.loc[~new["deleted"].astype(bool), columns].itertuples(index=False)}
+    rows = {json.dumps([None if v is None or v != v else str(v) for v in r]) for r in new.loc[~new["deleted"].astype(bool), columns].itertuples(index=False)}
     out = [(r, "added") for r in sorted(rows - old)] + [(r, "deleted") for r in sorted(old - rows)]
     if times and times % CLEAN_EVERY == 0:
         out += [(r, "reinserted") for r in sorted(rows & old)]
@@ -88,7 +98,7 @@ def _differ(key: tuple[str], batches: Iterator[pd.DataFrame], state: GroupState)
         state.update((sorted(rows), times + 1))
     elif state.exists:
         state.remove()
-    parts = [[key[0], *(x or None for x in r.split("\x1f")), op] for r, op in out]
+    parts = [[key[0], *json.loads(r), op] for r, op in out]
     yield pd.DataFrame(parts, columns=["page", *columns, "op"])
 
 
@@ -102,7 +112,7 @@ def page_differences(statements: DataFrame) -> DataFrame:
 
 def restricted(diff: DataFrame, rules: DataFrame) -> DataFrame:
     """Changes under extractor rules (predicate, status: active, purge, keep): purged ones become deletions, kept ones none; without a rule they pass."""
-    out = diff.join(F.broadcast(rules.select(F.col("predicate"), F.col("status"))), "predicate", "left")
+    out = diff.join(small(rules.select(F.col("predicate"), F.col("status"))), "predicate", "left")
     op = F.when((F.col("status") == "purge") & (F.col("op") == "added"), "deleted").when(F.col("status") == "keep", "unmodified").otherwise(F.col("op"))
     return out.withColumn("op", op).drop("status")
 
@@ -112,6 +122,38 @@ def affected_pages(mapping_edits: DataFrame, usage: DataFrame) -> DataFrame:
     return mapping_edits.join(usage, "template").select("page", "modified")
 
 
+#: Bounds of what is published at once: pages, and statements of any operation.
+FLUSH_PAGES, FLUSH_STATEMENTS = 400, 5000
+
+
+def flushes(changes: DataFrame, pages: int = FLUSH_PAGES, statements: int = FLUSH_STATEMENTS) -> DataFrame:
+    """changes (seq, page, op, ...) with flush: the number of the publication that each page's changes are part of.
+
+    A flush holds at most so many pages and, unless one page alone has more, so many statements of any
+    operation; pages keep the order of their first change (seq). Pages are dealt to flushes by running
+    sums, which is an upper bound of the number that a page by page decision would need.
+    """
+    per_op = changes.groupBy("page", "op").agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("seq"))
+    sizes = per_op.groupBy("page").agg(F.max("n").alias("n"), F.min("seq").alias("seq"))
+    upto = Window.orderBy("seq", "page").rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda c: F.coalesce(F.sum(c).over(upto), F.lit(0))
+    numbered = sizes.select("page", "seq", F.floor(before(F.lit(1)) / pages).alias("a"), F.floor(before("n") / statements).alias("b"))
+    flush = F.dense_rank().over(Window.orderBy("a", "b"))
+    return changes.join(numbered.select("page", flush.alias("flush")), "page")
+
+
+def files_per_trigger(waiting: int, threshold: int, most: int) -> int:
+    """How many files the next micro-batch of low-priority work may take while `waiting` items queue: `most` below the threshold, fewer in proportion above it, one at least."""
+    return max(1, most if waiting <= threshold else most * threshold // waiting)
+
+
+def export_cache(cache: DataFrame) -> DataFrame:
+    """Statements of a cache (page, json: datasets with their statements) for a full export."""
+    schema = "map<string, array<struct<subject: string, predicate: string, value: string, datatype: string, language: string, context: string>>>"
+    rows = cache.select("page", F.explode(F.from_json("json", schema)).alias("dataset", "held")).select("page", "dataset", F.explode("held").alias("s"))
+    return rows.select("s.language", "dataset", "s.subject", "s.predicate", "s.value", "s.context", "s.datatype")
+
+
 def publish(changes: DataFrame, folder: str, checkpoint: str, once: bool = True) -> StreamingQuery:
     """Changes as files by operation, a folder for each micro-batch; replays overwrite their own."""
     def write(batch: DataFrame, number: int) -> None:
