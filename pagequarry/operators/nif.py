@@ -151,6 +151,28 @@ def missing_abstracts(pages: DataFrame, known: DataFrame) -> DataFrame:
     return short_abstracts(pages.join(known, "page_id", "left_anti"))
 
 
+def surface_forms(pieces: DataFrame, forms: DataFrame, key: str = "page_id", longest: int = 6) -> DataFrame:
+    """Candidate links: where a form (form, href; at most `longest` words) stands in a piece, whole words only.
+
+    Every run of words of a piece is looked up by an equal join, so the dictionary may be of any size.
+    """
+    words = F.filter(F.transform(F.split("text", r"(?<=\W)(?=\w)"), lambda w: F.regexp_replace(w, r"\W+$", "")), lambda w: w != "")
+    start = F.struct(F.array().cast("array<int>").alias("at"), F.lit(1).alias("next"))
+
+    def place(acc: Column, w: Column) -> Column:
+        at = F.call_function("locate", w, F.col("text"), acc["next"])
+        return F.struct(F.concat(acc["at"], F.array(at)).alias("at"), (at + F.length(w)).alias("next"))
+
+    rows = pieces.select(key, "ord", "begin", "text", words.alias("words"))
+    rows = rows.withColumn("at", F.aggregate("words", start, place, lambda acc: acc["at"]))
+    runs = rows.withColumn("i", F.explode(F.sequence(F.lit(0), F.size("words") - 1))).withColumn("n", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.size("words") - F.col("i")))))
+    first, last = F.get("at", F.col("i")), F.get("at", F.col("i") + F.col("n") - 1) + F.length(F.get("words", F.col("i") + F.col("n") - 1))
+    cut = runs.select(key, "ord", "begin", (first - 1).alias("a"), (last - 1).alias("z"), F.col("text").substr(first, last - first).alias("form"))
+    found = cut.join(forms.select("form", "href").dropDuplicates(["form"]), "form")
+    kind = F.when(F.col("form").rlike(r"\s"), "phrase").otherwise("word")
+    return found.select(key, "ord", (F.col("begin") + F.col("a")).alias("begin"), (F.col("begin") + F.col("z")).alias("end"), F.col("form").alias("text"), "href", kind.alias("kind"))
+
+
 def enriched(links: DataFrame, candidates: DataFrame, key: str = "page_id") -> DataFrame:
     """links with those candidate spans that overlap none of them, nor a longer or earlier candidate."""
     def clear(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -127,17 +127,21 @@ def redirect_closure(edges: DataFrame) -> DataFrame:
 
 
 def class_closure(edges: DataFrame) -> DataFrame:
-    """class, ancestor and the least depth, itself at 0, over edges (class, base), however deep; cycles end where nothing is new."""
+    """class, ancestor and the least depth, itself at 0, over edges (class, base), however deep; cycles are fine.
+
+    Known paths are joined end to end, so their length doubles in each round until no pair is new.
+    """
+    up = edges.where("class <> base").select("class", F.col("base").alias("ancestor"), F.lit(1).alias("depth")).distinct()
     classes = edges.select("class").union(edges.select(F.col("base").alias("class"))).distinct()
-    known = cut(classes.select("class", F.col("class").alias("ancestor"), F.lit(0).alias("depth")), "classes")
-    front, depth = known, 0
+    known = cut(classes.select("class", F.col("class").alias("ancestor"), F.lit(0).alias("depth")).union(up), "classes")
+    pairs = known.count()
     while True:
-        depth += 1
-        up = front.select("class", F.col("ancestor").alias("via")).join(edges.select(F.col("class").alias("via"), F.col("base").alias("ancestor")), "via")
-        front = cut(up.select("class", "ancestor").distinct().join(known, ["class", "ancestor"], "left_anti").select("class", "ancestor", F.lit(depth).alias("depth")), "classes")
-        if front.isEmpty():
+        further = known.select(F.col("class").alias("ancestor"), F.col("ancestor").alias("top"), F.col("depth").alias("more"))
+        joined = known.join(further, "ancestor").groupBy("class", F.col("top").alias("ancestor")).agg(F.min(F.col("depth") + F.col("more")).alias("depth"))
+        known, before = cut(joined, "classes"), pairs
+        pairs = known.count()
+        if pairs == before:
             return known
-        known = cut(known.union(front), "classes")
 
 
 def fill_from_parents(known: DataFrame, edges: DataFrame) -> DataFrame:
@@ -166,10 +170,10 @@ def statement_statistics(statements: DataFrame, by: str = "language") -> DataFra
     Each column's distinct values are counted once for the languages, and those once more for all of them.
     """
     columns = {"subjects": F.col("subject"), "predicates": F.col("predicate"), "objects": F.when(F.col("datatype").isNull(), F.col("value"))}
-    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.xxhash64(c).alias("hash"), F.md5(c.cast("string")).alias("value")) for k, c in columns.items()])
-    each = statements.select(F.col(by).alias("by"), F.explode(kinds).alias("k")).where("k.value is not null").groupBy("by", "k.kind", "k.value").agg(F.lit(1).alias("one"))
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.md5(c.cast("string")).alias("value")) for k, c in columns.items()])
+    each = statements.select(F.col(by).alias("by"), F.explode(kinds).alias("k")).where("k.value is not null").select("by", "k.kind", "k.value").distinct()
     per = each.groupBy("by").pivot("kind", list(columns)).count()
-    every = each.groupBy("kind", "value").agg(F.lit(1).alias("one")).groupBy(F.lit(None).cast(statements.schema[by].dataType).alias("by")).pivot("kind", list(columns)).count()
+    every = each.select("kind", "value").distinct().groupBy(F.lit(None).cast(statements.schema[by].dataType).alias("by")).pivot("kind", list(columns)).count()
     rows = statements.groupBy(F.col(by).alias("by")).agg(F.count(F.lit(1)).alias("statements"))
     rows = rows.withColumn("total", F.lit(False)).unionByName(rows.agg(F.sum("statements").alias("statements")).select(F.lit(None).cast(statements.schema[by].dataType).alias("by"), "statements").withColumn("total", F.lit(True)))
     counts = per.withColumn("total", F.lit(False)).unionByName(every.withColumn("total", F.lit(True)))

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagequarry.functions import scalar as S
 from pagequarry.functions import similarity as M
 from pagequarry.functions import values as V
-from pagequarry.model import FOAF, RDF, distinct_statements, statement, statements
 from pagequarry.plans.catalogue import Tables, query
 
 HREF = r'<a href="([^"]*)"'
-ANCHOR = r'<a href="([^"]*)">([^<]*)</a>'
 HEADING = r"<h([1-6])>(.*?)</h[1-6]>"
 
 
@@ -36,56 +34,16 @@ def in_degree_topk(t: Tables) -> DataFrame:
     return links(t).groupBy("target").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "target").limit(20)
 
 
-@query(r"""SELECT DISTINCT url AS subject, 'http://example.org/ontology/wikiPageExternalLink' AS predicate, target AS value, count(*) OVER (PARTITION BY url) AS n
-FROM (SELECT DISTINCT url, target FROM (SELECT url, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS target FROM pages))""")
-def external_link_statements(t: Tables) -> DataFrame:
-    own = statement("external_links", F.col("url"), "http://example.org/ontology/wikiPageExternalLink", F.col("target"))
-    out = distinct_statements(statements(links(t), own)).select("subject", "predicate", "value")
-    return out.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("subject")))
-
-
 @query(r"""SELECT page_id, regexp_extract(html, '<title>(.*?)</title>', 1) AS label FROM pages WHERE regexp_matches(html, '<title>')""")
 def page_label(t: Tables) -> DataFrame:
     return t.pages.where(F.col("html").contains("<title>")).select("page_id", F.regexp_extract("html", "<title>(.*?)</title>", 1).alias("label"))
 
 
-@query("SELECT page_id, CAST(length(html) AS INTEGER) AS chars FROM pages")
-def page_length(t: Tables) -> DataFrame:
-    return t.pages.select("page_id", F.length("html").alias("chars"))
-
-
 @query("SELECT doc_id, CAST(length(text) AS INTEGER) AS chars, n_chars = length(text) AS agrees FROM documents")
 def document_length(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.length("text").alias("chars"), (F.col("n_chars") == F.length("text")).alias("agrees"))
 
 
-@query("""SELECT url AS subject, 'http://example.org/ontology/wikiPageID' AS predicate, CAST(page_id AS VARCHAR) AS value, 'http://www.w3.org/2001/XMLSchema#integer' AS datatype FROM pages""")
-def page_id_statements(t: Tables) -> DataFrame:
-    s = statement("page_ids", F.col("url"), "http://example.org/ontology/wikiPageID", F.col("page_id").cast("string"), datatype="http://www.w3.org/2001/XMLSchema#integer")
-    return statements(t.pages, s).select("subject", "predicate", "value", "datatype")
-
-
-@query(f"""SELECT url AS subject, '{FOAF}isPrimaryTopicOf' AS predicate, url || '#page' AS value FROM pages UNION ALL
-SELECT url || '#page', '{FOAF}primaryTopic', url FROM pages UNION ALL
-SELECT url || '#page', 'http://purl.org/dc/elements/1.1/language', regexp_extract(html, 'lang="([a-z]+)"', 1) FROM pages UNION ALL
-SELECT url || '#page', '{RDF}type', '{FOAF}Document' FROM pages""")
-def page_meta_stack(t: Tables) -> DataFrame:
-    page = F.concat("url", F.lit("#page"))
-    built = (
-        statement("article", F.col("url"), FOAF + "isPrimaryTopicOf", page), statement("article", page, FOAF + "primaryTopic", F.col("url")),
-        statement("article", page, "http://purl.org/dc/elements/1.1/language", F.regexp_extract("html", 'lang="([a-z]+)"', 1), datatype="string"),
-        statement("article", page, RDF + "type", F.lit(FOAF + "Document")),
-    )
-    return statements(t.pages, *built).select("subject", "predicate", "value")
-
-
-@query(r"""SELECT page_id, CAST(o AS INTEGER) AS ord, t[o + 1] AS target, l[o + 1] AS label FROM (SELECT page_id, t, l, unnest(range(0, len(t))) AS o FROM (
-SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1) AS t, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2) AS l FROM pages))""")
-def anchor_text(t: Tables) -> DataFrame:
-    both = F.arrays_zip(F.regexp_extract_all("html", F.lit(ANCHOR), 1).alias("t"), F.regexp_extract_all("html", F.lit(ANCHOR), 2).alias("l"))
-    return t.pages.select("page_id", F.posexplode(both).alias("ord", "a")).select("page_id", "ord", F.col("a.t").alias("target"), F.col("a.l").alias("label"))
-
-
 @query(r"""SELECT page_id, CAST(o AS INTEGER) AS ord, CAST(d[o + 1] AS INTEGER) AS level, h[o + 1] AS heading FROM (SELECT page_id, d, h, unnest(range(0, len(d))) AS o FROM (
 SELECT page_id, regexp_extract_all(html, '<h([1-6])>(.*?)</h[1-6]>', 1) AS d, regexp_extract_all(html, '<h([1-6])>(.*?)</h[1-6]>', 2) AS h FROM pages))""")
 def headings(t: Tables) -> DataFrame:
@@ -93,28 +51,6 @@ def headings(t: Tables) -> DataFrame:
     return t.pages.select("page_id", F.posexplode(both).alias("ord", "x")).select("page_id", "ord", F.col("x.d").cast("int").alias("level"), F.col("x.h").alias("heading"))
 
 
-PARAGRAPHS = r"""p AS (SELECT page_id, CAST(o AS INTEGER) AS ord, length(l[o + 1]) AS n FROM (SELECT page_id, l, unnest(range(0, len(l))) AS o FROM (
-SELECT page_id, regexp_extract_all(html, '<p>([^<]*)</p>', 1) AS l FROM pages)))"""
-
-
-def paragraphs(t: Tables) -> DataFrame:
-    return t.pages.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit("<p>([^<]*)</p>"), 1)).alias("ord", "text"))
-
-
-@query(f"""WITH {PARAGRAPHS} SELECT page_id, ord, CAST(b AS BIGINT) AS begin_at, CAST(b + n AS BIGINT) AS end_at FROM (
-SELECT page_id, ord, n, coalesce(sum(n + 2) OVER (PARTITION BY page_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM p)""")
-def paragraph_offsets(t: Tables) -> DataFrame:
-    w = Window.partitionBy("page_id").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
-    begin = F.coalesce(F.sum(F.length("text") + 2).over(w), F.lit(0)).cast("long")
-    return paragraphs(t).select("page_id", "ord", begin.alias("begin_at"), (begin + F.length("text")).alias("end_at"))
-
-
-@query(f"""WITH {PARAGRAPHS} SELECT page_id, ord, lag(ord) OVER w AS previous, lead(ord) OVER w AS following FROM p WINDOW w AS (PARTITION BY page_id ORDER BY ord)""")
-def paragraph_neighbours(t: Tables) -> DataFrame:
-    w = Window.partitionBy("page_id").orderBy("ord")
-    return paragraphs(t).select("page_id", "ord", F.lag("ord").over(w).alias("previous"), F.lead("ord").over(w).alias("following"))
-
-
 @query(r"""WITH s AS (SELECT doc_id, text, list_filter(regexp_split_to_array(regexp_replace(text, '\.(\s)', '.\1' || chr(1), 'g'), chr(1)), lambda x: true) AS parts FROM documents),
 e AS (SELECT doc_id, text, parts, unnest(range(1, len(parts) + 1)) AS k FROM s),
 c AS (SELECT doc_id, k, parts[k] AS part, sum(length(parts[k])) OVER (PARTITION BY doc_id ORDER BY k) AS upto FROM e),
@@ -156,13 +92,6 @@ def camel_case_key(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", S.property_key(F.concat("p_name", F.lit("_"), F.col("p_size").cast("string"))).alias("key"))
 
 
-@query(r"""SELECT page_id, regexp_extract(url, '^([a-z]+)://', 1) AS scheme, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host,
-regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1) AS path FROM pages""")
-def url_parts(t: Tables) -> DataFrame:
-    part = lambda p: F.coalesce(F.try_parse_url("url", F.lit(p)), F.lit(""))
-    return t.pages.select("page_id", part("PROTOCOL").alias("scheme"), part("HOST").alias("host"), part("PATH").alias("path"))
-
-
 @query("""SELECT url, CASE WHEN length(u) <= 500 THEN u END AS kept FROM (SELECT url, CASE WHEN url LIKE 'http://%' THEN 'https://' || url[8:] ELSE url END AS u FROM pages)""")
 def uri_policy(t: Tables) -> DataFrame:
     from pagequarry.operators.render import reject_long
@@ -269,34 +198,6 @@ def winner_ratio(t: Tables) -> DataFrame:
 
 
 NGRAMS = "list_distinct(list_transform(range(1, length({0}) + 3), lambda i: ('##' || {0} || '##')[i:i + 2]))"
-PAIRED = f"""WITH p AS (SELECT DISTINCT p_name AS a FROM part), q AS (SELECT a, {NGRAMS.format("a")} AS g FROM p),
-m AS (SELECT x.a AS a, y.a AS b, x.g AS g, y.g AS h, len(list_intersect(x.g, y.g)) AS i FROM q x JOIN q y ON x.a < y.a AND x.a[1] = y.a[1])"""
-
-
-def name_pairs(t: Tables) -> DataFrame:
-    a = t.part.select(F.col("p_name").alias("a")).distinct()
-    b = a.select(F.col("a").alias("b"))
-    return a.join(b, F.substring("a", 1, 1) == F.substring("b", 1, 1)).where("a < b")
-
-
-@query(f"{PAIRED} SELECT a, b, round(i / (len(g) + len(h) - i), 6) AS score FROM m")
-def ngram_jaccard(t: Tables) -> DataFrame:
-    return name_pairs(t).select("a", "b", F.round(M.jaccard(M.ngrams(F.col("a")), M.ngrams(F.col("b"))), 6).alias("score"))
-
-
-@query(f"{PAIRED} SELECT a, b, round(2 * i / (len(g) + len(h)), 6) AS score FROM m")
-def ngram_dice(t: Tables) -> DataFrame:
-    return name_pairs(t).select("a", "b", F.round(M.dice(M.ngrams(F.col("a")), M.ngrams(F.col("b"))), 6).alias("score"))
-
-
-@query(f"{PAIRED} SELECT a, b, round(i / least(len(g), len(h)), 6) AS score FROM m")
-def ngram_overlap(t: Tables) -> DataFrame:
-    return name_pairs(t).select("a", "b", F.round(M.overlap(M.ngrams(F.col("a")), M.ngrams(F.col("b"))), 6).alias("score"))
-
-
-@query(f"{PAIRED} SELECT a, b, round(1 - levenshtein(a, b) / greatest(length(a), length(b)), 6) AS score FROM m")
-def levenshtein_ratio(t: Tables) -> DataFrame:
-    return name_pairs(t).select("a", "b", F.round(M.levenshtein_ratio(F.col("a"), F.col("b")), 6).alias("score"))
 
 
 SHARING = f"""WITH p AS (SELECT DISTINCT p_name AS a FROM part), q AS (SELECT a, {NGRAMS.format("a")} AS g FROM p),
@@ -311,22 +212,22 @@ def sharing_pairs(t: Tables) -> DataFrame:
 
 
 @query(f"{SHARING} SELECT a, b, round(i / (len(g) + len(h) - i), 6) AS score FROM m")
-def ngram_jaccard_whole(t: Tables) -> DataFrame:
+def ngram_jaccard(t: Tables) -> DataFrame:
     return sharing_pairs(t).select("a", "b", F.round(F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared")), 6).alias("score"))
 
 
 @query(f"{SHARING} SELECT a, b, round(2 * i / (len(g) + len(h)), 6) AS score FROM m")
-def ngram_dice_whole(t: Tables) -> DataFrame:
+def ngram_dice(t: Tables) -> DataFrame:
     return sharing_pairs(t).select("a", "b", F.round(2 * F.col("shared") / (F.col("na") + F.col("nb")), 6).alias("score"))
 
 
 @query(f"{SHARING} SELECT a, b, round(i / least(len(g), len(h)), 6) AS score FROM m")
-def ngram_overlap_whole(t: Tables) -> DataFrame:
+def ngram_overlap(t: Tables) -> DataFrame:
     return sharing_pairs(t).select("a", "b", F.round(F.col("shared") / F.least("na", "nb"), 6).alias("score"))
 
 
 @query()
-def levenshtein_ratio_whole(t: Tables) -> DataFrame:
+def levenshtein_ratio(t: Tables) -> DataFrame:
     """Pairs from a ratio of 2/3. One edit changes three of the n + 2 padded trigrams of a name of n letters at most,
     so names without a common one are (n + 2) / 3 edits apart at least, a ratio under 2/3: none is lost."""
     near = F.levenshtein("a", "b") * 3 <= F.greatest(F.length("a"), F.length("b"))
@@ -341,3 +242,73 @@ def similarity_join_best(t: Tables) -> DataFrame:
 
     names = t.part.select("p_name").distinct()
     return best_matches(names, names, "p_name", "p_name", threshold=0.3)
+
+
+# --- scalar functions ---------------------------------------------------------------------------------
+
+
+@query("""SELECT p_partkey, p_name || ' is ' || p_brand AS plain, p_type || '|' || p_brand AS parts, lower(lpad(to_hex(p_partkey), 8, '0')) AS code FROM part""")
+def text_scalars(t: Tables) -> DataFrame:
+    """Emphasis removed, trimmed parts of a list, and numbers as hexadecimals of a fixed width."""
+    marked = F.concat(F.lit("'''"), "p_name", F.lit("''' is ''"), "p_brand", F.lit("''"))
+    parts = S.trim_split(F.concat(F.lit(" ; "), "p_type", F.lit(" ; ;"), "p_brand", F.lit(" ")), ";")
+    return t.part.select("p_partkey", S.remove_emphasis(marked).alias("plain"), F.array_join(parts, "|").alias("parts"), S.fixed_hex(F.col("p_partkey"), 8).alias("code"))
+
+
+@query("""SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS written, CASE WHEN o_orderkey % 5 = 0 THEN -1 ELSE epoch_ms(o_orderdate) END AS millis FROM orders""")
+def timestamps(t: Tables) -> DataFrame:
+    """Timestamps as text and back; broken ones are -1."""
+    written = S.iso_timestamp(F.col("o_orderdate"))
+    return t.orders.select("o_orderkey", written.alias("written"), S.parse_timestamp(F.when(F.col("o_orderkey") % 5 == 0, F.lit("yesterday")).otherwise(written)).alias("millis"))
+
+
+@query(r"""SELECT n_nationkey, 'Zürich ' || n_name AS text, 'Z\u00FCrich ' || n_name AS escaped, 'http://x/Z%C3%BCrich/' || n_nationkey AS uri, 'http://x/Zürich/' || n_nationkey AS iri FROM nation""")
+def letters_beyond_ascii(t: Tables) -> DataFrame:
+    """Numeric escapes and percent-encoding, both ways."""
+    text, iri = F.concat(F.lit("Zürich "), "n_name"), F.concat(F.lit("http://x/Zürich/"), F.col("n_nationkey").cast("string"))
+    return t.nation.select("n_nationkey", S.unescape_codes(S.escape_non_ascii(text)).alias("text"), S.escape_non_ascii(text).alias("escaped"), S.to_ascii_uri(iri).alias("uri"), S.to_iri(S.to_ascii_uri(iri)).alias("iri"))
+
+
+@query("""SELECT page_id, CASE page_id % 4 WHEN 0 THEN url WHEN 1 THEN 'http://www.x.example/' || page_id WHEN 2 THEN 'http://y.example/' || page_id END AS cleaned, page_id % 4 = 0 AS known, page_id % 4 = 0 AS absolute,
+CASE WHEN page_id % 4 = 0 THEN regexp_replace(url, '^https?://', '') END AS relative FROM pages""")
+def iri_scalars(t: Tables) -> DataFrame:
+    """Addresses cleaned, judged and made relative; every fourth is whole, the others lack a scheme or aren't addresses."""
+    k = F.col("page_id").cast("string")
+    raw = F.when(F.col("page_id") % 4 == 0, F.concat(F.lit(" "), "url", F.lit(" "))).when(F.col("page_id") % 4 == 1, F.concat(F.lit("www.x.example/"), k)).when(F.col("page_id") % 4 == 2, F.concat(F.lit("//y.example/"), k)).otherwise("not an <address>")
+    tail = F.when(F.col("page_id") % 4 == 0, S.relativize(S.relativize(F.col("url"), "https://"), "http://"))
+    return t.pages.select("page_id", S.clean_url(raw).alias("cleaned"), S.has_known_scheme(F.trim(raw)).alias("known"), S.is_valid_iri(F.trim(raw)).alias("absolute"), tail.alias("relative"))
+
+
+@query(r"""SELECT p_partkey, p_name || ' & ' || p_brand || ' €' AS text, upper(p_name[1]) || p_name[2:] AS name FROM part""")
+def unescape_entities(t: Tables) -> DataFrame:
+    """Named and numeric entities of all kinds, and capitals."""
+    coded = F.concat(F.regexp_replace("p_name", "a", "&#97;"), F.lit(" &amp; "), "p_brand", F.lit(" &euro;"))
+    return t.part.select("p_partkey", S.html_unescape(coded).alias("text"), S.capitalize(S.uncapitalize(F.col("p_name"))).alias("name"))
+
+
+@query("""SELECT o_orderkey, CAST(a AS DOUBLE) * 3600 + b * 60 AS seconds_en, CAST(a AS DOUBLE) * 3600 + b * 60 AS seconds_de, CAST(b AS DOUBLE) * 86400 AS seconds_ru FROM (SELECT o_orderkey, o_orderkey % 23 + 1 AS a, o_custkey % 59 + 1 AS b FROM orders)""")
+def durations(t: Tables) -> DataFrame:
+    """Durations in words of three languages."""
+    a, b = ((F.col(c) % n + 1).cast("string") for c, n in (("o_orderkey", 23), ("o_custkey", 59)))
+    read = lambda lang, *parts: V.parse_duration(F.concat(*parts), lang).alias(f"seconds_{lang}")
+    return t.orders.select("o_orderkey", read("en", a, F.lit(" hours, "), b, F.lit(" minutes")), read("de", a, F.lit(" Stunden "), b, F.lit(" Minuten")), read("ru", b, F.lit(" дней")))
+
+
+@query("""SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS de, strftime(o_orderdate, '%Y-%m-%d') AS pl, strftime(o_orderdate, '%Y-%m-%d') AS el FROM orders""")
+def dates_in_languages(t: Tables) -> DataFrame:
+    """Day, name of the month and year in three languages."""
+    d = F.col("o_orderdate")
+
+    def read(lang: str) -> Column:
+        month = F.element_at(F.array(*map(F.lit, V.MONTHS[lang].split())), F.month(d))
+        return V.date_text(V.parse_date(F.concat_ws(" ", F.dayofmonth(d).cast("string"), month, F.year(d).cast("string")), lang)).alias(lang)
+
+    return t.orders.select("o_orderkey", read("de"), read("pl"), read("el"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, CAST(l_quantity AS DOUBLE) AS value, CASE l_linenumber % 3 WHEN 0 THEN 'km' WHEN 1 THEN 'kg' ELSE 'ft' END AS unit FROM lineitem""")
+def numbers_with_units(t: Tables) -> DataFrame:
+    """The number that a unit follows, among other numbers; templates of conversion; feet and inches."""
+    n, k = F.col("l_quantity").cast("int").cast("string"), F.col("l_linenumber") % 3
+    text = F.when(k == 0, F.concat(F.lit("in 1990 it had "), n, F.lit(" km"))).when(k == 1, F.concat(F.lit("about 3 houses, {{convert|"), n, F.lit("|kg|lb}}"))).otherwise(F.concat(n, F.lit(" ft 0 in")))
+    return t.lineitem.select("l_orderkey", "l_linenumber", V.value_with_unit(text).alias("u")).select("l_orderkey", "l_linenumber", "u.value", "u.unit")

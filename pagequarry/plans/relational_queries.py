@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagequarry.model import OWL, RDF, RDFS, XSD, distinct_statements, statement, statements
@@ -53,12 +53,6 @@ def rdfjson_render(t: Tables) -> DataFrame:
     return render.render(nation_statements(t), "rdf-json")
 
 
-@query("""SELECT 'c' || c_custkey AS subject, 'name' AS predicate, c_name AS value FROM customer UNION ALL SELECT 'n' || n_nationkey, 'name', n_name FROM nation UNION ALL SELECT 'r' || r_regionkey, 'name', r_name FROM region""")
-def quad_fanout(t: Tables) -> DataFrame:
-    one = lambda df, p, k, n: df.select(F.concat(F.lit(p), F.col(k).cast("string")).alias("subject"), F.lit("name").alias("predicate"), F.col(n).alias("value"))
-    return one(t.customer, "c", "c_custkey", "c_name").unionByName(one(t.nation, "n", "n_nationkey", "n_name")).unionByName(one(t.region, "r", "r_regionkey", "r_name"))
-
-
 @query("SELECT DISTINCT l_partkey AS subject, 'suppliedBy' AS predicate, l_suppkey AS value FROM lineitem")
 def quad_dedup(t: Tables) -> DataFrame:
     s = statement("supply", F.col("l_partkey").cast("string"), "suppliedBy", F.col("l_suppkey").cast("string"))
@@ -102,11 +96,11 @@ def canonicalize(t: Tables) -> DataFrame:
     return post.canonicalize(s, a.union(b), "old:", "new:").select("subject", "predicate", "value")
 
 
-EDGES = "(SELECT DISTINCT l_partkey % 97 AS src, l_suppkey % 97 AS dst FROM lineitem WHERE l_partkey % 97 <> l_suppkey % 97)"
+EDGES = "(SELECT DISTINCT l_partkey AS src, l_suppkey AS dst FROM lineitem WHERE l_partkey <> l_suppkey)"
 
 
 def edges(t: Tables) -> DataFrame:
-    return t.lineitem.select((F.col("l_partkey") % 97).alias("src"), (F.col("l_suppkey") % 97).alias("dst")).where("src <> dst")
+    return t.lineitem.select(F.col("l_partkey").alias("src"), F.col("l_suppkey").alias("dst")).where("src <> dst")
 
 
 @query(f"""SELECT a.src, CASE WHEN b.src IS NOT NULL THEN '{OWL}sameAs' ELSE '{RDFS}seeAlso' END AS predicate, a.dst FROM {EDGES} a LEFT JOIN {EDGES} b ON a.src = b.dst AND a.dst = b.src""")
@@ -124,11 +118,6 @@ def interlang_anti(t: Tables) -> DataFrame:
     return post.one_way(edges(t))
 
 
-@query("""SELECT a.s_nationkey AS s_nationkey, a.s_suppkey AS kind_a, a.s_name AS name_a, b.s_suppkey AS kind_b, b.s_name AS name_b FROM supplier a JOIN supplier b ON a.s_nationkey = b.s_nationkey AND a.s_suppkey <> b.s_suppkey""")
-def sitelink_pairs(t: Tables) -> DataFrame:
-    return post.pairs_in_group(t.supplier, "s_nationkey", "s_suppkey", "s_name")
-
-
 REDIRECTS = "SELECT p_partkey AS src, p_partkey - 1 - p_partkey % 7 AS dst FROM part WHERE p_partkey % 5 <> 0 AND p_partkey > 10"
 
 
@@ -171,11 +160,6 @@ def type_counts(t: Tables) -> DataFrame:
     return post.count_values(t.part, "p_type")
 
 
-@query("SELECT lang, source, count(*) AS n FROM documents GROUP BY ROLLUP (lang, source)")
-def type_counts_rollup(t: Tables) -> DataFrame:
-    return t.documents.rollup("lang", "source").agg(F.count(F.lit(1)).alias("n"))
-
-
 @query("""SELECT l_returnflag AS language, count(DISTINCT l_orderkey) AS subjects, count(DISTINCT l_linestatus) AS predicates, count(DISTINCT l_partkey) AS objects, count(*) AS statements FROM lineitem GROUP BY ROLLUP (l_returnflag)""")
 def type_statistics(t: Tables) -> DataFrame:
     s = t.lineitem.select(F.col("l_returnflag").alias("language"), F.col("l_orderkey").alias("subject"), F.col("l_linestatus").alias("predicate"), F.col("l_partkey").alias("value"), F.lit(None).cast("string").alias("datatype"))
@@ -189,35 +173,13 @@ def mapping_coverage(t: Tables) -> DataFrame:
     return post.coverage(t.lineitem.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n")), t.part.where("p_partkey % 3 = 0").select(F.col("p_partkey").alias("l_partkey")), "l_partkey", "n")
 
 
-@query("""SELECT l_suppkey, count(*) AS uses, max(n) AS most FROM (SELECT l_suppkey, l_partkey, count(*) OVER (PARTITION BY l_suppkey, l_partkey) AS n FROM lineitem) GROUP BY l_suppkey HAVING max(n) * 200 > count(*)""")
-def template_having(t: Tables) -> DataFrame:
-    per = t.lineitem.groupBy("l_suppkey", "l_partkey").agg(F.count(F.lit(1)).alias("n"))
-    return per.groupBy("l_suppkey").agg(F.sum("n").alias("uses"), F.max("n").alias("most")).where(F.col("most") * 200 > F.col("uses"))
-
-
-@query("SELECT doc_id FROM documents ANTI JOIN labels USING (doc_id)")
-def missing_labels(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id").join(t.labels, "doc_id", "left_anti")
-
-
-@query("SELECT doc_id, lang FROM documents SEMI JOIN (SELECT doc_id FROM labels WHERE toxic = 1) USING (doc_id)")
-def disambiguation_semi(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", "lang").join(t.labels.where("toxic = 1"), "doc_id", "left_semi")
-
-
 @query("""SELECT f.l_orderkey AS page, f.l_linenumber AS fact, o_custkey AS cite FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem) f JOIN orders ON o_orderkey = f.l_orderkey WHERE n <= 4""")
 def cited_facts(t: Tables) -> DataFrame:
     facts = t.lineitem.select(F.col("l_orderkey").alias("page"), F.lit(0).alias("line"), F.col("l_linenumber").alias("fact"))
     return post.line_citations(facts, t.orders.select(F.col("o_orderkey").alias("page"), F.lit(0).alias("line"), F.col("o_custkey").alias("cite"))).select("page", "fact", "cite")
 
 
-@query("SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN 'unmapped' ELSE 'mapped' END AS tag FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id)")
-def hybrid_flag(t: Tables) -> DataFrame:
-    flag = t.labels.select("doc_id").distinct().withColumn("hit", F.lit(True))
-    return t.documents.select("doc_id").join(flag, "doc_id", "left").select("doc_id", F.when(F.col("hit"), "mapped").otherwise("unmapped").alias("tag"))
-
-
-TYPES = """WITH f AS (SELECT l_orderkey AS resource, 's' || l_suppkey % 20 AS predicate FROM lineitem), ty AS (SELECT o_orderkey AS resource, o_orderpriority AS type FROM orders WHERE o_orderkey % 3 <> 0),
+TYPES = """WITH f AS (SELECT l_orderkey AS resource, 's' || l_suppkey AS predicate FROM lineitem), ty AS (SELECT o_orderkey AS resource, o_orderpriority AS type FROM orders WHERE o_orderkey % 3 <> 0),
 u AS (SELECT resource, predicate, count(*) AS tf FROM f GROUP BY 1, 2), tot AS (SELECT count(DISTINCT resource) AS n FROM ty), pr AS (SELECT type, count(*) / (SELECT n FROM tot) AS p FROM ty GROUP BY 1),
 pa AS (SELECT predicate, sum(tf) AS a FROM u SEMI JOIN ty USING (resource) GROUP BY 1), g AS (SELECT predicate, type, sum(tf) / any_value(a) AS q FROM u JOIN ty USING (resource) JOIN pa USING (predicate) GROUP BY 1, 2),
 wt AS (SELECT predicate, sum(pow(p - coalesce(q, 0), 2)) AS w FROM (SELECT DISTINCT predicate FROM g) CROSS JOIN pr LEFT JOIN g USING (predicate, type) GROUP BY 1),
@@ -226,7 +188,7 @@ sc AS (SELECT resource, type, round(sum(tf * w * q) / any_value(m), 6) AS score
 
 
 def scores(t: Tables) -> DataFrame:
-    facts = t.lineitem.select(F.col("l_orderkey").alias("resource"), F.concat(F.lit("s"), (F.col("l_suppkey") % 20).cast("string")).alias("predicate"))
+    facts = t.lineitem.select(F.col("l_orderkey").alias("resource"), F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("predicate"))
     types = t.orders.where("o_orderkey % 3 <> 0").select(F.col("o_orderkey").alias("resource"), F.col("o_orderpriority").alias("type"))
     return post.type_scores(facts, types).withColumn("score", F.round("score", 6))
 
@@ -243,12 +205,6 @@ def best_type(t: Tables) -> DataFrame:
     return post.best_types(s).select("resource", "type", "score")
 
 
-@query("SELECT o_custkey, o_orderkey FROM (SELECT *, dense_rank() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority) AS k FROM orders) WHERE k = 1")
-def rank_preferred(t: Tables) -> DataFrame:
-    k = F.dense_rank().over(Window.partitionBy("o_custkey").orderBy("o_orderpriority"))
-    return t.orders.withColumn("k", k).where("k = 1").select("o_custkey", "o_orderkey")
-
-
 FACTS = [("anna", "wrote", "book1"), ("acme", "wrote", "book2"), ("anna", "bornIn", "rome"), ("anna", "bornIn", "acme"), ("rome", "bornIn", "acme"), ("x", "wrote", "y"), ("acme", "knows", "anna")]
 FACT_TYPES = [("anna", "Poet"), ("acme", "Company"), ("rome", "City"), ("book1", "Work")]
 PROPERTIES = [("wrote", "Person", "Work"), ("bornIn", "Person", "Place")]
@@ -289,21 +245,11 @@ def asof_section(t: Tables) -> DataFrame:
     return e.select("page_id", "ord", post.last_before(e, "mark", "page_id", ["ord"]).alias("section"))
 
 
-SPANS = "SELECT l_orderkey % 50 AS g, l_orderkey * 10 + l_linenumber AS id, (l_partkey * 37) % 20000 AS b, (l_partkey * 37) % 20000 + l_linenumber * 9 AS e FROM lineitem WHERE l_linenumber <= 2 AND l_orderkey < 3000"
+SPANS = "SELECT l_suppkey AS g, l_orderkey * 10 + l_linenumber AS id, (l_partkey * 37) % 20000 AS b, (l_partkey * 37) % 20000 + l_linenumber * 9 AS e FROM lineitem"
 
 
-@query(f"""SELECT x.g AS g, x.id AS a_id, y.id AS b_id FROM ({SPANS}) x JOIN ({SPANS}) y ON x.g = y.g AND x.b < y.e AND y.b < x.e WHERE x.id < y.id""")
+@query(f"""SELECT DISTINCT x.g AS g, x.id AS a_id, y.id AS b_id FROM ({SPANS}) x JOIN ({SPANS}) y ON x.g = y.g AND x.b < y.e AND y.b < x.e WHERE x.id < y.id""")
 def overlap_links(t: Tables) -> DataFrame:
-    begin = (F.col("l_partkey") * 37) % 20000
-    s = t.lineitem.where("l_linenumber <= 2 and l_orderkey < 3000").select((F.col("l_orderkey") % 50).alias("g"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), begin.alias("begin"), (begin + F.col("l_linenumber") * 9).alias("end"))
-    return post.overlapping(s, s, "g", width=64).where("a_id < b_id").select("g", "a_id", "b_id")
-
-
-WHOLE_SPANS = "SELECT l_suppkey AS g, l_orderkey * 10 + l_linenumber AS id, (l_partkey * 37) % 20000 AS b, (l_partkey * 37) % 20000 + l_linenumber * 9 AS e FROM lineitem"
-
-
-@query(f"""SELECT DISTINCT x.g AS g, x.id AS a_id, y.id AS b_id FROM ({WHOLE_SPANS}) x JOIN ({WHOLE_SPANS}) y ON x.g = y.g AND x.b < y.e AND y.b < x.e WHERE x.id < y.id""")
-def overlap_links_whole(t: Tables) -> DataFrame:
     """The spans of all rows, by supplier: the groups keep their size as the table grows."""
     begin = (F.col("l_partkey") * 37) % 20000
     s = t.lineitem.select(F.col("l_suppkey").alias("g"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), begin.alias("begin"), (begin + F.col("l_linenumber") * 9).alias("end"))
@@ -339,18 +285,10 @@ def live_priority_queue(t: Tables) -> DataFrame:
     return live.queue(t.events.withColumn("priority", p), "user_id", "priority", "ts").select("user_id", "place")
 
 
-@query("""WITH a AS (SELECT DISTINCT user_id, event_type FROM events WHERE event_id % 40 = 0), b AS (SELECT DISTINCT user_id, event_type FROM events WHERE event_id % 40 = 1)
-SELECT coalesce(a.user_id, b.user_id) AS user_id, coalesce(a.event_type, b.event_type) AS event_type, CASE WHEN a.user_id IS NULL THEN 'added' WHEN b.user_id IS NULL THEN 'deleted' ELSE 'unmodified' END AS op
-FROM a FULL JOIN b ON a.user_id = b.user_id AND a.event_type = b.event_type""")
-def live_diff(t: Tables) -> DataFrame:
-    key = ["user_id", "event_type"]
-    return post.set_difference(t.events.where("event_id % 40 = 0"), t.events.where("event_id % 40 = 1"), key)
-
-
 @query("""WITH a AS (SELECT DISTINCT user_id, event_type FROM events WHERE event_id % 2 = 0), b AS (SELECT DISTINCT user_id, event_type FROM events WHERE event_id % 2 <> 0)
 SELECT coalesce(a.user_id, b.user_id) AS user_id, coalesce(a.event_type, b.event_type) AS event_type, CASE WHEN a.user_id IS NULL THEN 'added' WHEN b.user_id IS NULL THEN 'deleted' ELSE 'unmodified' END AS op
 FROM a FULL JOIN b ON a.user_id = b.user_id AND a.event_type = b.event_type""")
-def live_diff_whole(t: Tables) -> DataFrame:
+def live_diff(t: Tables) -> DataFrame:
     """Even against odd events, which together are all of them."""
     return post.set_difference(t.events.where("event_id % 2 = 0"), t.events.where("event_id % 2 <> 0"), ["user_id", "event_type"])
 
@@ -360,34 +298,137 @@ def unmodified_refresh(t: Tables) -> DataFrame:
     return live.oldest(t.events, "user_id", "ts", "2024-01-30 12:00:00", 25)
 
 
-@query("""SELECT conv_id, turn, role, following FROM (SELECT conv_id, turn, role, lead(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS following FROM conversations) WHERE following IS NOT NULL""")
-def conversation_pairs(t: Tables) -> DataFrame:
-    nxt = F.lead("turn").over(Window.partitionBy("conv_id").orderBy("turn"))
-    return t.conversations.select("conv_id", "turn", "role", nxt.alias("following")).where("following is not null")
+@query("""WITH a AS (SELECT l_returnflag AS k, count(*) AS n FROM lineitem GROUP BY 1), b AS (SELECT l_returnflag AS k, count(*) AS n FROM lineitem WHERE l_linenumber <= 3 GROUP BY 1)
+SELECT k, a.n AS now, coalesce(b.n, 0) AS before, CASE WHEN b.n IS NULL THEN 1.0 ELSE round((a.n - b.n) / b.n, 6) END AS change FROM a LEFT JOIN b USING (k) WHERE b.n IS NULL OR abs((a.n - b.n) / b.n) >= 0.1""")
+def release_drift(t: Tables) -> DataFrame:
+    """All rows against those of the first three lines of an order."""
+    n = lambda df: df.groupBy(F.col("l_returnflag").alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    return post.drift(n(t.lineitem), n(t.lineitem.where("l_linenumber <= 3")), "k", "n", 0.1)
 
+@query("""SELECT a.l_orderkey AS l_orderkey, a.l_linenumber AS kind_a, a.l_partkey AS name_a, b.l_linenumber AS kind_b, b.l_partkey AS name_b FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber <> b.l_linenumber""")
+def pairs_in_group(t: Tables) -> DataFrame:
+    """Pairs of the lines of an order, as an item's titles pair up: groups stay small however large the table."""
+    return post.pairs_in_group(t.lineitem, "l_orderkey", "l_linenumber", "l_partkey")
 
-@query("""SELECT doc_id, CASE lang WHEN 'en' THEN 'mapped_en' WHEN 'de' THEN 'mapped_de' ELSE 'rest' END AS dataset FROM documents""")
-def lang_lookup_join(t: Tables) -> DataFrame:
-    known = t.spark.createDataFrame([("en", "mapped_en"), ("de", "mapped_de")], "lang string, dataset string")
-    return t.documents.select("doc_id", "lang").join(F.broadcast(known), "lang", "left").select("doc_id", F.coalesce("dataset", F.lit("rest")).alias("dataset"))
 
+@query("SELECT l_orderkey AS item, CAST(l_suppkey AS VARCHAR) AS site, count(DISTINCT l_partkey) AS titles FROM lineitem GROUP BY 1, 2 HAVING count(DISTINCT l_partkey) > 1")
+def double_links(t: Tables) -> DataFrame:
+    return post.double_links(t.lineitem.select(F.col("l_orderkey").alias("item"), F.col("l_suppkey").cast("string").alias("site"), F.col("l_partkey").alias("title")))
 
-@query("""WITH a AS (SELECT l_returnflag AS k, count(*) AS n FROM lineitem WHERE l_linenumber <= 3 GROUP BY 1), b AS (SELECT l_returnflag AS k, count(*) AS n FROM lineitem WHERE l_linenumber <= 2 GROUP BY 1)
-SELECT k, a.n AS now, b.n AS before, round((a.n - b.n) / b.n, 6) AS change FROM a JOIN b USING (k) WHERE abs((a.n - b.n) / b.n) >= 0.1""")
-def release_drift(t: Tables) -> DataFrame:
-    n = lambda k: t.lineitem.where(f"l_linenumber <= {k}").groupBy(F.col("l_returnflag").alias("k")).agg(F.count(F.lit(1)).alias("n"))
-    return post.drift(n(3), n(2), "k", "n", 0.1)
 
+@query("""SELECT CASE WHEN grouping(lang) = 1 THEN NULL ELSE lang END AS language, source, CAST(sum(n) AS BIGINT) AS n FROM (SELECT lang, source, count(*) AS n FROM documents GROUP BY ALL) GROUP BY GROUPING SETS ((lang, source), (source))""")
+def merged_statistics(t: Tables) -> DataFrame:
+    """Counts of several documents of statistics, here one for each language, and for all languages."""
+    return post.merged_statistics(post.count_values(t.documents.withColumnRenamed("lang", "language"), "language", "source"), ["source"], ["n"])
 
-@query("""WITH a AS (SELECT l_returnflag AS k, count(*) AS n FROM lineitem GROUP BY 1), b AS (SELECT l_returnflag AS k, count(*) AS n FROM lineitem WHERE l_linenumber <= 3 GROUP BY 1)
-SELECT k, a.n AS now, coalesce(b.n, 0) AS before, CASE WHEN b.n IS NULL THEN 1.0 ELSE round((a.n - b.n) / b.n, 6) END AS change FROM a LEFT JOIN b USING (k) WHERE b.n IS NULL OR abs((a.n - b.n) / b.n) >= 0.1""")
-def release_drift_whole(t: Tables) -> DataFrame:
-    """All rows against those of the first three lines of an order."""
-    n = lambda df: df.groupBy(F.col("l_returnflag").alias("k")).agg(F.count(F.lit(1)).alias("n"))
-    return post.drift(n(t.lineitem), n(t.lineitem.where("l_linenumber <= 3")), "k", "n", 0.1)
+
+@query("SELECT lang AS language, count(*) AS n, CAST(row_number() OVER (ORDER BY count(*) DESC, lang) AS INTEGER) AS place FROM documents GROUP BY lang")
+def languages_by_size(t: Tables) -> DataFrame:
+    return post.by_size(post.count_values(t.documents.withColumnRenamed("lang", "language"), "language"))
+
+
+@query("""WITH e AS (SELECT p_partkey AS src, p_partkey - 1 AS dst FROM part WHERE p_partkey % 4 = 3), w AS (SELECT l_partkey FROM lineitem)
+SELECT CAST(coalesce(dst, l_partkey) AS VARCHAR) AS template, count(*) AS n FROM w LEFT JOIN e ON src = l_partkey GROUP BY 1""")
+def template_usage(t: Tables) -> DataFrame:
+    """Uses of parts, counted under what a part redirects to."""
+    key = lambda c: F.col(c).cast("string")
+    final = post.redirect_closure(t.part.where("p_partkey % 4 = 3").select(key("p_partkey").alias("src"), (F.col("p_partkey") - 1).cast("string").alias("dst")))
+    return post.usage_counts(t.lineitem.select(key("l_partkey").alias("template")), final)
+
+
+@query("""SELECT l_suppkey, CAST(sum(n) AS BIGINT) AS uses, max(n) AS most FROM (SELECT l_suppkey, l_partkey, count(*) AS n FROM lineitem GROUP BY 1, 2) GROUP BY l_suppkey HAVING max(n) * 200 > sum(n)""")
+def template_having(t: Tables) -> DataFrame:
+    return post.frequent(post.count_values(t.lineitem, "l_suppkey", "l_partkey"), "l_suppkey", "n", 200)
+
+
+@query("SELECT doc_id FROM documents ANTI JOIN labels USING (doc_id)")
+def missing_labels(t: Tables) -> DataFrame:
+    return post.members_of(t.documents.select("doc_id"), t.labels, "doc_id", inside=False)
+
+
+@query("SELECT doc_id, lang FROM documents SEMI JOIN (SELECT doc_id FROM labels WHERE toxic = 1) USING (doc_id)")
+def disambiguation_semi(t: Tables) -> DataFrame:
+    return post.members_of(t.documents.select("doc_id", "lang"), t.labels.where("toxic = 1"), "doc_id")
+
+
+@query("""SELECT doc_id, lang, CASE lang WHEN 'en' THEN 'mapped_en' WHEN 'de' THEN 'mapped_de' ELSE 'rest' END AS dataset FROM documents""")
+def lang_lookup_join(t: Tables) -> DataFrame:
+    known = t.spark.createDataFrame([("en", "mapped_en"), ("de", "mapped_de")], "lang string, dataset string")
+    return post.with_lookup(t.documents.select("doc_id", "lang"), known, "lang", "dataset", "rest")
 
 
 @query("""SELECT n_regionkey, string_agg(n_name, ', ' ORDER BY n_name) AS names FROM nation GROUP BY n_regionkey""")
 def concat_names(t: Tables) -> DataFrame:
-    return t.nation.groupBy("n_regionkey").agg(F.array_join(F.array_sort(F.collect_set("n_name")), ", ").alias("names"))
+    return post.concatenated(t.nation, "n_regionkey", "n_name").withColumnRenamed("values", "names")
+
+
+CHAIN = 100
+
+
+@query(f"SELECT 'c' || range AS class, 'c' || (range + k) AS ancestor, CAST(k AS INTEGER) AS depth FROM range({CHAIN} + 1) CROSS JOIN (SELECT range AS k FROM range({CHAIN} + 1)) WHERE range + k <= {CHAIN}")
+def deep_class_closure(t: Tables) -> DataFrame:
+    """A chain of a hundred classes: depth has no bound."""
+    return post.class_closure(t.spark.range(CHAIN).select(F.concat(F.lit("c"), F.col("id").cast("string")).alias("class"), F.concat(F.lit("c"), (F.col("id") + 1).cast("string")).alias("base")))
+
+
+def _format(name: str, form: str, sql: str) -> None:
+    def f(t: Tables) -> DataFrame:
+        return render.render(nation_statements(t).withColumn("context", F.concat(F.lit("http://c.example/"), "dataset")), form)
+
+    f.__name__ = name
+    query(sql)(f)
+
+
+QUAD_LINES = NATION_LINES.replace(" || ' .' AS line", " || ' <http://c.example/' || dataset || '> .' AS line")
+_format("turtle_quads_render", "turtle-quads", QUAD_LINES)
+_format("n_triples_render", "n-triples", NATION_LINES)
+_format("n_quads_render", "n-quads", QUAD_LINES)
+_format("trix_quads_render", "trix-quads", f"""SELECT dataset, '<graph><uri>http://c.example/' || dataset || '</uri><triple><uri>' || subject || '</uri><uri>' || predicate || '</uri>' || CASE WHEN datatype IS NULL THEN '<uri>' || value || '</uri>'
+ELSE '<plainLiteral xml:lang="' || language || '">' || value || '</plainLiteral>' END || '</triple></graph>' AS line FROM {NATION_SQL}""")
+
+
+@query(f"""SELECT op, CASE op WHEN 'added' THEN 'INSERT DATA {{ ' ELSE 'DELETE DATA {{ ' END || line || ' }}' AS line FROM (SELECT CASE dataset WHEN 'labels' THEN 'added' ELSE 'deleted' END AS op, line FROM ({NATION_LINES}))""")
+def sparql_updates(t: Tables) -> DataFrame:
+    return render.sparql_update(nation_statements(t).withColumn("op", F.when(F.col("dataset") == "labels", "added").otherwise("deleted")))
+
+
+@query(f"""SELECT replace(subject, '{N}', 'http://example.org/generic/') AS subject, predicate, CASE WHEN datatype IS NULL AND regexp_matches(value, '[0-9]$') AND NOT regexp_matches(value, '[A-Za-z_][A-Za-z0-9._-]*$') THEN value || '_' ELSE value END AS value
+FROM {NATION_SQL} WHERE NOT (datatype IS NULL AND length(value) > 33)""")
+def uri_policies(t: Tables) -> DataFrame:
+    """Policies at their positions, in order: a rewritten subject, objects that are too long, objects that no name in XML can end."""
+    generic = lambda x: F.replace(x, F.lit(N), F.lit("http://example.org/generic/"))
+    policies = [("subject", generic), ("object", lambda x: render.reject_long(x, 33)), ("object", render.xml_safe)]
+    return render.apply_policies(nation_statements(t), policies).select("subject", "predicate", "value")
+
+
+# --- publishing ---------------------------------------------------------------------------------------
+
+
+@query("""WITH c AS (SELECT l_orderkey AS page, l_returnflag AS op, min(l_orderkey * 10 + l_linenumber) AS seq, count(*) AS n FROM lineitem GROUP BY 1, 2),
+z AS (SELECT page, max(n) AS n, min(seq) AS seq FROM c GROUP BY page),
+b AS (SELECT page, floor(coalesce(count(*) OVER w, 0) / 400) AS x, floor(coalesce(sum(n) OVER w, 0) / 1000) AS y FROM z WINDOW w AS (ORDER BY seq, page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+f AS (SELECT page, dense_rank() OVER (ORDER BY x, y) AS flush FROM b)
+SELECT CAST(flush AS INTEGER) AS flush, count(DISTINCT page) AS pages, count(*) AS changes FROM lineitem JOIN f ON page = l_orderkey GROUP BY flush""")
+def live_flushes(t: Tables) -> DataFrame:
+    changes = t.lineitem.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"), F.col("l_orderkey").alias("page"), F.col("l_returnflag").alias("op"))
+    return live.flushes(changes, statements=1000).groupBy("flush").agg(F.count_distinct("page").alias("pages"), F.count(F.lit(1)).alias("changes"))
+
+
+@query("SELECT 'c' || c_custkey AS subject, 'segment' AS predicate, c_mktsegment AS value, 'segments' AS dataset FROM customer")
+def live_cache_export(t: Tables) -> DataFrame:
+    held = F.to_json(F.create_map(F.lit("segments"), F.array(F.struct(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("subject"), F.lit("segment").alias("predicate"), F.col("c_mktsegment").alias("value")))))
+    return live.export_cache(t.customer.select(F.col("c_custkey").alias("page"), held.alias("json"))).select("subject", "predicate", "value", "dataset")
+
+
+@query("SELECT l_orderkey AS page, 'l' || l_linenumber AS predicate, CASE WHEN l_linenumber = 1 THEN 'deleted' WHEN l_linenumber = 2 THEN 'unmodified' ELSE 'added' END AS op FROM lineitem")
+def live_restricted(t: Tables) -> DataFrame:
+    """Changes under the status of their extractor: purged, kept, active or without a rule."""
+    rules = t.spark.createDataFrame([("l1", "purge"), ("l2", "keep"), ("l3", "active")], "predicate string, status string")
+    changes = t.lineitem.select(F.col("l_orderkey").alias("page"), F.concat(F.lit("l"), F.col("l_linenumber").cast("string")).alias("predicate"), F.lit("added").alias("op"))
+    return live.restricted(changes, rules)
+
 
+@query("SELECT l_orderkey AS page, o_orderdate AS modified FROM lineitem JOIN orders ON o_custkey = l_suppkey")
+def live_affected_pages(t: Tables) -> DataFrame:
+    edits = t.orders.select(F.col("o_custkey").cast("string").alias("template"), F.col("o_orderdate").alias("modified"))
+    return live.affected_pages(edits, t.lineitem.select(F.col("l_suppkey").cast("string").alias("template"), F.col("l_orderkey").alias("page")))

@@ -278,3 +278,68 @@ items_query("table_item_properties", ["item-properties"], union(*TERMS, *CLAIMS,
 def table_item_preferred(t: Tables) -> DataFrame:
     """Of each item's claims of a property the preferred ones, else the normal ones."""
     return wikidata.preferred(wikidata.claims(part_items(t))).select(F.col("s__").alias("s"), F.col("prop__").alias("prop"), F.col("value__").alias("value"))
+
+
+# --- rendered text ------------------------------------------------------------------------------------------
+
+
+def rendered(t: Tables) -> DataFrame:
+    """HTML of each customer: a lead, two sections of which the second is below the first, and a link in each paragraph but the lead."""
+    k, n = F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string")
+    lead = F.concat(F.lit("<p>Customer "), k, F.lit(" buys.</p><script>x()</script>"))
+    first = F.concat(F.lit("<h2>Segment "), "c_mktsegment", F.lit('</h2><p>It is in <a href="/wiki/N'), n, F.lit('">nation '), n, F.lit("</a>.</p>"))
+    second = F.concat(F.lit("<h3>More</h3><p>See <a href=\"/wiki/M\">there</a>.</p><p>End "), k, F.lit(".</p>"))
+    return t.customer.select(F.col("c_custkey").alias("page_id"), F.concat(lead, first, second).alias("html"))
+
+
+TEXTS = "['Customer ' || c_custkey || ' buys.', 'Segment ' || c_mktsegment, 'It is in nation ' || c_nationkey || '.', 'More', 'See there.', 'End ' || c_custkey || '.']"
+MODEL = f"""(SELECT page_id, o - 1 AS ord, x[o] AS text, k[o] AS kind, CASE WHEN o >= 4 THEN 3 WHEN o >= 2 THEN 1 END AS section, CAST(coalesce(list_sum(list_transform(x[:o - 1], lambda y: length(y) + 2)), 0) AS INTEGER) AS begin_at
+FROM (SELECT c_custkey AS page_id, {TEXTS} AS x, ['paragraph', 'title', 'paragraph', 'title', 'paragraph', 'paragraph'] AS k, unnest(range(1, 7)) AS o FROM customer))"""
+
+
+@query(f"SELECT page_id, CAST(ord AS INTEGER) AS ord, kind, text, CAST(section AS INTEGER) AS section, begin_at, CAST(begin_at + length(text) AS INTEGER) AS end_at FROM {MODEL}")
+def text_model(t: Tables) -> DataFrame:
+    return nif.model(rendered(t)).select("page_id", "ord", "kind", "text", "section", F.col("begin").alias("begin_at"), F.col("end").alias("end_at"))
+
+
+@query(f"SELECT page_id, CAST(ord AS INTEGER) AS ord, lag(CAST(ord AS INTEGER)) OVER w AS previous, lead(CAST(ord AS INTEGER)) OVER w AS following FROM {MODEL} WHERE kind = 'paragraph' WINDOW w AS (PARTITION BY page_id, section ORDER BY ord)")
+def text_neighbours(t: Tables) -> DataFrame:
+    return nif.neighbours(nif.model(rendered(t))).select("page_id", "ord", "previous", F.col("next").alias("following"))
+
+
+@query("SELECT c_custkey AS page_id, 1 AS ord, CAST(NULL AS INTEGER) AS parent, 3 AS following FROM customer UNION ALL SELECT c_custkey, 3, 1, NULL FROM customer")
+def text_sections(t: Tables) -> DataFrame:
+    return nif.sections(nif.model(rendered(t))).select("page_id", "ord", "parent", F.col("next").alias("following"))
+
+
+@query(f"""SELECT page_id, CAST(begin_at + 9 AS INTEGER) AS begin_at, CAST(begin_at + length(text) - 1 AS INTEGER) AS end_at, text[10:length(text) - 1] AS text, 'phrase' AS kind FROM {MODEL} WHERE ord = 2
+UNION ALL SELECT page_id, begin_at + 4, begin_at + 9, 'there', 'word' FROM {MODEL} WHERE ord = 4""")
+def text_links(t: Tables) -> DataFrame:
+    return nif.links(nif.model(rendered(t))).select("page_id", F.col("begin").alias("begin_at"), F.col("end").alias("end_at"), "text", "kind")
+
+
+@query(f"SELECT page_id, string_agg(text, chr(10) || chr(10) ORDER BY ord) AS text FROM {MODEL} GROUP BY page_id")
+def text_context(t: Tables) -> DataFrame:
+    return nif.context(nif.model(rendered(t)))
+
+
+@query("SELECT c_custkey AS page_id, 'Customer ' || c_custkey || ' buys. It is in nation ' || c_nationkey || '.' AS long, 'Customer ' || c_custkey || ' buys. It is in nation ' || c_nationkey || '.' AS short FROM customer")
+def text_abstracts(t: Tables) -> DataFrame:
+    return nif.abstracts(nif.model(rendered(t)))
+
+
+@query(f"SELECT page_id, CAST(ord AS INTEGER) AS ord, text FROM {MODEL} WHERE page_id % 3 = 0")
+def text_corpus(t: Tables) -> DataFrame:
+    """The pieces of a set of pages."""
+    return nif.corpus(nif.model(rendered(t)), t.customer.where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("page_id"))).select("page_id", "ord", "text")
+
+
+@query(f"""SELECT page_id, CAST(begin_at + 9 AS INTEGER) AS begin_at, text[10:length(text) - 1] AS text FROM {MODEL} WHERE ord = 2 UNION ALL SELECT page_id, begin_at + 4, 'there' FROM {MODEL} WHERE ord = 4
+UNION ALL SELECT page_id, 0, 'Customer' FROM {MODEL} WHERE ord = 0 UNION ALL SELECT page_id, begin_at, 'Segment' FROM {MODEL} WHERE ord = 1 UNION ALL SELECT page_id, begin_at, 'End ' || page_id FROM {MODEL} WHERE ord = 5""")
+def text_enriched(t: Tables) -> DataFrame:
+    """Links, and the surface forms of a dictionary where no link is; the longer of two forms."""
+    pieces = nif.model(rendered(t))
+    forms = t.spark.createDataFrame([("Customer", "C"), ("Segment", "S"), ("nation", "N"), ("End", "E")], "form string, href string")
+    forms = forms.unionByName(t.customer.select(F.concat(F.lit("End "), F.col("c_custkey").cast("string")).alias("form"), F.lit("X").alias("href")))
+    found = nif.enriched(nif.links(pieces), nif.surface_forms(pieces, forms))
+    return found.select("page_id", F.col("begin").alias("begin_at"), "text")

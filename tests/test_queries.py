@@ -52,28 +52,28 @@ def written(spark, folder, name, rows, schema):
     return str(folder)
 
 
-def test_overlap_links_whole(spark, tmp_path):
+def test_overlap_links(spark, tmp_path):
     """Rows of any order and line number, by brute force."""
     rng = random.Random(2)
     rows = [(9000 + k // 7, k % 7 + 1, rng.randint(1, 30), rng.randint(1, 3)) for k in range(200)]
     folder = written(spark, tmp_path, "lineitem", rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long")
     spans = [(g, o * 10 + n, p * 37 % 20000, p * 37 % 20000 + n * 9) for o, n, p, g in rows]
     expected = {(x[0], x[1], y[1]) for x in spans for y in spans if x[0] == y[0] and x[1] < y[1] and x[2] < y[3] and y[2] < x[3]}
-    assert expected and {tuple(r) for r in QUERIES["overlap_links_whole"](spark, folder).collect()} == expected
+    assert expected and {tuple(r) for r in QUERIES["overlap_links"](spark, folder).collect()} == expected
 
 
-def test_live_diff_whole(spark, tmp_path):
+def test_live_diff(spark, tmp_path):
     rows = [(k, k % 7, ("a", "b", "c")[k % 3]) for k in range(30)] + [(36, 90, "a"), (37, 91, "a"), (90, 92, "b"), (91, 92, "b")]
     folder = written(spark, tmp_path, "events", rows, "event_id long, user_id long, event_type string")
     sides = [{(u, e) for k, u, e in rows if k % 2 == odd} for odd in (0, 1)]
     expected = {(*x, "unmodified" if x in sides[0] & sides[1] else "deleted" if x in sides[0] else "added") for x in sides[0] | sides[1]}
-    assert {tuple(r) for r in QUERIES["live_diff_whole"](spark, folder).collect()} == expected
+    assert {tuple(r) for r in QUERIES["live_diff"](spark, folder).collect()} == expected
 
 
-def test_release_drift_whole(spark, tmp_path):
+def test_release_drift(spark, tmp_path):
     rows = [(1, "A"), (2, "A"), (7, "A"), (1, "N"), (5, "R")]
     folder = written(spark, tmp_path, "lineitem", rows, "l_linenumber int, l_returnflag string")
-    assert {tuple(r) for r in QUERIES["release_drift_whole"](spark, folder).collect()} == {("A", 3, 2, 0.5), ("R", 1, 0, 1.0)}
+    assert {tuple(r) for r in QUERIES["release_drift"](spark, folder).collect()} == {("A", 3, 2, 0.5), ("R", 1, 0, 1.0)}
 
 
 def test_name_pairs_whole(spark, tmp_path):
@@ -97,10 +97,10 @@ def test_name_pairs_whole(spark, tmp_path):
     pairs = [(a, b, grams(a), grams(b)) for a in names for b in names if a < b]
     sharing = [(a, b, g, h) for a, b, g, h in pairs if g & h]
     expected = {
-        "ngram_jaccard_whole": {(a, b): len(g & h) / len(g | h) for a, b, g, h in sharing},
-        "ngram_dice_whole": {(a, b): 2 * len(g & h) / (len(g) + len(h)) for a, b, g, h in sharing},
-        "ngram_overlap_whole": {(a, b): len(g & h) / min(len(g), len(h)) for a, b, g, h in sharing},
-        "levenshtein_ratio_whole": {(a, b): 1 - distance(a, b) / max(len(a), len(b)) for a, b, _, _ in pairs if 3 * distance(a, b) <= max(len(a), len(b))},
+        "ngram_jaccard": {(a, b): len(g & h) / len(g | h) for a, b, g, h in sharing},
+        "ngram_dice": {(a, b): 2 * len(g & h) / (len(g) + len(h)) for a, b, g, h in sharing},
+        "ngram_overlap": {(a, b): len(g & h) / min(len(g), len(h)) for a, b, g, h in sharing},
+        "levenshtein_ratio": {(a, b): 1 - distance(a, b) / max(len(a), len(b)) for a, b, _, _ in pairs if 3 * distance(a, b) <= max(len(a), len(b))},
     }
     for name, want in expected.items():
         got = {(r.a, r.b): r.score for r in QUERIES[name](spark, folder).collect()}
