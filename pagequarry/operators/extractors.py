@@ -7,9 +7,11 @@ items with JSON. `extract` runs any of them over one view that is parsed once an
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
+from importlib import import_module
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagequarry.functions import scalar as S
@@ -26,24 +28,61 @@ ONTOLOGY = f"http://{DOMAIN}/ontology/"
 MAIN, FILE, TEMPLATE, CATEGORY = 0, 6, 10, 14
 
 
-def extractor(name: str, view: str = "nodes") -> Callable[[Extractor], Extractor]:
-    """Register an extractor; view: pages, nodes or json."""
+@dataclass(frozen=True)
+class Note:
+    """What is known of an extractor besides its code: the view it reads, what it says of itself, and hooks around its run."""
+
+    name: str
+    view: str
+    text: str
+    agent: str
+    before: Callable[[DataFrame], None] | None = None
+    after: Callable[[DataFrame], None] | None = None
+
+
+NOTES: dict[str, Note] = {}
+
+
+def extractor(name: str, view: str = "nodes", before: Callable[[DataFrame], None] | None = None, after: Callable[[DataFrame], None] | None = None) -> Callable[[Extractor], Extractor]:
+    """Register an extractor; view: pages, nodes or json. before gets the pages, after the statements of each run that `extract` plans."""
     def register(f: Extractor) -> Extractor:
         REGISTRY[name] = (view, f)
+        NOTES[name] = Note(name, view, " ".join((f.__doc__ or "").split()), f"{ONTOLOGY}agent/{name}", before, after)
         return f
 
     return register
 
 
+def load(path: str) -> None:
+    """Register what the function at `package.module:function` is, under its own name, read as nodes."""
+    module, _, name = path.partition(":")
+    extractor(name)(getattr(import_module(module), name))
+
+
 def extract(pages: DataFrame, names: Sequence[str], *, distinct: bool = True) -> DataFrame:
     """The statements of the named extractors; wikitext is parsed once if any of them needs it."""
     views = {"pages": pages, "json": pages}
     if any(REGISTRY[n][0] == "nodes" for n in names):
         views["nodes"] = cut(parsed(pages), "parsed")
-    out = reduce(DataFrame.unionByName, [REGISTRY[n][1](views[REGISTRY[n][0]]) for n in names])
+    made = []
+    for n in names:
+        view, run = REGISTRY[n]
+        if NOTES[n].before:
+            NOTES[n].before(views[view])
+        made.append(run(views[view]))
+        if NOTES[n].after:
+            NOTES[n].after(made[-1])
+    out = reduce(DataFrame.unionByName, made)
     return distinct_statements(out) if distinct else out
 
 
+def agents(spark: SparkSession, names: Sequence[str] | None = None) -> DataFrame:
+    """Statements about the extractors as software agents: their type, name and description."""
+    rows = spark.createDataFrame([(n.agent, n.name, n.text or n.name) for k, n in sorted(NOTES.items()) if names is None or k in names], "agent string, name string, text string")
+    a = F.col("agent")
+    return statements(rows, statement("agents", a, RDF + "type", F.lit("http://www.w3.org/ns/prov#SoftwareAgent")), statement("agents", a, RDFS + "label", F.col("name"), datatype=XSD + "string"), statement("agents", a, DCT + "description", F.col("text"), datatype=XSD + "string"))
+
+
 def subject() -> Column:
     return S.resource_iri(F.col("title"), F.col("lang"), DOMAIN)
 

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
@@ -60,10 +61,22 @@ def brackets(s: str) -> dict[int, int]:
     return ends
 
 
+#: What becomes of templates while they are parsed, by language: `external` (key of the address, key of the label), `unwrap`
+#: (their values in their place), `children` (the values of some keys in their place), `text` (a fixed text), `last` (their last value).
+Transforms = Mapping[str, Sequence[str]]
+TRANSFORMS: dict[str, Transforms] = {
+    "en": {"nowrap": ("unwrap",), "nobr": ("unwrap",), "flatlist": ("unwrap",), "plainlist": ("unwrap",), "lang": ("last",), "url": ("external", "1", "2"), "spaced ndash": ("text", " – "), "hlist": ("unwrap",), "small": ("unwrap",)},
+    "de": {"lang": ("last",), "nowrap": ("unwrap",), "url": ("external", "1", "2")},
+    "fr": {"langue": ("last",), "lien web": ("external", "url", "titre"), "nobr": ("unwrap",)},
+    "es": {"url": ("external", "1", "2"), "lang": ("last",)},
+}
+
+
 @dataclass
 class Parser:
     source: str
     nodes: list[dict] = field(default_factory=list)
+    transforms: Transforms = field(default_factory=dict)
 
     def parse(self) -> list[dict]:
         text = SKIPPED.sub(lambda m: "\n" * m[0].count("\n"), self.source)
@@ -148,10 +161,27 @@ class Parser:
             props.append({"key": key, "value": value.strip(), "line": at + a[:lead].count("\n")})
             at += a.count("\n")
         shown = re.sub(r"\s+", " ", name.replace("_", " ")).strip()
+        if kind == "template" and shown.lower() in self.transforms:
+            self.transformed(self.transforms[shown.lower()], props, parent, depth, line)
+            return
         me = self.add(parent, depth, line, kind, name=shown[:1].upper() + shown[1:] if kind == "template" else shown, text="{{" + body + "}}", props=props)
         for p in props:
             self.walk(p["value"], 0, len(p["value"]), me, depth + 1, p["line"])
 
+    def transformed(self, rule: Sequence[str], props: list[dict], parent: int, depth: int, line: int) -> None:
+        """What a template stands for, in its place."""
+        kind, *keys = rule
+        of = {p["key"]: p["value"] for p in props}
+        if kind == "external":
+            if url := of.get(keys[0], ""):
+                self.add(parent, depth, line, "external", name=url, text=of.get(keys[1], "") if len(keys) > 1 else "")
+        elif kind == "text":
+            self.add(parent, depth, line, "text", text=keys[0])
+        else:
+            chosen = props if kind == "unwrap" else props[-1:] if kind == "last" else [p for p in props if p["key"] in keys]
+            for p in chosen:
+                self.walk(p["value"], 0, len(p["value"]), parent, depth, p["line"])
+
     def table(self, body: str, parent: int, depth: int, line: int) -> None:
         rows: list[list[dict]] = [[]]
         caption = ""
@@ -179,9 +209,32 @@ def parse_wikitext(source: pd.Series) -> pd.Series:
     return source.map(lambda s: Parser(s).parse() if isinstance(s, str) else [])
 
 
-def parsed(pages: DataFrame) -> DataFrame:
-    """pages with their nodes; write the result if several extractors read it."""
-    return pages.withColumn("nodes", parse_wikitext("source"))
+def parsed(pages: DataFrame, transforms: Mapping[str, Transforms] | None = None) -> DataFrame:
+    """pages with their nodes; write the result if several extractors read it. transforms: by language, see TRANSFORMS."""
+    if transforms is None:
+        return pages.withColumn("nodes", parse_wikitext("source"))
+    rules = {lang: dict(of) for lang, of in transforms.items()}
+
+    @F.pandas_udf(ArrayType(NODE))
+    def parse(source: pd.Series, lang: pd.Series) -> pd.Series:
+        return pd.Series([Parser(s, transforms=rules.get(of, {})).parse() if isinstance(s, str) else [] for s, of in zip(source, lang, strict=True)], dtype=object)
+
+    return pages.withColumn("nodes", parse("source", "lang"))
+
+
+def relative_lines(rows: DataFrame) -> DataFrame:
+    """Exploded nodes with section (its name) and relative (lines since its heading); before the first heading lines count from the page's start."""
+    heads = F.filter("nodes", lambda n: (n["kind"] == "section") & (n["id"] <= F.col("node.id")))
+    last = F.try_element_at(heads, F.lit(-1))
+    return rows.withColumn("section", last["name"]).withColumn("relative", F.col("node.line") - F.coalesce(last["line"], F.lit(1)))
+
+
+def child_addresses(rows: DataFrame, base: Column, name: Column, longest: int = 50) -> DataFrame:
+    """Exploded nodes with address: that of the page, a cleaned name of at most so many letters, and which of that name on the page it is."""
+    clean = F.substring(F.regexp_replace(F.regexp_replace(name, r"[^\p{L}\p{N}]+", "_"), "^_+|_+$", ""), 1, longest)
+    rows = rows.withColumn("address", F.concat(base, F.lit("__"), clean))
+    nth = F.row_number().over(Window.partitionBy("page_id", "address").orderBy("node.id"))
+    return rows.withColumn("address", F.concat("address", F.lit("__"), nth.cast("string")))
 
 
 def of_kind(kind: str, top: bool = False) -> Column:
@@ -226,9 +279,34 @@ def table_grid(rows: str | Column) -> Column:
     return _grid(F.to_json(rows))
 
 
-def title_parts(title: Column, namespaces: dict[str, int] | None = None, languages: tuple[str, ...] = ("en", "de", "fr", "es", "it", "nl", "ru", "ja", "pl", "pt")) -> Column:
-    """What a link's target names: title, ns, fragment, language of an interlanguage link, and whether a colon leads."""
-    known = namespaces or {"category": 14, "kategorie": 14, "catégorie": 14, "categoría": 14, "file": 6, "image": 6, "datei": 6, "bild": 6, "fichier": 6, "archivo": 6, "template": 10, "vorlage": 10, "modèle": 10, "plantilla": 10, "user": 2, "talk": 1, "help": 12, "portal": 100}
+#: Codes of languages with a wiki of their own.
+LANGUAGES = """en de fr es it nl ru ja pl pt zh sv uk vi ar fa ca sr id ko no fi hu cs tr ro eu eo da bg hy he sk el hr lt sl et gl th hi ms az be ka la kk uz bn ur ta mk nn lv
+af sq cy br oc bs is sw te ml mr tl lb ga mn jv yo am my ne pa gu kn si zu commons wikidata""".split()
+#: Names of namespaces by language; English ones are known everywhere.
+NAMESPACES: dict[str, dict[str, int]] = {
+    "en": {"talk": 1, "user": 2, "user talk": 3, "wikipedia": 4, "project": 4, "file": 6, "image": 6, "file talk": 7, "mediawiki": 8, "template": 10, "template talk": 11, "help": 12, "category": 14, "category talk": 15, "portal": 100, "draft": 118, "module": 828, "special": -1, "media": -2},
+    "de": {"diskussion": 1, "benutzer": 2, "benutzerin": 2, "datei": 6, "bild": 6, "vorlage": 10, "hilfe": 12, "kategorie": 14, "modul": 828, "spezial": -1},
+    "fr": {"discussion": 1, "utilisateur": 2, "fichier": 6, "modèle": 10, "aide": 12, "catégorie": 14, "portail": 100, "spécial": -1},
+    "es": {"discusión": 1, "usuario": 2, "archivo": 6, "imagen": 6, "plantilla": 10, "ayuda": 12, "categoría": 14, "módulo": 828, "especial": -1},
+    "it": {"discussione": 1, "utente": 2, "file": 6, "immagine": 6, "template": 10, "aiuto": 12, "categoria": 14, "portale": 100, "speciale": -1},
+    "pt": {"discussão": 1, "usuário": 2, "ficheiro": 6, "arquivo": 6, "imagem": 6, "predefinição": 10, "ajuda": 12, "categoria": 14},
+    "nl": {"overleg": 1, "gebruiker": 2, "bestand": 6, "afbeelding": 6, "sjabloon": 10, "categorie": 14},
+    "pl": {"dyskusja": 1, "wikipedysta": 2, "plik": 6, "grafika": 6, "szablon": 10, "pomoc": 12, "kategoria": 14},
+    "ru": {"обсуждение": 1, "участник": 2, "файл": 6, "изображение": 6, "шаблон": 10, "справка": 12, "категория": 14, "портал": 100, "модуль": 828},
+    "sv": {"diskussion": 1, "användare": 2, "fil": 6, "bild": 6, "mall": 10, "hjälp": 12, "kategori": 14},
+    "cs": {"diskuse": 1, "wikipedista": 2, "soubor": 6, "šablona": 10, "nápověda": 12, "kategorie": 14},
+    "tr": {"tartışma": 1, "kullanıcı": 2, "dosya": 6, "şablon": 10, "yardım": 12, "kategori": 14},
+    "el": {"συζήτηση": 1, "χρήστης": 2, "αρχείο": 6, "πρότυπο": 10, "βοήθεια": 12, "κατηγορία": 14},
+    "hu": {"vita": 1, "szerkesztő": 2, "fájl": 6, "kép": 6, "sablon": 10, "segítség": 12, "kategória": 14},
+    "ja": {"ノート": 1, "利用者": 2, "ファイル": 6, "画像": 6},
+}
+
+
+def title_parts(title: Column, namespaces: dict[str, int] | None = None, languages: tuple[str, ...] = tuple(LANGUAGES)) -> Column:
+    """What a link's target names: title, ns, fragment, language of an interlanguage link, and whether a colon leads.
+
+    Namespaces are known by their names in all of NAMESPACES' languages, unless they are given."""
+    known = namespaces or {name: n for of in reversed(NAMESPACES.values()) for name, n in of.items()}
     table = F.create_map(*[F.lit(v) for kv in known.items() for v in kv])
     from pagequarry.functions.scalar import capitalize, clean_space
     from pagequarry.functions.values import let
@@ -238,7 +316,7 @@ def title_parts(title: Column, namespaces: dict[str, int] | None = None, languag
         prefix = F.lower(F.trim(F.regexp_extract(body, r"^([^:\[\]#|]+):", 1)))
         lang = F.when(prefix.isin(*languages) & ~x.startswith(":"), prefix)
         ns = F.coalesce(F.try_element_at(table, prefix), F.lit(0))
-        rest = F.when((ns > 0) | prefix.isin(*languages), F.regexp_replace(body, r"^[^:]+:", "")).otherwise(body)
+        rest = F.when((ns != 0) | prefix.isin(*languages), F.regexp_replace(body, r"^[^:]+:", "")).otherwise(body)
         fragment = F.nullif(F.regexp_extract(rest, r"#(.*)$", 1), F.lit(""))
         name = capitalize(clean_space(F.regexp_replace(rest, r"#.*$", "")))
         return F.struct(name.alias("title"), ns.alias("ns"), fragment.alias("fragment"), lang.alias("language"), x.startswith(":").alias("colon"))

@@ -39,6 +39,28 @@ def tee(df: DataFrame, *sinks: Callable[[DataFrame], object]) -> None:
         held.unpersist()
 
 
+def marker(spark: SparkSession, path: str, run: Callable[[], object]) -> None:
+    """A file that stands while `run` works, and one named for its end after it: what is neither running nor done has failed."""
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path  # noqa: N806
+    fs = Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(Path(f"{path}.done"), False)
+    fs.create(Path(path), True).close()
+    run()
+    fs.create(Path(f"{path}.done"), True).close()
+    fs.delete(Path(path), False)
+
+
+def wrapped(sink: Callable[[DataFrame], object], *steps: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], object]:
+    """A sink behind steps that change what it gets, the first one first."""
+
+    def write(df: DataFrame) -> object:
+        for step in steps:
+            df = step(df)
+        return sink(df)
+
+    return write
+
+
 def distinct_per_page(statements: DataFrame, page: str) -> DataFrame:
     """Statements once each within a page."""
     return statements.dropDuplicates([page, "subject", "predicate", "value", "datatype", "language"])
@@ -74,6 +96,12 @@ def changes(diff: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def file_catalogue(spark: SparkSession, path: str) -> DataFrame:
-    """Path, bytes, lines and checksum of each file below a folder."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select("path", F.col("length").alias("bytes"), (F.length("content") - F.length(F.expr("replace(decode(content, 'ISO-8859-1'), '\n', '')"))).alias("lines"), F.md5("content").alias("md5"))
+    """Path, bytes, lines and a checksum of each file below a folder, from its lines, so that no file is held whole.
+
+    The checksum is the exclusive or of the hashes of numbered lines: equal files have equal ones. Bytes
+    are those of the text, decompressed.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("packed"), "value")
+    at = F.xxhash64("value")
+    out = lines.groupBy("path", "packed").agg(F.sum(F.octet_length("value").cast("long") + 1).alias("bytes"), F.count(F.lit(1)).alias("lines"), F.bit_xor(at).alias("all"), F.sum(at % 1_000_003).alias("sum"))
+    return out.select("path", "packed", "bytes", "lines", F.lower(F.hex(F.xxhash64("all", "sum", "lines"))).alias("checksum"))
