@@ -74,6 +74,35 @@ SELECT * FROM r WHERE rank <= 5
 """
 
 
+def covered_sql(width: int) -> str:
+    """Runs (r, a, b) of bytes that strings of a width which also start elsewhere cover, from texts t (r, h: hexadecimal, n: bytes)."""
+    windows = f"SELECT r, p, md5(substr(h, 2 * p + 1, {2 * width})) AS m FROM (SELECT r, h, unnest(range(0, n - {width - 1})) AS p FROM t WHERE n >= {width})"
+    return f"""w{width} AS MATERIALIZED ({windows}), s{width} AS (SELECT r, p FROM w{width} WHERE m IN (SELECT m FROM w{width} GROUP BY m HAVING count(*) > 1)),
+c{width} AS (SELECT r, min(p) AS a, max(p) + {width} AS b FROM (SELECT r, p, sum(fresh) OVER (PARTITION BY r ORDER BY p) AS g FROM (
+SELECT r, p, CASE WHEN p - lag(p) OVER (PARTITION BY r ORDER BY p) <= {width} THEN 0 ELSE 1 END AS fresh FROM s{width})) GROUP BY r, g)"""
+
+
+OP7_SQL = f"""
+WITH t AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+{covered_sql(400)}, {covered_sql(256)},
+gaps AS (SELECT r, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS x, a AS y FROM c400 UNION ALL SELECT c400.r, max(b), any_value(n) FROM c400 JOIN t USING (r) GROUP BY c400.r),
+kept AS (SELECT r, string_agg(substr(h, CAST(2 * x + 1 AS BIGINT), CAST(2 * (y - x) AS BIGINT)), '' ORDER BY x) AS h FROM gaps JOIN t USING (r) GROUP BY r),
+removed AS (SELECT r, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM c400 GROUP BY r), passages AS (SELECT r, CAST(sum(b - a) AS BIGINT) AS n FROM c256 GROUP BY r)
+SELECT doc_id, t.n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept.h, t.h))) AS kept_sha256, coalesce(passages.n, 0) AS n_passage_bytes
+FROM t LEFT JOIN removed USING (r) LEFT JOIN kept USING (r) LEFT JOIN passages USING (r)
+"""
+
+OP9_SQL = r"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents), nodes AS MATERIALIZED (SELECT min(r) AS v, text FROM d GROUP BY text),
+words AS (SELECT v, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM nodes), cut AS (SELECT v, w, least(5, len(w)) AS k FROM words WHERE len(w) > 0),
+shingles AS MATERIALIZED (SELECT v, x, row_number() OVER (PARTITION BY v, x) AS nth FROM (SELECT v, array_to_string(w[i + 1:i + k], ' ') AS x FROM (SELECT v, w, k, unnest(range(0, len(w) - k + 1)) AS i FROM cut))),
+sizes AS (SELECT v, count(*) AS n FROM shingles GROUP BY v), common AS (SELECT a.v AS a, b.v AS b, count(*) AS met FROM shingles a JOIN shingles b ON a.x = b.x AND a.nth = b.nth AND a.v < b.v GROUP BY 1, 2),
+links AS MATERIALIZED (SELECT a, b FROM common JOIN sizes p ON p.v = a JOIN sizes q ON q.v = b WHERE met >= 0.8 * (p.n + q.n - met)), every AS MATERIALIZED (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT v AS a, v AS b FROM nodes UNION SELECT reach.a, every.b FROM reach JOIN every ON reach.b = every.a)
+SELECT d.doc_id, min(m.doc_id) AS class_id FROM d JOIN nodes n ON n.text = d.text JOIN reach ON reach.a = n.v JOIN nodes o ON o.v = reach.b JOIN d m ON m.text = o.text GROUP BY d.r, d.doc_id
+"""
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "class_id")
 
@@ -100,4 +129,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_vector_search": OP8_SQL}
+    return {"op7_suffix_dedup": OP7_SQL, "op8_vector_search": OP8_SQL, "op9_near_duplicates": OP9_SQL}
