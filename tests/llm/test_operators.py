@@ -1,6 +1,7 @@
 """Each operator on awkward tables (nulls, empty and long texts, ties, repeats, clashing columns, no rows) and against brute force."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -23,8 +24,9 @@ from pagequarry.llm.vector_search import top_k
 
 vocabularies = pytest.importorskip("public_tokenizers")
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size int, shard string, key string, tokens string, node string, bucket string, root string, draw string, n int, row_key string, text_key string, `range` string"
-EXTRA = (1, "s", "k", "t", "n", "b", "r", "d", 2, "rk", "tk", "x")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size int, shard string, key string, tokens string, node string, bucket string, root string, draw string, n int, row_key string, text_key string, `range` string, key__ string, text__ string, expected__ string, tail__ string, epoch int, whole string, rest string, edge string, `row` string, label int, window string, `raw` string"
+#: Names that the operators use themselves, with values that none of them must read.
+EXTRA = (1, "s", "k", "t", "n", "b", "r", "d", 2, "rk", "tk", "x", "kk", "tt", "ee", "ta", 3, "w", "re", "ed", "ro", 4, "wi", "ra")
 
 
 def frame(spark, rows):
@@ -135,6 +137,95 @@ def leaking(spark, item, text):
     return got.count() == 1
 
 
+NUMBERS = {"three", "four", "five", "seven"}
+UNIT_WORDS = {"kg", "km", "litres"}
+PLACES = {"The", "How", "In"}
+
+
+def brute_leaks(docs, items):
+    """Leaks with slots, from the docstring: typed words, windows, diagonals, torn values, containment and runs."""
+    def typed(words, k, names=True):
+        w = words[k]
+        is_number = lambda x: x.isdigit() or x.lower() in NUMBERS
+        if is_number(w):
+            return "<n>"
+        if w.lower() in UNIT_WORDS and k and is_number(words[k - 1]):
+            return "<u>"
+        return "<name>" if names and w.istitle() and w not in PLACES else w.lower()
+
+    def inside(words, k):
+        before = words[k - 1] if k else ""
+        after_word = k and (before[-1].islower() or before[-1].isdigit())
+        return typed(words, k) if not words[k].istitle() or after_word else typed(words, k, names=False)
+
+    found = set()
+    slots = {"<n>", "<u>", "<name>"}
+    for i, item in items:
+        iw = item.split()
+        low = [w.lower() for w in iw]
+        forms = {"template": [typed(iw, k) for k in range(len(iw))], "inside": [inside(iw, k) for k in range(len(iw))]}
+        n = len(iw) - 4
+        proves = lambda form: sum(w not in slots for w in form) >= 2
+        rich = {a for a in range(n) if proves(forms["template"][a : a + 5])}
+        for d, text in docs:
+            dw = text.split()
+            dl, dt = [w.lower() for w in dw], [typed(dw, k) for k in range(len(dw))]
+            diagonals = defaultdict(list)
+            for p in range(len(dw) - 4):
+                for a in range(n):
+                    exact = dl[p : p + 5] == low[a : a + 5]
+                    for form in {tuple(f[a : a + 5]) for f in forms.values()} | {tuple(low[a : a + 5])}:
+                        plain = list(form) == low[a : a + 5]
+                        if (plain or proves(form)) and list(form) in (dl[p : p + 5], dt[p : p + 5]):
+                            shown = forms["template"][a : a + 5] if plain else form
+                            pairs = {(shown[k], low[a + k], dl[p + k]) for k in range(5) if shown[k] in slots}
+                            diagonals[p - a].append((a, exact, pairs))
+            at, best, reparameterised = set(), 0, False
+            for matches in diagonals.values():
+                values = defaultdict(set)
+                for _, _, pairs in matches:
+                    for kind, x, y in pairs:
+                        values[kind, x].add(y)
+                torn = {k for k, v in values.items() if len(v) > 1}
+                good = [m for m in matches if m[1] or not any((kind, x) in torn for kind, x, _ in m[2])]
+                own = {m[0] for m in good}
+                at |= own
+                reparameterised |= any(x != y for m in good for _, x, y in m[2])
+                run = [sum(1 for _ in g) for _, g in itertools.groupby(sorted(own), key=lambda a, c=itertools.count(): a - next(c))]
+                best = max([best, *run])
+            share = max(len(at) / n, len(at & rich) / len(rich) if rich else 0)
+            if share >= 0.8 or best >= 9:
+                found.add((d, i, reparameterised))
+    return found
+
+
+def test_leaks_by_brute_force(spark):
+    """Copies with other numbers, names and units, whole, cut, torn and mixed with prose."""
+    rng = random.Random(8)
+    vocabulary = ["the", "of", "carries", "boats", "to", "market", "and", "then", "sells", "How", "In", "The"]
+    fill = lambda: rng.choice([str(rng.randint(2, 40)), rng.choice(sorted(NUMBERS)), rng.choice(["Anna", "Marta", "Jon"]), f"{rng.randint(2, 9)} kg", f"{rng.randint(2, 9)} km"])
+    items, docs = [], []
+    for k in range(10):
+        words = []
+        for _ in range(rng.randint(6, 16)):
+            words += rng.choices(vocabulary, k=rng.randint(1, 3)) + ([fill()] if rng.random() < 0.7 else [])
+        items.append((k, " ".join(words)))
+    for k in range(60):
+        words = items[k % 10][1].split()
+        values = {}
+        for j, w in enumerate(words):
+            if w.isdigit() and rng.random() < 0.9:
+                words[j] = values.setdefault(w, str(rng.randint(50, 99))) if rng.random() < 0.8 else str(rng.randint(50, 99))
+            elif w in ("Anna", "Marta", "Jon"):
+                words[j] = values.setdefault(w, rng.choice(["Lena", "Ivo"]))
+        cut = words[: max(5, int(len(words) * rng.choice([0.5, 0.9, 1.0])))]
+        docs.append((k, " ".join([*rng.choices(vocabulary, k=rng.randint(0, 5)), *cut, *rng.choices(vocabulary, k=rng.randint(0, 5))])))
+    got = leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    expected = brute_leaks(docs, items)
+    assert {(r.doc_id, r.item_id, r.reparameterised) for r in got.collect()} == expected
+    assert len(expected) > 20 and any(r for *_, r in expected) and len({d for d, *_ in expected}) < len(docs)
+
+
 def test_leaks_with_torn_slots(spark):
     """Equal words count whatever the slots say; two item values may get one document value."""
     rng = random.Random(3)
@@ -241,6 +332,42 @@ def test_mixing(spark, epochs, part):
     assert Counter(r.doc_id for r in again.collect()) == times
 
 
+@pytest.mark.parametrize("epochs, part", [(1, 0.37), (2, 1.3)])
+def test_mixing_row_by_row(spark, epochs, part):
+    """Every row and its epoch, by brute force: the prefix of each leaf's order of draws, equal rows included."""
+    rng = random.Random(17)
+    rows = [(k, prose(rng, rng.randint(0, 25)), rng.choice(["en", "de", None]), rng.choice(["a", "b", "c", None])) for k in range(500)]
+    rows += [rows[3]] * 7 + [(None, "x y", "en", "a")] * 3
+    got = Counter((r.doc_id, r.text, r.mix__.epoch) for r in mix(frame(spark, rows), levels=default_levels(), weights=DEFAULT_WEIGHTS, budget_share=part, max_epochs=epochs, seed=5).collect())
+    leaves = defaultdict(list)
+    for i, t, lang, src in rows:
+        domain = "(none)" if src is None else DOMAINS[zlib.crc32(src.encode()) % 4]
+        leaves[domain, lang or "(none)", src or "(none)"].append((i, t, len(t.split())))
+    held = {leaf: sum(n for *_, n in of) for leaf, of in leaves.items()}
+    goal = budgets(held, DEFAULT_WEIGHTS, sum(held.values()) * part, epochs)
+    expected = Counter()
+    for leaf, of in leaves.items():
+        n = held[leaf]
+        whole = int(goal[leaf] // n) if n else int(goal[leaf] > 0 or part >= 1)
+        rest = goal[leaf] - whole * n
+        if n and n - rest < 1e-6 * n:
+            whole, rest = whole + 1, 0.0
+        whole = min(whole, epochs)
+        for e in range(whole):
+            expected.update((i, t, e) for i, t, _ in of)
+        if rest > 0 and whole < epochs:
+            def order(row):
+                key = hashlib.md5(f"{'-' if row[0] is None else row[0]}:{row[1]}".encode()).digest()
+                return hashlib.md5(f"5:{whole}:{key.hex().upper()}".encode()).hexdigest(), key
+
+            upto = 0
+            for i, t, tokens in sorted(of, key=order):
+                upto += tokens
+                if upto - tokens / 2 <= rest:
+                    expected[i, t, whole] += 1
+    assert got == expected
+
+
 def test_mixing_awkward(docs, empty):
     out = mix(docs, levels=default_levels(), weights={}, budget_share=1.0, max_epochs=1)
     assert out.columns == [*docs.columns, "mix__"] and out.count() == len(ROWS)
@@ -372,7 +499,7 @@ def test_near_duplicates_in_crowds(spark, monkeypatch, part):
 
 
 def test_pipeline(spark, tmp_path, labels, benchmark):
-    d = frame(spark, near_rows()).drop("size", "shard", "key", "tokens", "node", "bucket", "root", "draw", "n", "row_key", "text_key", "range")
+    d = frame(spark, near_rows())
     d.write.parquet(str(tmp_path / "documents.parquet"))
     labels.write.parquet(str(tmp_path / "labels.parquet"))
     benchmark.write.parquet(str(tmp_path / "benchmark.parquet"))
@@ -389,5 +516,32 @@ def test_pipeline(spark, tmp_path, labels, benchmark):
     assert Counter(map(tuple, corpus_pipeline.run(spark, str(tmp_path)).collect())) == Counter(map(tuple, docs.collect()))
 
 
+@pytest.mark.parametrize("rows", [[], [(None, None, None, None)] * 3, [(k, t, "en", "s") for k, t in enumerate([None, "", " ", "x" * 200_000, "same words here as there", "same words here as there"])]])
+def test_pipeline_of_awkward_tables(spark, tmp_path, labels, benchmark, rows):
+    """No rows, nulls alone, and empty and very long texts, with clashing names, through all stages."""
+    frame(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    benchmark.write.parquet(str(tmp_path / "benchmark.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert len(out) <= len(rows) and all(r.slot is not None for r in out)
+
+
+def test_results_keep_the_columns_that_clash(spark, docs, labels, benchmark):
+    whole = {tuple(r) for r in docs.collect()}
+    for kept in (accepted(docs, labels), deduplicated(docs), clean(docs, benchmark), mix(docs, levels=default_levels(), weights={}).drop("mix__")):
+        assert kept.columns == docs.columns and {tuple(r) for r in kept.collect()} <= whole
+
+
+def test_nothing_is_left_behind(spark, docs):
+    """Tables that only lead to a result are gone when it is there; those that it reads stay."""
+    import os
+
+    home = spark.conf.get("spark.checkpoint.dir") + "/pagequarry"
+    before = set(os.listdir(home)) if os.path.isdir(home) else set()
+    assert classes(docs.select("doc_id", "text")).count() == without_repeats(docs).count() == len(ROWS)
+    left = {x.rpartition("-")[0] for x in set(os.listdir(home)) - before}
+    assert left == {"roots", "spans"}
+
+
 def test_bins_hold():
     assert sharding.pack([], 4) == []
