@@ -5,6 +5,11 @@
 3. decontamination: documents that a benchmark item leaks into go.
 4. mixing: each source keeps the token prefix that its budget allows; no document is repeated.
 5. sharding: what is left is dealt into shards of near-equal bytes.
+
+Defined results, all through: a null text counts as empty; texts of any length are taken whole; of equal
+texts one row stays (the least doc_id, nulls last); null ids, languages and sources are values of their
+own; extra columns are carried along up to the last stage, whatever their names; empty tables of
+documents, labels or benchmark items are fine (no rows, every document kept, no leaks).
 """
 
 from __future__ import annotations
@@ -14,7 +19,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagequarry.llm._common import shared_dir, table
+from pagequarry.llm._common import removed, shared_dir, table
 from pagequarry.llm.decontamination import clean
 from pagequarry.llm.mixing import DEFAULT_WEIGHTS, default_levels, mix
 from pagequarry.llm.near_duplicates import deduplicated
@@ -60,10 +65,12 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage."""
-    docs = table(spark, sf_dir, "documents")
+    """The rows of the last stage. What a stage wrote goes once the next one has read it."""
+    docs, before = table(spark, sf_dir, "documents"), []
     home = f"{shared_dir(spark)}/pagequarry/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{home}/{name}")
         docs = spark.read.parquet(f"{home}/{name}")
+        removed(spark, before)
+        before = [f"{home}/{name}"]
     return STAGES[-1][1](spark, docs, sf_dir)
