@@ -524,7 +524,7 @@ class Cascade:
         numeric = x.rlike(r"^\s*[-−–—]?[\d.,\u00a0 ]+(?:\s*\p{L}+\.?)?\s*$") & (x.rlike(r"^[^\p{L}]*$") | (t["zeros"] > 0))
         readers = {
             "unit": F.when(t["unit"].isNotNull() & x.rlike(r"^\s*[€$£]?\s?[\d.,]+\s*\S*\s*$"), make(t["unit"]["value"], t["unit"]["unit"])),
-            "date": F.when(t["date"].isNotNull() & ((t["date"]["type"] != XSD + "gYear") | x.rlike(rf"^\s*-?\d{{1,4}}\s*(?:{BEFORE_CHRIST})?\s*$")) & x.rlike(r"(?i)^[\p{L}\d\s.,/\-]+$") & x.rlike(r"\p{L}{3}|\d[-/.]\d|^\s*\d{4}\s*$"), make(date_text(t["date"]), t["date"]["type"])),
+            "date": F.when(t["date"].isNotNull() & ((t["date"]["type"] != XSD + "gYear") | x.rlike(rf"^\s*-?\d{{1,4}}\s*(?:{BEFORE_CHRIST})?\s*$")) & x.rlike(r"(?i)^[\p{L}\d\s.,/\-]+$") & x.rlike(rf"\p{{L}}{{3}}|\d[-/.]\d|^\s*\d{{4}}\s*$|\d\s*{BEFORE_CHRIST}"), make(date_text(t["date"]), t["date"]["type"])),
             "coordinate": F.when(t["coordinate"].isNotNull(), make(t["coordinate"], XSD + "double")),
             "integer": F.when(numeric & (t["number"] == F.floor(t["number"])), make(t["number"].cast("long"), XSD + "integer")),
             "double": F.when(numeric & t["number"].isNotNull(), make(t["number"], XSD + "double")),

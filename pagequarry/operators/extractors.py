@@ -289,6 +289,7 @@ def templates(pages: DataFrame, *names: str, top: bool = False) -> DataFrame:
     return rows.where(F.lower("node.name").isin([n.lower() for n in names])) if names else rows
 
 
+#: Names of templates and keys, of all languages together.
 MAIN_ARTICLE = ("cat main", "catmain", "hauptartikel", "article principal", "categoría principal")
 
 
@@ -316,7 +317,13 @@ def template_parameters(pages: DataFrame) -> DataFrame:
     return statements(rows, statement("template_parameters", subject(), ONTOLOGY + "templateUsesParameter", F.col("p__"), datatype=XSD + "string"))
 
 
-DISAMBIGUATION = ("disambiguation", "disambig", "begriffsklärung", "homonymie", "desambiguación")
+#: Templates of disambiguation pages by language.
+DISAMBIGUATIONS = {
+    "en": ("disambiguation", "disambig", "dab", "hndis", "geodis", "surname", "given name", "numberdis", "letter-disambig", "human name disambiguation", "place name disambiguation", "airport disambiguation", "mathematical disambiguation", "species latin name disambiguation", "school disambiguation"),
+    "de": ("begriffsklärung",), "fr": ("homonymie", "paronymie", "patronyme", "homonymes"), "es": ("desambiguación", "desambig"), "it": ("disambigua",), "pt": ("desambiguação", "desambig"), "nl": ("dp", "doorverwijspagina"), "pl": ("ujednoznacznienie", "disambig"),
+    "ru": ("неоднозначность", "disambig"), "sv": ("förgrening", "gren"), "cs": ("rozcestník",), "tr": ("anlam ayrımı",), "el": ("αποσαφήνιση",), "hu": ("egyértelműsítő lap", "egyért"), "ja": ("aimai",), "ca": ("desambiguació",), "ko": ("동음이의",), "zh": ("disambig",), "uk": ("disambig", "неоднозначність"), "fi": ("täsmennyssivu",), "da": ("flertydig",),
+}
+DISAMBIGUATION = tuple(dict.fromkeys(x for xs in DISAMBIGUATIONS.values() for x in xs))
 
 
 def disambiguations(pages: DataFrame, ids: DataFrame | None = None) -> DataFrame:
@@ -463,7 +470,12 @@ def winner(counts: Mapping[str, Column], least: int, ratio: float) -> Column:
     return let(ranked, lambda r: F.when((r[0]["n"] > least) & (r[0]["n"] > ratio * r[1]["n"]), r[0]["name"]))
 
 
-PRONOUNS = {"en": {"male": "he|him|his|himself", "female": "she|her|hers|herself"}, "de": {"male": "er|ihm|ihn|sein|seine", "female": "sie|ihr|ihre"}, "fr": {"male": "il|lui", "female": "elle"}, "es": {"male": "él", "female": "ella"}}
+#: Pronouns by language and gender.
+PRONOUNS = {
+    "en": {"male": "he|him|his|himself", "female": "she|her|hers|herself"}, "de": {"male": "er|ihm|ihn|sein|seine", "female": "sie|ihr|ihre"}, "fr": {"male": "il|lui", "female": "elle"}, "es": {"male": "él", "female": "ella"},
+    "pt": {"male": "ele|dele|nele", "female": "ela|dela|nela"}, "it": {"male": "egli|lui", "female": "ella|lei"}, "nl": {"male": "hij|hem|zijn", "female": "zij|haar"}, "pl": {"male": "on|jego|jemu", "female": "ona|jej"}, "ru": {"male": "он|его|ему", "female": "она|её|ей"},
+    "am": {"male": "እሱ|እርሱ", "female": "እሷ|እርሷ"}, "sv": {"male": "han|honom|hans", "female": "hon|henne|hennes"}, "cs": {"male": "on|jeho|jemu", "female": "ona|její"}, "el": {"male": "αυτός|του", "female": "αυτή|της"},
+}
 
 
 def genders(pages: DataFrame, persons: DataFrame) -> DataFrame:
@@ -476,7 +488,15 @@ def genders(pages: DataFrame, persons: DataFrame) -> DataFrame:
     return statements(rows, statement("genders", F.col("subject"), FOAF + "gender", F.col("g__"), datatype=LANG_STRING, language="en"))
 
 
-HOMEPAGE_KEYS = ("homepage", "website", "url", "web", "site web", "sitio web", "webseite")
+#: Keys of homepages, templates of official websites and words of links to them, by language.
+HOMEPAGES: dict[str, tuple[tuple[str, ...], tuple[str, ...], str]] = {
+    "en": (("homepage", "website", "url", "web"), ("official website", "official", "official site"), "official|homepage"), "de": (("webseite", "website", "homepage", "web", "webauftritt"), ("offizielle website",), "offiziell|homepage|webseite"),
+    "fr": (("site web", "siteweb", "site internet", "url"), ("site officiel",), "officiel"), "es": (("sitio web", "web", "página web", "website", "url"), ("sitio oficial", "página oficial"), "oficial"), "it": (("sito", "homepage", "sito web"), ("sito ufficiale",), "ufficiale"),
+    "pt": (("website", "site", "página oficial", "url"), ("site oficial", "oficial"), "oficial|página"), "nl": (("website", "site"), ("officiële website",), "officieel|officiële"), "pl": (("www", "strona", "strona internetowa"), ("oficjalna strona",), "oficjaln"), "ru": (("сайт", "website"), ("официальный сайт",), "официальный"),
+    "ca": (("web", "lloc web"), ("web oficial",), "oficial"), "el": (("ιστοσελίδα", "ιστότοπος"), ("επίσημη ιστοσελίδα",), "επίσημ"), "sv": (("webbplats", "hemsida"), ("officiell webbplats",), "officiell"), "tr": (("website", "site", "internet sitesi"), ("resmî site",), "resm[iî]"),
+}
+HOMEPAGE_KEYS, OFFICIAL = (tuple(dict.fromkeys(x for of in HOMEPAGES.values() for x in of[k])) for k in (0, 1))
+OFFICIAL_WORDS = "|".join(dict.fromkeys(w for of in HOMEPAGES.values() for w in of[2].split("|")))
 
 
 @extractor("homepages")
@@ -484,27 +504,35 @@ def homepages(pages: DataFrame) -> DataFrame:
     """The first usable address of an infobox's homepage keys, of a template of official websites, or of an external link named official."""
     address = lambda x: S.clean_url(F.coalesce(F.nullif(F.regexp_extract(x, r"((?:https?://|www\.)[^\s\]|}<]+)", 1), F.lit("")), F.lit("")))
     every = F.flatten(F.transform(of_kind("template"), lambda n: F.transform(F.filter(n["props"], lambda p: F.lower(p["key"]).isin(*HOMEPAGE_KEYS)), lambda p: address(p["value"]))))
-    official = F.transform(F.filter(of_kind("template"), lambda n: F.lower(n["name"]).isin("official website", "official", "offizielle website", "site officiel")), lambda n: address(n["text"]))
-    named = F.transform(F.filter(of_kind("external"), lambda n: F.lower(n["text"]).rlike("official|offiziell|officiel|oficial|homepage")), lambda n: address(n["name"]))
+    official = F.transform(F.filter(of_kind("template"), lambda n: F.lower(n["name"]).isin(*OFFICIAL)), lambda n: address(n["text"]))
+    named = F.transform(F.filter(of_kind("external"), lambda n: F.lower(n["text"]).rlike(OFFICIAL_WORDS)), lambda n: address(n["name"]))
     first = F.try_element_at(F.filter(F.concat(every, official, named), lambda x: x.isNotNull()), F.lit(1))
     return statements(in_namespaces(pages, MAIN), statement("homepages", subject(), FOAF + "homepage", first))
 
 
+#: Templates with data of persons, and their keys by what they say, of all languages.
+PERSON_TEMPLATES = ("persondata", "personendaten", "métadonnées personne", "dados de pessoa")
+PERSON_KEYS = {
+    "name": ("name", "nom", "nome"), "description": ("short description", "kurzbeschreibung", "courte description", "descrição curta"), "born": ("date of birth", "geburtsdatum", "date de naissance", "data de nascimento"),
+    "died": ("date of death", "sterbedatum", "date de décès", "data de morte"), "born at": ("place of birth", "geburtsort", "lieu de naissance", "local de nascimento"), "died at": ("place of death", "sterbeort", "lieu de décès", "local de morte"),
+}
+
+
 @extractor("persondata")
 def persondata(pages: DataFrame) -> DataFrame:
-    rows = templates(in_namespaces(pages, MAIN), "persondata", "personendaten").withColumn("n__", F.coalesce(prop("name"), F.col("title")))
+    rows = templates(in_namespaces(pages, MAIN), *PERSON_TEMPLATES).withColumn("n__", F.coalesce(*[prop(k) for k in PERSON_KEYS["name"]], F.col("title")))
     parts = F.split("n__", r"\s*,\s*")
     sur, given = F.when(F.size(parts) > 1, parts[0]), F.when(F.size(parts) > 1, F.get(parts, F.lit(1)))
     full = F.when(F.size(parts) > 1, F.concat_ws(" ", given, sur)).otherwise(F.col("n__"))
     date = lambda *k: V.parse_date(F.coalesce(*[prop(x) for x in k]))
-    rows = rows.withColumn("b__", date("date of birth", "geburtsdatum")).withColumn("d__", date("date of death", "sterbedatum"))
+    rows = rows.withColumn("b__", date(*PERSON_KEYS["born"])).withColumn("d__", date(*PERSON_KEYS["died"]))
     lang = dict(datatype=LANG_STRING, language=F.col("lang"))
     place = lambda *k: F.nullif(resource(F.regexp_extract(F.coalesce(*[prop(x) for x in k]), r"\[\[([^\]|#]+)", 1)), resource(F.lit("")))
     built = (
         statement("persondata", subject(), RDF + "type", F.lit(FOAF + "Person")), statement("persondata", subject(), FOAF + "name", full, **lang), statement("persondata", subject(), FOAF + "surname", sur, **lang),
-        statement("persondata", subject(), FOAF + "givenName", given, **lang), statement("persondata", subject(), DCT + "description", F.coalesce(prop("short description"), prop("kurzbeschreibung")), **lang),
+        statement("persondata", subject(), FOAF + "givenName", given, **lang), statement("persondata", subject(), DCT + "description", F.coalesce(*[prop(k) for k in PERSON_KEYS["description"]]), **lang),
         statement("persondata", subject(), ONTOLOGY + "birthDate", V.date_text(F.col("b__")), datatype=F.col("b__.type")), statement("persondata", subject(), ONTOLOGY + "deathDate", V.date_text(F.col("d__")), datatype=F.col("d__.type")),
-        statement("persondata", subject(), ONTOLOGY + "birthPlace", place("place of birth", "geburtsort")), statement("persondata", subject(), ONTOLOGY + "deathPlace", place("place of death", "sterbeort")),
+        statement("persondata", subject(), ONTOLOGY + "birthPlace", place(*PERSON_KEYS["born at"])), statement("persondata", subject(), ONTOLOGY + "deathPlace", place(*PERSON_KEYS["died at"])),
     )
     return statements(rows, *built)
 

@@ -11,16 +11,25 @@ from pagequarry.functions.similarity import ngrams
 def best_matches(left: DataFrame, right: DataFrame, left_col: str, right_col: str, threshold: float = 0.5) -> DataFrame:
     """a, best and score (Jaccard of n-gram sets, rounded to six places): the best other text of each a; ties go to the lesser one.
 
-    Shared n-grams are counted by a join on the n-gram and a pre-aggregated sum, so texts without any in common never meet.
+    Two sets of a similarity of at least t share one of the n - ceil(t * n) + 1 rarest n-grams of each, so
+    only those are joined: the commonest, on which most texts would meet, join nothing, and no pair is lost.
     """
     a = left.select(F.col(left_col).alias("a")).distinct().withColumn("g", ngrams(F.col("a")))
     b = right.select(F.col(right_col).alias("b")).distinct().withColumn("h", ngrams(F.col("b")))
-    ga = a.select("a", F.size("g").alias("na"), F.explode("g").alias("gram"))
-    gb = b.select("b", F.size("h").alias("nb"), F.explode("h").alias("gram"))
-    shared = ga.join(gb, "gram").where("a <> b").groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("shared"))
-    scored = shared.select("a", "b", F.round(F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared")), 6).alias("score"))
+    frequency = a.select(F.explode("g").alias("gram")).unionByName(b.select(F.explode("h").alias("gram"))).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+
+    def rarest(texts: DataFrame, text: str, grams: str) -> DataFrame:
+        each = texts.select(text, F.size(grams).alias("size"), F.explode(grams).alias("gram")).join(frequency, "gram")
+        sets = each.groupBy(text).agg(F.max("size").alias("size"), F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("ordered"))
+        # Scores are rounded before they meet the threshold, so half a unit of the last place is given.
+        keep = F.col("size") - F.ceil((F.lit(threshold) - 5e-7) * F.col("size")).cast("int") + 1
+        return sets.select(text, F.explode(F.slice(F.col("ordered"), F.lit(1), F.greatest(F.least(keep, F.col("size")), F.lit(0)))).alias("x")).select(text, F.col("x.gram").alias("gram"))
+
+    met = rarest(a, "a", "g").join(rarest(b, "b", "h"), "gram").where("a <> b").select("a", "b").distinct()
+    both = F.size(F.array_intersect("g", "h"))
+    scored = met.join(a, "a").join(b, "b").select("a", "b", F.round(both / (F.size("g") + F.size("h") - both), 6).alias("score")).where(F.col("score") >= threshold)
     best = scored.groupBy("a").agg(F.min_by(F.struct("b", "score"), F.struct(-F.col("score"), F.col("b"))).alias("m"))
-    return best.select("a", F.col("m.b").alias("best"), F.col("m.score").alias("score")).where(F.col("score") >= threshold)
+    return best.select("a", F.col("m.b").alias("best"), F.col("m.score").alias("score"))
 
 
 def assign_ids(texts: DataFrame, known: DataFrame, threshold: float) -> DataFrame:

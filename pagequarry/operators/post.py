@@ -280,7 +280,7 @@ def type_scores(facts: DataFrame, types: DataFrame) -> DataFrame:
     the squared difference of P(type) and P(type | predicate); a resource's score for a type is the
     weighted mean of P(type | predicate) over its predicates.
     """
-    uses = facts.groupBy("resource", "predicate").agg(F.count(F.lit(1)).alias("tf"))
+    uses = cut(facts.groupBy("resource", "predicate").agg(F.count(F.lit(1)).alias("tf")), "uses")
     typed = types.distinct()
     total = typed.select("resource").distinct().agg(F.count(F.lit(1)).alias("total"))
     prior = typed.groupBy("type").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(total)).select("type", (F.col("n") / F.col("total")).alias("p"))
@@ -289,7 +289,7 @@ def type_scores(facts: DataFrame, types: DataFrame) -> DataFrame:
     given = uses.join(typed, "resource").groupBy("predicate", "type").agg(F.sum("tf").alias("n")).join(of_predicate, "predicate").select("predicate", "type", (F.col("n") / F.col("all")).alias("p_given"))
     # Types that a predicate never meets add their squared prior.
     whole = prior.agg(F.sum(F.col("p") * F.col("p")).alias("squares"))
-    met = given.join(F.broadcast(prior), "type").groupBy("predicate").agg(F.sum(F.pow(F.col("p") - F.col("p_given"), 2) - F.pow("p", F.lit(2))).alias("shift"))
+    met = given.join(small(prior), "type").groupBy("predicate").agg(F.sum(F.pow(F.col("p") - F.col("p_given"), 2) - F.pow("p", F.lit(2))).alias("shift"))
     weight = met.join(F.broadcast(whole)).select("predicate", (F.col("squares") + F.col("shift")).alias("weight"))
     scored = uses.join(weight, "predicate").join(given, "predicate")
     of_resource = uses.join(weight, "predicate").groupBy("resource").agg(F.sum(F.col("tf") * F.col("weight")).alias("mass"))

@@ -81,6 +81,15 @@ def render(statements: DataFrame, form: str) -> DataFrame:
     return statements.select("dataset", (escape_non_ascii(line) if form in ASCII_FORMATS else line).alias("line"))
 
 
+def edges(form: str, started: str, completed: str) -> tuple[list[str], list[str]]:
+    """Lines before and after those of a file, by format: comments with times (ISO), or the root element."""
+    if form.startswith("trix"):
+        return ['<?xml version="1.0" encoding="UTF-8"?>', '<TriX xmlns="http://www.w3.org/2004/03/trix/trix-1/">'], ["</TriX>"]
+    if form == "rdf-json":
+        return [], []
+    return [f"# started {started}"], [f"# completed {completed}"]
+
+
 Policy = Callable[[Column], Column]
 
 
@@ -128,4 +137,4 @@ def sparql_update(diff: DataFrame) -> DataFrame:
     return diff.select("op", F.concat(verb, _terse(False), F.lit(" }")).alias("line"))
 
 
-__all__ = ["ASCII_FORMATS", "FORMATS", "STATEMENT_COLUMNS", "apply_policies", "generic", "marked", "parse_lines", "reject_long", "render", "sparql_update", "xml_safe"]
+__all__ = ["ASCII_FORMATS", "FORMATS", "STATEMENT_COLUMNS", "apply_policies", "edges", "generic", "marked", "parse_lines", "reject_long", "render", "sparql_update", "xml_safe"]

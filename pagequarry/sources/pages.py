@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagequarry.model import PAGE_SCHEMA
 from pagequarry.operators.render import parse_lines
+from pagequarry.operators.wikitext import title_parts
 
 DUMP_SCHEMA = (
     "title string, ns int, id long, redirect struct<_title: string>, "
@@ -165,6 +168,19 @@ def redirects(pages: DataFrame) -> DataFrame:
     return pages.select(F.col("title").alias("src"), found.alias("dst")).where("dst is not null")
 
 
+def template_redirects(pages: DataFrame) -> DataFrame:
+    """src and dst of redirects from a template to a template, without their namespace; other redirects of templates don't count."""
+    target = title_parts(F.col("dst"))
+    rows = redirects(pages.where("ns = 10")).withColumn("to", target).where("to.ns = 10 and to.language is null")
+    return rows.select(F.regexp_replace("src", "^[^:]+:", "").alias("src"), F.col("to.title").alias("dst"))
+
+
+def consistent(pages: DataFrame) -> DataFrame:
+    """pages with agrees: whether the namespace that the title names is the one that the page says it is in (a prefix that names none is part of the title)."""
+    named = title_parts(F.col("title"))["ns"]
+    return pages.withColumn("agrees", named == F.col("ns"))
+
+
 def sitelinks(spark: SparkSession, path: str) -> DataFrame:
     """row, item, site and title of a tab-separated table of site links."""
     return spark.read.csv(path, sep="\t", schema="row long, item string, site string, title string", quote="")
@@ -192,3 +208,14 @@ def latest_folder(spark: SparkSession, base: str, wiki: str) -> str | None:
     names = sorted(s.getPath().getName() for s in fs.listStatus(path))
     dates = [n for n in names if len(n) == 8 and n.isdigit()]
     return f"{base}/{wiki}/{dates[-1]}" if dates else None
+
+
+def find_files(spark: SparkSession, base: str, wiki: str, pattern: str) -> list[str]:
+    """Files of a wiki's newest folder whose name, behind `<wiki>-<date>-`, matches a pattern as a whole; in order."""
+    newest = latest_folder(spark, base, wiki)
+    if newest is None:
+        return []
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(newest)
+    names = [s.getPath().getName() for s in path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)]
+    own = re.compile(rf"(?:{re.escape(wiki)}-\d{{8}}-)?(?:{pattern})")
+    return sorted(f"{newest}/{n}" for n in names if own.fullmatch(n))

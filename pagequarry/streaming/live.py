@@ -163,24 +163,67 @@ def publish(changes: DataFrame, folder: str, checkpoint: str, once: bool = True)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
-def process(items: DataFrame, extract: Callable[[DataFrame], DataFrame], folder: str, checkpoint: str) -> StreamingQuery:
-    """Each micro-batch: every name once by priority and time, extracted, compared with the table of the last run and published.
+#: Parts of the state table: a micro-batch rewrites only those that its pages fall into.
+STATE_PARTS = 256
 
-    The table is rewritten beside the old one under the batch's number, so that a replay starts from the same state.
+
+def process(items: DataFrame, extract: Callable[[DataFrame], DataFrame], folder: str, checkpoint: str, parts: int = STATE_PARTS) -> StreamingQuery:
+    """Each micro-batch: every name once by priority and time, extracted, compared with the state and published.
+
+    `extract` gives statements whose context is the page's name. The state (folder/state) holds for each
+    page its statements, how often and when it changed, and the error if it couldn't be extracted; it is
+    dealt by a hash of the page into parts, of which a batch writes new versions (part=/version=) beside
+    the old ones, so that a replay starts from the same versions. Changes go to folder/diff by batch.
+    A page that fails keeps its statements and is noted with its error.
     """
+    columns = [*STATEMENT_KEY, "context"]
+
+    def latest_versions(spark: SparkSession, wanted: list[int], before: int) -> DataFrame | None:
+        """The newest version before a batch of each part wanted."""
+        Path = spark._jvm.org.apache.hadoop.fs.Path  # noqa: N806
+        fs = Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+        paths = []
+        for part in wanted:
+            home = Path(f"{folder}/state/part={part}")
+            if fs.exists(home):
+                found = [int(x.getPath().getName().partition("=")[2]) for x in fs.listStatus(home) if x.getPath().getName().startswith("version=") and fs.exists(Path(f"{x.getPath().toString()}/_SUCCESS"))]
+                if own := [v for v in found if v < before]:
+                    paths.append(f"{folder}/state/part={part}/version={max(own)}")
+        return spark.read.parquet(*paths) if paths else None
+
     def step(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        latest = batch.groupBy("name").agg(F.max_by(F.struct(*batch.columns), F.struct(F.col("modified"), F.col("item_id"))).alias("i")).select("i.*")
-        new = extract(latest.where("not coalesce(deleted, false)"))
-        path = f"{folder}/state/{number}"
+        latest = cut(batch.groupBy("name").agg(F.max_by(F.struct(*batch.columns), F.struct(F.col("modified"), F.col("item_id"))).alias("i")).select("i.*").withColumn("part", F.pmod(F.xxhash64("name"), F.lit(parts)).cast("int")), "batch")
+        touched = [r["part"] for r in latest.select("part").distinct().collect()]  # at most `parts`
+        error, new = None, None
         try:
-            old = spark.read.parquet(f"{folder}/state/{number - 1}")
-        except Exception as missing:
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
-            old = new.limit(0)
-        touched = old.join(latest.select(F.col("name").alias("context")), "context", "left_semi")
-        set_difference(touched, new, STATEMENT_KEY).where("op <> 'unmodified'").write.mode("overwrite").partitionBy("op").parquet(f"{folder}/diff/batch={number}")
-        old.join(latest.select(F.col("name").alias("context")), "context", "left_anti").unionByName(new).write.mode("overwrite").parquet(path)
+            new = cut(extract(latest.where("not coalesce(deleted, false)")).select(*columns), "extracted")
+        except Exception as failed:  # the pages of this batch keep what they had
+            error = str(failed)[:1000]
+        held = latest_versions(spark, touched, number)
+        none = "array<struct<subject: string, predicate: string, value: string, datatype: string, language: string>>"
+        if held is None:
+            held = spark.createDataFrame([], f"page string, statements {none}, times int, changed timestamp, error string, part int")
+        state = held.select("page", "statements", "times", "changed", "error", F.pmod(F.xxhash64("page"), F.lit(parts)).cast("int").alias("part"))
+        old = state.select(F.col("page").alias("context"), F.explode("statements").alias("s")).select("s.*", "context").join(latest.select(F.col("name").alias("context")), "context", "left_semi").select(*columns)
+        if error is None:
+            set_difference(old, new, columns).where("op <> 'unmodified'").write.mode("overwrite").partitionBy("op").parquet(f"{folder}/diff/batch={number}")
+            made = new.groupBy("context").agg(F.array_sort(F.collect_set(F.struct(*STATEMENT_KEY))).alias("new"))
+            joined = latest.select(F.col("name").alias("page"), "part", "modified", "deleted").join(state.drop("part"), "page", "left").join(made.withColumnRenamed("context", "page"), "page", "left")
+            now = joined.where("not coalesce(deleted, false)").select("page", F.coalesce("new", F.array().cast(none)).alias("statements"), (F.coalesce("times", F.lit(0)) + 1).alias("times"), F.col("modified").alias("changed"), F.lit(None).cast("string").alias("error"), "part")
+        else:
+            joined = latest.select(F.col("name").alias("page"), "part", "modified").join(state.drop("part"), "page", "left")
+            now = joined.select("page", F.coalesce("statements", F.array().cast(none)).alias("statements"), F.coalesce("times", F.lit(0)).alias("times"), "changed", F.lit(error).alias("error"), "part")
+        rest = state.join(latest.select(F.col("name").alias("page")), "page", "left_anti")
+        whole = cut(rest.select(*now.columns).unionByName(now), "state")
+        for part in touched:
+            whole.where(F.col("part") == part).drop("part").coalesce(1).write.mode("overwrite").parquet(f"{folder}/state/part={part}/version={number}")
 
     return items.writeStream.option("checkpointLocation", checkpoint).foreachBatch(step).trigger(availableNow=True).start()
+
+
+def pages_of_state(spark: SparkSession, folder: str) -> DataFrame:
+    """page, statements, times, changed and error of every page in a state that `process` keeps."""
+    rows = spark.read.option("basePath", f"{folder}/state").parquet(f"{folder}/state")
+    newest = rows.groupBy("part").agg(F.max("version").alias("version"))
+    return rows.join(F.broadcast(newest), ["part", "version"]).drop("part", "version")

@@ -1,6 +1,8 @@
 """Operators beyond the query catalogue: parsing, rendering, closures, validation, sources, sinks, streams."""
 
 import datetime
+import random
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -78,7 +80,15 @@ def test_wikitext_never_fails(text):
     assert [n["id"] for n in nodes] == list(range(len(nodes))) and all(n["parent"] < n["id"] for n in nodes)
 
 
+def test_open_brackets_take_linear_time():
+    began = time.time()
+    for text in ("{{a " * 20_000, "[[" * 40_000, "{{a|" * 1000 + "}}" * 1000, "{|" * 20_000, "[[x {{" * 20_000 + "]]"):
+        Parser(text).parse()
+    assert time.time() - began < 60
+
+
 def test_deep_nesting():
+    assert [n["depth"] for n in Parser("{{a|" * 150 + "}}" * 150).parse()] == list(range(150))
     Parser("{{a|" * 3000 + "}}" * 3000).parse()
     Parser("[[" * 5000).parse()
 
@@ -168,7 +178,15 @@ def test_files(spark, tmp_path, rows):
     (tmp_path / "enwiki-20240101-labels.ttl").write_text('<a> <b> "x"@en .\nbroken\n')
     got = sources.statement_files(spark, str(tmp_path / "enwiki-20240101-labels.ttl")).orderBy("ok").collect()
     assert [(r.dataset, r.ok) for r in got] == [("labels", False), ("labels", True)]
-    assert sinks.file_catalogue(spark, str(tmp_path / "p")).first().bytes == 7
+    one = sinks.file_catalogue(spark, str(tmp_path / "p")).first()
+    assert (one.bytes, one.lines) == (8, 1)
+    day = tmp_path / "base" / "enwiki" / "20240102"
+    day.mkdir(parents=True)
+    (tmp_path / "base" / "enwiki" / "20230102").mkdir()
+    for n in ("enwiki-20240102-pages.xml.bz2", "enwiki-20240102-pages2.xml", "other"):
+        (day / n).write_text("")
+    assert [x.rpartition("/")[2] for x in sources.find_files(spark, str(tmp_path / "base"), "enwiki", r"pages\d*\.xml(\.bz2)?")] == ["enwiki-20240102-pages.xml.bz2", "enwiki-20240102-pages2.xml"]
+    assert sources.find_files(spark, str(tmp_path / "base"), "dewiki", ".*") == []
 
 
 def test_stream(spark, tmp_path):
@@ -182,6 +200,67 @@ def test_stream(spark, tmp_path):
     assert got == [[("a", "added"), ("b", "added")], [("a", "deleted"), ("c", "added")], [("b", "deleted"), ("c", "deleted")]]
 
 
+def test_stream_of_null_and_empty_values(spark, tmp_path):
+    """A null language isn't an empty one, in what is added and in what is deleted."""
+    schema = "page string, version int, deleted boolean, subject string, predicate string, value string, datatype string, language string"
+    for k, (value, lang) in enumerate((("", None), ("", ""), ("x", ""))):
+        spark.createDataFrame([("A", k, False, "s", "p", value, None, lang)], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        changes = live.page_differences(live.feed(spark, str(tmp_path / "in"), schema))
+        live.publish(changes, str(tmp_path / f"out{k}"), str(tmp_path / "check")).awaitTermination()
+    got = [sorted(((r.op, r.value, r.language) for r in spark.read.option("basePath", str(tmp_path / f"out{k}")).parquet(str(tmp_path / f"out{k}")).collect()), key=str) for k in range(3)]
+    assert got == [[("added", "", None)], [("added", "", ""), ("deleted", "", None)], [("added", "x", ""), ("deleted", "", "")]]
+
+
+def test_page_processor(spark, tmp_path):
+    """Batches of edits: changes by batch, deleted pages, a page that fails, and what the state holds then."""
+    schema = "item_id long, name string, modified timestamp, deleted boolean, xml string"
+    at = lambda m: datetime.datetime(2024, 1, 1, 0, m)
+
+    def extract(items):
+        if items.where("xml like '%boom%'").count():
+            raise ValueError("can't be extracted")
+        words = items.select(F.col("name").alias("context"), F.explode(F.split("xml", " ")).alias("value"))
+        none = F.lit(None).cast("string")
+        return words.select(F.col("context").alias("subject"), F.lit("word").alias("predicate"), "value", none.alias("datatype"), none.alias("language"), "context")
+
+    steps = [[(1, "A", at(1), False, "a b"), (2, "B", at(1), False, "x"), (3, "A", at(2), False, "a c")], [(4, "A", at(3), False, "a d"), (5, "B", at(3), True, "")], [(6, "A", at(4), False, "boom")], [(7, "A", at(5), False, "e")]]
+    folder = str(tmp_path / "live")
+    for part in steps:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        live.process(live.feed(spark, str(tmp_path / "in"), schema), extract, folder, str(tmp_path / "check"), parts=4).awaitTermination()
+    diffs = spark.read.option("basePath", f"{folder}/diff").parquet(f"{folder}/diff").collect()
+    got = sorted((r.batch, r.op, r.context, r.value) for r in diffs)
+    assert got == [(0, "added", "A", "a"), (0, "added", "A", "c"), (0, "added", "B", "x"), (1, "added", "A", "d"), (1, "deleted", "A", "c"), (1, "deleted", "B", "x"), (3, "added", "A", "e"), (3, "deleted", "A", "a"), (3, "deleted", "A", "d")]
+    state = {r.page: r for r in live.pages_of_state(spark, folder).collect()}
+    assert set(state) == {"A"} and state["A"].times == 3 and [s.value for s in state["A"].statements] == ["e"] and state["A"].error is None
+
+
+def test_backpressure():
+    assert [live.files_per_trigger(n, 100, 50) for n in (0, 100, 200, 10_000)] == [50, 50, 25, 1]
+
+
+def test_titles_and_namespaces_agree(spark):
+    rows = [("Template:A", 10, "Template:B"), ("Template:C", 10, "Main page"), ("Vorlage:D", 10, "Vorlage:E"), ("Dune: part two", 0, None), ("File:x.png", 0, None)]
+    pages = spark.createDataFrame(rows, "title string, ns int, redirect string").withColumn("source", F.lit(""))
+    assert {tuple(r) for r in sources.template_redirects(pages).collect()} == {("A", "B"), ("D", "E")}
+    assert [r.agrees for r in sources.consistent(pages).orderBy("title").collect()] == [True, False, True, True, True]
+
+
+def test_best_matches_lose_no_pair(spark):
+    rng = random.Random(6)
+    names = sorted({"".join(rng.choice("abcd") for _ in range(rng.randint(1, 10))) for _ in range(150)})
+    grams = lambda n: {f"##{n}##"[k : k + 3] for k in range(len(n) + 2)}
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    for threshold in (0.3, 0.6):
+        expected = {}
+        for a in names:
+            best = min(((-round(len(grams(a) & grams(b)) / len(grams(a) | grams(b)), 6), b) for b in names if a != b))
+            if -best[0] >= threshold:
+                expected[a] = (best[1], -best[0])
+        got = {r.a: (r.best, r.score) for r in matching.best_matches(df, df, "n", "n", threshold).collect()}
+        assert {a: b for a, (b, _) in got.items()} == {a: b for a, (b, _) in expected.items()}
+
+
 def test_live_batch(spark):
     t = lambda m: datetime.datetime(2024, 1, 1, 0, m)
     df = spark.createDataFrame([(1, t(0), 10), (1, t(0), 10), (1, t(20), 11), (2, t(5), 12)], "k int, ts timestamp, v int")

@@ -100,3 +100,32 @@ def test_scalars(spark):
 def test_similarity(spark):
     df = spark.createDataFrame([("abc", "abc"), ("abcd", "abc"), ("kitten", "sitting")], "a string, b string")
     assert [round(r[0], 3) for r in df.select(M.similarity(F.col("a"), F.col("b"))).collect()] == [1.0, 0.9, 0.571]
+
+
+def test_numbers_with_units(spark):
+    cases = {
+        "in 1990 it had 12 km": (12.0, "km"), "about 3 houses, 40 kg": (40.0, "kg"), "12.5 ft 2 in": (12.5 + 2 / 12, "ft"), "€ 3.5 million": (3.5e6, "€"), "{{convert|12|km|mi|abbr=on}}": (12.0, "km"), "{{height|ft=5|in=11}}": (5 + 11 / 12, "ft"),
+        "{{height|m=1.75}}": (1.75, "m"), "2.5 million m2": (2.5e6, "m2"), "1990": None, "": None, "no number": None, None: None,
+    }
+    got = read(spark, V.value_with_unit, list(cases))
+    assert [x if x is None else (round(x[0], 6), x[1]) for x in got] == [x if x is None else (round(x[0], 6), x[1]) for x in cases.values()]
+    assert read(spark, V.value_with_unit, ["war 1.234,5 km lang", "2,5 Millionen m"], lang="de") == [(1234.5, "km"), (2.5e6, "m")]
+
+
+@pytest.mark.parametrize(
+    "lang, text, seconds",
+    [("de", "2 Stunden 30 Minuten", 9000.0), ("fr", "1 heure 5 minutes", 3900.0), ("es", "3 días", 259200.0), ("it", "2 ore", 7200.0), ("pt", "10 minutos", 600.0), ("nl", "2 uur", 7200.0), ("pl", "5 godzin", 18000.0), ("ru", "3 дня", 259200.0), ("en", "1.5 hours", 5400.0), ("de", "1,5 Stunden", 5400.0)],
+)
+def test_durations_in_languages(spark, lang, text, seconds):
+    assert read(spark, V.parse_duration, [text], lang=lang) == [seconds]
+
+
+@pytest.mark.parametrize("lang, yes, no", [("it", "vero", "falso"), ("pl", "tak", "nie"), ("ru", "да", "нет"), ("pt", "sim", "não"), ("xx", "yes", "no")])
+def test_truth_in_languages(spark, lang, yes, no):
+    assert read(spark, V.parse_boolean, [yes, no, "?"], lang=lang) == [True, False, None]
+
+
+def test_years_are_read_strictly(spark):
+    """A number in words is no year; a year is."""
+    df = spark.createDataFrame([(x,) for x in ("Customer 148", "1990", "44 BC", "May 1990")], "x string").select(V.Cascade().typed(F.col("x")).alias("v"))
+    assert [(r.v.value, r.v.datatype.rpartition("#")[2]) for r in df.collect()] == [("Customer 148", "langString"), ("1990", "gYear"), ("-0044", "gYear"), ("1990-05", "gYearMonth")]
