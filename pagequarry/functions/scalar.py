@@ -158,6 +158,14 @@ def clean_url(x: Column) -> Column:
     return F.when(has_known_scheme(x) & is_valid_iri(x), x)
 
 
+def parse_link(x: Column, strict: bool = False) -> Column:
+    """The first address in a text, bare or in brackets; if strict, only one that is all of the text."""
+    found = F.regexp_extract(x, r"((?:https?|ftps?)://[^\s\]|}<\"]+|www\.[^\s\]|}<\"]+)", 1)
+    alone = x.rlike(r"^\s*\[?\s*(?:(?:https?|ftps?)://|www\.)[^\s\]|}<\"]+(?:\s[^\]]*\]|\s*\])?\s*$")
+    out = clean_url(F.nullif(found, F.lit("")))
+    return F.when(alone, out) if strict else out
+
+
 def relativize(x: Column, base: str) -> Column:
     return F.when(x.startswith(base), F.substring(x, len(base) + 1, 1 << 30)).otherwise(x)
 

@@ -477,7 +477,15 @@ def parse_coordinates(x: Column) -> Column:
     return let(found, lambda f: F.when(f["lat"].between(-90, 90) & f["lon"].between(-180, 360), f))
 
 
-FLAGS = {"DEU": "Germany", "GER": "Germany", "FRA": "France", "ESP": "Spain", "GBR": "United Kingdom", "UK": "United Kingdom", "USA": "United States", "ITA": "Italy", "AUT": "Austria", "CHE": "Switzerland", "SUI": "Switzerland", "NLD": "Netherlands", "NED": "Netherlands", "POL": "Poland", "RUS": "Russia", "JPN": "Japan", "CHN": "China", "BRA": "Brazil", "CAN": "Canada", "AUS": "Australia"}
+#: Codes of countries in flag templates.
+FLAGS = {
+    "DEU": "Germany", "GER": "Germany", "FRA": "France", "ESP": "Spain", "GBR": "United Kingdom", "UK": "United Kingdom", "USA": "United States", "ITA": "Italy", "AUT": "Austria", "CHE": "Switzerland", "SUI": "Switzerland", "NLD": "Netherlands", "NED": "Netherlands",
+    "POL": "Poland", "RUS": "Russia", "JPN": "Japan", "CHN": "China", "BRA": "Brazil", "CAN": "Canada", "AUS": "Australia", "ARG": "Argentina", "BEL": "Belgium", "BGR": "Bulgaria", "BUL": "Bulgaria", "CHL": "Chile", "CHI": "Chile", "COL": "Colombia", "CUB": "Cuba",
+    "CZE": "Czech Republic", "DNK": "Denmark", "DEN": "Denmark", "EGY": "Egypt", "EST": "Estonia", "ETH": "Ethiopia", "FIN": "Finland", "GRC": "Greece", "GRE": "Greece", "HRV": "Croatia", "CRO": "Croatia", "HUN": "Hungary", "IND": "India", "IDN": "Indonesia", "INA": "Indonesia",
+    "IRL": "Ireland", "IRN": "Iran", "IRI": "Iran", "ISL": "Iceland", "ISR": "Israel", "JAM": "Jamaica", "KAZ": "Kazakhstan", "KEN": "Kenya", "KOR": "South Korea", "LTU": "Lithuania", "LUX": "Luxembourg", "LVA": "Latvia", "LAT": "Latvia", "MAR": "Morocco", "MEX": "Mexico",
+    "MYS": "Malaysia", "MAS": "Malaysia", "NGA": "Nigeria", "NGR": "Nigeria", "NOR": "Norway", "NZL": "New Zealand", "PAK": "Pakistan", "PER": "Peru", "PHL": "Philippines", "PHI": "Philippines", "PRT": "Portugal", "POR": "Portugal", "ROU": "Romania", "SAU": "Saudi Arabia", "KSA": "Saudi Arabia",
+    "SRB": "Serbia", "SVK": "Slovakia", "SVN": "Slovenia", "SLO": "Slovenia", "SWE": "Sweden", "THA": "Thailand", "TUN": "Tunisia", "TUR": "Turkey", "UKR": "Ukraine", "URY": "Uruguay", "URU": "Uruguay", "VEN": "Venezuela", "VNM": "Vietnam", "VIE": "Vietnam", "ZAF": "South Africa", "RSA": "South Africa",
+}
 
 
 def parse_flag(x: Column) -> Column:

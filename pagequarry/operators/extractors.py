@@ -392,6 +392,19 @@ def infobox_properties(pages: DataFrame) -> DataFrame:
     return rows.withColumn("raw__", F.trim(clean)).withColumn("value__", F.explode(S.trim_split(F.col("raw__"), r"<br\s*/?>|\n\s*\*|;(?![^\[]*\])")))
 
 
+def surface_links(pages: DataFrame) -> DataFrame:
+    """page_id, form (in lower case) and target: what a text links to where a page links it first, in the main namespace."""
+    rows = internal_links(pages).where("to__.ns = 0 and to__.language is null and node.text <> ''")
+    first = rows.groupBy("page_id", F.lower(F.trim("node.text")).alias("form")).agg(F.min_by(F.col("to__.title"), F.col("node.id")).alias("target"))
+    return first.where("target <> ''")
+
+
+def by_surface(rows: DataFrame, pages: DataFrame, text: str) -> DataFrame:
+    """rows (with page_id) and target: what their text links to elsewhere on the page; null if nowhere."""
+    links = surface_links(pages).withColumnRenamed("form", "form__")
+    return rows.withColumn("form__", F.lower(F.trim(text))).join(links, ["page_id", "form__"], "left").drop("form__")
+
+
 @extractor("infobox")
 def infobox(pages: DataFrame) -> DataFrame:
     """Typed values of infobox properties, and the definition of each property once."""

@@ -111,6 +111,13 @@ def neighbours(pieces: DataFrame, key: str = "page_id") -> DataFrame:
     return pieces.where("kind = 'paragraph'").withColumn("previous", F.lag("ord").over(w)).withColumn("next", F.lead("ord").over(w))
 
 
+def structures(pieces: DataFrame, key: str = "page_id") -> DataFrame:
+    """Tables and equations with their text, offsets, section and which of their kind on the page they are (from 1)."""
+    rows = pieces.where("kind in ('table', 'equation')")
+    nth = F.row_number().over(Window.partitionBy(key, "kind").orderBy("ord"))
+    return rows.select(key, "ord", "kind", "text", "section", "begin", "end", nth.alias("number"))
+
+
 def links(pieces: DataFrame, key: str = "page_id") -> DataFrame:
     """Links with offsets in the page's text; word or phrase."""
     rows = pieces.select(key, "ord", "begin", F.explode("links").alias("l"))

@@ -312,3 +312,17 @@ def numbers_with_units(t: Tables) -> DataFrame:
     n, k = F.col("l_quantity").cast("int").cast("string"), F.col("l_linenumber") % 3
     text = F.when(k == 0, F.concat(F.lit("in 1990 it had "), n, F.lit(" km"))).when(k == 1, F.concat(F.lit("about 3 houses, {{convert|"), n, F.lit("|kg|lb}}"))).otherwise(F.concat(n, F.lit(" ft 0 in")))
     return t.lineitem.select("l_orderkey", "l_linenumber", V.value_with_unit(text).alias("u")).select("l_orderkey", "l_linenumber", "u.value", "u.unit")
+
+
+@query("""SELECT s_suppkey, 'http://s' || s_suppkey || '.example/x' AS loose, CASE WHEN s_suppkey % 2 = 0 THEN 'http://s' || s_suppkey || '.example/x' END AS strict FROM supplier""")
+def links_in_text(t: Tables) -> DataFrame:
+    """The first address of a text, and, if strict, only one that is all of it."""
+    url = F.concat(F.lit("http://s"), F.col("s_suppkey").cast("string"), F.lit(".example/x"))
+    text = F.when(F.col("s_suppkey") % 2 == 0, F.concat(F.lit("["), url, F.lit(" the site]"))).otherwise(F.concat(F.lit("see "), url, F.lit(" there")))
+    return t.supplier.select("s_suppkey", S.parse_link(text).alias("loose"), S.parse_link(text, strict=True).alias("strict"))
+
+
+@query("SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN 'Germany' WHEN 1 THEN 'Sweden' ELSE 'New Land' END AS country FROM supplier")
+def flags(t: Tables) -> DataFrame:
+    k = F.col("s_suppkey") % 3
+    return t.supplier.select("s_suppkey", V.parse_flag(F.when(k == 0, "{{GER}}").when(k == 1, "{{flagicon|SWE}}").otherwise("{{flag|New Land}}")).alias("country"))

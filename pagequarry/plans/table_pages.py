@@ -343,3 +343,19 @@ def text_enriched(t: Tables) -> DataFrame:
     forms = forms.unionByName(t.customer.select(F.concat(F.lit("End "), F.col("c_custkey").cast("string")).alias("form"), F.lit("X").alias("href")))
     found = nif.enriched(nif.links(pieces), nif.surface_forms(pieces, forms))
     return found.select("page_id", F.col("begin").alias("begin_at"), "text")
+
+
+@query("SELECT c_custkey AS page_id, 'table' AS kind, 'Segment ' || c_mktsegment AS text, 1 AS number, 6 AS begin_at FROM customer UNION ALL SELECT c_custkey, 'equation', 'x=' || c_nationkey, 1, 6 + length('Segment ' || c_mktsegment) + 2 FROM customer")
+def text_structures(t: Tables) -> DataFrame:
+    """Tables and equations with their offsets."""
+    html = F.concat(F.lit("<p>Lead</p><table><tr><td>Segment </td><td>"), "c_mktsegment", F.lit("</td></tr></table><math>x="), F.col("c_nationkey").cast("string"), F.lit("</math>"))
+    pieces = nif.model(t.customer.select(F.col("c_custkey").alias("page_id"), html.alias("html")))
+    return nif.structures(pieces).select("page_id", "kind", "text", "number", F.col("begin").alias("begin_at"))
+
+
+@query(f"SELECT k AS page_id, 'the nation' AS text, 'Nation ' || n AS target FROM {OWN} UNION ALL SELECT k, 'elsewhere', NULL FROM {OWN}")
+def surface_forms_on_page(t: Tables) -> DataFrame:
+    """Plain texts of a page that it links elsewhere."""
+    pages = parsed(customers(t).where("redirect is null"))
+    texts = pages.select("page_id", F.explode(F.array(F.lit("the nation"), F.lit("elsewhere"))).alias("text"))
+    return extractors.by_surface(texts, pages, "text")
