@@ -263,7 +263,7 @@ def parse_date(x: Column, lang: str = "en") -> Column:
         md = rf"{name}\s+(\d{{1,2}})(?:st|nd|rd|th)?(?!\d)"
         y = r"(?<![\d.,])(\d{3,4})(?![\d.,]\d|\d)"
         first, second = (2, 1) if lang == "en" else (1, 2)
-        found = F.array(
+        found = (
             _parts(g(iso, 1), g(iso, 2), g(iso, 3)),
             _parts(year(g(dmy, 3)), month(dmy, 2), g(dmy, 1)),
             _parts(year(g(mdy, 3)), month(mdy, 1), g(mdy, 2)),
@@ -273,10 +273,14 @@ def parse_date(x: Column, lang: str = "en") -> Column:
             _parts(None, month(md, 1), F.when(month(md, 1).isNotNull(), g(md, 2))),
             _parts(year(F.coalesce(g(y, 1), F.when(x.rlike(rf"\d\s*{BEFORE_CHRIST}"), g(r"(\d{1,4})", 1)))), None, None),
         )
-        # A full date that can't be (31 February) isn't read as its year.
-        full = F.filter(found, lambda c: c["y"].isNotNull() | c["m"].isNotNull() | c["d"].isNotNull())
-        full = F.filter(F.transform(full, lambda c: F.coalesce(_dated(c), _broken())), lambda p: p["type"].isNotNull())
-        return let(F.try_element_at(full, F.lit(1)), lambda p: F.when(p["type"] != "broken", p))
+
+        def judged(parts: Column) -> Column:
+            # A full date that can't be (31 February) is broken; it isn't read as its year.
+            some = lambda c: c["y"].isNotNull() | c["m"].isNotNull() | c["d"].isNotNull()
+            return let(parts, lambda c: F.when(some(c), let(F.coalesce(_dated(c), _broken()), lambda p: F.when(p["type"].isNotNull(), p))))
+
+        # One after another: what an earlier form reads, later ones needn't look at.
+        return let(F.coalesce(*map(judged, found)), lambda p: F.when(p["type"] != "broken", p))
 
     return let(x, read)
 
