@@ -226,7 +226,8 @@ def ngram_overlap(t: Tables) -> DataFrame:
     return sharing_pairs(t).select("a", "b", F.round(F.col("shared") / F.least("na", "nb"), 6).alias("score"))
 
 
-@query()
+@query("""WITH p AS (SELECT DISTINCT p_name AS a FROM part), m AS (SELECT x.a AS a, y.a AS b, levenshtein(x.a, y.a) AS d, greatest(length(x.a), length(y.a)) AS n FROM p x JOIN p y ON x.a < y.a)
+SELECT a, b, round(1 - d / n, 6) AS score FROM m WHERE 3 * d <= n""")
 def levenshtein_ratio(t: Tables) -> DataFrame:
     """Pairs from a ratio of 2/3. One edit changes three of the n + 2 padded trigrams of a name of n letters at most,
     so names without a common one are (n + 2) / 3 edits apart at least, a ratio under 2/3: none is lost."""
