@@ -47,6 +47,18 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents"), words=words).drop("found")
 
 
+def secret_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of op5 that SQL can say: base spans by kind."""
+    return op5_secret_scan(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex")
+
+
+SECRET_BASE_SQL = r"""
+SELECT doc_id, len(list_filter(regexp_extract_all(t, '(?:(?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 1), lambda x: length(x) >= 12)) AS n_assign,
+len(list_filter(regexp_extract_all(t, 'AKIA[A-Z0-9]+'), lambda x: length(x) >= 18)) AS n_access, len(list_filter(regexp_extract_all(t, '[0-9a-f]+'), lambda x: length(x) >= 16)) AS n_hex
+FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+"""
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     out = mix(docs, levels=default_levels(), weights=DEFAULT_WEIGHTS, budget_share=0.8, max_epochs=2, seed=42)
@@ -120,6 +132,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_toxicity": op3_toxicity,
         "op4_sharding": op4_sharding,
         "op5_secret_scan": op5_secret_scan,
+        "secret_base_counts": secret_base_counts,
         "op6_mixing": op6_mixing,
         "op7_suffix_dedup": op7_suffix_dedup,
         "op8_vector_search": op8_vector_search,
@@ -129,4 +142,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_suffix_dedup": OP7_SQL, "op8_vector_search": OP8_SQL, "op9_near_duplicates": OP9_SQL}
+    return {"secret_base_counts": SECRET_BASE_SQL, "op7_suffix_dedup": OP7_SQL, "op8_vector_search": OP8_SQL, "op9_near_duplicates": OP9_SQL}
