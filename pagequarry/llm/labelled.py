@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,10 +18,10 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % 5 == 0
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, limit: int, most_bytes: int = FIT_BYTES) -> list[tuple[str, int]]:
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, limit: int, most_bytes: int = FIT_BYTES) -> Iterator[tuple[str, int]]:
     """At most `limit` labelled (text, label) pairs that are not held out, in the order of a hash of the id, as many as `most_bytes` hold.
 
-    Of several labels of one id the largest counts; ids and labels that are null take no part.
+    They come one by one, so that the driver needn't hold the texts. Of several labels of one id the largest counts; ids and labels that are null take no part.
     """
     own = labels.select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("label")).where("id is not null and label is not null")
     own = own.groupBy("id").agg(F.max("label").alias("label")).where(~held_out("id"))
@@ -30,4 +32,5 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, limit: int, mo
     order = ["draw", "id", F.length("text"), "hash"]
     first = rows.orderBy(*order).limit(limit)
     upto = F.sum(F.octet_length("text").cast("long")).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return [(r["text"], r["label"]) for r in first.withColumn("upto", upto).where(F.col("upto") <= most_bytes).select("text", "label").collect()]
+    for r in first.withColumn("upto", upto).where(F.col("upto") <= most_bytes).select("text", "label").toLocalIterator():
+        yield r["text"], r["label"]

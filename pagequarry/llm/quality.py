@@ -16,8 +16,9 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -97,15 +98,24 @@ class OrdinalRegression:
             return np.empty(0, np.int32), np.empty(0, np.float32), lengths
         return np.concatenate([i for i, _ in got]), np.concatenate([x for _, x in got]), lengths
 
-    def fit(self, rows: list[tuple[str, int]]) -> OrdinalRegression:
-        if not rows:
+    def fit(self, rows: Iterable[tuple[str, int]]) -> OrdinalRegression:
+        """rows are read once; only their vectors are held."""
+        held_ids, held_x, lengths, given = array("i"), array("f"), array("q"), array("q")
+        known, pairs = {}, {}
+        for text, grade in rows:
+            own, value = self.vector(text, known, pairs)
+            held_ids.frombytes(own.tobytes())
+            held_x.frombytes(value.tobytes())
+            lengths.append(len(own))
+            given.append(grade)
+        if not given:
             return self
-        self.grades, y = np.unique([g for _, g in rows], return_inverse=True)
+        ids, x, lengths = np.frombuffer(held_ids, dtype=np.int32), np.frombuffer(held_x, dtype=np.float32), np.array(lengths)
+        self.grades, y = np.unique(np.array(given), return_inverse=True)
         steps = len(self.grades) - 1
         below = np.array([(y <= k).mean() for k in range(steps)])
         if not steps:
             return self
-        ids, x, lengths = self.vectors([t for t, _ in rows], {}, {})
         x[(np.bincount(ids, minlength=1 << self.bits) < MIN_DOCS)[ids]] = 0
         starts, _ = ragged(lengths)
         # Thresholds are a first one and positive gaps, so that they stay ordered.
@@ -115,7 +125,7 @@ class OrdinalRegression:
         rng = np.random.default_rng(self.seed)
         logistic = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
         for _ in range(self.epochs):
-            order = rng.permutation(len(rows))
+            order = rng.permutation(len(y))
             for k in range(0, len(order), self.batch):
                 part = np.sort(order[k : k + self.batch])
                 at = np.concatenate([np.arange(starts[i], starts[i + 1]) for i in part])

@@ -19,6 +19,7 @@ table aren't read; without any labelled row the bias is that of one toxic text i
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -34,7 +35,7 @@ from pagequarry.llm.labelled import held_out, training_rows
 FIT_ROWS = 10_000
 MIN_DOCS = 3
 #: Words whose terms a worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 
 @dataclass
@@ -101,11 +102,17 @@ class FactorizationMachine:
             z[some] += np.add.reduceat(self.linear[ids], at, dtype=float) + 0.5 * ((sums[:, some] ** 2).sum(axis=0) - squares) / terms[some]
         return z, sums, terms
 
-    def fit(self, rows: list[tuple[str, int]]) -> FactorizationMachine:
-        size = 1 << self.bits
-        y = np.array([min(1, max(0, label)) for _, label in rows], dtype=float)
+    def fit(self, rows: Iterable[tuple[str, int]]) -> FactorizationMachine:
+        """rows are read once; only their terms are held."""
+        size, known = 1 << self.bits, {}
+        held, lengths, given = array("i"), array("q"), array("d")
+        for text, label in rows:
+            own, _ = self.features([text], known)
+            held.frombytes(own.tobytes())
+            lengths.append(len(own))
+            given.append(min(1, max(0, label)))
+        met_in, counts, y = np.frombuffer(held, dtype=np.int32) if held else np.empty(0, np.int32), np.array(lengths, dtype=np.int64), np.array(given)
         self.bias = float(np.log((y.sum() + 1) / (len(y) - y.sum() + 19)))
-        met_in, counts = self.features((text for text, _ in rows), {})
         owner = ragged(counts)[1].astype(np.int32)
         found = np.bincount(met_in, minlength=size)
         telling = self.telling(found, np.bincount(met_in, weights=y[owner], minlength=size), y)
@@ -117,9 +124,9 @@ class FactorizationMachine:
                 self.live = found >= MIN_DOCS
                 self.latent = rng.normal(0, self.factor_start, (self.factors, size)) * self.live
             own = (telling | self.live)[met_in]  # terms whose factors have died and that have no weight take no more part
-            ids, counts = met_in[own], np.bincount(owner[own], minlength=len(rows))
+            ids, counts = met_in[own], np.bincount(owner[own], minlength=len(y))
             starts, _ = ragged(counts)
-            order = rng.permutation(len(rows))
+            order = rng.permutation(len(y))
             for k in range(0, len(order), self.batch):
                 part = np.sort(order[k : k + self.batch])
                 met = np.concatenate([ids[starts[i] : starts[i + 1]] for i in part])
