@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: The fields of a statement and of a page, and the addresses of public vocabularies.
 STATEMENT_COLUMNS = ["language", "dataset", "subject", "predicate", "value", "context", "datatype"]
 #: What makes two statements equal: neither the dataset nor the context.
 STATEMENT_KEY = ["subject", "predicate", "value", "datatype", "language"]

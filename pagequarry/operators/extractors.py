@@ -24,6 +24,7 @@ from pagequarry.operators.wikitext import exploded, of_kind, parsed, title_parts
 Extractor = Callable[[DataFrame], DataFrame]
 REGISTRY: dict[str, tuple[str, Extractor]] = {}
 DOMAIN = "example.org"
+#: The names of properties under this address, here and in the modules that use it, are those of public datasets.
 ONTOLOGY = f"http://{DOMAIN}/ontology/"
 MAIN, FILE, TEMPLATE, CATEGORY = 0, 6, 10, 14
 
@@ -185,6 +186,7 @@ def iri_same_as_uri(pages: DataFrame) -> DataFrame:
     return statements(rows, statement("iri_same_as_uri", F.col("iri__"), OWL + "sameAs", F.col("uri__")))
 
 
+#: Endings of media files, and what they are.
 FILE_TYPES = {"jpg": ("StillImage", "image/jpeg"), "jpeg": ("StillImage", "image/jpeg"), "png": ("StillImage", "image/png"), "gif": ("StillImage", "image/gif"), "svg": ("StillImage", "image/svg+xml"), "tif": ("StillImage", "image/tiff"), "ogg": ("Sound", "audio/ogg"), "oga": ("Sound", "audio/ogg"), "mp3": ("Sound", "audio/mpeg"), "wav": ("Sound", "audio/wav"), "flac": ("Sound", "audio/flac"), "ogv": ("MovingImage", "video/ogg"), "webm": ("MovingImage", "video/webm"), "pdf": ("Document", "application/pdf"), "djvu": ("Document", "image/vnd.djvu")}
 
 
@@ -289,7 +291,7 @@ def templates(pages: DataFrame, *names: str, top: bool = False) -> DataFrame:
     return rows.where(F.lower("node.name").isin([n.lower() for n in names])) if names else rows
 
 
-#: Names of templates and keys, of all languages together.
+#: Names of templates of all languages together.
 MAIN_ARTICLE = ("cat main", "catmain", "hauptartikel", "article principal", "categoría principal")
 
 
@@ -376,6 +378,7 @@ def image_annotations(pages: DataFrame) -> DataFrame:
 # --- infoboxes -------------------------------------------------------------------------------------------
 
 
+#: Templates and keys that aren't data of an infobox.
 IGNORED_TEMPLATES = ("persondata", "coord", "cite web", "cite book", "citation", "reflist", "main", "imagenote", "imagenoteend", "commons", "navbox", "r")
 IGNORED_KEYS = ("image", "caption", "width", "height", "style", "class", "align", "colour", "color")
 FEWEST_KEYS, NAMED_SHARE = 2, 0.75
@@ -441,6 +444,7 @@ def infobox_references(pages: DataFrame) -> DataFrame:
     return statements(out, statement("infobox_references", subject(), F.concat(F.lit(f"http://{DOMAIN}/property/"), F.col("key__"), F.lit("Reference")), F.trim("text"), datatype=XSD + "string"))
 
 
+#: Keys that identify a cited work, in order of trust, and what stands before them in an address.
 CITATION_KEYS = ("doi", "isbn", "pmid", "url", "id")
 CITATION_PREFIX = {"doi": "https://doi.org/", "isbn": "urn:isbn:", "pmid": "https://pubmed.ncbi.nlm.nih.gov/", "url": "", "id": "urn:id:"}
 

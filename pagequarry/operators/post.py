@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from pagequarry.model import OWL, RDFS, STATEMENT_KEY
 
+#: Fixed value: the note that a rewritten object leaves in its context.
+MAPPED_FROM = "&objectMappedFrom="
 #: Side tables of at most so many rows are broadcast; beyond that Catalyst picks a shuffled join.
 BROADCAST_ROWS = 200_000
 
@@ -42,7 +44,7 @@ def map_objects(statements: DataFrame, mapping: DataFrame) -> DataFrame:
     m = mapping.select(F.col("src").alias("map_src"), F.col("dst").alias("map_dst"))
     hit = (F.col("value") == F.col("map_src")) & F.col("datatype").isNull()
     out = statements.join(m, hit, "left")
-    noted = F.concat(F.coalesce("context", F.lit("")), F.lit("&objectMappedFrom="), F.col("value"))
+    noted = F.concat(F.coalesce("context", F.lit("")), F.lit(MAPPED_FROM), F.col("value"))
     out = out.withColumn("context", F.when(F.col("map_dst").isNotNull(), noted).otherwise(F.col("context")))
     return out.withColumn("value", F.coalesce("map_dst", "value")).drop("map_src", "map_dst")
 
