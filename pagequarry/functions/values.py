@@ -210,13 +210,17 @@ def let(x: Column, body) -> Column:  # noqa: ANN001
     return F.element_at(F.transform(F.array(x), body), 1)
 
 
-def month_number(word: Column, lang: str) -> Column:
-    """1 to 12 by the name of a month, or by its first three letters where no other begins so."""
+def month_table(lang: str) -> Column:
+    """Numbers of months by their names, and by their first three letters where no other begins so."""
     names = MONTHS.get(lang, MONTHS["en"]).split()
     known = {name: k for k, name in enumerate(names, 1)}
     known |= {name[:3]: k for k, name in enumerate(names, 1) if sum(n[:3] == name[:3] for n in names) == 1}
-    table = F.create_map(*[F.lit(v) for kv in known.items() for v in kv])
-    return F.try_element_at(table, F.lower(F.regexp_replace(word, r"\.$", "")))
+    return F.create_map(*[F.lit(v) for kv in known.items() for v in kv])
+
+
+def month_number(word: Column, lang: str, table: Column | None = None) -> Column:
+    """1 to 12 by the name of a month."""
+    return F.try_element_at(month_table(lang) if table is None else table, F.lower(F.regexp_replace(word, r"\.$", "")))
 
 
 def _dated(c: Column) -> Column:
@@ -252,7 +256,8 @@ def parse_date(x: Column, lang: str = "en") -> Column:
         g = lambda p, k: F.nullif(F.regexp_extract(x, p, k), F.lit(""))
         era = F.when(x.rlike(rf"\d\s*{BEFORE_CHRIST}"), -1).otherwise(1)
         year = lambda c: c.try_cast("int") * era
-        month = lambda p, k: month_number(g(p, k), lang)
+        table = month_table(lang)
+        month = lambda p, k: month_number(g(p, k), lang, table)
         name = r"(\p{L}{3,}\.?)"
         iso = r"(?<!\d)(-?\d{4})-(\d{1,2})-(\d{1,2})(?!\d)"
         dmy = rf"(?<!\d)(\d{{1,2}})(?:st|nd|rd|th|er|\.)?\s*(?:de\s+)?{name},?\s*(?:de\s+|del\s+)?(\d{{1,4}})(?!\d)"
@@ -263,33 +268,29 @@ def parse_date(x: Column, lang: str = "en") -> Column:
         md = rf"{name}\s+(\d{{1,2}})(?:st|nd|rd|th)?(?!\d)"
         y = r"(?<![\d.,])(\d{3,4})(?![\d.,]\d|\d)"
         first, second = (2, 1) if lang == "en" else (1, 2)
+        of_my, of_dm, of_md = month(my, 1), month(dm, 2), month(md, 1)
         found = (
             _parts(g(iso, 1), g(iso, 2), g(iso, 3)),
             _parts(year(g(dmy, 3)), month(dmy, 2), g(dmy, 1)),
             _parts(year(g(mdy, 3)), month(mdy, 1), g(mdy, 2)),
             _parts(g(num, 3), g(num, second), g(num, first)),
-            _parts(F.when(month(my, 1).isNotNull(), year(g(my, 2))), month(my, 1), None),
-            _parts(None, month(dm, 2), F.when(month(dm, 2).isNotNull(), g(dm, 1))),
-            _parts(None, month(md, 1), F.when(month(md, 1).isNotNull(), g(md, 2))),
+            _parts(F.when(of_my.isNotNull(), year(g(my, 2))), of_my, None),
+            _parts(None, of_dm, F.when(of_dm.isNotNull(), g(dm, 1))),
+            _parts(None, of_md, F.when(of_md.isNotNull(), g(md, 2))),
             _parts(year(F.coalesce(g(y, 1), F.when(x.rlike(rf"\d\s*{BEFORE_CHRIST}"), g(r"(\d{1,4})", 1)))), None, None),
         )
 
-        def judged(parts: Column) -> Column:
-            # A full date that can't be (31 February) is broken; it isn't read as its year.
-            some = lambda c: c["y"].isNotNull() | c["m"].isNotNull() | c["d"].isNotNull()
-            return let(parts, lambda c: F.when(some(c), let(F.coalesce(_dated(c), _broken()), lambda p: F.when(p["type"].isNotNull(), p))))
+        def usable(parts: Column) -> Column:
+            """Parts that make a kind of date: some, and not a day of a year without its month."""
+            return let(parts, lambda c: F.when(c["m"].isNotNull() | (c["y"].isNotNull() != c["d"].isNotNull()), c))
 
-        # One after another: what an earlier form reads, later ones needn't look at.
-        return let(F.coalesce(*map(judged, found)), lambda p: F.when(p["type"] != "broken", p))
+        # One after another: what an earlier form reads, later ones needn't look at. A full date that
+        # can't be (31 February) is none; it isn't read as its year.
+        return let(F.coalesce(*map(usable, found)), _dated)
 
     return let(x, read)
 
 
-def _broken() -> Column:
-    none = F.lit(None).cast("int")
-    return F.struct(none.alias("y"), none.alias("m"), none.alias("d"), F.lit("broken").alias("type"))
-
-
 def date_text(d: Column) -> Column:
     """The lexical form of a partial date under its type."""
     y = F.when(d["y"] < 0, F.concat(F.lit("-"), F.lpad((-d["y"]).cast("string"), 4, "0"))).otherwise(F.lpad(d["y"].cast("string"), 4, "0"))
