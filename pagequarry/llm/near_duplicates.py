@@ -164,7 +164,8 @@ def classes(docs: DataFrame, *, similarity: float = SIMILARITY, bands: int = BAN
     with scratch(spark):
         # Rows of one text give equal keys, so buckets count and hold distinct texts.
         buckets = written(signed.select(F.explode("keys").alias("bucket"), "node").distinct(), "bands")
-        sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        # Written, so that the join's own exchange of a hot bucket can be split.
+        sizes = written(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
         members = written(buckets.join(sizes, "bucket"), "members")
         # The more texts agree with one, the better it leads: the original of many copies comes first.
         central = members.groupBy("node").agg(F.sum("n").alias("central"))
@@ -176,7 +177,8 @@ def classes(docs: DataFrame, *, similarity: float = SIMILARITY, bands: int = BAN
         labelled = members.join(roots, "node", "left").select("bucket", "node", "n", "central", F.coalesce("root", "node").alias("root"))
         parts = labelled.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
         parts = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "root")).alias("top")).where("parts > 1")
-        mixed = written(labelled.join(parts.select("bucket", F.col("top.root").alias("largest")), "bucket"), "mixed")
+        torn = written(parts.select("bucket", F.col("top.root").alias("largest")), "torn")
+        mixed = written(labelled.join(torn, "bucket"), "mixed")
         few = mixed.where(F.col("n") <= SMALL)
         minor = few.where("root <> largest").select("bucket", F.col("node").alias("b"), F.col("root").alias("own"))
         across = minor.join(few.select("bucket", F.col("node").alias("a"), "root"), "bucket").where("own <> root").select("a", "b")
@@ -200,7 +202,8 @@ def led(members: DataFrame) -> DataFrame:
     draw = F.struct(F.xxhash64("bucket", "node").alias("draw"), F.col("node").alias("node"), F.col("root").alias("root"))
     leaders = members.groupBy("bucket").agg(F.max(F.struct("central", "node", "root")).alias("most"), F.min(draw).alias("drawn"))
     both = F.array_distinct(F.array(F.struct("most.node", "most.root"), F.struct("drawn.node", "drawn.root")))
-    met = members.select("bucket", F.col("node").alias("a"), F.col("root").alias("own")).join(leaders.select("bucket", both.alias("leaders")), "bucket")
+    leaders = written(leaders.select("bucket", both.alias("leaders")), "leaders")
+    met = members.select("bucket", F.col("node").alias("a"), F.col("root").alias("own")).join(leaders, "bucket")
     other = F.filter("leaders", lambda x: x["root"] != F.col("own"))
     return met.select("a", F.explode(other).alias("b")).select("a", F.col("b.node").alias("b")).distinct()
 
@@ -284,7 +287,7 @@ def crowd_links(crowds: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     sets = shingle_sets(crowds.select("node").distinct(), texts)
     sizes = crowds.join(sets.select("node", F.size("regions").alias("size")), "node").groupBy("bucket").agg(F.count(F.lit(1)).alias("nodes"), F.sum("size").alias("size"))
     parts = sizes.select("bucket", F.ceil(F.greatest(F.col("nodes") / PART_NODES, F.col("size") / PART_REGIONS)).cast("int").alias("parts"))
-    dealt = crowds.join(parts, "bucket").withColumn("part", F.pmod(F.xxhash64("node", "bucket"), F.col("parts")).cast("int"))
+    dealt = crowds.join(written(parts, "parts"), "bucket").withColumn("part", F.pmod(F.xxhash64("node", "bucket"), F.col("parts")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     met = dealt.select("bucket", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "node", "root").join(sets, "node")
 
