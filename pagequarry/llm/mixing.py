@@ -37,7 +37,7 @@ from pagequarry.llm._common import row_key, scratch, text_col, written
 
 NONE = "(none)"
 #: Rows in a range of draws, about; those of one range in a leaf are ordered in one task.
-RANGE_ROWS = 10_000
+RANGE_ROWS = 1000
 LEAVES = 200_000
 
 Path = tuple[str, ...]
