@@ -215,7 +215,7 @@ def month_table(lang: str) -> Column:
     names = MONTHS.get(lang, MONTHS["en"]).split()
     known = {name: k for k, name in enumerate(names, 1)}
     known |= {name[:3]: k for k, name in enumerate(names, 1) if sum(n[:3] == name[:3] for n in names) == 1}
-    return F.create_map(*[F.lit(v) for kv in known.items() for v in kv])
+    return F.expr("map(" + ", ".join(f"'{name}', {k}" for name, k in known.items()) + ")")
 
 
 def month_number(word: Column, lang: str, table: Column | None = None) -> Column:

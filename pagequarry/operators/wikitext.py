@@ -307,16 +307,20 @@ def title_parts(title: Column, namespaces: dict[str, int] | None = None, languag
 
     Namespaces are known by their names in all of NAMESPACES' languages, unless they are given."""
     known = namespaces or {name: n for of in reversed(NAMESPACES.values()) for name, n in of.items()}
-    table = F.create_map(*[F.lit(v) for kv in known.items() for v in kv])
+    # Whole maps as text: one call each to the JVM while the plan is built.
+    quoted = lambda x: "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    table = F.expr("map(" + ", ".join(f"{quoted(name)}, {int(n)}" for name, n in known.items()) + ")")
+    codes = F.expr("map(" + ", ".join(f"{quoted(c)}, {quoted(c)}" for c in languages) + ")")
     from pagequarry.functions.scalar import capitalize, clean_space
     from pagequarry.functions.values import let
 
     def read(x: Column) -> Column:
         body = F.regexp_replace(x, "^:", "")
         prefix = F.lower(F.trim(F.regexp_extract(body, r"^([^:\[\]#|]+):", 1)))
-        lang = F.when(prefix.isin(*languages) & ~x.startswith(":"), prefix)
+        code = F.try_element_at(codes, prefix)
+        lang = F.when(~x.startswith(":"), code)
         ns = F.coalesce(F.try_element_at(table, prefix), F.lit(0))
-        rest = F.when((ns != 0) | prefix.isin(*languages), F.regexp_replace(body, r"^[^:]+:", "")).otherwise(body)
+        rest = F.when((ns != 0) | code.isNotNull(), F.regexp_replace(body, r"^[^:]+:", "")).otherwise(body)
         fragment = F.nullif(F.regexp_extract(rest, r"#(.*)$", 1), F.lit(""))
         name = capitalize(clean_space(F.regexp_replace(rest, r"#.*$", "")))
         return F.struct(name.alias("title"), ns.alias("ns"), fragment.alias("fragment"), lang.alias("language"), x.startswith(":").alias("colon"))
