@@ -193,7 +193,8 @@ def classes(docs: DataFrame, *, similarity: float = SIMILARITY, bands: int = BAN
         roots = written(roots, "roots", keep=True)
     named = texts.select("doc_id", "row_key", "text_key").join(roots.withColumnRenamed("node", "text_key"), "text_key", "left")
     named = named.select("row_key", "doc_id", F.coalesce("root", "text_key").alias("root"))
-    least = named.groupBy("root").agg(F.min("doc_id").alias("class_id"))
+    # Written, so that the join's own exchange of a large class can be split.
+    least = written(named.groupBy("root").agg(F.min("doc_id").alias("class_id")), "least", keep=True)
     return named.join(least, "root").select("row_key", "doc_id", "root", "class_id")
 
 
