@@ -11,11 +11,12 @@ whose hash occurs more than once:
 2. Equal regions are one region that occurs several times, and are repeated throughout; sums over their
    digests show it, whatever the number of copies.
 3. What is left are distinct regions of an anchor, where repeated passages begin and end. They go to
-   shards by their anchor. Each shard sorts its suffixes by Larsson and Sadakane's refinement (groups
-   of equal prefixes, doubled in length until all are single) and derives the common prefixes of
-   neighbours by Kasai's rule in its vector form (the common prefix of a suffix is at least its
-   predecessor's less one; only where the bytes before differ is it measured). Common prefixes of
-   WINDOW and of PASSAGE bytes part the suffixes into classes of equal strings.
+   shards by their anchor. Equal strings lie alike around it, so a shard needs only two sparse suffix
+   arrays: the suffixes that begin at anchors, and backwards those that end there (not the suffix of
+   each byte). They are sorted by refinement (groups of equal prefixes, eight bytes longer each time,
+   until all are single), and the common prefixes of neighbours are measured. Those that a string
+   agrees with before its anchor and those it agrees with from there on are runs of the two arrays;
+   strings are equal if both runs are.
 4. An anchor with more distinct regions than a shard takes is decided across shards. Its windows are
    taken in blocks of STEP, aligned at the anchor: a block whose bytes occur twice is repeated as a
    whole; one whose core, the bytes that all its windows hold, occurs once holds no repeated window.
@@ -109,52 +110,45 @@ def anchors(b: np.ndarray, starts: np.ndarray, window: int = PASSAGE, gram: int
 def eights(b: np.ndarray) -> np.ndarray:
     """The eight bytes from each position, as one number that orders like them."""
     padded = np.concatenate([b, np.zeros(8, dtype=np.uint8)])
-    out = np.zeros(len(b), dtype=np.uint64)
-    for k in range(8):
-        out = (out << np.uint64(8)) | padded[k : k + len(b)]
-    return out
+    return np.ndarray(len(b), dtype=">u8", buffer=padded, strides=(1,)).astype(np.uint64)
 
 
-def suffix_array(b: np.ndarray) -> np.ndarray:
-    """Starts of all suffixes of b in order."""
+def suffix_array(b: np.ndarray, at: np.ndarray | None = None, group: np.ndarray | None = None, depth: int | None = None) -> np.ndarray:
+    """Starts of all suffixes of b in order; or the indices of those that start `at`, in the order of their group and of their first `depth` bytes."""
     n = len(b)
-    head = eights(b)
-    sa = np.argsort(head, kind="stable")
-    key = head[sa]
-    new = np.ones(n, dtype=bool)
-    new[1:] = key[1:] != key[:-1]
-    rank = np.zeros(n, dtype=np.int64)
-    rank[sa] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    at, h = np.arange(n), 8
-    while True:
-        single = new & np.append(new[1:], True)
-        at = at[~single]
-        if not len(at):
-            return sa
-        own = sa[at]
-        # Of suffixes that end within the next h bytes the shorter comes first (bytes of 0 look like the padding).
-        ahead = own + h
-        key = rank[own] * (n + h + 1) + np.where(ahead < n, rank[np.minimum(ahead, n - 1)], n - 1 - ahead) + h
-        order = np.argsort(key, kind="stable")
-        sa[at], key = own[order], key[order]
-        new = np.ones(len(at), dtype=bool)
-        new[1:] = key[1:] != key[:-1]
-        rank[sa[at]] = at[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))]
-        h *= 2
-
-
-def common_prefixes(b: np.ndarray, sa: np.ndarray) -> np.ndarray:
-    """Length of the common prefix of each suffix and the one before it in order (0 for the first)."""
+    at = np.arange(n) if at is None else at
+    group = np.zeros(len(at), dtype=np.int64) if group is None else group
+    order = np.argsort(group, kind="stable")
+    words = np.append(eights(b), np.uint64(0))
+    slot, new = np.arange(len(at)), np.ones(len(at), dtype=bool)
+    new[1:] = group[order[1:]] != group[order[:-1]]
+    for h in range(0, n if depth is None else depth, 8):
+        # Slots of classes whose bytes up to h are equal.
+        shared = ~(new & np.append(new[1:], True))
+        slot, new = slot[shared], new[shared]
+        if not len(slot):
+            break
+        own = order[slot]
+        ahead = np.minimum(at[own] + h, n)
+        # Of suffixes that end within the next eight bytes the shorter comes first (bytes of 0 look like the padding).
+        word, left = words[ahead], np.minimum(n - ahead, 8)
+        kind = np.cumsum(new) - 1
+        differ = np.flatnonzero(~new[1:] & ((word[1:] != word[:-1]) | (left[1:] != left[:-1])))
+        torn = np.zeros(kind[-1] + 1, dtype=bool)
+        torn[kind[differ]] = True
+        i = np.flatnonzero(torn[kind])
+        i_sorted = i[np.lexsort((left[i], word[i], kind[i]))]
+        order[slot[i]] = own[i_sorted]
+        x, y = i_sorted[1:], i_sorted[:-1]
+        new[i[1:]] = (word[x] != word[y]) | (left[x] != left[y]) | (kind[x] != kind[y])
+    return order
+
+
+def common_prefixes(b: np.ndarray, sa: np.ndarray, depth: int | None = None) -> np.ndarray:
+    """Length of the common prefix (up to `depth` bytes) of each suffix and the one before it in order (0 for the first); of all suffixes or of some."""
     n = len(b)
-    before = np.full(n, -1, dtype=np.int64)
-    before[sa[1:]] = sa[:-1]
-    i = np.arange(n)
-    measured = (before <= 0) | (i == 0)
-    inner = ~measured
-    measured[inner] = b[i[inner] - 1] != b[before[inner] - 1]
-    measured &= before >= 0
-    a, c = np.flatnonzero(measured), before[measured]
-    length, most = np.zeros(len(a), dtype=np.int64), n - np.maximum(a, c)
+    a, c = sa[1:], sa[:-1]
+    length, most = np.zeros(len(a), dtype=np.int64), np.minimum(n - np.maximum(a, c), n if depth is None else depth)
     words = np.append(eights(b), np.uint64(0))
     todo = np.arange(len(a))
     while len(todo):
@@ -170,27 +164,51 @@ def common_prefixes(b: np.ndarray, sa: np.ndarray) -> np.ndarray:
         bits[~whole], bits[whole] = same, 8
         length[todo] = np.minimum(length[todo] + bits, most[todo])
         todo = todo[whole & (length[todo] < most[todo])]
-    reach = np.zeros(n, dtype=np.int64)
-    reach[a] = length + a
-    prefix = np.maximum(np.maximum.accumulate(reach) - i, 0)
-    prefix[before < 0] = 0
-    return prefix[sa]
+    return np.append(0, length)
+
 
+def alike(common: np.ndarray, place: np.ndarray, depth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the suffixes at these places of a sorted array, of which `common` has the common prefixes: the first one that
+    agrees with each in `depth` bytes, and whether others do."""
+    least = depth.min(initial=0)
+    depths = np.arange(least, depth.max(initial=0) + 1)
+    first = np.where(common[:, None] < depths, np.arange(len(common), dtype=np.int32)[:, None], np.int32(0))
+    own = np.maximum.accumulate(first, axis=0)[place, depth - least]
+    return own.astype(np.int64), (own != place) | (np.append(common[1:], -1)[place] >= depth)
 
-def repeated(b: np.ndarray, starts: np.ndarray, firsts: np.ndarray, widths: tuple[int, ...]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+
+def repeated(b: np.ndarray, starts: np.ndarray, firsts: np.ndarray, widths: tuple[int, ...], anchor: tuple[np.ndarray, np.ndarray] | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """For each width: the windows that begin in the first `firsts[i]` bytes of snippet i and end in it (their snippet and
-    offset), and the number of equal ones. The snippets lie one after another in b from `starts`."""
+    offset), and the number of equal ones. The snippets lie one after another in b from `starts`. `anchor` has the place
+    and the hash of the anchor that all windows of a snippet share; without it anchors are found.
+
+    Equal windows lie alike around equal anchors. So two windows are equal if they begin as far before their anchors, and
+    their regions agree as far to the left and, from the anchor, as far to the right as they reach."""
     lengths = np.diff(starts)
-    sa = suffix_array(b)
-    prefixes = common_prefixes(b, sa)
+    if anchor is None:
+        snippet, low, high, place, hashed = anchors(b, starts)
+    else:
+        snippet, low, high, (place, hashed) = np.arange(len(lengths)), np.zeros(len(lengths), dtype=np.int64), firsts - 1, anchor
+    at, high = starts[snippet] + place, np.minimum(high, firsts[snippet] - 1)
+    sides = []
+    for text, begin, depth in ((b[::-1], len(b) - at, int((place - low).max(initial=0))), (b, at, max(widths))):
+        order = suffix_array(text, begin, hashed, depth)
+        common = common_prefixes(text, begin[order], depth)
+        common[np.append(True, hashed[order[1:]] != hashed[order[:-1]])[: len(order)]] = -1
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.arange(len(order))
+        sides.append((common, rank))
     for width in widths:
-        group = np.empty(len(b), dtype=np.int64)
-        group[sa] = np.cumsum(prefixes < width)
-        windows = np.clip(np.minimum(firsts, lengths - width + 1), 0, None)
-        snippet = np.repeat(np.arange(len(lengths)), windows)
-        offset = np.arange(len(snippet)) - (np.cumsum(windows) - windows)[snippet]
-        own = group[starts[snippet] + offset]
-        yield width, snippet, offset, np.bincount(own, minlength=1)[own]
+        windows = np.clip(np.minimum(high, lengths[snippet] - width) - low + 1, 0, None)
+        region = np.repeat(np.arange(len(windows)), windows)
+        offset = np.arange(len(region)) - (np.cumsum(windows) - windows - low)[region]
+        back = place[region] - offset
+        (left, more), (right, more_) = (alike(common, rank[region], depth) for (common, rank), depth in zip(sides, (back, width - back), strict=True))
+        count = np.ones(len(region), dtype=np.int64)
+        some = np.flatnonzero(more & more_)
+        _, own, times = np.unique((back[some] * len(windows) + left[some]) * len(windows) + right[some], return_inverse=True, return_counts=True)
+        count[some] = times[own]
+        yield width, snippet[region], offset, count
 
 
 def runs(owner: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -236,16 +254,16 @@ def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sorted_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (row_key, first, last, anchor, wanted, bytes) come in the order of their anchor: blocks of whole groups, each with its suffix array."""
+    """Rows (row_key, first, last, place, anchor, wanted, bytes) come in the order of their anchor: blocks of whole groups, each with its suffix arrays."""
 
     def block(t: pa.Table) -> Iterator[pa.RecordBatch]:
         t = t.combine_chunks()
         column = {c: t[c].chunk(0) for c in ("row_key", "bytes")} if t.num_rows else {}
-        first, last, wanted = (t[c].to_numpy() for c in ("first", "last", "wanted"))
+        first, last, place, anchor, wanted = (t[c].to_numpy() for c in ("first", "last", "place", "anchor", "wanted"))
         own = column["bytes"]
         offsets = np.frombuffer(own.buffers()[1], dtype=np.int32)[own.offset : own.offset + len(own) + 1].astype(np.int64)
         b = np.frombuffer(own.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]]
-        for width, snippet, offset, count in repeated(b, offsets - offsets[0], (last - first + 1).astype(np.int64), (WINDOW, PASSAGE)):
+        for width, snippet, offset, count in repeated(b, offsets - offsets[0], (last - first + 1).astype(np.int64), (WINDOW, PASSAGE), ((place - first).astype(np.int64), anchor)):
             who, a, z = runs(*(x[(count > 1) & wanted[snippet].astype(bool)] for x in (snippet, offset)))
             spans = (first[who] + a, first[who] + z + width, np.full(len(who), width))
             yield pa.RecordBatch.from_arrays([column["row_key"].take(pa.array(who)), *(pa.array(x.astype(np.int32)) for x in spans)], ["row_key", "begin", "end", "width"])
@@ -361,7 +379,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     piece = F.substring("text", F.col("first") + 1, F.col("stop") - F.col("first"))
     snippets = partly.join(texts, "row_key").select("row_key", "first", "last", "place", "stop", "anchor", "crowd", "wanted", piece.alias("bytes")).dropDuplicates(["row_key", "first"])
     snippets = written(snippets, "snippets")
-    dealt = snippets.where("not crowd").select("row_key", "first", "last", "anchor", "wanted", "bytes").repartition("anchor").sortWithinPartitions("anchor", "row_key", "first")
+    dealt = snippets.where("not crowd").select("row_key", "first", "last", "place", "anchor", "wanted", "bytes").repartition("anchor").sortWithinPartitions("anchor", "row_key", "first")
     out = whole.union(dealt.mapInArrow(_sorted_shards, "row_key binary, begin int, end int, width int"))
     crowds = snippets.where("crowd")
     if not crowds.isEmpty():

@@ -236,6 +236,40 @@ def test_both_widths_of_repeats():
         assert got == {at: times[w] for at, w in windows.items()}
 
 
+def test_windows_are_compared_around_their_anchors(monkeypatch):
+    """All repeated windows of both widths are found, and one suffix a region is sorted to either side, not one a byte."""
+    rng = random.Random(8)
+    junk = lambda n, letters=b"abc\0": bytes(rng.choice(letters) for _ in range(n))
+    passage = junk(900)
+    texts = [junk(rng.randint(0, 300)) + passage[rng.randint(0, 300) : rng.randint(500, 900)] + junk(rng.randint(0, 300)) for _ in range(12)]
+    texts += [b"ab" * 350, b"\0" * 500, b"\0" * 420 + junk(40), passage, passage[:255], passage[:256], passage[-400:]]
+    starts = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    found = suffix_dedup.anchors(np.frombuffer(b"".join(texts), dtype=np.uint8), starts)
+    regions = sorted(zip(*(x.tolist() for x in found), strict=True), key=lambda r: (np.int64(np.uint64(r[4]).view(np.int64)), r[0], r[1]))
+    stop = [min(z + suffix_dedup.WINDOW, len(texts[i])) for i, _, z, *_ in regions]
+    columns = {
+        "row_key": pa.array([bytes([i]) for i, *_ in regions], pa.binary()),
+        **{c: pa.array([r[k] for r in regions], pa.int32()) for k, c in ((1, "first"), (2, "last"), (3, "place"))},
+        "anchor": pa.array(np.array([r[4] for r in regions], dtype=np.uint64).view(np.int64)), "wanted": pa.array([True] * len(regions)),
+        "bytes": pa.array([texts[r[0]][r[1] : end] for r, end in zip(regions, stop, strict=True)], pa.binary()),
+    }
+    batch = pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+    of, sorted_ = suffix_dedup.suffix_array, []
+    monkeypatch.setattr(suffix_dedup, "suffix_array", lambda *a: sorted_.append(len(out := of(*a))) or out)
+    for block in (1 << 20, 2000):
+        monkeypatch.setattr(suffix_dedup, "BLOCK", block)
+        sorted_.clear()
+        got = {400: set(), 256: set()}
+        for out in suffix_dedup._sorted_shards(iter([batch.slice(k, 7) for k in range(0, len(regions), 7)])):
+            for r in out.to_pylist():
+                got[r["width"]] |= {(r["row_key"][0], k) for k in range(r["begin"], r["end"] - r["width"] + 1)}
+        assert sum(sorted_) == 2 * len(regions)
+        for width, own in got.items():
+            windows = {(i, k): t[k : k + width] for i, t in enumerate(texts) for k in range(len(t) - width + 1)}
+            times = Counter(windows.values())
+            assert own == {at for at, w in windows.items() if times[w] > 1}
+
+
 # --- vectors --------------------------------------------------------------------------------------------
 
 
