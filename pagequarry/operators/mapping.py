@@ -38,10 +38,9 @@ def mapped_templates(pages: DataFrame, template_rules: DataFrame, redirects: Dat
     """
     rows = resolved(exploded(in_namespaces(pages, 0), "template"), redirects)
     rules = template_rules.select(F.lower("template").alias("template"), F.col("class").alias("class__"), F.col("root").alias("root__"))
-    hit = rows.join(small(rules), "template")
-    inner = hit.select("page_id", F.col("node.id").alias("up__"))
-    parents = hit.select("page_id", F.col("node.id").alias("id__"), F.explode(_ancestors()).alias("up__")).join(inner, ["page_id", "up__"], "left_semi").select("page_id", "id__").distinct()
-    top = hit.join(parents, (hit["page_id"] == parents["page_id"]) & (hit["node.id"] == parents["id__"]), "left_anti")
+    hit = rows.join(small(rules), "template").withColumn("up__", _ancestors()).drop("nodes")
+    mapped = F.collect_set("node.id").over(Window.partitionBy("page_id"))
+    top = hit.withColumn("mapped__", mapped).where(~F.arrays_overlap("up__", "mapped__")).drop("up__", "mapped__")
     w = Window.partitionBy("page_id").orderBy("node.id")
     top = top.withColumn("no__", F.row_number().over(w))
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -115,7 +114,7 @@ def map_templates(pages: DataFrame, template_rules: DataFrame, property_rules: D
     template has the node's `value` as its name or it has none, one node of all their values if several have).
     """
     # Every kind of rule reads the mapped templates, so they are computed once.
-    top = cut(mapped_templates(pages, template_rules, redirects).drop("nodes"), "templates")
+    top = cut(mapped_templates(pages, template_rules, redirects), "templates")
     types = statements(
         top.withColumn("c__", F.col("class__")),
         statement("instance_types", F.col("s__"), RDF + "type", F.concat(F.lit(ONTOLOGY), F.col("c__"))),

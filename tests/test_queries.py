@@ -7,7 +7,8 @@ import random
 import pytest
 
 import __spark_entry__
-from pagequarry.plans.catalogue import ORACLES, QUERIES
+from pagequarry.plans.catalogue import ORACLES, QUERIES, Tables
+from pagequarry.plans.table_pages import customers
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -108,6 +109,9 @@ def test_name_pairs_whole(spark, tmp_path):
         assert ("lantern", "mantern") in got
 
 
+
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
