@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagequarry.functions.scalar import resource_iri, short_hash
-from pagequarry.functions.values import julian_to_gregorian, let
+from pagequarry.functions.values import julian_to_gregorian, let, with_once
 from pagequarry.model import DCT, LANG_STRING, OWL, RDF, RDFS, SKOS, XSD, statement, statements
 from pagequarry.operators.extractors import DOMAIN, extractor
-from pagequarry.operators.post import small
+from pagequarry.operators.post import small, spread
 
 TERM = "struct<language: string, value: string>"
 SNAK = "struct<snaktype: string, property: string, datavalue: struct<type: string, value: string>>"
@@ -25,8 +25,8 @@ def items(pages: DataFrame) -> DataFrame:
     mended = F.col("source")
     for name in ("labels", "descriptions", "aliases", "sitelinks", "claims"):
         mended = F.regexp_replace(mended, rf'"{name}"\s*:\s*\[\s*\]', f'"{name}":{{}}')
-    rows = pages.where("redirect is null and format = 'application/json'")
-    return rows.withColumn("item", F.from_json(mended, ITEM)).where("item.id is not null").withColumn("s__", F.concat(F.lit(ENTITY), F.col("item.id")))
+    rows = spread(pages.where("redirect is null and format = 'application/json'"))
+    return with_once(rows, "item", F.from_json(mended, ITEM)).where("item.id is not null").withColumn("s__", F.concat(F.lit(ENTITY), F.col("item.id")))
 
 
 def _terms(pages: DataFrame, field: str, predicate: str, dataset: str, many: bool = False) -> DataFrame:
@@ -65,9 +65,10 @@ def same_as(pages: DataFrame) -> DataFrame:
 @extractor("item-language-links", "json")
 def language_links(pages: DataFrame) -> DataFrame:
     """Ordered pairs of an item's pages in different languages."""
-    a = site_links(pages).select("s__", F.col("lang__").alias("l1"), F.col("iri__").alias("i1"))
-    b = a.select("s__", F.col("l1").alias("l2"), F.col("i1").alias("i2"))
-    return statements(a.join(b, "s__").where("l1 <> l2"), statement("item_language_links", F.col("i1"), OWL + "sameAs", F.col("i2")))
+    # An item has a link a wiki at most, so its links fit into a row.
+    own = site_links(pages).groupBy("s__").agg(F.collect_set(F.struct(F.col("lang__").alias("l"), F.col("iri__").alias("i"))).alias("own"))
+    pairs = own.select("own", F.explode("own").alias("a")).select("a", F.explode("own").alias("b")).where("a.l <> b.l")
+    return statements(pairs, statement("item_language_links", F.col("a.i"), OWL + "sameAs", F.col("b.i")))
 
 
 @extractor("item-namespace", "json")
@@ -112,16 +113,16 @@ def statement_iri(s: Column, prop: Column, value: Column, datatype: Column, clai
 def claims(pages: DataFrame) -> DataFrame:
     """A row for each claim with a value: s__, prop__, claim__, value__, datatype__, iri__."""
     rows = items(pages).select("s__", F.explode("item.claims").alias("prop__", "c__")).select("s__", "prop__", F.posexplode("c__").alias("ord__", "claim__"))
-    rows = rows.where("claim__.mainsnak.snaktype = 'value'").withColumn("v__", snak_value(F.col("claim__.mainsnak"))).where("v__ is not null")
+    rows = with_once(rows.where("claim__.mainsnak.snaktype = 'value'"), "v__", snak_value(F.col("claim__.mainsnak"))).where("v__ is not null")
     return rows.select("*", F.col("v__.value").alias("value__"), F.col("v__.datatype").alias("datatype__")).withColumn("iri__", statement_iri(F.col("s__"), F.col("prop__"), F.col("value__"), F.col("datatype__"), F.col("claim__.id")))
 
 
-def reified(rows: DataFrame, dataset: str, predicate: Column) -> DataFrame:
+def reified(dataset: str, predicate: Column) -> list[Column]:
     i = F.col("iri__")
-    return statements(
-        rows, statement(dataset, i, RDF + "type", F.lit(RDF + "Statement")), statement(dataset, i, RDF + "subject", F.col("s__")),
+    return [
+        statement(dataset, i, RDF + "type", F.lit(RDF + "Statement")), statement(dataset, i, RDF + "subject", F.col("s__")),
         statement(dataset, i, RDF + "predicate", predicate), statement(dataset, i, RDF + "object", F.col("value__"), datatype=F.col("datatype__")),
-    )
+    ]
 
 
 @extractor("item-raw", "json")
@@ -129,16 +130,16 @@ def raw(pages: DataFrame) -> DataFrame:
     """Each claim plain, reified in four statements, and its qualifiers."""
     rows = claims(pages)
     p = F.concat(F.lit(ENTITY), F.col("prop__"))
-    plain = statements(rows, statement("item_raw", F.col("s__"), p, F.col("value__"), datatype=F.col("datatype__")))
-    q = rows.select("iri__", F.explode("claim__.qualifiers").alias("q__", "s")).select("iri__", "q__", F.explode("s").alias("s")).withColumn("v__", snak_value(F.col("s"))).where("v__ is not null")
+    own = statements(rows, statement("item_raw", F.col("s__"), p, F.col("value__"), datatype=F.col("datatype__")), *reified("item_raw_reified", p))
+    q = with_once(rows.select("iri__", F.explode("claim__.qualifiers").alias("q__", "s")).select("iri__", "q__", F.explode("s").alias("s")), "v__", snak_value(F.col("s"))).where("v__ is not null")
     qualified = statements(q, statement("item_raw_qualifiers", F.col("iri__"), F.concat(F.lit(ENTITY), F.col("q__")), F.col("v__.value"), datatype=F.col("v__.datatype")))
-    return plain.unionByName(reified(rows, "item_raw_reified", p)).unionByName(qualified)
+    return own.unionByName(qualified)
 
 
 @extractor("item-references", "json")
 def references(pages: DataFrame) -> DataFrame:
     rows = claims(pages).select("iri__", F.explode("claim__.references").alias("r")).select("iri__", F.explode("r.snaks").alias("p__", "s")).select("iri__", "p__", F.explode("s").alias("s"))
-    rows = rows.withColumn("v__", snak_value(F.col("s"))).where("v__ is not null")
+    rows = with_once(rows, "v__", snak_value(F.col("s"))).where("v__ is not null")
     return statements(rows, statement("item_references", F.col("iri__"), F.concat(F.lit(ENTITY), F.col("p__")), F.col("v__.value"), datatype=F.col("v__.datatype")))
 
 
