@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from pagequarry.functions.scalar import broken_brackets, short_text
+from pagequarry.operators.post import PYTHON_ROWS, cut, small, spread
 
+LINK = StructType([StructField("begin", IntegerType()), StructField("end", IntegerType()), StructField("text", StringType()), StructField("href", StringType())])
 PIECE = StructType(
-    [StructField(n, t) for n, t in (("ord", IntegerType()), ("kind", StringType()), ("depth", IntegerType()), ("text", StringType()), ("links", ArrayType(StructType([StructField("begin", IntegerType()), StructField("end", IntegerType()), StructField("text", StringType()), StructField("href", StringType())]))))]
+    [StructField(n, t) for n, t in (("ord", IntegerType()), ("kind", StringType()), ("depth", IntegerType()), ("text", StringType()), ("links", ArrayType(LINK)), ("section", IntegerType()), ("begin", IntegerType()))]
 )
 SKIP = {"script", "style", "sup", "noscript"}
 BLOCKS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "table", "math"}
@@ -72,26 +76,32 @@ class Walker(HTMLParser):
 
 
 def pieces_of(html: str | None) -> list[dict]:
+    """Pieces with section (ord of the last title) and begin (texts are two letters apart)."""
     w = Walker()
     w.feed(html or "")
     w.close()
     w.finish()
+    section, begin = None, 0
+    for x in w.out:
+        section = x["ord"] if x["kind"] == "title" else section
+        x.update(section=section, begin=begin)
+        begin += len(x["text"]) + 2
     return w.out
 
 
-@F.pandas_udf(ArrayType(PIECE))
-def html_pieces(html: pd.Series) -> pd.Series:
-    return html.map(lambda x: pieces_of(x if isinstance(x, str) else ""))
+@F.arrow_udf(ArrayType(PIECE))
+def html_pieces(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Pieces of each page, a few pages at a time."""
+    kind = to_arrow_type(ArrayType(PIECE))
+    for html in batches:
+        for at in range(0, len(html), PYTHON_ROWS):
+            yield pa.array([pieces_of(x) for x in html.slice(at, PYTHON_ROWS).to_pylist()], kind)
 
 
 def model(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """A row for each piece: key, ord, kind, depth, text, links, section (ord of its title), begin and end in the page's text."""
-    rows = pages.select(key, F.explode(html_pieces(html)).alias("x")).select(key, "x.*")
-    upto = Window.partitionBy(key).orderBy("ord").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = Window.partitionBy(key).orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
-    section = F.last(F.when(F.col("kind") == "title", F.col("ord")), True).over(upto)
-    begin = F.coalesce(F.sum(F.length("text") + 2).over(before), F.lit(0)).cast("int")
-    return rows.withColumn("section", section).withColumn("begin", begin).withColumn("end", F.col("begin") + F.length("text"))
+    rows = spread(pages.select(key, html), key).select(key, F.explode(html_pieces(html)).alias("x")).select(key, "x.*")
+    return rows.withColumn("end", F.col("begin") + F.length("text"))
 
 
 def sections(pieces: DataFrame, key: str = "page_id") -> DataFrame:
@@ -174,8 +184,8 @@ def surface_forms(pieces: DataFrame, forms: DataFrame, key: str = "page_id", lon
     rows = rows.withColumn("at", F.aggregate("words", start, place, lambda acc: acc["at"]))
     runs = rows.withColumn("i", F.explode(F.sequence(F.lit(0), F.size("words") - 1))).withColumn("n", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.size("words") - F.col("i")))))
     first, last = F.get("at", F.col("i")), F.get("at", F.col("i") + F.col("n") - 1) + F.length(F.get("words", F.col("i") + F.col("n") - 1))
-    cut = runs.select(key, "ord", "begin", (first - 1).alias("a"), (last - 1).alias("z"), F.col("text").substr(first, last - first).alias("form"))
-    found = cut.join(forms.select("form", "href").dropDuplicates(["form"]), "form")
+    spans = runs.select(key, "ord", "begin", (first - 1).alias("a"), (last - 1).alias("z"), F.col("text").substr(first, last - first).alias("form"))
+    found = spans.join(small(forms.select("form", "href").dropDuplicates(["form"])), "form")
     kind = F.when(F.col("form").rlike(r"\s"), "phrase").otherwise("word")
     return found.select(key, "ord", (F.col("begin") + F.col("a")).alias("begin"), (F.col("begin") + F.col("z")).alias("end"), F.col("form").alias("text"), "href", kind.alias("kind"))
 
@@ -183,11 +193,11 @@ def surface_forms(pieces: DataFrame, forms: DataFrame, key: str = "page_id", lon
 def enriched(links: DataFrame, candidates: DataFrame, key: str = "page_id") -> DataFrame:
     """links with those candidate spans that overlap none of them, nor a longer or earlier candidate."""
     def clear(a: DataFrame, b: DataFrame) -> DataFrame:
-        other = b.select(F.col(key).alias("k2"), F.col("begin").alias("b2"), F.col("end").alias("e2"))
+        other = b.select(F.col(key).alias("k2"), F.col("begin").alias("b2"), F.col("end").alias("e2")).hint("merge")
         return a.join(other, (F.col(key) == F.col("k2")) & (F.col("begin") < F.col("e2")) & (F.col("b2") < F.col("end")), "left_anti")
 
-    free = clear(candidates, links)
-    rival = free.select(F.col(key).alias("k2"), F.col("begin").alias("b2"), F.col("end").alias("e2"))
+    free = cut(clear(candidates, links), "free")
+    rival = free.select(F.col(key).alias("k2"), F.col("begin").alias("b2"), F.col("end").alias("e2")).hint("merge")
     longer = (F.col("e2") - F.col("b2") > F.col("end") - F.col("begin")) | ((F.col("e2") - F.col("b2") == F.col("end") - F.col("begin")) & (F.col("b2") < F.col("begin")))
     best = free.join(rival, (F.col(key) == F.col("k2")) & (F.col("begin") < F.col("e2")) & (F.col("b2") < F.col("end")) & longer, "left_anti")
     return links.unionByName(best, allowMissingColumns=True)
