@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pagequarry.functions import scalar as S
 from pagequarry.functions import similarity as M
 from pagequarry.functions import values as V
+from pagequarry.operators.post import spread
 from pagequarry.plans.catalogue import Tables, query
 
 HREF = r'<a href="([^"]*)"'
@@ -312,7 +313,8 @@ def numbers_with_units(t: Tables) -> DataFrame:
     """The number that a unit follows, among other numbers; templates of conversion; feet and inches."""
     n, k = F.col("l_quantity").cast("int").cast("string"), F.col("l_linenumber") % 3
     text = F.when(k == 0, F.concat(F.lit("in 1990 it had "), n, F.lit(" km"))).when(k == 1, F.concat(F.lit("about 3 houses, {{convert|"), n, F.lit("|kg|lb}}"))).otherwise(F.concat(n, F.lit(" ft 0 in")))
-    return t.lineitem.select("l_orderkey", "l_linenumber", V.value_with_unit(text).alias("u")).select("l_orderkey", "l_linenumber", "u.value", "u.unit")
+    lines = spread(t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity"), "l_orderkey")
+    return lines.select("l_orderkey", "l_linenumber", V.value_with_unit(text).alias("u")).select("l_orderkey", "l_linenumber", "u.value", "u.unit")
 
 
 @query("""SELECT s_suppkey, 'http://s' || s_suppkey || '.example/x' AS loose, CASE WHEN s_suppkey % 2 = 0 THEN 'http://s' || s_suppkey || '.example/x' END AS strict FROM supplier""")
